@@ -17,10 +17,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadwright.operators.dedup import distinct_keys
 
 
 def _key_map(keys: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
@@ -29,17 +28,15 @@ def _key_map(keys: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
     return {k: k for k in keys}
 
 
-def key_set(df: DataFrame, keys: Sequence[str] | Mapping[str, str], prefix: str = "__k") -> tuple[DataFrame, Column]:
-    """Distinct keys of ``df`` renamed apart, and the match condition.
+def key_set(df: DataFrame, keys: Sequence[str] | Mapping[str, str], prefix: str = "__k") -> tuple[DataFrame, dict[str, str]]:
+    """Distinct keys of ``df``, renamed ``__k0, __k1, ..``, and the key map.
 
-    ``keys`` maps left column -> column of ``df`` (a list means same names).
-    Returns (keys frame, condition builder input) for a join against a left
-    frame whose columns are referenced by name.
+    ``keys`` maps a column of the other (left) frame to a column of ``df``;
+    a list means the same names on both sides.
     """
     km = _key_map(keys)
     renamed = [F.col(right).alias(f"{prefix}{i}") for i, right in enumerate(km.values())]
-    ks = df.select(*renamed).distinct()
-    return ks, km
+    return df.select(*renamed).distinct(), km
 
 
 def _exists_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
@@ -51,6 +48,30 @@ def _exists_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame
     return left.join(ks, cond, how)
 
 
+def _shared_keys(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:
+    """Distinct keys of ``base`` that also occur in ``delta``, as ``__k0..``.
+
+    The base keys are first semi-joined against the delta's keys, so the
+    distinct runs over matched keys only (bounded by the delta), and when the
+    delta's keys are small enough to broadcast the base is not shuffled.
+    """
+    km = _key_map(keys)  # delta column -> base column
+    bk = base.select(*[F.col(b).alias(f"__k{i}") for i, b in enumerate(km.values())])
+    dk = delta.select(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(km.keys())]).distinct()
+    cond = reduce(lambda a, b: a & b, [bk[f"__k{i}"] == dk[f"__d{i}"] for i in range(len(km))])
+    return bk.join(dk, cond, "left_semi").distinct()
+
+
+def _against_shared(delta: DataFrame, base: DataFrame, keys, how: str) -> DataFrame:
+    km = _key_map(keys)
+    shared = _shared_keys(delta, base, km)
+    cond = reduce(
+        lambda a, b: a & b,
+        [delta[d] == shared[f"__k{i}"] for i, d in enumerate(km.keys())],
+    )
+    return delta.join(shared, cond, how)
+
+
 def unaffected(base: DataFrame, delta: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """Base rows with no delta row of the same key (NOT IN / NOT EXISTS)."""
     return _exists_join(base, delta, keys, "left_anti")
@@ -58,21 +79,50 @@ def unaffected(base: DataFrame, delta: DataFrame, keys: Sequence[str] | Mapping[
 
 def new_rows(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """Delta rows whose key is not in base."""
-    return _exists_join(delta, base, keys, "left_anti")
+    return _against_shared(delta, base, keys, "left_anti")
 
 
 def matched_rows(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """Delta rows whose key is in base."""
-    return _exists_join(delta, base, keys, "left_semi")
+    return _against_shared(delta, base, keys, "left_semi")
+
+
+# Bounds on the set of touched partition values.  Up to MAX_PRUNE_VALUES
+# they become a literal IN filter on the partition column, which the file
+# source turns into partition pruning at planning time (untouched partitions
+# are never listed or read).  Up to MAX_BROADCAST_PARTITIONS they are joined
+# as a broadcast side; beyond that the planner picks the join.
+MAX_PRUNE_VALUES = 10_000
+MAX_BROADCAST_PARTITIONS = 100_000
+
+
+def touched_values(delta: DataFrame, col: str) -> tuple[DataFrame, int]:
+    """Distinct values of ``delta.col`` (as ``__k0``), written to the shared
+    checkpoint folder, and how many there are.
+
+    The set is materialised once, so counting it and using it do not compute
+    the delta twice; it is bounded by the number of partitions of the table.
+    """
+    vals = delta.select(F.col(col).alias("__k0")).distinct().checkpoint(eager=True)
+    return vals, vals.count()
 
 
 def affected_partitions(base: DataFrame, delta: DataFrame, partition_col: str, delta_col: str | None = None) -> DataFrame:
     """Base rows in a partition the delta touches (``p IN (SELECT DISTINCT p ..)``).
 
-    On a partitioned file source the semi join on the partition column lets
-    dynamic partition pruning skip the untouched partitions at scan time.
+    The touched values are counted first.  A small set (the partition values
+    of one load; metadata, bounded by the table's partition count) becomes a
+    literal ``IN`` list, so the scan reads only those partitions.  A larger
+    one is broadcast to a semi join, so the base is never shuffled on its
+    partition column, where a heavy partition would land in one task.
     """
-    return _exists_join(base, delta, {partition_col: delta_col or partition_col}, "left_semi")
+    vals, n = touched_values(delta, delta_col or partition_col)
+    if n <= MAX_PRUNE_VALUES:
+        listed = [r[0] for r in vals.collect() if r[0] is not None]
+        return base.where(F.col(partition_col).isin(listed))
+    if n <= MAX_BROADCAST_PARTITIONS:
+        vals = F.broadcast(vals)
+    return base.join(vals, base[partition_col] == vals["__k0"], "left_semi")
 
 
 def unaffected_in_partitions(

@@ -111,7 +111,17 @@ def upsert(
     never matched, so a NULL-key base row and a NULL-key staged row both stay.
     """
     d = _delta(base, stage, keys, order_by, exprs, stage_keys)
-    return stack(unaffected(base, d, keys), d)
+    return stack(unaffected(base, _key_source(stage, d, exprs, stage_keys), keys), d)
+
+
+def _key_source(stage: DataFrame, d: DataFrame, exprs, stage_keys) -> DataFrame:
+    """Frame to take the staged key set from.
+
+    De-duplication keeps every key, so when the stage carries the base key
+    columns unchanged its own distinct keys equal the delta's; reading them
+    there skips a second evaluation of the de-duplication window.
+    """
+    return stage if exprs is None and stage_keys is None else d
 
 
 def _left_pair(base: DataFrame, d: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -217,7 +227,7 @@ def upsert_partitioned(
     elif scope != "partition":
         raise ValueError("scope must be 'partition' or 'table'")
     in_touched = affected_partitions(base, touched, partition_col)
-    return stack(unaffected(in_touched, d, keys), d)
+    return stack(unaffected(in_touched, _key_source(stage, d, exprs, None), keys), d)
 
 
 def untouched_partitions(base: DataFrame, rebuilt: DataFrame, partition_col: str) -> DataFrame:
