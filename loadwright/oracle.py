@@ -188,6 +188,11 @@ ORACLE: dict[str, str] = {
     "set_literal": """
         SELECT c_custkey, c_name, c_nationkey, CAST(0 AS DOUBLE) AS c_acctbal, c_mktsegment
         FROM customer""",
+    "accumulate": f"""
+        WITH {_ORDERS_CTE}
+        SELECT s.o_orderkey, s.o_custkey, s.o_orderstatus,
+               b.o_totalprice + s.o_totalprice AS o_totalprice, s.o_orderdate, s.o_orderpriority
+        FROM os_raw s JOIN ob b ON s.o_orderkey = b.o_orderkey""",
     "fill_from_base": f"""
         WITH {_ORDERS_CTE}
         SELECT s.o_orderkey, b.o_custkey, b.o_orderstatus, s.o_totalprice, b.o_orderdate,
@@ -276,4 +281,5 @@ ORACLE: dict[str, str] = {
                CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
                o_totalprice, o_orderdate, o_orderpriority
         FROM orders""",
+    "stream_upsert": _UPSERT,
 }

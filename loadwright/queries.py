@@ -296,6 +296,13 @@ def q_set_literal(spark, sf):
     return C.set_literal(table(spark, sf, "customer"), "c_acctbal", 0)
 
 
+def q_accumulate(spark, sf):
+    j = J.pair(orders_stage(spark, sf), orders_base(spark, sf), ORDER_KEYS)
+    return j.select(*C.accumulate_exprs(
+        orders_base(spark, sf).columns, {"o_totalprice": "a.o_totalprice + m.o_totalprice"}
+    ))
+
+
 def q_fill_from_base(spark, sf):
     st = orders_stage(spark, sf).select("o_orderkey", "o_totalprice")
     return L.fill_from_base(st, orders_base(spark, sf), ORDER_KEYS)
@@ -402,6 +409,34 @@ def q_apply_load_delete(spark, sf):
 
 # ------------------------------------------------------------------ sources and sinks
 
+ORDERS_DDL = {
+    "o_orderkey": "BIGINT",
+    "o_custkey": "BIGINT",
+    "o_orderstatus": "CHAR(1)",
+    "o_totalprice": "FLOAT",
+    "o_orderdate": "TIMESTAMP(0)",
+    "o_orderpriority": "VARCHAR(15)",
+}
+
+
+def q_stream_upsert(spark, sf):
+    """Staged orders land as a text file; the stage-folder stream upserts them."""
+    from loadwright.streaming.stage_files import start_stage_load
+
+    name = scratch_table_name("orders_stream")
+    S.write_table(orders_base(spark, sf), name, location=scratch_path(spark, name))
+    drops = scratch_path(spark, "orders_drops")
+    ST.write_stage(orders_stage(spark, sf), drops)
+    spec = {"pattern": "upsert", "keys": ORDER_KEYS, "order_by": ["o_orderdate"],
+            "location": scratch_path(spark, name + "_v2")}
+    q = start_stage_load(spark, drops, TY.ddl_schema(ORDERS_DDL), name, spec)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stage stream failed: {q.exception()}")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 CUSTOMER_DDL = {
     "C_CUSTKEY": "BIGINT",
     "C_NAME": "VARCHAR(25)",
@@ -514,6 +549,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_date": q_parse_date,
     "sentinel_date": q_sentinel_date,
     "set_literal": q_set_literal,
+    "accumulate": q_accumulate,
     "fill_from_base": q_fill_from_base,
     # load patterns
     "upsert": q_upsert,
@@ -543,4 +579,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_base": q_scan_base,
     "swap_in": q_swap_in,
     "overwrite": q_overwrite,
+    "stream_upsert": q_stream_upsert,
 }

@@ -160,6 +160,7 @@ def swap_in(
     spark.table(side).select(F.lit(1)).limit(1).collect()
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     spark.sql(f"ALTER TABLE {side} RENAME TO {target}")
+    spark.catalog.refreshTable(target)
     return target
 
 
