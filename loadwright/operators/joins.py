@@ -62,9 +62,9 @@ def _shared_keys(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mappin
     return bk.join(dk, cond, "left_semi").distinct()
 
 
-def _against_shared(delta: DataFrame, base: DataFrame, keys, how: str) -> DataFrame:
+def _against_shared(delta: DataFrame, base: DataFrame, keys, how: str, key_source: DataFrame | None = None) -> DataFrame:
     km = _key_map(keys)
-    shared = _shared_keys(delta, base, km)
+    shared = _shared_keys(delta if key_source is None else key_source, base, km)
     cond = reduce(
         lambda a, b: a & b,
         [delta[d] == shared[f"__k{i}"] for i, d in enumerate(km.keys())],
@@ -77,9 +77,18 @@ def unaffected(base: DataFrame, delta: DataFrame, keys: Sequence[str] | Mapping[
     return _exists_join(base, delta, keys, "left_anti")
 
 
-def new_rows(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:
-    """Delta rows whose key is not in base."""
-    return _against_shared(delta, base, keys, "left_anti")
+def new_rows(
+    delta: DataFrame,
+    base: DataFrame,
+    keys: Sequence[str] | Mapping[str, str],
+    key_source: DataFrame | None = None,
+) -> DataFrame:
+    """Delta rows whose key is not in base.
+
+    ``key_source`` may name a cheaper frame with the same key set as
+    ``delta`` (e.g. the stage before de-duplication) to look keys up from.
+    """
+    return _against_shared(delta, base, keys, "left_anti", key_source)
 
 
 def matched_rows(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:

@@ -11,6 +11,7 @@ onto the base columns.  Results keep the base's column order.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,6 +125,18 @@ def _key_source(stage: DataFrame, d: DataFrame, exprs, stage_keys) -> DataFrame:
     return stage if exprs is None and stage_keys is None else d
 
 
+def _split_null_keys(d: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Staged rows with every key set, and those with a NULL key.
+
+    A NULL key never matches, so those rows are always new.  Both join
+    branches then read the same non-null frame: the two plans are identical
+    below the de-duplication exchange, and Spark reuses that shuffle instead
+    of running the window twice.
+    """
+    has_keys = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return d.where(has_keys), d.where(~has_keys)
+
+
 def _left_pair(base: DataFrame, d: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every base row (alias ``a``) with its staged row (alias ``m``) if any.
 
@@ -147,7 +160,7 @@ def upsert_partial(
     every other base column keeps the existing row's value (P12), and is NULL
     for a new key."""
     listed = list(dict.fromkeys([*keys, *columns]))
-    d = _delta(base, stage, keys, order_by, exprs, columns=listed)
+    d, d_null = _split_null_keys(_delta(base, stage, keys, order_by, exprs, columns=listed), keys)
     joined = _left_pair(base, d, keys)
     hit = F.col(f"m.{HIT}").isNotNull()
     updated = joined.select(
@@ -156,7 +169,7 @@ def upsert_partial(
             for c in base.columns
         ]
     )
-    fresh = new_rows(d, base, keys).select(
+    fresh = stack(new_rows(d, base, keys, _key_source(stage, d, exprs, None)), d_null).select(
         *[(F.col(c) if c in listed else F.lit(None).cast(base.schema[c].dataType)).alias(c) for c in base.columns]
     )
     return stack(updated, fresh)
@@ -187,7 +200,7 @@ def upsert_accumulate(
     unaffected rows; a matched flag, not a data column, tells them apart) and
     staged ANTI JOIN distinct base keys (new rows).
     """
-    d = _delta(base, stage, keys, order_by, exprs)
+    d, d_null = _split_null_keys(_delta(base, stage, keys, order_by, exprs), keys)
     joined = _left_pair(base, d, keys)
     hit = F.col(f"m.{HIT}").isNotNull()
     cols = []
@@ -198,7 +211,7 @@ def upsert_accumulate(
             new = F.col(f"m.{c}")
         cols.append(F.when(hit, new).otherwise(F.col(f"a.{c}")).cast(base.schema[c].dataType).alias(c))
     updated = joined.select(*cols)
-    return stack(updated, new_rows(d, base, keys))
+    return stack(updated, new_rows(d, base, keys, _key_source(stage, d, exprs, None)), d_null)
 
 
 def upsert_partitioned(
