@@ -5,11 +5,11 @@ matches.  Physical strategy is left to Catalyst and adaptive execution (a side
 measured small at runtime is broadcast; otherwise sort-merge).
 
 Where only the existence of a key on the other side matters (semi / anti
-joins), that side is reduced to its distinct keys first.  The distinct is a
-partial aggregation whose shuffle is the one the join needs anyway, so it adds
-no exchange, and a key that holds a large share of the rows collapses to one
-row per map task before it is shuffled.  The side whose rows are kept is never
-reduced; a hot key there is split by the adaptive skew-join rule.
+joins), that side is reduced to its distinct keys first: a partial
+aggregation whose shuffle is the one the join needs anyway, so a key holding
+a large share of those rows collapses to one row per map task.  The side
+whose rows are kept is not reduced; its hot keys are salted
+(``loadwright.operators.skew``) when ``skew="auto"`` finds any.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadwright.operators.skew import key_join, resolve
 
 
 def _key_map(keys: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
@@ -39,16 +40,16 @@ def key_set(df: DataFrame, keys: Sequence[str] | Mapping[str, str], prefix: str
     return df.select(*renamed).distinct(), km
 
 
-def _exists_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
+def _exists_join(left: DataFrame, right: DataFrame, keys, how: str, skew="auto") -> DataFrame:
+    """Rows of ``left`` with (semi) or without (anti) a key match in ``right``."""
     ks, km = key_set(right, keys)
-    cond = reduce(
-        lambda a, b: a & b,
-        [left[lc] == ks[f"__k{i}"] for i, lc in enumerate(km.keys())],
-    )
-    return left.join(ks, cond, how)
+    lcols = list(km.keys())
+    hot = resolve(skew, left, lcols)
+    j = key_join(left, ks, [(lc, f"__k{i}") for i, lc in enumerate(lcols)], how, hot)
+    return j.select(*[F.col(f"a.{c}").alias(c) for c in left.columns])
 
 
-def _shared_keys(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:
+def _shared_keys(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mapping[str, str], skew="auto") -> DataFrame:
     """Distinct keys of ``base`` that also occur in ``delta``, as ``__k0..``.
 
     The base keys are first semi-joined against the delta's keys, so the
@@ -56,15 +57,18 @@ def _shared_keys(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mappin
     delta's keys are small enough to broadcast the base is not shuffled.
     """
     km = _key_map(keys)  # delta column -> base column
+    hot = resolve(skew, base, list(km.values()))
     bk = base.select(*[F.col(b).alias(f"__k{i}") for i, b in enumerate(km.values())])
     dk = delta.select(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(km.keys())]).distinct()
-    cond = reduce(lambda a, b: a & b, [bk[f"__k{i}"] == dk[f"__d{i}"] for i in range(len(km))])
-    return bk.join(dk, cond, "left_semi").distinct()
+    j = key_join(bk, dk, [(f"__k{i}", f"__d{i}") for i in range(len(km))], "left_semi", hot)
+    return j.select(*[F.col(f"a.__k{i}").alias(f"__k{i}") for i in range(len(km))]).distinct()
 
 
-def _against_shared(delta: DataFrame, base: DataFrame, keys, how: str, key_source: DataFrame | None = None) -> DataFrame:
+def _against_shared(
+    delta: DataFrame, base: DataFrame, keys, how: str, key_source: DataFrame | None = None, skew="auto"
+) -> DataFrame:
     km = _key_map(keys)
-    shared = _shared_keys(delta if key_source is None else key_source, base, km)
+    shared = _shared_keys(delta if key_source is None else key_source, base, km, skew)
     cond = reduce(
         lambda a, b: a & b,
         [delta[d] == shared[f"__k{i}"] for i, d in enumerate(km.keys())],
@@ -72,9 +76,9 @@ def _against_shared(delta: DataFrame, base: DataFrame, keys, how: str, key_sourc
     return delta.join(shared, cond, how)
 
 
-def unaffected(base: DataFrame, delta: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:
+def unaffected(base: DataFrame, delta: DataFrame, keys: Sequence[str] | Mapping[str, str], skew="auto") -> DataFrame:
     """Base rows with no delta row of the same key (NOT IN / NOT EXISTS)."""
-    return _exists_join(base, delta, keys, "left_anti")
+    return _exists_join(base, delta, keys, "left_anti", skew)
 
 
 def new_rows(
@@ -82,18 +86,20 @@ def new_rows(
     base: DataFrame,
     keys: Sequence[str] | Mapping[str, str],
     key_source: DataFrame | None = None,
+    skew="auto",
 ) -> DataFrame:
     """Delta rows whose key is not in base.
 
     ``key_source`` may name a cheaper frame with the same key set as
-    ``delta`` (e.g. the stage before de-duplication) to look keys up from.
+    ``delta`` (e.g. the stage before de-duplication) to look keys up from;
+    ``skew`` is about the base's keys.
     """
-    return _against_shared(delta, base, keys, "left_anti", key_source)
+    return _against_shared(delta, base, keys, "left_anti", key_source, skew)
 
 
-def matched_rows(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:
+def matched_rows(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mapping[str, str], skew="auto") -> DataFrame:
     """Delta rows whose key is in base."""
-    return _against_shared(delta, base, keys, "left_semi")
+    return _against_shared(delta, base, keys, "left_semi", None, skew)
 
 
 # Bounds on the set of touched partition values.  Up to MAX_PRUNE_VALUES
@@ -139,9 +145,10 @@ def unaffected_in_partitions(
     delta: DataFrame,
     keys: Sequence[str],
     partition_col: str,
+    skew="auto",
 ) -> DataFrame:
     """Rows of the touched partitions that no delta row replaces."""
-    return unaffected(affected_partitions(base, delta, partition_col), delta, keys)
+    return unaffected(affected_partitions(base, delta, partition_col), delta, keys, skew)
 
 
 def pair(
@@ -150,14 +157,20 @@ def pair(
     keys: Sequence[str],
     how: str = "inner",
     flag: str | None = None,
+    skew="auto",
 ) -> DataFrame:
     """Delta (alias ``m``) joined to base (alias ``a``) on the keys.
 
     Columns are reached as ``m.col`` / ``a.col``.  With ``flag`` the delta
     side carries a non-null marker column, so after an outer join a matched
     row is told apart from a miss without looking at nullable data columns.
+    An inner pairing salts the base's hot keys.
     """
     m = delta.withColumn(flag, F.lit(True)) if flag else delta
+    if how == "inner":
+        hot = resolve(skew, base, list(keys))
+        if hot is not None:
+            return key_join(base, m, [(k, k) for k in keys], "inner", hot)
     cond = reduce(lambda a, b: a & b, [F.col(f"m.{k}") == F.col(f"a.{k}") for k in keys])
     return m.alias("m").join(base.alias("a"), cond, how)
 
@@ -167,12 +180,13 @@ def matching(
     stage: DataFrame,
     on: Mapping[str, str] | Sequence[str],
     how: str = "left_semi",
+    skew="auto",
 ) -> DataFrame:
     """Base rows that have (``left_semi``) or lack (``left_anti``) a stage
     row with ``base.a = stage.b`` for every ``{a: b}`` in ``on``."""
     if how not in ("left_semi", "left_anti"):
         raise ValueError("matching: how must be left_semi or left_anti")
-    return _exists_join(base, stage, on, how)
+    return _exists_join(base, stage, on, how, skew)
 
 
 def flag_matches(
@@ -180,6 +194,7 @@ def flag_matches(
     stage: DataFrame,
     on: Mapping[str, str] | Sequence[str],
     flag: str = "__hit",
+    skew="auto",
 ) -> DataFrame:
     """Base rows, each with a boolean ``flag``: does a stage row match it?
 
@@ -187,12 +202,13 @@ def flag_matches(
     """
     ks, km = key_set(stage, on)
     ks = ks.withColumn(flag, F.lit(True))
-    cond = reduce(
-        lambda a, b: a & b,
-        [base[lc] == ks[f"__k{i}"] for i, lc in enumerate(km.keys())],
+    lcols = list(km.keys())
+    hot = resolve(skew, base, lcols)
+    j = key_join(base, ks, [(lc, f"__k{i}") for i, lc in enumerate(lcols)], "left", hot)
+    return j.select(
+        *[F.col(f"a.{c}").alias(c) for c in base.columns],
+        F.coalesce(F.col(f"m.{flag}"), F.lit(False)).alias(flag),
     )
-    joined = base.join(ks, cond, "left")
-    return joined.select(*[base[c] for c in base.columns], F.coalesce(ks[flag], F.lit(False)).alias(flag))
 
 
 def not_in_null_aware(
@@ -201,6 +217,7 @@ def not_in_null_aware(
     col: str,
     on: Sequence[str] | Mapping[str, str],
     delta_col: str | None = None,
+    skew="auto",
 ) -> DataFrame:
     """``base.col NOT IN (SELECT s.col FROM delta s WHERE base.on = s.on)``.
 
@@ -216,6 +233,7 @@ def not_in_null_aware(
     """
     km = _key_map(on)
     dcol = delta_col or col
+    lon = list(km.keys())
     groups = delta.groupBy(*[F.col(r).alias(f"__g{i}") for i, r in enumerate(km.values())]).agg(
         F.max(F.col(dcol).isNull()).alias("__anynull")
     )
@@ -225,14 +243,12 @@ def not_in_null_aware(
         .distinct()
         .withColumn("__hitv", F.lit(True))
     )
-    gcond = reduce(lambda a, b: a & b, [base[lc] == groups[f"__g{i}"] for i, lc in enumerate(km)])
-    j = base.join(groups, gcond, "left")
-    pcond = reduce(
-        lambda a, b: a & b,
-        [base[lc] == pairs[f"__p{i}"] for i, lc in enumerate(km)] + [base[col] == pairs["__pv"]],
-    )
-    j = j.join(pairs, pcond, "left")
-    keep = groups["__anynull"].isNull() | (
-        base[col].isNotNull() & ~groups["__anynull"] & pairs["__hitv"].isNull()
-    )
-    return j.where(keep).select(*[base[c] for c in base.columns])
+    j1 = key_join(base, groups, [(lc, f"__g{i}") for i, lc in enumerate(lon)], "left",
+                  resolve(skew, base, lon))
+    j1 = j1.select(*[F.col(f"a.{c}").alias(c) for c in base.columns], F.col("m.__anynull").alias("__anynull"))
+    pkeys = [*lon, col]
+    j2 = key_join(j1, pairs, [(lc, f"__p{i}") for i, lc in enumerate(lon)] + [(col, "__pv")], "left",
+                  resolve(skew, j1, pkeys))
+    anynull, hitv = F.col("a.__anynull"), F.col("m.__hitv")
+    keep = anynull.isNull() | (F.col(f"a.{col}").isNotNull() & ~anynull & hitv.isNull())
+    return j2.where(keep).select(*[F.col(f"a.{c}").alias(c) for c in base.columns])

@@ -39,6 +39,20 @@ ls AS (
     FROM ls_raw) t WHERE rn = 1)
 """
 
+_HOT_ORDER_DESC = _LINE_ORDER_DESC + ", l_orderkey DESC, l_linenumber DESC"
+_HOT = "CASE WHEN l_returnflag = 'A' THEN CAST(-1 AS BIGINT) ELSE l_orderkey END AS hot_key"
+_HOT_CTE = f"""
+hb AS (SELECT *, {_HOT} FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-01-01'),
+hs_raw AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity + 1 AS l_quantity,
+         l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, {_HOT}
+  FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01'),
+hs AS (
+  SELECT {_LINE_COLS}, hot_key FROM (
+    SELECT *, row_number() OVER (PARTITION BY hot_key ORDER BY {_HOT_ORDER_DESC}) AS rn
+    FROM hs_raw) t WHERE rn = 1)
+"""
+
 _YEARS_CTE = f"""
 oy AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders),
 ps AS (
@@ -214,6 +228,24 @@ ORACLE: dict[str, str] = {
         SELECT os.o_orderkey, os.o_custkey, os.o_orderstatus,
                ob.o_totalprice + os.o_totalprice AS o_totalprice, os.o_orderdate, os.o_orderpriority
         FROM os JOIN ob ON os.o_orderkey = ob.o_orderkey""",
+    "latest_per_hot_key": f"""
+        SELECT {_LINE_COLS}, hot_key FROM (
+          SELECT *, row_number() OVER (PARTITION BY hot_key ORDER BY {_HOT_ORDER_DESC}) AS rn
+          FROM (SELECT *, {_HOT} FROM lineitem) l) t WHERE rn = 1""",
+    "upsert_hot_key": f"""
+        WITH {_HOT_CTE}
+        SELECT * FROM hb WHERE NOT EXISTS (SELECT 1 FROM hs WHERE hs.hot_key = hb.hot_key)
+        UNION ALL SELECT * FROM hs""",
+    "upsert_accumulate_hot_key": f"""
+        WITH {_HOT_CTE}
+        SELECT * FROM hb WHERE NOT EXISTS (SELECT 1 FROM hs WHERE hs.hot_key = hb.hot_key)
+        UNION ALL
+        SELECT * FROM hs WHERE NOT EXISTS (SELECT 1 FROM hb WHERE hb.hot_key = hs.hot_key)
+        UNION ALL
+        SELECT hs.l_orderkey, hs.l_partkey, hs.l_suppkey, hs.l_linenumber,
+               hb.l_quantity + hs.l_quantity AS l_quantity, hs.l_extendedprice, hs.l_discount,
+               hs.l_tax, hs.l_returnflag, hs.l_linestatus, hs.l_shipdate, hs.hot_key
+        FROM hs JOIN hb ON hs.hot_key = hb.hot_key""",
     "upsert_partial": f"""
         WITH {_ORDERS_CTE}
         SELECT ob.o_orderkey, ob.o_custkey, ob.o_orderstatus,

@@ -30,6 +30,7 @@ from loadwright.operators.joins import (
     unaffected,
 )
 from loadwright.operators.setops import stack
+from loadwright.operators.skew import key_join, resolve
 
 HIT = "__hit"
 
@@ -104,6 +105,7 @@ def upsert(
     order_by: Sequence[str | Column] | None = None,
     exprs: Sequence[str | Column] | None = None,
     stage_keys: Sequence[str] | None = None,
+    skew="auto",
 ) -> DataFrame:
     """Base rows of keys not staged, plus the latest staged row per key.
 
@@ -112,7 +114,7 @@ def upsert(
     never matched, so a NULL-key base row and a NULL-key staged row both stay.
     """
     d = _delta(base, stage, keys, order_by, exprs, stage_keys)
-    return stack(unaffected(base, _key_source(stage, d, exprs, stage_keys), keys), d)
+    return stack(unaffected(base, _key_source(stage, d, exprs, stage_keys), keys, skew), d)
 
 
 def _key_source(stage: DataFrame, d: DataFrame, exprs, stage_keys) -> DataFrame:
@@ -137,15 +139,13 @@ def _split_null_keys(d: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
     return d.where(has_keys), d.where(~has_keys)
 
 
-def _left_pair(base: DataFrame, d: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _left_pair(base: DataFrame, d: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
     """Every base row (alias ``a``) with its staged row (alias ``m``) if any.
 
-    A left outer join, so the adaptive skew rule may split a heavy base key;
-    the staged side holds one row per key and carries the ``HIT`` flag.
+    A left outer join; the staged side holds one row per key and carries the
+    ``HIT`` flag.  Hot base keys are salted (``hot``).
     """
-    m = d.withColumn(HIT, F.lit(True)).alias("m")
-    cond = [F.col(f"a.{k}") == F.col(f"m.{k}") for k in keys]
-    return base.alias("a").join(m, cond, "left")
+    return key_join(base, d.withColumn(HIT, F.lit(True)), [(k, k) for k in keys], "left", hot)
 
 
 def upsert_partial(
@@ -155,13 +155,15 @@ def upsert_partial(
     columns: Sequence[str],
     order_by: Sequence[str | Column] | None = None,
     exprs: Sequence[str | Column] | None = None,
+    skew="auto",
 ) -> DataFrame:
     """Like ``upsert`` but the stage carries only the keys and ``columns``;
     every other base column keeps the existing row's value (P12), and is NULL
     for a new key."""
     listed = list(dict.fromkeys([*keys, *columns]))
     d, d_null = _split_null_keys(_delta(base, stage, keys, order_by, exprs, columns=listed), keys)
-    joined = _left_pair(base, d, keys)
+    hot = resolve(skew, base, keys)
+    joined = _left_pair(base, d, keys, hot)
     hit = F.col(f"m.{HIT}").isNotNull()
     updated = joined.select(
         *[
@@ -169,7 +171,7 @@ def upsert_partial(
             for c in base.columns
         ]
     )
-    fresh = stack(new_rows(d, base, keys, _key_source(stage, d, exprs, None)), d_null).select(
+    fresh = stack(new_rows(d, base, keys, _key_source(stage, d, exprs, None), hot), d_null).select(
         *[(F.col(c) if c in listed else F.lit(None).cast(base.schema[c].dataType)).alias(c) for c in base.columns]
     )
     return stack(updated, fresh)
@@ -191,6 +193,7 @@ def upsert_accumulate(
     sets: Mapping[str, str | Column],
     order_by: Sequence[str | Column] | None = None,
     exprs: Sequence[str | Column] | None = None,
+    skew="auto",
 ) -> DataFrame:
     """Unaffected base rows, new staged rows as they are, and for a key
     in both the staged row with the SET expressions applied over the old row
@@ -201,7 +204,8 @@ def upsert_accumulate(
     staged ANTI JOIN distinct base keys (new rows).
     """
     d, d_null = _split_null_keys(_delta(base, stage, keys, order_by, exprs), keys)
-    joined = _left_pair(base, d, keys)
+    hot = resolve(skew, base, keys)
+    joined = _left_pair(base, d, keys, hot)
     hit = F.col(f"m.{HIT}").isNotNull()
     cols = []
     for c in base.columns:
@@ -211,7 +215,7 @@ def upsert_accumulate(
             new = F.col(f"m.{c}")
         cols.append(F.when(hit, new).otherwise(F.col(f"a.{c}")).cast(base.schema[c].dataType).alias(c))
     updated = joined.select(*cols)
-    return stack(updated, new_rows(d, base, keys, _key_source(stage, d, exprs, None)), d_null)
+    return stack(updated, new_rows(d, base, keys, _key_source(stage, d, exprs, None), hot), d_null)
 
 
 def upsert_partitioned(
@@ -222,6 +226,7 @@ def upsert_partitioned(
     order_by: Sequence[str | Column] | None = None,
     exprs: Sequence[str | Column] | None = None,
     scope: str = "partition",
+    skew="auto",
 ) -> DataFrame:
     """The rebuilt partitions, to be written by ``overwrite_partitions``.
 
@@ -235,12 +240,12 @@ def upsert_partitioned(
     d = _delta(base, stage, keys, order_by, exprs)
     touched = d.select(partition_col)
     if scope == "table":
-        old_homes = matching(base, d, keys, "left_semi").select(partition_col)
+        old_homes = matching(base, d, keys, "left_semi", skew).select(partition_col)
         touched = touched.unionByName(old_homes)
     elif scope != "partition":
         raise ValueError("scope must be 'partition' or 'table'")
     in_touched = affected_partitions(base, touched, partition_col)
-    return stack(unaffected(in_touched, _key_source(stage, d, exprs, None), keys), d)
+    return stack(unaffected(in_touched, _key_source(stage, d, exprs, None), keys, skew), d)
 
 
 def untouched_partitions(base: DataFrame, rebuilt: DataFrame, partition_col: str) -> DataFrame:
@@ -275,9 +280,10 @@ def update_from(
     stage: DataFrame,
     on: Mapping[str, str] | Sequence[str],
     sets: Mapping[str, object],
+    skew="auto",
 ) -> DataFrame:
     """Rows with a matching stage row (J8) get the SET values."""
-    flagged = flag_matches(base, stage, on, HIT)
+    flagged = flag_matches(base, stage, on, HIT, skew)
     return _sets(flagged, sets, F.col(HIT)).drop(HIT)
 
 
@@ -287,6 +293,6 @@ def delete_where(base: DataFrame, preds: Predicate | Sequence[Predicate]) -> Dat
     return exclude(base, preds)
 
 
-def delete_from(base: DataFrame, stage: DataFrame, on: Mapping[str, str] | Sequence[str]) -> DataFrame:
+def delete_from(base: DataFrame, stage: DataFrame, on: Mapping[str, str] | Sequence[str], skew="auto") -> DataFrame:
     """Base rows with no matching stage row."""
-    return matching(base, stage, on, "left_anti")
+    return matching(base, stage, on, "left_anti", skew)

@@ -78,6 +78,26 @@ def lines_stage(spark, sf):
     )
 
 
+# One key holds a third of all rows: every line with return flag 'A' shares
+# hot_key = -1; the other lines keep their order key.
+HOT_KEYS = ["hot_key"]
+HOT_ORDER = LINE_ORDER + ["l_orderkey", "l_linenumber"]
+
+
+def _with_hot_key(df):
+    return df.withColumn(
+        "hot_key", F.when(F.col("l_returnflag") == "A", F.lit(-1).cast("bigint")).otherwise(F.col("l_orderkey"))
+    )
+
+
+def hot_base(spark, sf):
+    return _with_hot_key(lines_base(spark, sf))
+
+
+def hot_stage(spark, sf):
+    return _with_hot_key(lines_stage(spark, sf))
+
+
 def orders_by_year(spark, sf):
     df = table(spark, sf, "orders")
     return df.withColumn("o_year", F.year("o_orderdate").cast("int"))
@@ -319,6 +339,21 @@ def q_upsert_dedup(spark, sf):
     return L.upsert(lines_base(spark, sf), lines_stage(spark, sf), LINE_KEYS, LINE_ORDER)
 
 
+def q_latest_per_hot_key(spark, sf):
+    return A.latest_per_key(_with_hot_key(table(spark, sf, "lineitem")), HOT_KEYS, HOT_ORDER)
+
+
+def q_upsert_hot_key(spark, sf):
+    return L.upsert(hot_base(spark, sf), hot_stage(spark, sf), HOT_KEYS, HOT_ORDER)
+
+
+def q_upsert_accumulate_hot_key(spark, sf):
+    return L.upsert_accumulate(
+        hot_base(spark, sf), hot_stage(spark, sf), HOT_KEYS,
+        {"l_quantity": "a.l_quantity + m.l_quantity"}, HOT_ORDER,
+    )
+
+
 def q_upsert_accumulate(spark, sf):
     return L.upsert_accumulate(
         orders_base(spark, sf), orders_stage(spark, sf), ORDER_KEYS,
@@ -555,6 +590,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert": q_upsert,
     "upsert_dedup": q_upsert_dedup,
     "upsert_accumulate": q_upsert_accumulate,
+    "latest_per_hot_key": q_latest_per_hot_key,
+    "upsert_hot_key": q_upsert_hot_key,
+    "upsert_accumulate_hot_key": q_upsert_accumulate_hot_key,
     "upsert_partial": q_upsert_partial,
     "upsert_partitioned": q_upsert_partitioned,
     "upsert_partition_move": q_upsert_partition_move,
