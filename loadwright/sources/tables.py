@@ -4,10 +4,13 @@ Targets are either catalog table names or folder paths.  The load patterns in
 ``loadwright.plans`` only build DataFrames; these functions are the only ones
 that write.
 
-Writes ask for a ``REBALANCE`` shuffle first (``rebalance=True``): it spreads
-rows evenly over tasks and, with adaptive execution on, splits a partition
-value that holds a large share of the rows over several tasks, so no one task
+Partitioned writes ask for a ``REBALANCE`` shuffle on the partition columns
+first: adaptive execution then splits a partition value that holds a large
+share of the rows over several tasks and merges small ones, so no one task
 writes a hot partition alone and no task opens a file in every partition.
+Unpartitioned writes keep the plan's own partitions (input splits, or
+shuffle partitions already sized by adaptive execution) unless
+``rebalance=True`` asks for the extra shuffle.
 """
 
 from __future__ import annotations
@@ -26,7 +29,10 @@ def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def _prepare(df: DataFrame, partition_by: Sequence[str] | None, rebalance: bool) -> DataFrame:
+def _prepare(df: DataFrame, partition_by: Sequence[str] | None, rebalance: bool | None) -> DataFrame:
+    """``rebalance=None``: only for partitioned writes."""
+    if rebalance is None:
+        rebalance = bool(partition_by)
     if not rebalance:
         return df
     if partition_by:
@@ -50,7 +56,7 @@ def append(
     target: str,
     fmt: str = DEFAULT_FORMAT,
     partition_by: Sequence[str] | None = None,
-    rebalance: bool = True,
+    rebalance: bool | None = None,
 ) -> None:
     """S3: ``INSERT INTO TABLE``: add rows, columns matched by position.
 
@@ -85,7 +91,7 @@ def append_partitioned(
     target: str,
     partition_col: str,
     fmt: str = DEFAULT_FORMAT,
-    rebalance: bool = True,
+    rebalance: bool | None = None,
 ) -> None:
     """Dynamic-partition insert; the partition column is moved last."""
     cols = [c for c in df.columns if c != partition_col] + [partition_col]
@@ -97,7 +103,7 @@ def overwrite_partitions(
     target: str,
     partition_col: str,
     fmt: str = DEFAULT_FORMAT,
-    rebalance: bool = True,
+    rebalance: bool | None = None,
 ) -> None:
     """``INSERT OVERWRITE ... PARTITION(p)``: only partitions present in
     ``df`` are replaced; the others are left as they are.
@@ -120,7 +126,7 @@ def write_table(
     fmt: str = DEFAULT_FORMAT,
     partition_by: Sequence[str] | None = None,
     mode: str = "error",
-    rebalance: bool = True,
+    rebalance: bool | None = None,
     location: str | None = None,
 ) -> None:
     """Write ``df`` as a new table (catalog name, optionally at ``location``) or folder."""
@@ -142,7 +148,7 @@ def swap_in(
     fmt: str = DEFAULT_FORMAT,
     partition_by: Sequence[str] | None = None,
     location: str | None = None,
-    rebalance: bool = True,
+    rebalance: bool | None = None,
 ) -> str:
     """Write ``new`` as a side table, then drop ``target`` and rename the
     side table into its place.
@@ -170,7 +176,7 @@ def overwrite(
     fmt: str = DEFAULT_FORMAT,
     partition_by: Sequence[str] | None = None,
     location: str | None = None,
-    rebalance: bool = True,
+    rebalance: bool | None = None,
 ) -> None:
     """``INSERT OVERWRITE TABLE``: replace all rows.
 

@@ -215,3 +215,38 @@ def test_append_positional(spark):
     assert rows(S.scan_base(spark, path)) == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError):
         S.append(spark.createDataFrame([(3,)], "id int"), path)
+
+
+def test_apply_load_every_pattern(spark, base, stage):
+    st = stage.drop("seq")
+    cases = [
+        ({"pattern": "history", "types": {"k": "BIGINT"}}, L.history_load(st, {"k": "BIGINT"})),
+        ({"pattern": "overwrite", "exprs": ["k", "v"]}, L.full_refresh(st, ["k", "v"])),
+        ({"pattern": "distinct"}, L.append_distinct(base, st)),
+        ({"pattern": "insert", "cols": ["k", "v", "x"]}, L.insert_select(base, st, ["k", "v", "x"])),
+        ({"pattern": "update", "where": [("v", ">", 15)], "sets": {"x": "big"}},
+         L.update_where(base, [("v", ">", 15)], {"x": "big"})),
+        ({"pattern": "update", "on": {"k": "k"}, "sets": {"v": -1}}, L.update_from(base, st, {"k": "k"}, {"v": -1})),
+        ({"pattern": "delete", "where": "v >= 20"}, L.delete_where(base, "v >= 20")),
+        ({"pattern": "delete", "on": ["k"]}, L.delete_from(base, st, ["k"])),
+        ({"pattern": "upsert", "keys": ["k"], "columns": ["v"]}, L.upsert_partial(base, st.select("k", "v"), ["k"], ["v"])),
+    ]
+    for spec, want in cases:
+        stage_in = st.select("k", "v") if spec.get("columns") else st
+        assert rows(apply_load(base, stage_in, spec)) == rows(want), spec
+
+
+def test_run_load_partitioned_folder(spark, pbase):
+    path = scratch_path(spark, "run_part")
+    S.write_table(pbase, path, partition_by=["p"])
+    st = spark.createDataFrame([(3, 2, 30.0), (6, 3, 60.0)], "k bigint, p int, v double")
+    run_load(path, st, {"pattern": "upsert", "keys": ["k"], "partition": "p"})
+    got = rows(S.scan_base(spark, path), "k", "p", "v")
+    assert got == [(1, 1, 1.0), (2, 1, 2.0), (3, 2, 30.0), (4, 3, 4.0), (6, 3, 60.0)]
+
+
+def test_history_load_partition_last(spark):
+    st = spark.createDataFrame([("1", "a", "x")], "K string, P string, V string")
+    out = L.history_load(st, {"K": "INTEGER"}, partition_col="P")
+    assert out.columns == ["k", "v", "p"]
+    assert out.schema["k"].dataType.typeName() == "integer"
