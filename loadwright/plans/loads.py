@@ -26,7 +26,6 @@ from loadwright.operators.joins import (
     flag_matches,
     matching,
     new_rows,
-    pair,
     unaffected,
 )
 from loadwright.operators.setops import stack
@@ -177,13 +176,22 @@ def upsert_partial(
     return stack(updated, fresh)
 
 
-def fill_from_base(delta: DataFrame, base: DataFrame, keys: Sequence[str]) -> DataFrame:
+def fill_from_base(delta: DataFrame, base: DataFrame, keys: Sequence[str], skew="auto") -> DataFrame:
     """Staged rows completed with the existing row's values for the base
-    columns they lack; NULL when the key is new."""
-    joined = pair(delta, base, keys, how="left")
-    return joined.select(
+    columns they lack; NULL when the key is new.
+
+    Planned as a salted inner pairing (one output row per matching base row)
+    plus the staged rows with no base row, instead of a left join that keeps
+    the staged side: a base key holding many rows is then spread over tasks.
+    """
+    hot = resolve(skew, base, list(keys))
+    paired = key_join(base, delta, [(k, k) for k in keys], "inner", hot).select(
         *[(F.col(f"m.{c}") if c in delta.columns else F.col(f"a.{c}")).alias(c) for c in base.columns]
     )
+    lonely = new_rows(delta, base, keys, None, hot).select(
+        *[(F.col(c) if c in delta.columns else F.lit(None).cast(base.schema[c].dataType)).alias(c) for c in base.columns]
+    )
+    return stack(paired, lonely)
 
 
 def upsert_accumulate(

@@ -250,3 +250,10 @@ def test_history_load_partition_last(spark):
     out = L.history_load(st, {"K": "INTEGER"}, partition_col="P")
     assert out.columns == ["k", "v", "p"]
     assert out.schema["k"].dataType.typeName() == "integer"
+
+
+def test_fill_from_base_duplicates_and_new_keys(spark, base):
+    st = spark.createDataFrame([(2, 99), (4, 44), (None, 7)], "k int, v int")
+    out = L.fill_from_base(st, base, ["k"])
+    assert out.columns == ["k", "v", "x"]
+    assert rows(out) == [(None, 7, None), (2, 99, "b"), (2, 99, "b2"), (4, 44, None)]

@@ -24,6 +24,8 @@ SALTED_QUERIES = [
     "unaffected",
     "new_rows",
     "matched_rows",
+    "fill_from_base",
+    "accumulate",
 ]
 
 
