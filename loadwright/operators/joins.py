@@ -60,7 +60,14 @@ def _shared_keys(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mappin
     hot = resolve(skew, base, list(km.values()))
     bk = base.select(*[F.col(b).alias(f"__k{i}") for i, b in enumerate(km.values())])
     dk = delta.select(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(km.keys())]).distinct()
-    j = key_join(bk, dk, [(f"__k{i}", f"__d{i}") for i in range(len(km))], "left_semi", hot)
+    pairs = [(f"__k{i}", f"__d{i}") for i in range(len(km))]
+    if hot is not None:
+        # With hot keys the base keys are made distinct first: the partial
+        # aggregation leaves one row per key per map task, so no task
+        # receives a hot key's rows and the semi join needs no salt.
+        j = key_join(bk.distinct(), dk, pairs, "left_semi")
+        return j.select(*[F.col(f"a.__k{i}").alias(f"__k{i}") for i in range(len(km))])
+    j = key_join(bk, dk, pairs, "left_semi")
     return j.select(*[F.col(f"a.__k{i}").alias(f"__k{i}") for i in range(len(km))]).distinct()
 
 

@@ -13,7 +13,7 @@ apply.  The hot keys are therefore salted explicitly:
    has a proven size bound; it is written once to the checkpoint folder.
    Each hot key gets a bucket count: its estimated rows / rows per task.
 2. ``key_join`` spreads the rows of a hot key over its buckets by a hash of
-   the whole row, and repeats the other side's rows of that key once per
+   the whole row and its input split, and repeats the other side's rows of that key once per
    bucket (that side holds about one row per key: staged rows after
    de-duplication, or distinct keys).  Both sides find their hot keys through
    a broadcast join with the small hot-key set, which needs no shuffle.  The
@@ -121,7 +121,9 @@ def key_join(
 
     h = F.broadcast(hot)
     lj = left.join(h, _cond([(left[l], h[f"__h{i}"]) for i, (l, _) in enumerate(pairs)]), "left")
-    row_hash = F.xxhash64(*[left[c] for c in left.columns])
+    # Hash of the row and its input split: rows that are exact copies still
+    # spread, by split; both are stable when a lost task is recomputed.
+    row_hash = F.xxhash64(*[left[c] for c in left.columns], F.spark_partition_id())
     salt = F.when(h["__n"].isNotNull(), F.pmod(row_hash, h["__n"])).otherwise(F.lit(0)).cast("int")
     ls = lj.select(*[left[c] for c in left.columns], salt.alias("__salt"))
 
