@@ -31,6 +31,8 @@ HEADLINE = [
     "upsert_partitioned",
     "upsert_partitioned_table",
     "latest_per_key",
+    "upsert_hot_key",
+    "upsert_accumulate_hot_key",
     "update_where",
     "update_from",
     "delete_where",

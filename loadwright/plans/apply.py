@@ -79,7 +79,8 @@ def apply_load(base: DataFrame | None, stage: DataFrame | None, spec: Mapping) -
     ``spec["pattern"]`` is one of ``PATTERNS``; the other keys are the
     pattern's arguments: ``keys``, ``order_by``, ``exprs``, ``columns``,
     ``sets`` (accumulating upsert, ``summarize``), ``partition`` and
-    ``scope``, ``where``, ``on``, ``types``, ``cols``.
+    ``scope``, ``where``, ``on``, ``types``, ``cols``; ``run_load`` also
+    reads ``format``, ``location`` and ``schema`` (a folder target's schema).
     """
     pattern = spec.get("pattern")
     if pattern not in PATTERNS:
@@ -100,7 +101,7 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
     pattern = spec["pattern"]
     fmt = spec.get("format", S.DEFAULT_FORMAT)
     if base is None and pattern not in _DISCARDS_BASE:
-        base = S.scan_base(spark, target, fmt)
+        base = S.scan_base(spark, target, fmt, spec.get("schema"))
     new = apply_load(base, stage, spec)
     part = spec.get("partition")
     if pattern in ("upsert", "summarize") and part:

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loadwright.session import scratch_table_name
 
@@ -40,10 +41,24 @@ def _prepare(df: DataFrame, partition_by: Sequence[str] | None, rebalance: bool
     return df.hint("rebalance")
 
 
-def scan_base(spark: SparkSession, target: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """The managed base table, by catalog name or folder path."""
+def scan_base(
+    spark: SparkSession,
+    target: str,
+    fmt: str = DEFAULT_FORMAT,
+    schema: StructType | str | None = None,
+) -> DataFrame:
+    """The managed base table, by catalog name or folder path.
+
+    A folder's partition column types are otherwise inferred from the
+    directory names (``0012`` would read as the integer 12, and a rewrite
+    would then file it under ``12``); pass the table's ``schema`` to keep
+    them.  A catalog table carries its own types.
+    """
     if _is_path(target):
-        return spark.read.format(fmt).load(target)
+        reader = spark.read.format(fmt)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.load(target)
     return spark.table(target)
 
 

@@ -257,3 +257,15 @@ def test_fill_from_base_duplicates_and_new_keys(spark, base):
     out = L.fill_from_base(st, base, ["k"])
     assert out.columns == ["k", "v", "x"]
     assert rows(out) == [(None, 7, None), (2, 99, "b"), (2, 99, "b2"), (4, 44, None)]
+
+
+def test_scan_base_keeps_declared_partition_types(spark):
+    df = spark.createDataFrame([(1, "0012"), (2, "0007")], "k int, p string")
+    path = scratch_path(spark, "padded")
+    S.write_table(df, path, partition_by=["p"])
+    assert S.scan_base(spark, path).schema["p"].dataType.typeName() == "integer"
+    kept = S.scan_base(spark, path, schema="k int, p string")
+    assert rows(kept) == [(1, "0012"), (2, "0007")]
+    st = spark.createDataFrame([(3, "0012")], "k int, p string")
+    run_load(path, st, {"pattern": "upsert", "keys": ["k"], "partition": "p", "schema": "k int, p string"})
+    assert rows(S.scan_base(spark, path, schema="k int, p string")) == [(1, "0012"), (2, "0007"), (3, "0012")]
