@@ -72,15 +72,20 @@ def _shared_keys(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mappin
 
 
 def _against_shared(
-    delta: DataFrame, base: DataFrame, keys, how: str, key_source: DataFrame | None = None, skew="auto"
+    delta: DataFrame,
+    base: DataFrame,
+    keys,
+    how: str,
+    key_source: DataFrame | None = None,
+    skew="auto",
+    delta_skew="auto",
 ) -> DataFrame:
     km = _key_map(keys)
     shared = _shared_keys(delta if key_source is None else key_source, base, km, skew)
-    cond = reduce(
-        lambda a, b: a & b,
-        [delta[d] == shared[f"__k{i}"] for i, d in enumerate(km.keys())],
-    )
-    return delta.join(shared, cond, how)
+    dcols = list(km.keys())
+    hot = resolve(delta_skew, delta, dcols)
+    j = key_join(delta, shared, [(d, f"__k{i}") for i, d in enumerate(dcols)], how, hot)
+    return j.select(*[F.col(f"a.{c}").alias(c) for c in delta.columns])
 
 
 def unaffected(base: DataFrame, delta: DataFrame, keys: Sequence[str] | Mapping[str, str], skew="auto") -> DataFrame:
@@ -94,19 +99,27 @@ def new_rows(
     keys: Sequence[str] | Mapping[str, str],
     key_source: DataFrame | None = None,
     skew="auto",
+    delta_skew="auto",
 ) -> DataFrame:
     """Delta rows whose key is not in base.
 
     ``key_source`` may name a cheaper frame with the same key set as
-    ``delta`` (e.g. the stage before de-duplication) to look keys up from;
-    ``skew`` is about the base's keys.
+    ``delta`` (e.g. the stage before de-duplication) to look keys up from.
+    ``skew`` is about the base's keys, ``delta_skew`` about the delta's (None
+    when the delta holds one row per key).
     """
-    return _against_shared(delta, base, keys, "left_anti", key_source, skew)
+    return _against_shared(delta, base, keys, "left_anti", key_source, skew, delta_skew)
 
 
-def matched_rows(delta: DataFrame, base: DataFrame, keys: Sequence[str] | Mapping[str, str], skew="auto") -> DataFrame:
+def matched_rows(
+    delta: DataFrame,
+    base: DataFrame,
+    keys: Sequence[str] | Mapping[str, str],
+    skew="auto",
+    delta_skew="auto",
+) -> DataFrame:
     """Delta rows whose key is in base."""
-    return _against_shared(delta, base, keys, "left_semi", None, skew)
+    return _against_shared(delta, base, keys, "left_semi", None, skew, delta_skew)
 
 
 # Bounds on the set of touched partition values.  Up to MAX_PRUNE_VALUES

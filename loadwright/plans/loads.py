@@ -170,7 +170,7 @@ def upsert_partial(
             for c in base.columns
         ]
     )
-    fresh = stack(new_rows(d, base, keys, _key_source(stage, d, exprs, None), hot), d_null).select(
+    fresh = stack(new_rows(d, base, keys, _key_source(stage, d, exprs, None), hot, None), d_null).select(
         *[(F.col(c) if c in listed else F.lit(None).cast(base.schema[c].dataType)).alias(c) for c in base.columns]
     )
     return stack(updated, fresh)
@@ -223,7 +223,7 @@ def upsert_accumulate(
             new = F.col(f"m.{c}")
         cols.append(F.when(hit, new).otherwise(F.col(f"a.{c}")).cast(base.schema[c].dataType).alias(c))
     updated = joined.select(*cols)
-    return stack(updated, new_rows(d, base, keys, _key_source(stage, d, exprs, None), hot), d_null)
+    return stack(updated, new_rows(d, base, keys, _key_source(stage, d, exprs, None), hot, None), d_null)
 
 
 def upsert_partitioned(
@@ -248,7 +248,7 @@ def upsert_partitioned(
     d = _delta(base, stage, keys, order_by, exprs)
     touched = d.select(partition_col)
     if scope == "table":
-        old_homes = matching(base, d, keys, "left_semi", skew).select(partition_col)
+        old_homes = matching(base, _key_source(stage, d, exprs, None), keys, "left_semi", skew).select(partition_col)
         touched = touched.unionByName(old_homes)
     elif scope != "partition":
         raise ValueError("scope must be 'partition' or 'table'")
