@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadwright.functions.columns import as_col, as_expr
+from loadwright.operators.skew import resolve
 
 SEQ_COL = "row_num"
 
@@ -21,26 +22,70 @@ def _order_cols(order_by: Sequence[str | Column] | None) -> list[Column]:
     return [as_col(c) for c in order_by]
 
 
+def global_sequence(df: DataFrame, order_by: Sequence[str | Column], name: str = SEQ_COL) -> DataFrame:
+    """Dense 1..n in ``order_by`` order, without moving all rows to one task.
+
+    Rows are range-partitioned and sorted on the order columns; each row's
+    number is its position in its partition plus the row count of all earlier
+    partitions.  The counts table has one row per partition, so the window
+    over it and its broadcast are bounded by the partition count.  Range
+    bounds come from Spark's seeded sample, so both uses of the sorted rows
+    see the same partitions.  Rows tied on every order column get adjacent
+    numbers in no fixed order.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [as_col(c) for c in order_by]
+    pid = F.spark_partition_id()
+    s = (
+        df.repartitionByRange(n, *cols)
+        .sortWithinPartitions(*cols)
+        .withColumn("__pid", pid)
+        .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+    )
+    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
+    out = s.join(F.broadcast(offsets), "__pid")
+    return out.withColumn(name, F.col("__off") + F.col("__pos") + 1).drop("__pid", "__pos", "__off")
+
+
 def with_sequence(
     df: DataFrame,
     keys: Sequence[str] | None = None,
     order_by: Sequence[str | Column] | None = None,
     name: str = SEQ_COL,
+    skew="auto",
 ) -> DataFrame:
     """Arrival number, 1 for the earliest row.
 
-    With ``keys`` the number restarts per key (one shuffle on the keys).
-    Without keys a single global ``ROW_NUMBER() OVER (ORDER BY ..)`` would
-    move every row through one task, so the scan position
+    With ``keys`` the number restarts per key: a window per key for ordinary
+    keys.  The rows of hot keys (``skew="auto"`` samples for them) are numbered
+    by ``global_sequence`` over (key, order) instead, less the first number of
+    their key, so a key holding a large share of the rows is spread over many
+    tasks.  Without keys and order, the scan position
     (``monotonically_increasing_id``: unique and increasing, not dense) is
-    used instead, with no shuffle at all.
+    used; without keys but with an order, ``global_sequence``.
     """
     if not keys:
         if order_by:
-            raise ValueError("with_sequence: a global order needs keys; sort instead")
+            return global_sequence(df, order_by, name)
         return df.withColumn(name, F.monotonically_increasing_id() + 1)
-    w = Window.partitionBy(*keys).orderBy(*[c.asc() for c in _order_cols(order_by)])
-    return df.withColumn(name, F.row_number().over(w))
+    order = _order_cols(order_by)
+    w = Window.partitionBy(*keys).orderBy(*[c.asc() for c in order])
+    hot = resolve(skew, df, list(keys))
+    if hot is None:
+        return df.withColumn(name, F.row_number().over(w).cast("long"))
+    h = F.broadcast(hot.select(*[F.col(f"__h{i}").alias(k) for i, k in enumerate(keys)]))
+    cold = df.join(h, list(keys), "left_anti")
+    warm = df.join(h, list(keys), "left_semi")
+    numbered = global_sequence(warm, [*keys, *order], "__g")
+    first = numbered.groupBy(*keys).agg(F.min("__g").alias("__g0"))  # one row per hot key
+    warm_out = numbered.join(F.broadcast(first), list(keys)).withColumn(
+        name, F.col("__g") - F.col("__g0") + 1
+    ).select(*df.columns, name)
+    cold_out = cold.withColumn(name, F.row_number().over(w).cast("long"))
+    return cold_out.unionByName(warm_out)
 
 
 def latest_per_key(

@@ -115,9 +115,13 @@ ORACLE: dict[str, str] = {
                                        ORDER BY {_LINE_ORDER_DESC}) AS rn
           FROM lineitem) t WHERE rn = 1""",
     "with_sequence": f"""
-        SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                                          ORDER BY {_LINE_ORDER}) AS INTEGER) AS row_num
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                     ORDER BY {_LINE_ORDER}) AS row_num
         FROM lineitem""",
+    "with_sequence_hot_key": f"""
+        SELECT *, row_number() OVER (PARTITION BY hot_key
+                                     ORDER BY {_LINE_ORDER}, l_orderkey, l_linenumber) AS row_num
+        FROM (SELECT *, {_HOT} FROM lineitem) l""",
     "select_distinct": """
         SELECT DISTINCT l_returnflag, l_linestatus, CAST(year(l_shipdate) AS INTEGER) AS ship_year
         FROM lineitem""",

@@ -134,6 +134,11 @@ def q_with_sequence(spark, sf):
     return A.with_sequence(li, LINE_KEYS, LINE_ORDER)
 
 
+def q_with_sequence_hot_key(spark, sf):
+    li = _with_hot_key(table(spark, sf, "lineitem"))
+    return A.with_sequence(li, HOT_KEYS, HOT_ORDER)
+
+
 def q_select_distinct(spark, sf):
     li = table(spark, sf, "lineitem")
     return A.select_distinct(
@@ -557,6 +562,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # dedup / windows
     "latest_per_key": q_latest_per_key,
     "with_sequence": q_with_sequence,
+    "with_sequence_hot_key": q_with_sequence_hot_key,
     "select_distinct": q_select_distinct,
     "distinct_table": q_distinct_table,
     "distinct_keys": q_distinct_keys,

@@ -269,3 +269,13 @@ def test_scan_base_keeps_declared_partition_types(spark):
     st = spark.createDataFrame([(3, "0012")], "k int, p string")
     run_load(path, st, {"pattern": "upsert", "keys": ["k"], "partition": "p", "schema": "k int, p string"})
     assert rows(S.scan_base(spark, path, schema="k int, p string")) == [(1, "0012"), (2, "0007"), (3, "0012")]
+
+
+def test_global_sequence_is_dense(spark):
+    from loadwright.operators.dedup import global_sequence
+
+    df = spark.range(0, 5000).selectExpr("id % 97 AS g", "id")
+    seq = global_sequence(df, ["g", "id"]).collect()
+    assert sorted(r.row_num for r in seq) == list(range(1, 5001))
+    by_seq = [(r.g, r.id) for r in sorted(seq, key=lambda r: r.row_num)]
+    assert by_seq == sorted(by_seq)

@@ -9,6 +9,8 @@ from loadwright.operators.skew import MIN_ROWS_CONF, ROWS_PER_TASK_CONF, hot_key
 from tests.test_oracle import SF, TABLES, _norm
 
 SALTED_QUERIES = [
+    "with_sequence",
+    "with_sequence_hot_key",
     "upsert_hot_key",
     "upsert_accumulate_hot_key",
     "upsert",
