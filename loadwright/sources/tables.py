@@ -123,16 +123,31 @@ def overwrite_partitions(
     """``INSERT OVERWRITE ... PARTITION(p)``: only partitions present in
     ``df`` are replaced; the others are left as they are.
 
-    Rows are written to a staging folder first and the touched partition
+    A folder target is written to a staging folder and the touched partition
     folders are swapped at job commit, so ``df`` may read the target itself.
+    Spark refuses that for a catalog table, so there the rebuilt rows are
+    first checkpointed to the shared checkpoint folder (a reliable copy of
+    only the rebuilt partitions), which cuts the plan's link to the table.
     """
     cols = [c for c in df.columns if c != partition_col] + [partition_col]
-    out = _prepare(df.select(*cols), [partition_col], rebalance)
+    rows = df.select(*cols)
+    if not _is_path(target):
+        rows = rows.checkpoint(eager=True)
+    out = _prepare(rows, [partition_col], rebalance)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if _is_path(target):
         w.format(fmt).partitionBy(partition_col).save(target)
     else:
-        w.insertInto(target, overwrite=True)
+        # insertInto reads the overwrite mode from the session, not the writer.
+        spark = out.sparkSession
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            w.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(key, before)
+        spark.catalog.refreshTable(target)
 
 
 def write_table(
@@ -165,22 +180,30 @@ def swap_in(
     location: str | None = None,
     rebalance: bool | None = None,
 ) -> str:
-    """Write ``new`` as a side table, then drop ``target`` and rename the
-    side table into its place.
+    """Write ``new`` as a side table, then rename it into the place of
+    ``target``.
 
     ``new`` may read ``target``: it is fully written (and read back once)
-    before the old table is dropped, so a failure while writing leaves the
-    old table untouched.  Drop + rename is not atomic in the catalog.
+    before the old table is touched, so a failure while writing leaves the
+    old table as it was.  The swap is two renames and a drop: the old table
+    is renamed aside, the new one takes its name, and only then is the old
+    one dropped, so a driver lost midway leaves every row under one of the
+    two names.
     """
     spark = new.sparkSession
-    side = scratch_table_name(f"{target.split('.')[-1]}_final")
-    if "." in target:
-        side = f"{target.rsplit('.', 1)[0]}.{side}"
+    db = f"{target.rsplit('.', 1)[0]}." if "." in target else ""
+    short = target.split(".")[-1]
+    side = db + scratch_table_name(f"{short}_final")
+    old = db + scratch_table_name(f"{short}_old")
     write_table(new, side, fmt, partition_by, "error", rebalance, location)
-    # The new table must be readable before the old one goes.
+    # The new table must be readable before the old one is touched.
     spark.table(side).select(F.lit(1)).limit(1).collect()
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    had_old = spark.catalog.tableExists(target)
+    if had_old:
+        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {side} RENAME TO {target}")
+    if had_old:
+        spark.sql(f"DROP TABLE {old}")
     spark.catalog.refreshTable(target)
     return target
 

@@ -279,3 +279,21 @@ def test_global_sequence_is_dense(spark):
     assert sorted(r.row_num for r in seq) == list(range(1, 5001))
     by_seq = [(r.g, r.id) for r in sorted(seq, key=lambda r: r.row_num)]
     assert by_seq == sorted(by_seq)
+
+
+def test_overwrite_partitions_catalog_table(spark, pbase):
+    name = scratch_table_name("ptab")
+    S.write_table(pbase, name, partition_by=["p"], location=scratch_path(spark, name))
+    st = spark.createDataFrame([(7, 1, 70.0)], "k bigint, p int, v double")
+    S.overwrite_partitions(L.upsert_partitioned(spark.table(name), st, ["k"], "p"), name, "p")
+    spark.catalog.refreshTable(name)
+    assert rows(spark.table(name), "k", "p", "v") == [(1, 1, 1.0), (2, 1, 2.0), (3, 2, 3.0), (4, 3, 4.0), (7, 1, 70.0)]
+
+
+def test_swap_in_keeps_one_copy_and_no_leftovers(spark):
+    name = scratch_table_name("swap")
+    S.write_table(spark.createDataFrame([(1,)], "k int"), name, location=scratch_path(spark, name))
+    S.swap_in(spark.table(name).selectExpr("k + 1 AS k"), name, location=scratch_path(spark, name + "_2"))
+    assert rows(spark.table(name)) == [(2,)]
+    left = [t.name for t in spark.catalog.listTables() if t.name.startswith(name.split("_")[0] + "_")]
+    assert left == [name]
