@@ -299,6 +299,8 @@ ORACLE: dict[str, str] = {
         SELECT * FROM os_raw s WHERE EXISTS (SELECT 1 FROM ob WHERE ob.o_orderkey = s.o_orderkey)""",
     "apply_load": _UPSERT,
     "apply_load_delete": _DELETE_WHERE,
+    "run_load_upsert": _UPSERT,
+    "run_load_partitioned": _partitioned("ps", "partition"),
     # sources / sinks
     "scan_stage": "SELECT * FROM customer",
     "history_load": "SELECT * FROM customer",

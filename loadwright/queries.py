@@ -442,6 +442,28 @@ def q_apply_load(spark, sf):
     return apply_load(orders_base(spark, sf), orders_stage(spark, sf), spec)
 
 
+def q_run_load_upsert(spark, sf):
+    """L14 end to end: the upsert is applied to a catalog table and swapped in."""
+    from loadwright.plans.apply import run_load
+
+    name = scratch_table_name("orders_load")
+    S.write_table(orders_base(spark, sf), name, location=scratch_path(spark, name))
+    spec = {"pattern": "upsert", "keys": ORDER_KEYS, "order_by": ["o_orderdate"],
+            "location": scratch_path(spark, name + "_v2")}
+    run_load(name, orders_stage(spark, sf), spec)
+    return spark.table(name)
+
+
+def q_run_load_partitioned(spark, sf):
+    """L14 end to end: partitioned upsert into a catalog table by year."""
+    from loadwright.plans.apply import run_load
+
+    name = scratch_table_name("orders_years")
+    S.write_table(orders_by_year(spark, sf), name, partition_by=["o_year"], location=scratch_path(spark, name))
+    run_load(name, partition_stage(spark, sf), {"pattern": "upsert", "keys": ORDER_KEYS, "partition": "o_year"})
+    return spark.table(name)
+
+
 def q_apply_load_delete(spark, sf):
     spec = {"pattern": "delete", "where": [("l_returnflag", "=", "A"), ("l_quantity", "<", 10)]}
     return apply_load(table(spark, sf, "lineitem"), None, spec)
@@ -613,6 +635,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stack": q_stack,
     "apply_load": q_apply_load,
     "apply_load_delete": q_apply_load_delete,
+    "run_load_upsert": q_run_load_upsert,
+    "run_load_partitioned": q_run_load_partitioned,
     # sources / sinks
     "scan_stage": q_scan_stage,
     "history_load": q_history_load,
