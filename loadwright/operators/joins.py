@@ -153,11 +153,16 @@ def affected_partitions(base: DataFrame, delta: DataFrame, partition_col: str, d
     """
     vals, n = touched_values(delta, delta_col or partition_col)
     if n <= MAX_PRUNE_VALUES:
-        listed = [r[0] for r in vals.collect() if r[0] is not None]
-        return base.where(F.col(partition_col).isin(listed))
+        listed = [r[0] for r in vals.collect()]
+        pred = F.col(partition_col).isin([v for v in listed if v is not None])
+        if any(v is None for v in listed):
+            # A NULL partition value is a partition too (Hive's default
+            # partition): it is rewritten, so its base rows must be kept.
+            pred = pred | F.col(partition_col).isNull()
+        return base.where(pred)
     if n <= MAX_BROADCAST_PARTITIONS:
         vals = F.broadcast(vals)
-    return base.join(vals, base[partition_col] == vals["__k0"], "left_semi")
+    return base.join(vals, base[partition_col].eqNullSafe(vals["__k0"]), "left_semi")
 
 
 def unaffected_in_partitions(

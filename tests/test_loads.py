@@ -297,3 +297,12 @@ def test_swap_in_keeps_one_copy_and_no_leftovers(spark):
     assert rows(spark.table(name)) == [(2,)]
     left = [t.name for t in spark.catalog.listTables() if t.name.startswith(name.split("_")[0] + "_")]
     assert left == [name]
+
+
+def test_partitioned_upsert_null_partition_keeps_base_rows(spark):
+    base = spark.createDataFrame([(1, None, 1.0), (2, None, 2.0), (3, 1, 3.0)], "k bigint, p int, v double")
+    path = scratch_path(spark, "nullpart")
+    S.write_table(base, path, partition_by=["p"])
+    st = spark.createDataFrame([(2, None, 20.0)], "k bigint, p int, v double")
+    S.overwrite_partitions(L.upsert_partitioned(S.scan_base(spark, path), st, ["k"], "p"), path, "p")
+    assert rows(S.scan_base(spark, path), "k", "p", "v") == [(1, None, 1.0), (2, None, 20.0), (3, 1, 3.0)]
