@@ -300,6 +300,7 @@ ORACLE: dict[str, str] = {
     "apply_load": _UPSERT,
     "apply_load_delete": _DELETE_WHERE,
     "run_load_upsert": _UPSERT,
+    "upsert_bucketed": _UPSERT,
     "run_load_partitioned": _partitioned("ps", "partition"),
     # sources / sinks
     "scan_stage": "SELECT * FROM customer",

@@ -31,27 +31,32 @@ def _insert_select(base, stage, spec):
 
 
 def _upsert(base, stage, spec):
+    skew = spec.get("skew", "auto")
     if spec.get("partition"):
         return L.upsert_partitioned(
             base, stage, spec["keys"], spec["partition"], spec.get("order_by"),
-            spec.get("exprs"), spec.get("scope", "partition"),
+            spec.get("exprs"), spec.get("scope", "partition"), skew,
         )
     if spec.get("sets"):
-        return L.upsert_accumulate(base, stage, spec["keys"], spec["sets"], spec.get("order_by"), spec.get("exprs"))
+        return L.upsert_accumulate(
+            base, stage, spec["keys"], spec["sets"], spec.get("order_by"), spec.get("exprs"), skew
+        )
     if spec.get("columns"):
-        return L.upsert_partial(base, stage, spec["keys"], spec["columns"], spec.get("order_by"), spec.get("exprs"))
-    return L.upsert(base, stage, spec["keys"], spec.get("order_by"), spec.get("exprs"), spec.get("stage_keys"))
+        return L.upsert_partial(
+            base, stage, spec["keys"], spec["columns"], spec.get("order_by"), spec.get("exprs"), skew
+        )
+    return L.upsert(base, stage, spec["keys"], spec.get("order_by"), spec.get("exprs"), spec.get("stage_keys"), skew)
 
 
 def _update(base, stage, spec):
     if stage is not None and spec.get("on"):
-        return L.update_from(base, stage, spec["on"], spec["sets"])
+        return L.update_from(base, stage, spec["on"], spec["sets"], spec.get("skew", "auto"))
     return L.update_where(base, spec["where"], spec["sets"])
 
 
 def _delete(base, stage, spec):
     if stage is not None and spec.get("on"):
-        return L.delete_from(base, stage, spec["on"])
+        return L.delete_from(base, stage, spec["on"], spec.get("skew", "auto"))
     return L.delete_where(base, spec["where"])
 
 
@@ -79,7 +84,7 @@ def apply_load(base: DataFrame | None, stage: DataFrame | None, spec: Mapping) -
     ``spec["pattern"]`` is one of ``PATTERNS``; the other keys are the
     pattern's arguments: ``keys``, ``order_by``, ``exprs``, ``columns``,
     ``sets`` (accumulating upsert, ``summarize``), ``partition`` and
-    ``scope``, ``where``, ``on``, ``types``, ``cols``; ``run_load`` also
+    ``scope``, ``where``, ``on``, ``types``, ``cols``, ``skew``; ``run_load`` also
     reads ``format``, ``location`` and ``schema`` (a folder target's schema).
     """
     pattern = spec.get("pattern")
@@ -95,17 +100,19 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
 
     A partitioned upsert rewrites only the partitions it rebuilds; every
     other pattern replaces the table (through ``swap_in`` for a catalog
-    table, since the new content reads the old).
+    table, since the new content reads the old), keeping the table's format,
+    partitioning and bucketing.
     """
     spark = (stage if stage is not None else base).sparkSession
     pattern = spec["pattern"]
-    fmt = spec.get("format", S.DEFAULT_FORMAT)
+    fmt = spec.get("format")  # None: a catalog table keeps its own
+    path_fmt = fmt or S.DEFAULT_FORMAT
     if base is None and pattern not in _DISCARDS_BASE:
-        base = S.scan_base(spark, target, fmt, spec.get("schema"))
+        base = S.scan_base(spark, target, path_fmt, spec.get("schema"))
     new = apply_load(base, stage, spec)
     part = spec.get("partition")
     if pattern in ("upsert", "summarize") and part:
-        S.overwrite_partitions(new, target, part, fmt)
+        S.overwrite_partitions(new, target, part, path_fmt)
     elif S._is_path(target) and pattern not in _DISCARDS_BASE:
         raise ValueError(
             "run_load: a folder target cannot be rewritten by a plan that reads it; "

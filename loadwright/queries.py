@@ -454,6 +454,20 @@ def q_run_load_upsert(spark, sf):
     return spark.table(name)
 
 
+def q_upsert_bucketed(spark, sf):
+    """Upsert into a base stored bucketed on its key: the base is read without
+    a shuffle, only staged rows move, and the swap keeps the bucketing."""
+    from loadwright.plans.apply import run_load
+
+    name = scratch_table_name("orders_bucketed")
+    S.write_table(orders_base(spark, sf), name, location=scratch_path(spark, name),
+                  buckets=8, bucket_by=ORDER_KEYS, sort_by=ORDER_KEYS)
+    spec = {"pattern": "upsert", "keys": ORDER_KEYS, "order_by": ["o_orderdate"], "skew": None,
+            "location": scratch_path(spark, name + "_v2")}
+    run_load(name, orders_stage(spark, sf), spec)
+    return spark.table(name)
+
+
 def q_run_load_partitioned(spark, sf):
     """L14 end to end: partitioned upsert into a catalog table by year."""
     from loadwright.plans.apply import run_load
@@ -637,6 +651,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "apply_load_delete": q_apply_load_delete,
     "run_load_upsert": q_run_load_upsert,
     "run_load_partitioned": q_run_load_partitioned,
+    "upsert_bucketed": q_upsert_bucketed,
     # sources / sinks
     "scan_stage": q_scan_stage,
     "history_load": q_history_load,

@@ -30,8 +30,37 @@ def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def _prepare(df: DataFrame, partition_by: Sequence[str] | None, rebalance: bool | None) -> DataFrame:
-    """``rebalance=None``: only for partitioned writes."""
+def table_layout(spark: SparkSession, target: str) -> dict:
+    """Storage layout of a catalog table: format, partition columns and
+    bucketing (``buckets``, ``bucket_by``, ``sort_by``), so a rewrite keeps it."""
+    cols = spark.catalog.listColumns(target)
+    info = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
+
+    def names(text):
+        return [c.strip().strip("`") for c in (text or "").strip("[]").split(",") if c.strip()]
+
+    return {
+        "format": (info.get("Provider") or DEFAULT_FORMAT).lower(),
+        "partition_by": [c.name for c in cols if c.isPartition],
+        "buckets": int(info["Num Buckets"]) if info.get("Num Buckets") else None,
+        "bucket_by": [c.name for c in cols if c.isBucket],
+        "sort_by": names(info.get("Sort Columns")),
+    }
+
+
+def _prepare(
+    df: DataFrame,
+    partition_by: Sequence[str] | None,
+    rebalance: bool | None,
+    buckets: int | None = None,
+    bucket_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """``rebalance=None``: only for partitioned writes.  A bucketed write is
+    hash-partitioned on the bucket columns into the bucket count, so each task
+    writes one bucket; Spark drops that shuffle when the rows already arrive
+    partitioned so (e.g. from a join on the bucket key)."""
+    if buckets and bucket_by:
+        return df.repartition(buckets, *bucket_by)
     if rebalance is None:
         rebalance = bool(partition_by)
     if not rebalance:
@@ -158,12 +187,30 @@ def write_table(
     mode: str = "error",
     rebalance: bool | None = None,
     location: str | None = None,
+    buckets: int | None = None,
+    bucket_by: Sequence[str] | None = None,
+    sort_by: Sequence[str] | None = None,
 ) -> None:
-    """Write ``df`` as a new table (catalog name, optionally at ``location``) or folder."""
-    out = _prepare(df, partition_by, rebalance)
+    """Write ``df`` as a new table (catalog name, optionally at ``location``)
+    or folder.
+
+    ``buckets`` / ``bucket_by`` (catalog tables only) store the table
+    bucketed on its key: later key joins read it without shuffling it, and
+    only the other side moves.  Spark keeps the buckets in a join only when
+    their count is at least ``spark.sql.shuffle.partitions``.  A key holding a
+    large share of the rows sits in one bucket, so bucket on keys known to be
+    spread.
+    """
+    out = _prepare(df, partition_by, rebalance, buckets, bucket_by)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if buckets and bucket_by:
+        if _is_path(target):
+            raise ValueError("write_table: bucketing needs a catalog table")
+        w = w.bucketBy(buckets, *bucket_by)
+        if sort_by:
+            w = w.sortBy(*sort_by)
     if _is_path(target):
         w.save(target)
     else:
@@ -175,7 +222,7 @@ def write_table(
 def swap_in(
     new: DataFrame,
     target: str,
-    fmt: str = DEFAULT_FORMAT,
+    fmt: str | None = None,
     partition_by: Sequence[str] | None = None,
     location: str | None = None,
     rebalance: bool | None = None,
@@ -188,14 +235,21 @@ def swap_in(
     old table as it was.  The swap is two renames and a drop: the old table
     is renamed aside, the new one takes its name, and only then is the old
     one dropped, so a driver lost midway leaves every row under one of the
-    two names.
+    two names.  The new table keeps the old one's format, partitioning and
+    bucketing unless given otherwise.
     """
     spark = new.sparkSession
+    layout = table_layout(spark, target) if spark.catalog.tableExists(target) else {}
+    fmt = fmt or layout.get("format") or DEFAULT_FORMAT
+    partition_by = partition_by if partition_by is not None else layout.get("partition_by") or None
+    if partition_by:
+        new = new.select(*[c for c in new.columns if c not in partition_by], *partition_by)
     db = f"{target.rsplit('.', 1)[0]}." if "." in target else ""
     short = target.split(".")[-1]
     side = db + scratch_table_name(f"{short}_final")
     old = db + scratch_table_name(f"{short}_old")
-    write_table(new, side, fmt, partition_by, "error", rebalance, location)
+    write_table(new, side, fmt, partition_by, "error", rebalance, location,
+                layout.get("buckets"), layout.get("bucket_by"), layout.get("sort_by"))
     # The new table must be readable before the old one is touched.
     spark.table(side).select(F.lit(1)).limit(1).collect()
     had_old = spark.catalog.tableExists(target)
@@ -211,7 +265,7 @@ def swap_in(
 def overwrite(
     df: DataFrame,
     target: str,
-    fmt: str = DEFAULT_FORMAT,
+    fmt: str | None = None,
     partition_by: Sequence[str] | None = None,
     location: str | None = None,
     rebalance: bool | None = None,
@@ -222,7 +276,7 @@ def overwrite(
     table the same plan reads).  A folder target must not be read by ``df``.
     """
     if _is_path(target):
-        write_table(df, target, fmt, partition_by, "overwrite", rebalance)
+        write_table(df, target, fmt or DEFAULT_FORMAT, partition_by, "overwrite", rebalance)
     else:
         swap_in(df, target, fmt, partition_by, location, rebalance)
 

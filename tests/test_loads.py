@@ -306,3 +306,32 @@ def test_partitioned_upsert_null_partition_keeps_base_rows(spark):
     st = spark.createDataFrame([(2, None, 20.0)], "k bigint, p int, v double")
     S.overwrite_partitions(L.upsert_partitioned(S.scan_base(spark, path), st, ["k"], "p"), path, "p")
     assert rows(S.scan_base(spark, path), "k", "p", "v") == [(1, None, 1.0), (2, None, 20.0), (3, 1, 3.0)]
+
+
+def test_swap_keeps_partitioning_and_bucketing(spark):
+    import contextlib
+    import io
+
+    from loadwright.sources.tables import table_layout
+
+    df = spark.createDataFrame([(i, i % 3, float(i)) for i in range(30)], "k bigint, p int, v double")
+    name = scratch_table_name("layout")
+    S.write_table(df, name, partition_by=["p"], location=scratch_path(spark, name),
+                  buckets=8, bucket_by=["k"], sort_by=["k"])
+    before = table_layout(spark, name)
+    assert before["partition_by"] == ["p"] and before["buckets"] == 8 and before["bucket_by"] == ["k"]
+    st = spark.createDataFrame([(1, 1, 10.0), (100, 0, 1.0)], "k bigint, p int, v double")
+    run_load(name, st, {"pattern": "upsert", "keys": ["k"], "skew": None, "location": scratch_path(spark, "lay2")})
+    assert table_layout(spark, name) == before
+    got = rows(spark.table(name), "k", "p", "v")
+    assert (1, 1, 10.0) in got and (100, 0, 1.0) in got and len(got) == 31
+    # a later upsert reads the bucketed base without shuffling it (when the
+    # staged keys are too big to broadcast, as at scale)
+    plan = io.StringIO()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with contextlib.redirect_stdout(plan):
+            L.upsert(spark.table(name), st, ["k"], skew=None).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan.getvalue()
