@@ -282,6 +282,7 @@ ORACLE: dict[str, str] = {
         SELECT * FROM lineitem l WHERE NOT EXISTS (
           SELECT 1 FROM orders o WHERE o.o_orderstatus = 'F' AND o.o_orderkey = l.l_orderkey)""",
     "append_distinct": _EVENTS_UNION_DISTINCT,
+    "append_distinct_incremental": _EVENTS_UNION_DISTINCT,
     "full_refresh": """
         SELECT DISTINCT c_mktsegment, substr(c_name, 1, 8) AS name8,
                c_mktsegment || '-' || CAST(c_nationkey AS VARCHAR) AS seg_nation,

@@ -23,7 +23,7 @@ def _full_refresh(base, stage, spec):
 
 
 def _append_distinct(base, stage, spec):
-    return L.append_distinct(base, stage, spec.get("exprs"))
+    return L.append_distinct(base, stage, spec.get("exprs"), spec.get("base_distinct", False))
 
 
 def _insert_select(base, stage, spec):
@@ -84,7 +84,7 @@ def apply_load(base: DataFrame | None, stage: DataFrame | None, spec: Mapping) -
     ``spec["pattern"]`` is one of ``PATTERNS``; the other keys are the
     pattern's arguments: ``keys``, ``order_by``, ``exprs``, ``columns``,
     ``sets`` (accumulating upsert, ``summarize``), ``partition`` and
-    ``scope``, ``where``, ``on``, ``types``, ``cols``, ``skew``; ``run_load`` also
+    ``scope``, ``where``, ``on``, ``types``, ``cols``, ``skew``, ``base_distinct``; ``run_load`` also
     reads ``format``, ``location`` and ``schema`` (a folder target's schema).
     """
     pattern = spec.get("pattern")
@@ -98,7 +98,9 @@ def apply_load(base: DataFrame | None, stage: DataFrame | None, spec: Mapping) -
 def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFrame | None = None) -> DataFrame:
     """Apply the load to ``target`` (table name or folder) and write it.
 
-    A partitioned upsert rewrites only the partitions it rebuilds; every
+    A partitioned upsert rewrites only the partitions it rebuilds; an
+    append-distinct into a distinct base (``base_distinct``) appends only the
+    new rows; every
     other pattern replaces the table (through ``swap_in`` for a catalog
     table, since the new content reads the old), keeping the table's format,
     partitioning and bucketing.
@@ -111,7 +113,11 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
         base = S.scan_base(spark, target, path_fmt, spec.get("schema"))
     new = apply_load(base, stage, spec)
     part = spec.get("partition")
-    if pattern in ("upsert", "summarize") and part:
+    if pattern in ("distinct", "append_distinct") and spec.get("base_distinct"):
+        # only the rows not yet in the (distinct) base are written
+        new_only = L.distinct_new_rows(base, stage, spec.get("exprs"))
+        S.append(new_only, target, path_fmt, [part] if part else None)
+    elif pattern in ("upsert", "summarize") and part:
         S.overwrite_partitions(new, target, part, path_fmt)
     elif S._is_path(target) and pattern not in _DISCARDS_BASE:
         raise ValueError(

@@ -77,11 +77,34 @@ def append_distinct(
     base: DataFrame,
     stage: DataFrame,
     exprs: Sequence[str | Column] | None = None,
+    base_is_distinct: bool = False,
 ) -> DataFrame:
     """L4: ``DISTINCT (base UNION ALL exprs(stage))``; copies already in the
-    base go too."""
-    new = stage.select(*[as_expr(e) for e in exprs]).toDF(*base.columns) if exprs else stage.select(*base.columns)
-    return distinct_table(stack(base, new))
+    base go too.
+
+    With ``base_is_distinct`` (the base holds no copies, as after any earlier
+    append-distinct) the same rows are the base plus ``distinct_new_rows``:
+    the base is then only read, never de-duplicated as a whole.
+    """
+    if base_is_distinct:
+        return stack(base, distinct_new_rows(base, stage, exprs))
+    return distinct_table(stack(base, _mapped(base, stage, exprs)))
+
+
+def _mapped(base: DataFrame, stage: DataFrame, exprs) -> DataFrame:
+    if exprs:
+        return stage.select(*[as_expr(e) for e in exprs]).toDF(*base.columns)
+    return stage.select(*base.columns)
+
+
+def distinct_new_rows(base: DataFrame, stage: DataFrame, exprs: Sequence[str | Column] | None = None) -> DataFrame:
+    """Distinct staged rows that are not already in the base, compared on all
+    columns with NULLs equal (as DISTINCT compares them).  Appending them to a
+    distinct base gives L4's result without rewriting the base."""
+    new = _mapped(base, stage, exprs).distinct()
+    b = base.select(*[F.col(c).alias(f"__b{i}") for i, c in enumerate(base.columns)])
+    cond = reduce(lambda x, y: x & y, [new[c].eqNullSafe(b[f"__b{i}"]) for i, c in enumerate(base.columns)])
+    return new.join(b, cond, "left_anti")
 
 
 def insert_select(base: DataFrame, source: DataFrame, cols: Sequence[str | Column]) -> DataFrame:

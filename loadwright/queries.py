@@ -414,6 +414,17 @@ def q_append_distinct(spark, sf):
     return L.append_distinct(ev.where(F.col("ts") < _ts("2024-01-20")), ev.where(F.col("ts") >= _ts("2024-01-15")))
 
 
+def q_append_distinct_incremental(spark, sf):
+    """L4 into a distinct base: only new distinct rows are appended."""
+    from loadwright.plans.apply import run_load
+
+    ev = table(spark, sf, "events")
+    path = scratch_path(spark, "events_base")
+    S.write_table(ev.where(F.col("ts") < _ts("2024-01-20")).distinct(), path)
+    run_load(path, ev.where(F.col("ts") >= _ts("2024-01-15")), {"pattern": "distinct", "base_distinct": True})
+    return S.scan_base(spark, path)
+
+
 def _refresh_exprs():
     return [
         F.col("c_mktsegment"),
@@ -644,6 +655,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delete_where": q_delete_where,
     "delete_from": q_delete_from,
     "append_distinct": q_append_distinct,
+    "append_distinct_incremental": q_append_distinct_incremental,
     "full_refresh": q_full_refresh,
     "insert_select": q_insert_select,
     "stack": q_stack,

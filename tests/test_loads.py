@@ -335,3 +335,14 @@ def test_swap_keeps_partitioning_and_bucketing(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Bucketed: true" in plan.getvalue()
+
+
+def test_append_distinct_into_distinct_base_with_nulls(spark):
+    base = spark.createDataFrame([(1, "a"), (2, None)], "k int, s string")
+    st = spark.createDataFrame([(2, None), (2, None), (3, "c"), (1, "a")], "k int, s string")
+    assert rows(L.distinct_new_rows(base, st)) == [(3, "c")]
+    assert rows(L.append_distinct(base, st, base_is_distinct=True)) == rows(L.append_distinct(base, st))
+    path = scratch_path(spark, "appdist")
+    S.write_table(base, path)
+    run_load(path, st, {"pattern": "distinct", "base_distinct": True})
+    assert rows(S.scan_base(spark, path)) == [(1, "a"), (2, None), (3, "c")]
