@@ -99,8 +99,8 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
     """Apply the load to ``target`` (table name or folder) and write it.
 
     A partitioned upsert rewrites only the partitions it rebuilds; an
-    append-distinct into a distinct base (``base_distinct``) appends only the
-    new rows; every
+    append-distinct into a distinct base (``base_distinct``) and an
+    insert-select append only the new rows; every
     other pattern replaces the table (through ``swap_in`` for a catalog
     table, since the new content reads the old), keeping the table's format,
     partitioning and bucketing.
@@ -113,7 +113,9 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
         base = S.scan_base(spark, target, path_fmt, spec.get("schema"))
     new = apply_load(base, stage, spec)
     part = spec.get("partition")
-    if pattern in ("distinct", "append_distinct") and spec.get("base_distinct"):
+    if pattern in ("insert", "insert_select"):
+        S.append(L.selected_rows(base, stage, spec["cols"]), target, path_fmt)
+    elif pattern in ("distinct", "append_distinct") and spec.get("base_distinct"):
         # only the rows not yet in the (distinct) base are written
         new_only = L.distinct_new_rows(base, stage, spec.get("exprs"))
         S.append(new_only, target, path_fmt, [part] if part else None)

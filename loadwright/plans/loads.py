@@ -107,14 +107,20 @@ def distinct_new_rows(base: DataFrame, stage: DataFrame, exprs: Sequence[str | C
     return new.join(b, cond, "left_anti")
 
 
-def insert_select(base: DataFrame, source: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
-    """Base plus ``SELECT cols FROM source``, paired by position."""
+def selected_rows(base: DataFrame, source: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
+    """``SELECT cols FROM source`` named as the base's columns, by position."""
     picked = source.select(*[as_expr(c) for c in cols])
     if len(picked.columns) != len(base.columns):
         raise ValueError(
             f"insert_select: {len(cols)} columns for a {len(base.columns)}-column base"
         )
-    return stack(base, picked.toDF(*base.columns))
+    return picked.toDF(*base.columns)
+
+
+def insert_select(base: DataFrame, source: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
+    """Base plus ``SELECT cols FROM source``, paired by position.  Written
+    by ``run_load`` as an append of ``selected_rows``: the base is not read."""
+    return stack(base, selected_rows(base, source, cols))
 
 
 # ------------------------------------------------------------------ upserts

@@ -346,3 +346,11 @@ def test_append_distinct_into_distinct_base_with_nulls(spark):
     S.write_table(base, path)
     run_load(path, st, {"pattern": "distinct", "base_distinct": True})
     assert rows(S.scan_base(spark, path)) == [(1, "a"), (2, None), (3, "c")]
+
+
+def test_run_load_insert_appends(spark):
+    path = scratch_path(spark, "ins")
+    S.write_table(spark.createDataFrame([(1, "a")], "id int, name string"), path)
+    src = spark.createDataFrame([(7, "x", 0.5)], "a int, b string, c double")
+    run_load(path, src, {"pattern": "insert", "cols": ["a", "b"]})
+    assert rows(S.scan_base(spark, path)) == [(1, "a"), (7, "x")]
