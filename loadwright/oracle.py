@@ -302,6 +302,16 @@ ORACLE: dict[str, str] = {
     "apply_load_delete": _DELETE_WHERE,
     "run_load_upsert": _UPSERT,
     "upsert_bucketed": _UPSERT,
+    "update_partitioned": f"""
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CASE WHEN o_orderstatus = 'P' AND o_year = 1997 THEN CAST(0 AS DOUBLE)
+                    ELSE o_totalprice END AS o_totalprice,
+               o_orderdate, o_orderpriority, o_year
+        FROM ({_ORDERS_BY_YEAR}) t""",
+    "delete_partitioned": f"""
+        SELECT * FROM ({_ORDERS_BY_YEAR}) t
+        WHERE NOT COALESCE(o_orderdate < TIMESTAMP '1996-01-01'
+                           OR (o_year = 1996 AND o_orderstatus = 'F'), FALSE)""",
     "run_load_partitioned": _partitioned("ps", "partition"),
     # sources / sinks
     "scan_stage": "SELECT * FROM customer",

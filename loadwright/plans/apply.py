@@ -8,8 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from loadwright.operators.filters import predicate
+from loadwright.operators.joins import affected_partitions, matching, touched_values
 from loadwright.plans import loads as L
 from loadwright.sources import tables as S
 
@@ -95,17 +99,49 @@ def apply_load(base: DataFrame | None, stage: DataFrame | None, spec: Mapping) -
     return PATTERNS[pattern](base, stage, spec)
 
 
+def _hit_rows(base: DataFrame, stage: DataFrame | None, spec: Mapping) -> DataFrame:
+    """Base rows an update / delete touches."""
+    if stage is not None and spec.get("on"):
+        return matching(base, stage, spec["on"], "left_semi", spec.get("skew", "auto"))
+    return base.where(F.coalesce(predicate(spec["where"]), F.lit(False)))
+
+
+def _partition_scoped(target: str, base: DataFrame, stage: DataFrame | None, spec: Mapping,
+                      part: str, path_fmt: str) -> DataFrame:
+    """Update / delete on a partitioned table: only partitions holding a
+    touched row are rebuilt and overwritten; a partition a delete empties is
+    dropped (dynamic overwrite leaves partitions absent from its output)."""
+    spark = base.sparkSession
+    vals, n = touched_values(_hit_rows(base, stage, spec), part)
+    rebuilt = apply_load(affected_partitions(base, vals.withColumnRenamed("__k0", part), part), stage, spec)
+    emptied: list = []
+    if spec["pattern"] == "delete":
+        left = rebuilt.select(F.col(part).alias("__k0")).distinct()
+        emptied = [r[0] for r in vals.join(left, vals["__k0"].eqNullSafe(left["__k0"]), "left_anti").collect()]
+        if emptied and S._is_path(target):
+            raise ValueError(f"run_load: the delete empties partitions {emptied[:5]} of a folder target")
+    S.overwrite_partitions(rebuilt, target, part, path_fmt)
+    for v in emptied:
+        lit = "NULL" if v is None else repr(str(v))
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({part} = {lit})")
+    if emptied:
+        spark.catalog.refreshTable(target)
+    return rebuilt
+
+
 def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFrame | None = None) -> DataFrame:
     """Apply the load to ``target`` (table name or folder) and write it.
 
-    A partitioned upsert rewrites only the partitions it rebuilds; an
+    A partitioned upsert, and an update or delete on a table with one
+    partition column, rewrite only the partitions they touch; an
     append-distinct into a distinct base (``base_distinct``) and an
     insert-select append only the new rows; every
     other pattern replaces the table (through ``swap_in`` for a catalog
     table, since the new content reads the old), keeping the table's format,
     partitioning and bucketing.
     """
-    spark = (stage if stage is not None else base).sparkSession
+    src = stage if stage is not None else base
+    spark = src.sparkSession if src is not None else SparkSession.active()
     pattern = spec["pattern"]
     fmt = spec.get("format")  # None: a catalog table keeps its own
     path_fmt = fmt or S.DEFAULT_FORMAT
@@ -113,6 +149,12 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
         base = S.scan_base(spark, target, path_fmt, spec.get("schema"))
     new = apply_load(base, stage, spec)
     part = spec.get("partition")
+    if pattern in ("update", "delete"):
+        layout_part = part or (S.table_layout(spark, target)["partition_by"] if not S._is_path(target) else [])
+        if isinstance(layout_part, str):
+            layout_part = [layout_part]
+        if len(layout_part or []) == 1:
+            return _partition_scoped(target, base, stage, spec, layout_part[0], path_fmt)
     if pattern in ("insert", "insert_select"):
         S.append(L.selected_rows(base, stage, spec["cols"]), target, path_fmt)
     elif pattern in ("distinct", "append_distinct") and spec.get("base_distinct"):

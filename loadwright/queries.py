@@ -465,6 +465,32 @@ def q_run_load_upsert(spark, sf):
     return spark.table(name)
 
 
+def _years_table(spark, sf) -> str:
+    name = scratch_table_name("orders_years")
+    S.write_table(orders_by_year(spark, sf), name, partition_by=["o_year"], location=scratch_path(spark, name))
+    return name
+
+
+def q_update_partitioned(spark, sf):
+    """L10 on a table partitioned by year: only 1997 is rewritten."""
+    from loadwright.plans.apply import run_load
+
+    name = _years_table(spark, sf)
+    run_load(name, None, {"pattern": "update", "where": [("o_orderstatus", "=", "P"), ("o_year", "=", 1997)],
+                          "sets": {"o_totalprice": 0.0}})
+    return spark.table(name)
+
+
+def q_delete_partitioned(spark, sf):
+    """L12 on a table partitioned by year: 1995 empties and is dropped."""
+    from loadwright.plans.apply import run_load
+
+    name = _years_table(spark, sf)
+    run_load(name, None, {"pattern": "delete", "where": "o_orderdate < TIMESTAMP_NTZ'1996-01-01' "
+                                                       "OR (o_year = 1996 AND o_orderstatus = 'F')"})
+    return spark.table(name)
+
+
 def q_upsert_bucketed(spark, sf):
     """Upsert into a base stored bucketed on its key: the base is read without
     a shuffle, only staged rows move, and the swap keeps the bucketing."""
@@ -664,6 +690,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_load_upsert": q_run_load_upsert,
     "run_load_partitioned": q_run_load_partitioned,
     "upsert_bucketed": q_upsert_bucketed,
+    "update_partitioned": q_update_partitioned,
+    "delete_partitioned": q_delete_partitioned,
     # sources / sinks
     "scan_stage": q_scan_stage,
     "history_load": q_history_load,

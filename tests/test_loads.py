@@ -354,3 +354,39 @@ def test_run_load_insert_appends(spark):
     src = spark.createDataFrame([(7, "x", 0.5)], "a int, b string, c double")
     run_load(path, src, {"pattern": "insert", "cols": ["a", "b"]})
     assert rows(S.scan_base(spark, path)) == [(1, "a"), (7, "x")]
+
+
+def _year_table(spark):
+    df = spark.createDataFrame(
+        [(1, 1995, "P", 1.0), (2, 1995, "F", 2.0), (3, 1996, "P", 3.0), (4, 1996, "O", 4.0), (5, 1997, "F", 5.0)],
+        "k bigint, y int, s string, v double",
+    )
+    name = scratch_table_name("years")
+    S.write_table(df, name, partition_by=["y"], location=scratch_path(spark, name))
+    return name
+
+
+def test_partitioned_update_rewrites_touched_partitions_only(spark):
+    name = _year_table(spark)
+    untouched = sorted(f for f in spark.table(name).inputFiles() if "y=1995" in f or "y=1997" in f)
+    run_load(name, None, {"pattern": "update", "where": "s = 'P' AND y = 1996", "sets": {"v": 0.0}})
+    assert rows(spark.table(name), "k", "y", "s", "v") == [
+        (1, 1995, "P", 1.0), (2, 1995, "F", 2.0), (3, 1996, "P", 0.0), (4, 1996, "O", 4.0), (5, 1997, "F", 5.0)
+    ]
+    assert sorted(f for f in spark.table(name).inputFiles() if "y=1995" in f or "y=1997" in f) == untouched
+
+
+def test_partitioned_delete_drops_emptied_partition(spark):
+    name = _year_table(spark)
+    run_load(name, None, {"pattern": "delete", "where": "y = 1995 OR k = 3"})
+    assert rows(spark.table(name), "k", "y") == [(4, 1996), (5, 1997)]
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["y=1996", "y=1997"]
+
+
+def test_partitioned_update_from_folder(spark):
+    df = spark.createDataFrame([(1, 1, 1.0), (2, 2, 2.0)], "k bigint, y int, v double")
+    path = scratch_path(spark, "updf")
+    S.write_table(df, path, partition_by=["y"])
+    st = spark.createDataFrame([(2,)], "k bigint")
+    run_load(path, st, {"pattern": "update", "on": ["k"], "sets": {"v": 9.0}, "partition": "y"})
+    assert rows(S.scan_base(spark, path), "k", "y", "v") == [(1, 1, 1.0), (2, 2, 9.0)]
