@@ -8,10 +8,14 @@ de-duplication window or a distinct-key aggregate, so the rule does not
 apply.  The hot keys are therefore salted explicitly:
 
 1. ``hot_keys`` samples the key columns of the side whose rows are kept and
-   keeps the keys whose estimated row count exceeds both a per-task target and
-   a share of the table.  At most ``1 / HOT_SHARE`` keys can pass, so the set
-   has a proven size bound; it is written once to the checkpoint folder.
-   Each hot key gets a bucket count: its estimated rows / rows per task.
+   keeps the keys whose estimated row count exceeds the per-task target.  On
+   a table so large that more than ``MAX_HOT_KEYS`` keys could reach that
+   target, the threshold rises to ``rows / MAX_HOT_KEYS``, and if sampling
+   noise still lets more keys through, the largest ``MAX_HOT_KEYS`` are kept
+   (the others take the plain join, which is exact too).  So the set has a
+   proven size bound at any table size; it is written once to the checkpoint
+   folder.  Each hot key gets a bucket count: its estimated rows / rows per
+   task.
 2. ``key_join`` spreads the rows of a hot key over its buckets by a hash of
    the whole row and its input split, and repeats the other side's rows of that key once per
    bucket (that side holds about one row per key: staged rows after
@@ -35,12 +39,16 @@ MIN_ROWS_CONF = "spark.loadwright.skew.minRows"
 ROWS_PER_TASK_CONF = "spark.loadwright.skew.rowsPerTask"
 DEFAULT_MIN_ROWS = 10_000_000
 DEFAULT_ROWS_PER_TASK = 5_000_000
-# A hot key holds at least this share of the rows, so there are at most
-# 1 / HOT_SHARE of them.
-HOT_SHARE = 0.001
-MAX_HOT_KEYS = int(2 / HOT_SHARE)
+# Bound on the hot-key set (one row of key columns and a bucket count per
+# key: a few MB at most, safe to broadcast).  A key is hot above
+# max(rowsPerTask, rows / MAX_HOT_KEYS); at most MAX_HOT_KEYS keys can hold
+# that many rows.
+MAX_HOT_KEYS = 100_000
 MAX_BUCKETS = 100_000
-SAMPLE_ROWS = 2_000_000
+# Rows sampled to estimate key sizes.  The sample is taken and grouped by the
+# executors; at 10^12 rows a key at the threshold (10^7 rows) is seen ~100
+# times.
+SAMPLE_ROWS = 10_000_000
 SAMPLE_SEED = 17
 
 
@@ -53,7 +61,7 @@ def hot_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
     if n == 0 or n < min_rows:
         return None
     fraction = min(1.0, SAMPLE_ROWS / n)
-    hot_rows = max(per_task, HOT_SHARE * n)
+    hot_rows = max(per_task, n / MAX_HOT_KEYS)
     renamed = [F.col(c).alias(f"__h{i}") for i, c in enumerate(cols)]
     sampled = df.select(*renamed)
     if fraction < 1.0:
@@ -71,8 +79,11 @@ def hot_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
         .checkpoint(eager=True)
     )
     k = hot.count()
-    if k == 0 or k > MAX_HOT_KEYS:
+    if k == 0:
         return None
+    if k > MAX_HOT_KEYS:
+        # sampling noise: keep the largest keys; the rest join unsalted
+        hot = hot.orderBy(F.desc("__n")).limit(MAX_HOT_KEYS).checkpoint(eager=True)
     return hot
 
 

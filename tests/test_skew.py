@@ -79,3 +79,21 @@ def test_salted_query_matches_oracle(spark, con, salted, name):
     rel = con.sql(E.oracle_sql()[name])
     recs = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
     assert got == sorted(tuple(_norm(r[c]) for c in cols) for r in recs)
+
+
+def test_hot_threshold_rises_with_table_size(spark, monkeypatch):
+    # With room for only 10 hot keys, a key needs rows / 10 rows to be hot,
+    # whatever the per-task target: only the shared key of a third of the
+    # rows qualifies.
+    import loadwright.operators.skew as SK
+
+    spark.conf.set(MIN_ROWS_CONF, "0")
+    spark.conf.set(ROWS_PER_TASK_CONF, "1")
+    monkeypatch.setattr(SK, "MAX_HOT_KEYS", 10)
+    try:
+        hot = hot_keys(Q.hot_base(spark, SF), ["hot_key"])
+        assert {r["__h0"] for r in hot.collect()} == {-1}
+    finally:
+        spark.conf.unset(MIN_ROWS_CONF)
+        spark.conf.unset(ROWS_PER_TASK_CONF)
+
