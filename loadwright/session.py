@@ -21,6 +21,14 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Shuffles start wide and AQE merges them down to the advisory size: a
+    # 50 TB shuffle gets ~3 GB partitions (sorts spill, none is lost), a
+    # small one is coalesced to a few tasks.  AQE can merge partitions but
+    # not split them (outside skew joins), so the start must be wide.
+    "spark.sql.shuffle.partitions": "16384",
+    # Coalesce by the advisory size, not by the cluster's core count (which
+    # would merge a huge shuffle into partitions of tens of GB).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # AQE turns a sort-merge join into a broadcast join only after it has
     # measured the small side at runtime; this is the size bound.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
