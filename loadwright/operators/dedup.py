@@ -30,15 +30,21 @@ def global_sequence(df: DataFrame, order_by: Sequence[str | Column], name: str =
     partitions.  The counts table has one row per partition, so the window
     over it and its broadcast are bounded by the partition count.  Range
     bounds come from Spark's seeded sample, so both uses of the sorted rows
-    see the same partitions.  Rows tied on every order column get adjacent
-    numbers in no fixed order.
+    see the same partitions.
+
+    Rows tied on every order column are numbered by input position (the
+    last sort and range column), so ties follow file order and a group of
+    ties or exact copies, however large, is split across range partitions
+    like any other rows.  The input position is stable when a lost task
+    re-reads the same split.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [as_col(c) for c in order_by]
+    cols = [as_col(c) for c in order_by] + [F.col("__tie")]
     pid = F.spark_partition_id()
     s = (
-        df.repartitionByRange(n, *cols)
+        df.withColumn("__tie", F.monotonically_increasing_id())
+        .repartitionByRange(n, *cols)
         .sortWithinPartitions(*cols)
         .withColumn("__pid", pid)
         .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
@@ -47,7 +53,7 @@ def global_sequence(df: DataFrame, order_by: Sequence[str | Column], name: str =
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
     out = s.join(F.broadcast(offsets), "__pid")
-    return out.withColumn(name, F.col("__off") + F.col("__pos") + 1).drop("__pid", "__pos", "__off")
+    return out.withColumn(name, F.col("__off") + F.col("__pos") + 1).drop("__pid", "__pos", "__off", "__tie")
 
 
 def with_sequence(

@@ -97,3 +97,28 @@ def test_hot_threshold_rises_with_table_size(spark, monkeypatch):
         spark.conf.unset(MIN_ROWS_CONF)
         spark.conf.unset(ROWS_PER_TASK_CONF)
 
+
+
+def test_sequence_spreads_a_group_of_exact_copies(spark):
+    # 4,000 identical rows: one key, tied on the order column.  The numbering
+    # stays dense 1..n and the rows are split over the range partitions
+    # instead of landing in one task.
+    from pyspark.sql import functions as F
+
+    from loadwright.operators.dedup import global_sequence, with_sequence
+
+    df = spark.range(4000, numPartitions=4).select(F.lit(1).alias("k"), F.lit(0).alias("o"))
+    out = global_sequence(df, ["k", "o"]).withColumn("p", F.spark_partition_id())
+    got = out.agg(F.min("row_num"), F.max("row_num"), F.countDistinct("row_num"), F.countDistinct("p")).first()
+    assert tuple(got[:3]) == (1, 4000, 4000)
+    assert got[3] >= 4
+
+    spark.conf.set(MIN_ROWS_CONF, "0")
+    spark.conf.set(ROWS_PER_TASK_CONF, "100")
+    try:
+        seq = with_sequence(df, ["k"], ["o"])
+        got = seq.agg(F.min("row_num"), F.max("row_num"), F.countDistinct("row_num")).first()
+        assert tuple(got) == (1, 4000, 4000)
+    finally:
+        spark.conf.unset(MIN_ROWS_CONF)
+        spark.conf.unset(ROWS_PER_TASK_CONF)
