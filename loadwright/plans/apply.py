@@ -100,10 +100,15 @@ def apply_load(base: DataFrame | None, stage: DataFrame | None, spec: Mapping) -
 
 
 def _hit_rows(base: DataFrame, stage: DataFrame | None, spec: Mapping) -> DataFrame:
-    """Base rows an update / delete touches."""
+    """Base rows an update / delete touches.
+
+    A filter keeps only rows where the predicate is true, so the bare
+    predicate is used: wrapped in ``coalesce(.., false)`` it would reach the
+    scan neither as a partition filter nor as a pushed filter.
+    """
     if stage is not None and spec.get("on"):
         return matching(base, stage, spec["on"], "left_semi", spec.get("skew", "auto"))
-    return base.where(F.coalesce(predicate(spec["where"]), F.lit(False)))
+    return base.where(predicate(spec["where"]))
 
 
 def _partition_scoped(target: str, base: DataFrame, stage: DataFrame | None, spec: Mapping,

@@ -141,3 +141,14 @@ def test_update_from_keeps_base_rows_once(spark):
     # a staged key repeated three times must not repeat base rows
     got = L.update_from(base, st, ["k"], {"v": 0.0}).groupBy("k").agg(F.count("*").alias("n"))
     assert sorted(tuple(r) for r in got.collect()) == [(1, 2), (2, 1)]
+
+
+def test_partitioned_update_finds_touched_partitions_by_pruning(spark):
+    from loadwright.plans.apply import _hit_rows
+
+    path = scratch_path(spark, "hits")
+    S.write_table(Q.orders_by_year(spark, SF), path, partition_by=["o_year"])
+    hits = _hit_rows(S.scan_base(spark, path), None, {"where": "o_orderstatus = 'P' AND o_year = 1997"})
+    scan = next(line for line in plan(hits).splitlines() if "FileScan orc" in line)
+    assert re.search(r"PartitionFilters: \[[^\]]*o_year#\d+ = 1997", scan), scan
+    assert "EqualTo(o_orderstatus,P)" in scan, scan
