@@ -36,6 +36,10 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoint files (touched partition values, hot keys, rebuilt catalog
+    # partitions) are deleted once nothing references them, so a long-running
+    # stage stream does not fill the shared folder batch after batch.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.orc.compression.codec": "snappy",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
