@@ -136,3 +136,38 @@ def test_append_distinct(spark, base, stage):
     b2 = spark.createDataFrame(distinct_base, BASE_SCHEMA)
     got = _run(spark, False, lambda: L.append_distinct(b2, s.drop("o"), base_is_distinct=True))
     assert got == _sorted(set(base) | set(stage))
+
+
+PART = st.one_of(st.none(), st.integers(1995, 1997))
+PROWS = st.lists(st.tuples(KEY, VAL, PART), max_size=8)
+
+
+@SETTINGS
+@given(base=PROWS, stage=PROWS, salted=st.booleans(), scope=st.sampled_from(["partition", "table"]))
+def test_upsert_partitioned(spark, base, stage, salted, scope):
+    # base (k, v, p), rebuilt partitions only; NULL is a partition value too
+    b = spark.createDataFrame(base, "k bigint, v bigint, p int")
+    s = spark.createDataFrame([(*r, i) for i, r in enumerate(stage)], "k bigint, v bigint, p int, o bigint")
+    got = _run(spark, salted, lambda: L.upsert_partitioned(b, s, ["k"], "p", ["o"], scope=scope))
+    d = _latest(stage)
+    keys = _staged_keys(stage)
+    touched = {r[2] for r in d}
+    if scope == "table":
+        touched |= {p for k, _, p in base if k in keys}
+    want = [r for r in base if r[2] in touched and r[0] not in keys] + d
+    assert got == _sorted(want)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(KEY, VAL), max_size=12), salted=st.booleans())
+def test_with_sequence(spark, rows, salted):
+    from loadwright.operators.dedup import with_sequence
+
+    df = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(rows)], "k bigint, v bigint, o bigint")
+    got = _run(spark, salted, lambda: with_sequence(df, ["k"], ["o"]))
+    seen: dict = {}
+    want = []
+    for i, (k, v) in enumerate(rows):
+        seen[k] = seen.get(k, 0) + 1
+        want.append((k, v, i, seen[k]))
+    assert got == _sorted(want)
