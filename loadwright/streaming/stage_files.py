@@ -13,6 +13,12 @@ full-refresh patterns give the same table when a batch is applied twice; for
 the others (accumulating upsert, append, insert) a marker per applied batch is
 written next to the stream checkpoint and a replayed batch is skipped.
 
+``max_files_per_batch`` bounds a micro-batch (``maxFilesPerTrigger``): a
+backlog of stage files after downtime is loaded in several bounded batches,
+also under ``availableNow``, instead of one batch of unbounded size.  When the
+spec names a ``location`` for the rewritten table, each batch writes its
+version to a fresh folder under it.
+
 Batches run in a clone of the session, so a session that read the target
 before must ``spark.catalog.refreshTable(target)`` to see the swapped table.
 """
@@ -20,6 +26,7 @@ before must ``spark.catalog.refreshTable(target)`` to see the swapped table.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +62,7 @@ def start_stage_load(
     null_token: str = NULL_TOKEN,
     available_now: bool = True,
     processing_time: str | None = None,
+    max_files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Start loading new files of ``stage_dir`` into ``target`` with ``spec``.
 
@@ -63,14 +71,21 @@ def start_stage_load(
     """
     ckpt = checkpoint_location or scratch_path(spark, "stage_stream")
     markers = os.path.join(ckpt, "applied_batches")
-    lines = spark.readStream.format("text").load(stage_dir)
+    reader = spark.readStream.format("text")
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_batch))
+    lines = reader.load(stage_dir)
     rows = parse_stage_lines(lines, schema, sep, null_token)
     guard = not _replays_safely(spec)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         if guard and _applied(batch.sparkSession, markers, batch_id):
             return
-        run_load(target, batch, spec)
+        batch_spec = spec
+        if spec.get("location"):
+            fresh = f"batch-{batch_id}-{uuid.uuid4().hex[:8]}"
+            batch_spec = dict(spec, location=os.path.join(spec["location"], fresh))
+        run_load(target, batch, batch_spec)
         if guard:
             batch.sparkSession.createDataFrame([(batch_id,)], "batch_id long").write.mode(
                 "overwrite"

@@ -51,3 +51,22 @@ def test_stream_accumulate_skips_replayed_batches(spark):
     # same checkpoint, no new files: nothing is applied again
     _run(spark, stage_dir, name, dict(spec, location=scratch_path(spark, "acc_v2")), ckpt)
     assert rows(spark.table(name)) == [(1, 15, "s")]
+
+
+def test_stream_backlog_in_bounded_batches(spark):
+    # three files waiting: with one file per batch they load as three
+    # batches, in arrival order, into one table location folder
+    base = spark.createDataFrame([(1, 10, "a")], "k int, v int, x string")
+    name = scratch_table_name("stream_backlog")
+    S.write_table(base, name, location=scratch_path(spark, name))
+    stage_dir, ckpt = scratch_path(spark, "backlog"), scratch_path(spark, "backlog_ckpt")
+    drops = [[(1, 11, "a1"), (2, 20, "b")], [(2, 21, "b1")], [(3, 30, "c"), (1, 12, "a2")]]
+    for d in drops:
+        write_stage(spark.createDataFrame(d, "k int, v int, x string").coalesce(1), stage_dir, mode="append")
+    spec = {"pattern": "upsert", "keys": ["k"], "order_by": ["v"], "location": scratch_path(spark, "backlog_v")}
+    q = start_stage_load(spark, stage_dir, SCHEMA, name, spec, checkpoint_location=ckpt, max_files_per_batch=1)
+    q.awaitTermination(180)
+    assert q.exception() is None
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
+    spark.catalog.refreshTable(name)
+    assert rows(spark.table(name)) == [(1, 12, "a2"), (2, 21, "b1"), (3, 30, "c")]
