@@ -100,9 +100,28 @@ def _mapped(base: DataFrame, stage: DataFrame, exprs) -> DataFrame:
 def distinct_new_rows(base: DataFrame, stage: DataFrame, exprs: Sequence[str | Column] | None = None) -> DataFrame:
     """Distinct staged rows that are not already in the base, compared on all
     columns with NULLs equal (as DISTINCT compares them).  Appending them to a
-    distinct base gives L4's result without rewriting the base."""
-    new = _mapped(base, stage, exprs).distinct()
-    b = base.select(*[F.col(c).alias(f"__b{i}") for i, c in enumerate(base.columns)])
+    distinct base gives L4's result without rewriting the base.
+
+    A base row equal to a staged row has the same row hash, so the base is
+    first cut down to the rows sharing a hash with some staged row: a semi
+    join against the staged rows' distinct hashes, a side as small as the
+    stage, which the planner broadcasts when it is small enough (so the base
+    is read but not shuffled).  The exact all-column comparison then runs on
+    that remainder only; hash collisions cost a comparison, never a row.
+    """
+    mapped = _mapped(base, stage, exprs)
+    # in the base's types: equal values must hash equal (an int 1 and a
+    # bigint 1 do not), and the rows are appended to the base as such
+    new = mapped.select(
+        *[
+            (F.col(c) if mapped.schema[c].dataType == f.dataType else F.col(c).cast(f.dataType)).alias(c)
+            for c, f in zip(base.columns, base.schema.fields)
+        ]
+    ).distinct()
+    row_hash = F.xxhash64(*[F.col(c) for c in base.columns])
+    staged_hashes = new.select(row_hash.alias("__h")).distinct()
+    near = base.join(staged_hashes, row_hash == staged_hashes["__h"], "left_semi")
+    b = near.select(*[F.col(c).alias(f"__b{i}") for i, c in enumerate(base.columns)])
     cond = reduce(lambda x, y: x & y, [new[c].eqNullSafe(b[f"__b{i}"]) for i, c in enumerate(base.columns)])
     return new.join(b, cond, "left_anti")
 

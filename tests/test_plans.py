@@ -152,3 +152,15 @@ def test_partitioned_update_finds_touched_partitions_by_pruning(spark):
     scan = next(line for line in plan(hits).splitlines() if "FileScan orc" in line)
     assert re.search(r"PartitionFilters: \[[^\]]*o_year#\d+ = 1997", scan), scan
     assert "EqualTo(o_orderstatus,P)" in scan, scan
+
+
+def test_append_distinct_reads_base_without_shuffling_it(spark):
+    ev = Q.table(spark, SF, "events")
+    base, st = ev.where(F.col("ts") < Q._ts("2024-01-20")), ev.where(F.col("ts") >= Q._ts("2024-01-15"))
+    text = plan(L.distinct_new_rows(base, st))
+    # the base is cut to rows sharing a hash with a staged row by a broadcast
+    # semi join; only that remainder meets the all-column comparison
+    assert re.search(r"BroadcastHashJoin \[xxhash64\([^\]]*\)\], \[__h#\d+L\], LeftSemi, BuildRight", text), text
+    base_scan = next(i for i, line in enumerate(text.splitlines()) if "LessThan(ts," in line)
+    above = text.splitlines()[base_scan - 2]
+    assert "Exchange" not in above, text

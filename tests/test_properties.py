@@ -171,3 +171,11 @@ def test_with_sequence(spark, rows, salted):
         seen[k] = seen.get(k, 0) + 1
         want.append((k, v, i, seen[k]))
     assert got == _sorted(want)
+
+
+def test_append_distinct_across_types(spark):
+    # staged ints against a bigint/double base: equal values are found
+    base = spark.createDataFrame([(1, 0.0), (2, None)], "k bigint, v double")
+    st = spark.createDataFrame([(1, -0.0), (2, None), (3, 1.5)], "k int, v float")
+    got = _run(spark, False, lambda: L.distinct_new_rows(base, st))
+    assert got == [(3, 1.5)]
