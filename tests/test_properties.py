@@ -179,3 +179,20 @@ def test_append_distinct_across_types(spark):
     st = spark.createDataFrame([(1, -0.0), (2, None), (3, 1.5)], "k int, v float")
     got = _run(spark, False, lambda: L.distinct_new_rows(base, st))
     assert got == [(3, 1.5)]
+
+
+@SETTINGS
+@given(base=ROWS, a=st.integers(0, 5), b=st.integers(0, 5))
+def test_update_and_delete_where(spark, base, a, b):
+    # WHERE v = a AND w <> b: a NULL comparison is not true, so such rows are
+    # neither updated nor deleted
+    b_df = spark.createDataFrame(base, BASE_SCHEMA)
+    preds = [("v", "=", a), ("w", "<>", b)]
+
+    def hit(v, w):
+        return v is not None and w is not None and v == a and w != b
+
+    got = _run(spark, False, lambda: L.update_where(b_df, preds, {"w": -1}))
+    assert got == _sorted((k, v, -1 if hit(v, w) else w) for k, v, w in base)
+    got = _run(spark, False, lambda: L.delete_where(b_df, preds))
+    assert got == _sorted(r for r in base if not hit(r[1], r[2]))
