@@ -268,13 +268,15 @@ def not_in_null_aware(
         .distinct()
         .withColumn("__hitv", F.lit(True))
     )
+    # both joins keep the base's rows: count them once for both hot-key checks
+    rows = base.count() if isinstance(skew, str) and skew == "auto" else None
     j1 = key_join(base, groups, [(lc, f"__g{i}") for i, lc in enumerate(lon)], "left",
-                  resolve(skew, base, lon))
+                  resolve(skew, base, lon, rows))
     j1 = j1.select(*[F.col(f"a.{c}").alias(c) for c in base.columns], F.col("m.__anynull").alias("__anynull"))
     # j1 holds exactly the base rows, so the base's key columns tell its hot keys
     pkeys = [*lon, col]
     j2 = key_join(j1, pairs, [(lc, f"__p{i}") for i, lc in enumerate(lon)] + [(col, "__pv")], "left",
-                  resolve(skew, base, pkeys))
+                  resolve(skew, base, pkeys, rows))
     anynull, hitv = F.col("a.__anynull"), F.col("m.__hitv")
     keep = anynull.isNull() | (F.col(f"a.{col}").isNotNull() & ~anynull & hitv.isNull())
     return j2.where(keep).select(*[F.col(f"a.{c}").alias(c) for c in base.columns])

@@ -52,12 +52,15 @@ SAMPLE_ROWS = 10_000_000
 SAMPLE_SEED = 17
 
 
-def hot_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
-    """Hot keys of ``df`` as ``__h0..`` plus a bucket count ``__n``; None if none."""
+def hot_keys(df: DataFrame, cols: Sequence[str], rows: int | None = None) -> DataFrame | None:
+    """Hot keys of ``df`` as ``__h0..`` plus a bucket count ``__n``; None if none.
+
+    ``rows`` is ``df``'s row count when the caller already knows it.
+    """
     spark = df.sparkSession
     min_rows = int(spark.conf.get(MIN_ROWS_CONF, str(DEFAULT_MIN_ROWS)))
     per_task = max(1, int(spark.conf.get(ROWS_PER_TASK_CONF, str(DEFAULT_ROWS_PER_TASK))))
-    n = df.count()
+    n = df.count() if rows is None else rows
     if n == 0 or n < min_rows:
         return None
     fraction = min(1.0, SAMPLE_ROWS / n)
@@ -87,14 +90,14 @@ def hot_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
     return hot
 
 
-def resolve(skew, df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
+def resolve(skew, df: DataFrame, cols: Sequence[str], rows: int | None = None) -> DataFrame | None:
     """``skew``: ``"auto"`` (sample ``df``), a hot-key frame, or None/False."""
     if skew is None or skew is False:
         return None
     if isinstance(skew, DataFrame):
         return skew
     if skew == "auto":
-        return hot_keys(df, cols)
+        return hot_keys(df, cols, rows)
     raise ValueError(f"skew must be 'auto', a hot-key frame or None, not {skew!r}")
 
 
