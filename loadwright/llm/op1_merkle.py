@@ -153,8 +153,8 @@ d AS (
   SELECT record_id, strlen(h || strlen(html) || e || html || e) AS length, sha256(h || strlen(html) || e || html || e) AS digest,
     sha256(h || strlen(html_b) || e || html_b || e) AS digest_b FROM r),
 o AS (
-  SELECT *, coalesce(sum(length) OVER (ORDER BY record_id NULLS FIRST, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at FROM d),
-f AS (SELECT *, at // {FILE_BYTES} AS file, at - min(at) OVER (PARTITION BY at // {FILE_BYTES}) AS "offset" FROM o),
+  SELECT *, coalesce(sum(length) OVER (ORDER BY record_id NULLS FIRST, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM d),
+f AS (SELECT *, pos // {FILE_BYTES} AS file, pos - min(pos) OVER (PARTITION BY pos // {FILE_BYTES}) AS "offset" FROM o),
 l AS (
   SELECT 'a' AS replica, file, "offset", length, digest, record_id FROM f WHERE coalesce(record_id % 103, 0) <> 5
   UNION ALL SELECT 'b', file, "offset", length, digest_b, record_id FROM f WHERE coalesce(record_id % 101, 0) <> 7),

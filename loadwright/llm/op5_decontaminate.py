@@ -129,6 +129,27 @@ def benchmark_blocks(bench: DataFrame, block_bytes: int = BLOCK_BYTES):
         yield [(r["item_id"], r["text"]) for r in part.select("item_id", "text").toLocalIterator()]
 
 
+HITS = "struct<n_words:long,n_hit:long,bits:binary,items:array<string>,cleaned:string>"
+
+
+def scanner(shared, spans: bool):
+    """Scans texts for one block of the benchmark, adding to the hits so far."""
+
+    @F.pandas_udf(HITS)
+    def scanned(text: pd.Series, bits: pd.Series, items: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t, b, its in zip(text, bits, items, strict=True):
+            hit, found = scan(t, shared.value)
+            if b is not None:
+                hit |= np.unpackbits(np.frombuffer(b, dtype=np.uint8), count=len(hit)).astype(bool)
+            names = {str(x) for x in found if x is not None} | set(its if its is not None else ())
+            cleaned = cut_spans(t, hit) if spans else None
+            rows.append((len(hit), int(hit.sum()), np.packbits(hit).tobytes(), sorted(names), cleaned))
+        return pd.DataFrame(rows, columns=["n_words", "n_hit", "bits", "items", "cleaned"])
+
+    return scanned
+
+
 def scan_documents(
     docs: DataFrame, bench: DataFrame, n: int = N_GRAM, block_bytes: int = BLOCK_BYTES, spans: bool = False
 ) -> DataFrame:
@@ -136,23 +157,9 @@ def scan_documents(
     ``spans`` the text without its hit spans (``cleaned``)."""
     spark = docs.sparkSession
     small_batches(spark)
-    kind = "n_words long, n_hit long, bits binary, items array<string>, cleaned string"
-    out = docs.withColumn("hits", F.lit(None).cast(f"struct<{kind.replace(' ', ':').replace(',:', ',')}>"))
+    out = docs.withColumn("hits", F.lit(None).cast(HITS))
     for items in benchmark_blocks(bench, block_bytes):
-        shared = spark.sparkContext.broadcast(index_items(items, n))
-
-        @F.pandas_udf(kind)
-        def scanned(text: pd.Series, bits: pd.Series, items: pd.Series) -> pd.DataFrame:
-            rows = []
-            for t, b, its in zip(text, bits, items, strict=True):
-                hit, found = scan(t, shared.value)
-                if b is not None:
-                    hit |= np.unpackbits(np.frombuffer(b, dtype=np.uint8), count=len(hit)).astype(bool)
-                names = {str(x) for x in found if x is not None} | set(its if its is not None else ())
-                cleaned = cut_spans(t, hit) if spans else None
-                rows.append((len(hit), int(hit.sum()), np.packbits(hit).tobytes(), sorted(names), cleaned))
-            return pd.DataFrame(rows, columns=["n_words", "n_hit", "bits", "items", "cleaned"])
-
+        scanned = scanner(spark.sparkContext.broadcast(index_items(items, n)), spans)
         out = out.withColumn("hits", scanned(F.col("text"), F.col("hits.bits"), F.col("hits.items")))
     return out
 
