@@ -45,6 +45,7 @@ HARD = 60  # more landmarks: the clean words that a first fit rates worst
 SAMPLE = 1500
 SAMPLE_CHARS = 20_000
 PIECE = 1 << 19  # characters scored at a time; pieces end at white space
+ROWS = 20_000  # feature rows added at a time in training, to bound the driver's memory
 THRESHOLD = 0.3
 COST = 100.0  # SVM cost of each class
 CLASSES = 40  # characters are mapped to so many classes
@@ -246,12 +247,14 @@ def fit_landmarks(marks, gains, vocab, members, y):
     known = np.full(CLASSES**4, -1, dtype=np.int32)
     known[codes] = np.arange(len(codes))
     cls, word, _ = units_of(" " + " ".join(vocab))
-    z = np.zeros((len(vocab), project.shape[1]))
+    z = np.zeros((len(vocab), project.shape[1]), dtype=np.float32)
     for w, code, weight in occurrences(cls, word):
         col = known[code]
-        hit = col >= 0
-        np.add.at(z, w[hit], weight * project[col[hit]])
-    z /= length_norm(np.bincount(word, minlength=len(vocab)))[:, None]
+        hit = np.flatnonzero(col >= 0)
+        for i in range(0, len(hit), ROWS):
+            some = hit[i : i + ROWS]
+            np.add.at(z, w[some], (weight * project[col[some]]).astype(np.float32))
+    z /= length_norm(np.bincount(word, minlength=len(vocab))).astype(np.float32)[:, None]
     # First witnesses: the words nearest to the landmarks of the largest gain.
     value = z @ (whiten.T @ (gains / gains.max()))
     v = np.zeros(project.shape[1])
