@@ -47,11 +47,11 @@ def lpt(sizes: list[tuple[int, int]], shards: int) -> list[tuple[int, list[int],
     out = []
     for size, n in sorted(sizes, reverse=True):
         first: list[int] = []
-        while n > len(first) and max(heap)[0] - heap[0][0] > size:
+        while n > len(first) and (heap[0][0] + size, heap[0][1]) < max(heap):
             load, s = heapq.heappop(heap)
             first.append(s)
             heapq.heappush(heap, (load + size, s))
-        # From here on, popping a shard puts it behind all others: it goes round.
+        # From here on a popped shard goes behind all others: they take turns.
         order = sorted(heap)
         full, extra = divmod(n - len(first), shards)
         heap = [(load + size * (full + (i < extra)), s) for i, (load, s) in enumerate(order)]

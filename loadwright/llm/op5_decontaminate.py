@@ -39,7 +39,8 @@ _KEEP = bytes(
     (c | 0x20) if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
     for c in range(256)
 )
-_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+# The same words in the text as written, where A-Z are not lowered yet.
+_WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _MULT = np.array([pow(0x9E3779B97F4A7C15, j + 1, 2**64) | 1 for j in range(64)], dtype=np.uint64)
 
 

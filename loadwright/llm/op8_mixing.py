@@ -6,8 +6,9 @@ source's size and the excess is shared again by weight.  A source's complete
 epochs are taken first.  The rest of its budget goes to documents in the order
 of their exponential keys ``-ln(u) / quality``: u is a hash of the doc_id, and
 the quality weight falls with the text's symbols, so better documents come
-first more often.  Running sums over the key order cut at the budget; the one
-document whose size best fills what is left is added.
+first more often.  Running sums over the key order cut at the budget; what is
+left is filled by the largest document that fits, ``FILLS`` times, so a source
+comes close to its target even if the document at the cut is long.
 
 The running sums come from a range partitioning (``ordered_sums``), so a
 source with a third of all rows is spread over many tasks; only one row per
@@ -30,6 +31,7 @@ from .common import hash_unit, materialise, ordered_sums, table
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 SYMBOL_COST = 4
+FILLS = 3  # documents a source that fill what the cut leaves of its budget
 SYMBOLS = "#*$%&|<>"
 
 
@@ -86,19 +88,27 @@ def copies(rows: DataFrame) -> DataFrame:
     t = targets.withColumnRenamed("source", "t_source")
     placed = sums.join(t, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
     placed = materialise(placed.withColumn("whole", F.col("before") + F.col("size") <= F.col("budget")), "placed")
-    # What the whole documents leave of the budget, and the document nearest to it.
+    # What the whole documents leave of the budget, filled by the largest that fits, again and again.
     gaps = placed.groupBy("source").agg(
         (F.first("budget") - F.sum(F.when(F.col("whole"), F.col("size")).otherwise(0)).cast("double")).alias("gap")
     )
     gaps = materialise(gaps.withColumnRenamed("source", "g_source"), "gaps")
-    off = F.abs(F.col("size").cast("double") - F.col("gap"))
-    nearest = (
-        placed.where("NOT whole").join(gaps, F.col("source").eqNullSafe(F.col("g_source")))
-        .where(off < F.col("gap"))
-        .groupBy("source").agg(F.min(F.struct(off, "key", F.col("doc_id"), F.col("rid").alias("chosen"))).alias("m"))
-        .select(F.col("m.chosen").alias("chosen"))
-    )
-    return placed.join(nearest, F.col("rid") == F.col("chosen"), "left").withColumn(
+    rest = placed.where("NOT whole AND size > 0").select("rid", "doc_id", "source", "size", "key")
+    chosen = None
+    for _ in range(FILLS):
+        free = rest if chosen is None else rest.join(chosen.select("rid"), "rid", "left_anti")
+        fits = free.join(gaps, F.col("source").eqNullSafe(F.col("g_source"))).where(F.col("size") <= F.col("gap"))
+        best = fits.groupBy("source").agg(F.min(F.struct(F.col("gap") - F.col("size"), "key", "doc_id", "rid", "size")).alias("m"))
+        best = materialise(best.select("source", F.col("m.rid").alias("rid"), F.col("m.size").alias("size")), "fill")
+        chosen = best if chosen is None else chosen.union(best)
+        used = best.select(F.col("source").alias("u_source"), F.col("size").alias("used"))
+        gaps = materialise(
+            gaps.join(used, F.col("g_source").eqNullSafe(F.col("u_source")), "left")
+            .select("g_source", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")),
+            "gaps",
+        )
+    chosen = chosen.select(F.col("rid").alias("chosen"))
+    return placed.join(chosen, F.col("rid") == F.col("chosen"), "left").withColumn(
         "copies", F.col("epochs") + (F.col("whole") | F.col("chosen").isNotNull()).cast("long")
     ).select("rid", "doc_id", "source", "size", "source_size", "target", "copies")
 
@@ -156,17 +166,24 @@ e AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM t),
 p AS (
   SELECT k.*, e.source_size, e.target, e.epochs, e.target - (e.epochs * e.source_size)::DOUBLE AS budget,
-    sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, rid) AS upto
+    sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS FIRST, rid) AS upto
   FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source),
-g AS (
+g0 AS (
   SELECT source, any_value(budget) - sum(CASE WHEN upto <= budget THEN size ELSE 0 END)::DOUBLE AS gap FROM p GROUP BY 1),
-c AS (
-  SELECT rid AS chosen, row_number() OVER (PARTITION BY p.source ORDER BY abs(size::DOUBLE - gap), key, doc_id, rid) AS n
-  FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source
-  WHERE upto > budget AND abs(size::DOUBLE - gap) < gap)
+r0 AS (SELECT rid, doc_id, source, size, key FROM p WHERE upto > budget AND size > 0),
+""" + "".join(
+    f"""
+c{n} AS (SELECT * FROM (
+  SELECT r{n}.*, row_number() OVER (PARTITION BY r{n}.source ORDER BY gap - size, key, doc_id NULLS FIRST, rid) AS n
+  FROM r{n} JOIN g{n} ON r{n}.source IS NOT DISTINCT FROM g{n}.source WHERE size <= gap) WHERE n = 1),
+g{n + 1} AS (SELECT g{n}.source, gap - coalesce(c{n}.size, 0) AS gap FROM g{n} LEFT JOIN c{n} ON g{n}.source IS NOT DISTINCT FROM c{n}.source),
+r{n + 1} AS (SELECT * FROM r{n} WHERE rid NOT IN (SELECT rid FROM c{n})),"""
+    for n in range(FILLS)
+) + f"""
+c AS ({' UNION ALL '.join(f'SELECT rid AS chosen FROM c{n}' for n in range(FILLS))})
 SELECT doc_id, size, source_size, target,
   (size * (epochs + CASE WHEN upto <= budget OR chosen IS NOT NULL THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM p LEFT JOIN (SELECT chosen FROM c WHERE n = 1) ON rid = chosen
+FROM p LEFT JOIN c ON rid = chosen
 """
 
 QUERIES = {"op8_source_mix": op8_source_mix}
