@@ -90,7 +90,8 @@ def decode_td_date(c: str | Column) -> Column:
 def sentinel_date(c: str | Column) -> Column:
     """The end-of-time code 6000101 becomes DATE 2500-01-01.
 
-    Any other integer code is decoded as a Teradata date; a DATE passes.
+    Any other integer code is decoded as a Teradata date.  The column holds
+    integer codes; a DATE column has no sentinel and needs no call.
     The literal is used instead of ``from_unixtime`` so the result does not
     depend on the session time zone.
     """

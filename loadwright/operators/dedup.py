@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadwright.functions.columns import as_col, as_expr
 from loadwright.operators.skew import resolve
+from loadwright.session import checkpointed
 
 SEQ_COL = "row_num"
 
@@ -28,9 +30,10 @@ def global_sequence(df: DataFrame, order_by: Sequence[str | Column], name: str =
     Rows are range-partitioned and sorted on the order columns; each row's
     number is its position in its partition plus the row count of all earlier
     partitions.  The counts table has one row per partition, so the window
-    over it and its broadcast are bounded by the partition count.  Range
-    bounds come from Spark's seeded sample, so both uses of the sorted rows
-    see the same partitions.
+    over it and its broadcast are bounded by the partition count.  The sorted
+    partitions are checkpointed before they are counted: two plans over them
+    would each sample range bounds of their own, and count other partitions
+    than the rows come in.
 
     Rows tied on every order column are numbered by input position (the
     last sort and range column), so ties follow file order and a group of
@@ -49,6 +52,7 @@ def global_sequence(df: DataFrame, order_by: Sequence[str | Column], name: str =
         .withColumn("__pid", pid)
         .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
     )
+    s = checkpointed(s)
     counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
@@ -68,7 +72,7 @@ def with_sequence(
     With ``keys`` the number restarts per key: a window per key for ordinary
     keys.  The rows of hot keys (``skew="auto"`` samples for them) are numbered
     by ``global_sequence`` over (key, order) instead, less the first number of
-    their key, so a key holding a large share of the rows is spread over many
+    their key; rows with a NULL key go with them, so a key holding a large share of the rows is spread over many
     tasks.  Without keys and order, the scan position
     (``monotonically_increasing_id``: unique and increasing, not dense) is
     used; without keys but with an order, ``global_sequence``.
@@ -83,13 +87,15 @@ def with_sequence(
     if hot is None:
         return df.withColumn(name, F.row_number().over(w).cast("long"))
     h = F.broadcast(hot.select(*[F.col(f"__h{i}").alias(k) for i, k in enumerate(keys)]))
-    cold = df.join(h, list(keys), "left_anti")
-    warm = df.join(h, list(keys), "left_semi")
+    unkeyed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    cold = df.where(~unkeyed).join(h, list(keys), "left_anti")
+    warm = df.where(~unkeyed).join(h, list(keys), "left_semi").select(*df.columns).unionByName(df.where(unkeyed))
     numbered = global_sequence(warm, [*keys, *order], "__g")
-    first = numbered.groupBy(*keys).agg(F.min("__g").alias("__g0"))  # one row per hot key
-    warm_out = numbered.join(F.broadcast(first), list(keys)).withColumn(
-        name, F.col("__g") - F.col("__g0") + 1
-    ).select(*df.columns, name)
+    # One row per hot key, and per key with a NULL part (as many as there are,
+    # so the planner chooses the join).
+    first = numbered.groupBy(*[F.col(k).alias(f"__f{i}") for i, k in enumerate(keys)]).agg(F.min("__g").alias("__g0"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__f{i}")) for i, k in enumerate(keys)])
+    warm_out = numbered.join(first, same).withColumn(name, F.col("__g") - F.col("__g0") + 1).select(*df.columns, name)
     cold_out = cold.withColumn(name, F.row_number().over(w).cast("long"))
     return cold_out.unionByName(warm_out)
 

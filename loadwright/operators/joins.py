@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadwright.operators.skew import key_join, resolve
+from loadwright.session import checkpointed
 
 
 def _key_map(keys: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
@@ -138,7 +139,8 @@ def touched_values(delta: DataFrame, col: str) -> tuple[DataFrame, int]:
     The set is materialised once, so counting it and using it do not compute
     the delta twice; it is bounded by the number of partitions of the table.
     """
-    vals = delta.select(F.col(col).alias("__k0")).distinct().checkpoint(eager=True)
+    vals = delta.select(F.col(col).alias("__k0")).distinct()
+    vals = checkpointed(vals)
     return vals, vals.count()
 
 

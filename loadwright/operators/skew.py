@@ -23,6 +23,9 @@ apply.  The hot keys are therefore salted explicitly:
    a broadcast join with the small hot-key set, which needs no shuffle.  The
    join is then on (key, bucket).
 
+Rows whose key has a NULL part match nothing; the salted join spreads them by
+the same hash, and is used for them alone too when they are many.
+
 Which rows match is unchanged: a row and its partner always share key and
 bucket.  Tables below ``spark.loadwright.skew.minRows`` rows are not sampled.
 """
@@ -35,6 +38,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadwright.session import checkpointed
+
 MIN_ROWS_CONF = "spark.loadwright.skew.minRows"
 ROWS_PER_TASK_CONF = "spark.loadwright.skew.rowsPerTask"
 DEFAULT_MIN_ROWS = 10_000_000
@@ -79,14 +84,17 @@ def hot_keys(df: DataFrame, cols: Sequence[str], rows: int | None = None) -> Dat
             *[f"__h{i}" for i in range(len(cols))],
             F.least(F.ceil(est / F.lit(per_task)), F.lit(MAX_BUCKETS)).cast("int").alias("__n"),
         )
-        .checkpoint(eager=True)
     )
+    hot = checkpointed(hot)
     k = hot.count()
     if k == 0:
-        return None
+        # NULL keys match nothing, but one task would gather them: above the
+        # threshold an empty set makes key_join spread them.
+        unkeyed = sampled.where(reduce(lambda a, b: a | b, [F.col(f"__h{i}").isNull() for i in range(len(cols))]))
+        return hot if unkeyed.count() / fraction >= hot_rows else None
     if k > MAX_HOT_KEYS:
         # sampling noise: keep the largest keys; the rest join unsalted
-        hot = hot.orderBy(F.desc("__n")).limit(MAX_HOT_KEYS).checkpoint(eager=True)
+        hot = checkpointed(hot.orderBy(F.desc("__n")).limit(MAX_HOT_KEYS))
     return hot
 
 
@@ -138,7 +146,12 @@ def key_join(
     # Hash of the row and its input split: rows that are exact copies still
     # spread, by split; both are stable when a lost task is recomputed.
     row_hash = F.xxhash64(*[left[c] for c in left.columns], F.spark_partition_id())
-    salt = F.when(h["__n"].isNotNull(), F.pmod(row_hash, h["__n"])).otherwise(F.lit(0)).cast("int")
+    # Rows with a NULL key find no partner wherever they are: spread them.
+    unkeyed = reduce(lambda a, b: a | b, [left[l].isNull() for l, _ in pairs])
+    salt = (
+        F.when(h["__n"].isNotNull(), F.pmod(row_hash, h["__n"])).when(unkeyed, F.pmod(row_hash, F.lit(MAX_BUCKETS)))
+        .otherwise(F.lit(0)).cast("int")
+    )
     ls = lj.select(*[left[c] for c in left.columns], salt.alias("__salt"))
 
     g = F.broadcast(hot.select(*[F.col(f"__h{i}").alias(f"__g{i}") for i in range(len(pairs))], F.col("__n").alias("__gn")))

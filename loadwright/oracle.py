@@ -332,4 +332,31 @@ ORACLE: dict[str, str] = {
                o_totalprice, o_orderdate, o_orderpriority
         FROM orders""",
     "stream_upsert": _UPSERT,
+    "global_sequence": "SELECT *, row_number() OVER (ORDER BY o_orderkey) AS row_num FROM orders",
+    "with_sequence_hot_key_salted": """
+        SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS row_num FROM orders""",
+    "unaffected_null_keys": f"""
+        WITH {_ORDERS_CTE}
+        SELECT CASE WHEN o_orderstatus <> 'F' THEN o_orderkey END AS o_orderkey, * EXCLUDE (o_orderkey) FROM ob
+        WHERE o_orderstatus = 'F' OR NOT EXISTS (SELECT 1 FROM os_raw s WHERE s.o_orderkey = ob.o_orderkey)""",
+    "update_from_null_keys": f"""
+        WITH {_ORDERS_CTE}
+        SELECT CASE WHEN o_orderstatus <> 'F' THEN o_orderkey END AS o_orderkey, * EXCLUDE (o_orderkey)
+          REPLACE (CASE WHEN o_orderstatus <> 'F' AND EXISTS (SELECT 1 FROM os_raw s WHERE s.o_orderkey = ob.o_orderkey)
+            THEN 0.0 ELSE o_totalprice END AS o_totalprice) FROM ob""",
+    "upsert_accumulate_partitioned": f"""
+        WITH {_YEARS_CTE}, t AS (SELECT o_year FROM pm UNION SELECT o_year FROM oy WHERE o_orderkey IN (SELECT o_orderkey FROM pm))
+        SELECT oy.* FROM oy WHERE o_year IN (SELECT o_year FROM t) AND o_orderkey NOT IN (SELECT o_orderkey FROM pm)
+        UNION ALL
+        SELECT pm.* REPLACE (oy.o_totalprice + pm.o_totalprice AS o_totalprice) FROM pm JOIN oy ON pm.o_orderkey = oy.o_orderkey""",
+    "upsert_partial_partitioned": f"""
+        WITH {_YEARS_CTE}
+        SELECT oy.* REPLACE (coalesce(ps.o_totalprice, oy.o_totalprice) AS o_totalprice)
+        FROM oy LEFT JOIN ps ON ps.o_orderkey = oy.o_orderkey WHERE oy.o_year IN (SELECT o_year FROM ps)""",
+    "upsert_type_kept": f"""
+        SELECT * REPLACE (CAST(o_custkey AS INTEGER) AS o_custkey), 'int' AS type FROM ({_UPSERT})""",
+    "insert_select_partitioned": f"""
+        WITH {_YEARS_CTE} SELECT * FROM oy UNION ALL SELECT * FROM pm""",
+    "stream_history": f"""
+        WITH {_ORDERS_CTE} SELECT * FROM ob UNION ALL SELECT * FROM os_raw""",
 }

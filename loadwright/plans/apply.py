@@ -39,7 +39,7 @@ def _upsert(base, stage, spec):
     if spec.get("partition"):
         return L.upsert_partitioned(
             base, stage, spec["keys"], spec["partition"], spec.get("order_by"),
-            spec.get("exprs"), spec.get("scope", "partition"), skew,
+            spec.get("exprs"), spec.get("scope", "partition"), skew, spec.get("sets"), spec.get("columns"),
         )
     if spec.get("sets"):
         return L.upsert_accumulate(
@@ -78,6 +78,40 @@ PATTERNS: dict[str, Callable[[DataFrame | None, DataFrame | None, Mapping], Data
     "delete": _delete,
 }
 
+_UPSERT_KEYS = {"keys", "order_by", "exprs", "partition", "scope", "sets", "columns", "stage_keys"}
+# What each pattern reads from its spec; any other key is refused.
+SPEC_KEYS: dict[str, set[str]] = {
+    "history": {"types", "partition"},
+    "overwrite": {"exprs", "partition"},
+    "full_refresh": {"exprs", "partition"},
+    "distinct": {"exprs", "base_distinct", "partition"},
+    "append_distinct": {"exprs", "base_distinct", "partition"},
+    "insert": {"cols", "partition"},
+    "insert_select": {"cols", "partition"},
+    "upsert": _UPSERT_KEYS,
+    "summarize": _UPSERT_KEYS,
+    "update": {"on", "where", "sets", "partition"},
+    "delete": {"on", "where", "partition"},
+}
+_ANY_PATTERN = {"pattern", "format", "location", "schema", "skew"}
+# Keys of which a pattern can follow only one.
+_EXCLUSIVE = [("sets", "columns"), ("partition", "stage_keys"), ("sets", "stage_keys"), ("columns", "stage_keys")]
+
+
+def _check_spec(spec: Mapping) -> None:
+    pattern = spec.get("pattern")
+    given = {k for k, v in spec.items() if v is not None}
+    unused = given - SPEC_KEYS[pattern] - _ANY_PATTERN
+    if unused:
+        raise ValueError(f"load pattern {pattern!r} does not use {sorted(unused)}")
+    if pattern in ("upsert", "summarize"):
+        for a, b in _EXCLUSIVE:
+            if {a, b} <= given:
+                raise ValueError(f"load pattern {pattern!r} takes {a!r} or {b!r}, not both")
+    if pattern in ("update", "delete") and {"on", "where"} <= given:
+        raise ValueError(f"load pattern {pattern!r} takes 'on' or 'where', not both")
+
+
 # Patterns whose result replaces the whole table without reading it.
 _DISCARDS_BASE = {"history", "overwrite", "full_refresh"}
 
@@ -94,6 +128,7 @@ def apply_load(base: DataFrame | None, stage: DataFrame | None, spec: Mapping) -
     pattern = spec.get("pattern")
     if pattern not in PATTERNS:
         raise ValueError(f"unknown load pattern {pattern!r}; one of {sorted(PATTERNS)}")
+    _check_spec(spec)
     if pattern == "summarize" and not spec.get("sets"):
         raise ValueError("summarize needs 'sets'")
     return PATTERNS[pattern](base, stage, spec)
@@ -112,7 +147,7 @@ def _hit_rows(base: DataFrame, stage: DataFrame | None, spec: Mapping) -> DataFr
 
 
 def _partition_scoped(target: str, base: DataFrame, stage: DataFrame | None, spec: Mapping,
-                      part: str, path_fmt: str) -> DataFrame:
+                      part: str, path_fmt: str) -> None:
     """Update / delete on a partitioned table: only partitions holding a
     touched row are rebuilt and overwritten; a partition a delete empties is
     dropped (dynamic overwrite leaves partitions absent from its output)."""
@@ -131,7 +166,6 @@ def _partition_scoped(target: str, base: DataFrame, stage: DataFrame | None, spe
         spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({part} = {lit})")
     if emptied:
         spark.catalog.refreshTable(target)
-    return rebuilt
 
 
 def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFrame | None = None) -> DataFrame:
@@ -143,8 +177,17 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
     insert-select append only the new rows; every
     other pattern replaces the table (through ``swap_in`` for a catalog
     table, since the new content reads the old), keeping the table's format,
-    partitioning and bucketing.
+    partitioning and bucketing.  Returns the table as it is then.
     """
+    _run_load(target, stage, spec, base)
+    src = stage if stage is not None else base
+    spark = src.sparkSession if src is not None else SparkSession.active()
+    if not S._is_path(target):
+        spark.catalog.refreshTable(target)
+    return S.scan_base(spark, target, spec.get("format") or S.DEFAULT_FORMAT, spec.get("schema"))
+
+
+def _run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFrame | None) -> None:
     src = stage if stage is not None else base
     spark = src.sparkSession if src is not None else SparkSession.active()
     pattern = spec["pattern"]
@@ -152,28 +195,30 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
     path_fmt = fmt or S.DEFAULT_FORMAT
     if base is None and pattern not in _DISCARDS_BASE:
         base = S.scan_base(spark, target, path_fmt, spec.get("schema"))
-    new = apply_load(base, stage, spec)
+    if pattern not in PATTERNS:
+        raise ValueError(f"unknown load pattern {pattern!r}; one of {sorted(PATTERNS)}")
+    _check_spec(spec)
     part = spec.get("partition")
     if pattern in ("update", "delete"):
         layout_part = part or (S.table_layout(spark, target)["partition_by"] if not S._is_path(target) else [])
         if isinstance(layout_part, str):
             layout_part = [layout_part]
         if len(layout_part or []) == 1:
-            return _partition_scoped(target, base, stage, spec, layout_part[0], path_fmt)
+            _partition_scoped(target, base, stage, spec, layout_part[0], path_fmt)
+            return
     if pattern in ("insert", "insert_select"):
-        S.append(L.selected_rows(base, stage, spec["cols"]), target, path_fmt)
+        S.append(L.selected_rows(base, stage, spec["cols"]), target, path_fmt, [part] if part else None)
     elif pattern in ("distinct", "append_distinct") and spec.get("base_distinct"):
         # only the rows not yet in the (distinct) base are written
         new_only = L.distinct_new_rows(base, stage, spec.get("exprs"))
         S.append(new_only, target, path_fmt, [part] if part else None)
     elif pattern in ("upsert", "summarize") and part:
-        S.overwrite_partitions(new, target, part, path_fmt)
+        S.overwrite_partitions(apply_load(base, stage, spec), target, part, path_fmt)
     elif S._is_path(target) and pattern not in _DISCARDS_BASE:
         raise ValueError(
             "run_load: a folder target cannot be rewritten by a plan that reads it; "
             "use a catalog table (swapped in) or a partitioned upsert"
         )
     else:
-        S.overwrite(new, target, fmt, [part] if part and pattern == "history" else None,
+        S.overwrite(apply_load(base, stage, spec), target, fmt, [part] if part and pattern == "history" else None,
                     spec.get("location"))
-    return new

@@ -47,8 +47,19 @@ def _delta(
     nodups = latest_per_key(stage, list(stage_keys or keys), order_by)
     target = list(columns or base.columns)
     if exprs is not None:
-        return map_columns(nodups, target, exprs, allow_prefix=columns is not None)
-    return nodups.select(*target)
+        return _as_base(map_columns(nodups, target, exprs, allow_prefix=columns is not None), base)
+    return _as_base(nodups.select(*target), base)
+
+
+def _as_base(rows: DataFrame, base: DataFrame) -> DataFrame:
+    """Rows in the base's column types: a load keeps the table's schema."""
+    types = {f.name: f.dataType for f in base.schema.fields}
+    return rows.select(
+        *[
+            F.col(f.name).cast(types[f.name]).alias(f.name) if types.get(f.name, f.dataType) != f.dataType else F.col(f.name)
+            for f in rows.schema.fields
+        ]
+    )
 
 
 # ------------------------------------------------------------------ L1-L5
@@ -283,9 +294,14 @@ def upsert_partitioned(
     exprs: Sequence[str | Column] | None = None,
     scope: str = "partition",
     skew="auto",
+    sets: Mapping[str, str | Column] | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """The rebuilt partitions, to be written by ``overwrite_partitions``.
 
+    With ``sets`` (as L8) or ``columns`` (as L7, the partition column among
+    them) the staged rows are accumulated or filled from the old ones there.
+
     ``scope="partition"`` rebuilds the partitions the staged rows land in:
     their base rows not replaced by a staged key, plus the staged rows.  A
     key staged into another partition than its old one keeps its old copy
@@ -293,7 +309,10 @@ def upsert_partitioned(
     partitions that hold an old copy of a staged key, so every key stays
     unique.
     """
-    d = _delta(base, stage, keys, order_by, exprs)
+    if columns is not None and partition_col not in [*keys, *columns]:
+        raise ValueError("a partial upsert by partition needs the partition column among its columns")
+    listed = None if columns is None else list(dict.fromkeys([*keys, *columns]))
+    d = _delta(base, stage, keys, order_by, exprs, columns=listed)
     touched = d.select(partition_col)
     if scope == "table":
         old_homes = matching(base, _key_source(stage, d, exprs, None), keys, "left_semi", skew).select(partition_col)
@@ -301,6 +320,10 @@ def upsert_partitioned(
     elif scope != "partition":
         raise ValueError("scope must be 'partition' or 'table'")
     in_touched = affected_partitions(base, touched, partition_col)
+    if sets:
+        return upsert_accumulate(in_touched, stage, keys, sets, order_by, exprs, skew)
+    if columns:
+        return upsert_partial(in_touched, stage, keys, columns, order_by, exprs, skew)
     return stack(unaffected(in_touched, _key_source(stage, d, exprs, None), keys, skew), d)
 
 

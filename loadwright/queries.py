@@ -20,6 +20,7 @@ checkpoint folder and return the table read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from loadwright.operators import dedup as A
 from loadwright.operators import filters as FL
 from loadwright.operators import joins as J
 from loadwright.operators.setops import stack
+from loadwright.operators.skew import MIN_ROWS_CONF, ROWS_PER_TASK_CONF
 from loadwright.plans import loads as L
 from loadwright.plans.apply import apply_load
 from loadwright.session import scratch_path, scratch_table_name
@@ -139,6 +141,45 @@ def q_with_sequence_hot_key(spark, sf):
     return A.with_sequence(li, HOT_KEYS, HOT_ORDER)
 
 
+@contextmanager
+def _salting(spark):
+    """Hot-key handling as on a huge table: every key counts as hot."""
+    own = {MIN_ROWS_CONF: "1", ROWS_PER_TASK_CONF: "100"}
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def q_global_sequence(spark, sf):
+    """Numbers in the order of one column; the others are payload."""
+    return A.global_sequence(table(spark, sf, "orders"), ["o_orderkey"])
+
+
+def q_with_sequence_hot_key_salted(spark, sf):
+    with _salting(spark):
+        return A.with_sequence(table(spark, sf, "orders"), ["o_orderpriority"], ["o_orderkey"])
+
+
+def _half_null(df):
+    """Finished orders lose their key."""
+    return df.withColumn("o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_orderkey")))
+
+
+def q_unaffected_null_keys(spark, sf):
+    with _salting(spark):
+        return J.unaffected(_half_null(orders_base(spark, sf)), orders_stage(spark, sf), ORDER_KEYS)
+
+
+def q_update_from_null_keys(spark, sf):
+    with _salting(spark):
+        return L.update_from(_half_null(orders_base(spark, sf)), orders_stage(spark, sf), ORDER_KEYS, {"o_totalprice": 0.0})
+
+
 def q_select_distinct(spark, sf):
     li = table(spark, sf, "lineitem")
     return A.select_distinct(
@@ -515,6 +556,53 @@ def q_run_load_partitioned(spark, sf):
     return spark.table(name)
 
 
+def q_upsert_accumulate_partitioned(spark, sf):
+    """Prices of open orders added up inside the partitions they touch."""
+    spec = {"pattern": "summarize", "keys": ORDER_KEYS, "partition": "o_year", "scope": "table",
+            "sets": {"o_totalprice": "a.o_totalprice + m.o_totalprice"}}
+    return apply_load(orders_by_year(spark, sf), partition_stage(spark, sf, 1999), spec)
+
+
+def q_upsert_partial_partitioned(spark, sf):
+    """Only price and year are staged; the other columns keep their values."""
+    spec = {"pattern": "upsert", "keys": ORDER_KEYS, "partition": "o_year", "scope": "partition",
+            "columns": ["o_totalprice", "o_year"]}
+    stage = partition_stage(spark, sf).select("o_orderkey", "o_totalprice", "o_year")
+    return apply_load(orders_by_year(spark, sf), stage, spec)
+
+
+def q_upsert_type_kept(spark, sf):
+    """An INT base column stays INT when the stage brings BIGINT."""
+    base = orders_base(spark, sf).withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    out = L.upsert(base, orders_stage(spark, sf), ORDER_KEYS, ["o_orderdate"])
+    return out.withColumn("type", F.typeof("o_custkey"))
+
+
+def q_insert_select_partitioned(spark, sf):
+    """An insert into a partitioned folder goes to its partitions."""
+    from loadwright.plans.apply import run_load
+
+    path = _write_partitioned_orders(spark, sf)
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "o_year"]
+    return run_load(path, partition_stage(spark, sf, 1999), {"pattern": "insert", "cols": cols})
+
+
+def q_stream_history(spark, sf):
+    """Several landed files make the new table together."""
+    from loadwright.streaming.stage_files import start_stage_load
+
+    name, drops = scratch_table_name("orders_history"), scratch_path(spark, "history_drops")
+    ST.write_stage(orders_base(spark, sf), drops)
+    ST.write_stage(orders_stage(spark, sf), drops, mode="append")
+    spec = {"pattern": "history", "location": scratch_path(spark, name)}
+    q = start_stage_load(spark, drops, TY.ddl_schema(ORDERS_DDL), name, spec)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stage stream failed: {q.exception()}")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def q_apply_load_delete(spark, sf):
     spec = {"pattern": "delete", "where": [("l_returnflag", "=", "A"), ("l_quantity", "<", 10)]}
     return apply_load(table(spark, sf, "lineitem"), None, spec)
@@ -703,4 +791,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "swap_in": q_swap_in,
     "overwrite": q_overwrite,
     "stream_upsert": q_stream_upsert,
+    "global_sequence": q_global_sequence,
+    "with_sequence_hot_key_salted": q_with_sequence_hot_key_salted,
+    "unaffected_null_keys": q_unaffected_null_keys,
+    "update_from_null_keys": q_update_from_null_keys,
+    "upsert_accumulate_partitioned": q_upsert_accumulate_partitioned,
+    "upsert_partial_partitioned": q_upsert_partial_partitioned,
+    "upsert_type_kept": q_upsert_type_kept,
+    "insert_select_partitioned": q_insert_select_partitioned,
+    "stream_history": q_stream_history,
 }

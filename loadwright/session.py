@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings applied to every session built here.  Values sized for a large
 # cluster; tests and the bench shrink the shuffle partition count.
@@ -69,8 +69,9 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared file system (HDFS, object store).
-    Only when the session has none (local tests) a temporary folder is set.
+    On a cluster this must be a shared file system (HDFS, object store), so
+    a session off ``local`` without one is refused.  Only a local session
+    (tests) gets a temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,11 +79,19 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="loadwright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder (reliable, lineage cut)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     root = checkpoint_root(spark)

