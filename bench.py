@@ -42,6 +42,10 @@ HEADLINE = [
     "not_in_null_aware",
     "history_load",
     "swap_in",
+    "with_sequence",
+    "with_sequence_hot_key_salted",
+    "run_load_upsert",
+    "delete_partitioned",
 ]
 
 
