@@ -6,15 +6,19 @@
 
 from __future__ import annotations
 
+import itertools
+import os
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from loadwright.operators.filters import predicate
 from loadwright.operators.joins import affected_partitions, matching, touched_values
 from loadwright.plans import loads as L
+from loadwright.session import checkpointed
 from loadwright.sources import tables as S
 
 
@@ -134,6 +138,79 @@ def apply_load(base: DataFrame | None, stage: DataFrame | None, spec: Mapping) -
     return PATTERNS[pattern](base, stage, spec)
 
 
+@dataclass(frozen=True)
+class Batch:
+    """One batch of a stream of loads, applied once even if it is replayed
+    after a driver was lost at any point of the load.
+
+    - A table that is swapped in carries the batch number as a property, set
+      before the swap.
+    - Rebuilt partitions are written to ``folder`` first; a replay overwrites
+      the partitions with those rows again instead of rebuilding them.
+    - Appends note the target's row count in ``folder`` first; a replay finds
+      the rows there or not.  This needs one writer at a time on the target.
+    """
+
+    stream: str
+    number: int
+    folder: str
+
+    @property
+    def property_key(self) -> str:
+        return f"loadwright.batch.{self.stream}"
+
+    def in_table(self, spark: SparkSession, target: str) -> bool:
+        """Is the batch part of the catalog table as it is now?"""
+        if S._is_path(target) or not spark.catalog.tableExists(target):
+            return False
+        return int(S.table_properties(spark, target).get(self.property_key, -1)) >= self.number
+
+    def _path(self, what: str) -> str:
+        return os.path.join(self.folder, f"{what}-{self.number}")
+
+    def note(self, spark: SparkSession, what: str, value: int = 0) -> None:
+        spark.createDataFrame([(value,)], "value long").write.mode("overwrite").parquet(self._path(what))
+
+    def noted(self, spark: SparkSession, what: str) -> int | None:
+        try:
+            found = spark.read.schema("value long").parquet(self._path(what)).head()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        return None if found is None else found[0]  # a write cut short leaves no row
+
+    def rebuilt(self, spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+        rows = self._path("rebuilt")
+        if self.noted(spark, "rebuilt-done") is None:
+            build().write.mode("overwrite").parquet(rows)
+            self.note(spark, "rebuilt-done")
+        return spark.read.parquet(rows)
+
+    def applied(self, spark: SparkSession) -> None:
+        """Note that the load is over, and drop the rebuilt rows kept for a replay."""
+        self.note(spark, "applied")
+        fs, path = S._filesystem(spark, self.folder)
+        fs.delete(path(self._path("rebuilt")), True)
+
+    def append(self, rows: DataFrame, target: str, fmt: str, partition_by: list[str] | None) -> None:
+        spark = rows.sparkSession
+
+        def held() -> int:
+            return S.scan_base(spark, target, fmt).count() if S._exists(spark, target, fmt) else 0
+
+        before = self.noted(spark, "rows-before")
+        if before is None:
+            self.note(spark, "rows-before", held())
+        else:
+            added = held() - before
+            if added:
+                if added != rows.count():
+                    raise RuntimeError(f"batch {self.number}: {target} holds {added} rows more than before the batch, which has another count")
+                return
+        S.append(rows, target, fmt, partition_by)
+
+
 def _hit_rows(base: DataFrame, stage: DataFrame | None, spec: Mapping) -> DataFrame:
     """Base rows an update / delete touches.
 
@@ -147,28 +224,41 @@ def _hit_rows(base: DataFrame, stage: DataFrame | None, spec: Mapping) -> DataFr
 
 
 def _partition_scoped(target: str, base: DataFrame, stage: DataFrame | None, spec: Mapping,
-                      part: str, path_fmt: str) -> None:
+                      part: str, path_fmt: str, batch: Batch | None = None) -> None:
     """Update / delete on a partitioned table: only partitions holding a
     touched row are rebuilt and overwritten; a partition a delete empties is
     dropped (dynamic overwrite leaves partitions absent from its output)."""
     spark = base.sparkSession
+    if batch and spec["pattern"] == "update":
+
+        def build() -> DataFrame:
+            return apply_load(affected_partitions(base, _hit_rows(base, stage, spec), part), stage, spec)
+
+        S.overwrite_partitions(batch.rebuilt(spark, build), target, part, path_fmt)
+        return
     vals, n = touched_values(_hit_rows(base, stage, spec), part)
     rebuilt = apply_load(affected_partitions(base, vals.withColumnRenamed("__k0", part), part), stage, spec)
-    emptied: list = []
+    emptied = None
     if spec["pattern"] == "delete":
         left = rebuilt.select(F.col(part).alias("__k0")).distinct()
-        emptied = [r[0] for r in vals.join(left, vals["__k0"].eqNullSafe(left["__k0"]), "left_anti").collect()]
-        if emptied and S._is_path(target):
-            raise ValueError(f"run_load: the delete empties partitions {emptied[:5]} of a folder target")
+        emptied = checkpointed(vals.join(left, vals["__k0"].eqNullSafe(left["__k0"]), "left_anti"))
+        if S._is_path(target) and (some := emptied.head(5)):
+            raise ValueError(f"run_load: the delete empties partitions {[r[0] for r in some]} of a folder target")
     S.overwrite_partitions(rebuilt, target, part, path_fmt)
-    for v in emptied:
-        lit = "NULL" if v is None else repr(str(v))
-        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({part} = {lit})")
-    if emptied:
+    if emptied is not None:
+        left_over = emptied.toLocalIterator()
+        while some := list(itertools.islice(left_over, DROPS_PER_STATEMENT)):
+            parts = ", ".join(f"PARTITION ({part} = {'NULL' if v is None else repr(str(v))})" for (v,) in some)
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {parts}")
         spark.catalog.refreshTable(target)
 
 
-def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFrame | None = None) -> DataFrame:
+# Emptied partitions reach the driver so many at a time.
+DROPS_PER_STATEMENT = 500
+
+
+def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFrame | None = None,
+             batch: Batch | None = None) -> DataFrame:
     """Apply the load to ``target`` (table name or folder) and write it.
 
     A partitioned upsert, and an update or delete on a table with one
@@ -178,8 +268,11 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
     other pattern replaces the table (through ``swap_in`` for a catalog
     table, since the new content reads the old), keeping the table's format,
     partitioning and bucketing.  Returns the table as it is then.
+
+    ``batch`` names the load within a stream: a batch that is already part of
+    the target is not applied again.
     """
-    _run_load(target, stage, spec, base)
+    _run_load(target, stage, spec, base, batch)
     src = stage if stage is not None else base
     spark = src.sparkSession if src is not None else SparkSession.active()
     if not S._is_path(target):
@@ -187,7 +280,7 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
     return S.scan_base(spark, target, spec.get("format") or S.DEFAULT_FORMAT, spec.get("schema"))
 
 
-def _run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFrame | None) -> None:
+def _run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFrame | None, batch: Batch | None) -> None:
     src = stage if stage is not None else base
     spark = src.sparkSession if src is not None else SparkSession.active()
     pattern = spec["pattern"]
@@ -198,22 +291,28 @@ def _run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFra
     if pattern not in PATTERNS:
         raise ValueError(f"unknown load pattern {pattern!r}; one of {sorted(PATTERNS)}")
     _check_spec(spec)
+    if batch and batch.in_table(spark, target):
+        return
     part = spec.get("partition")
     if pattern in ("update", "delete"):
         layout_part = part or (S.table_layout(spark, target)["partition_by"] if not S._is_path(target) else [])
         if isinstance(layout_part, str):
             layout_part = [layout_part]
         if len(layout_part or []) == 1:
-            _partition_scoped(target, base, stage, spec, layout_part[0], path_fmt)
+            _partition_scoped(target, base, stage, spec, layout_part[0], path_fmt, batch)
             return
     if pattern in ("insert", "insert_select"):
-        S.append(L.selected_rows(base, stage, spec["cols"]), target, path_fmt, [part] if part else None)
+        add = batch.append if batch else S.append
+        add(L.selected_rows(base, stage, spec["cols"]), target, path_fmt, [part] if part else None)
     elif pattern in ("distinct", "append_distinct") and spec.get("base_distinct"):
         # only the rows not yet in the (distinct) base are written
         new_only = L.distinct_new_rows(base, stage, spec.get("exprs"))
         S.append(new_only, target, path_fmt, [part] if part else None)
     elif pattern in ("upsert", "summarize") and part:
-        S.overwrite_partitions(apply_load(base, stage, spec), target, part, path_fmt)
+        def build() -> DataFrame:
+            return apply_load(base, stage, spec)
+
+        S.overwrite_partitions(batch.rebuilt(spark, build) if batch else build(), target, part, path_fmt)
     elif S._is_path(target) and pattern not in _DISCARDS_BASE:
         raise ValueError(
             "run_load: a folder target cannot be rewritten by a plan that reads it; "
@@ -221,4 +320,4 @@ def _run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFra
         )
     else:
         S.overwrite(apply_load(base, stage, spec), target, fmt, [part] if part and pattern == "history" else None,
-                    spec.get("location"))
+                    spec.get("location"), properties={batch.property_key: str(batch.number)} if batch else None)

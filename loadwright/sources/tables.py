@@ -15,8 +15,10 @@ shuffle partitions already sized by adaptive execution) unless
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -48,6 +50,33 @@ def table_layout(spark: SparkSession, target: str) -> dict:
     }
 
 
+def external_location(spark: SparkSession, target: str) -> str | None:
+    """Folder of an external catalog table; None for a managed one."""
+    info = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
+    return info.get("Location") if info.get("Type") == "EXTERNAL" else None
+
+
+def table_properties(spark: SparkSession, target: str) -> dict[str, str]:
+    """The properties a user (or a stream) set on a catalog table."""
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {target}").collect()}
+    return {k: v for k, v in props.items() if not k.startswith(("spark.sql.", "option.")) and k not in _STORE_PROPERTIES}
+
+
+# Properties the metastore maintains itself.
+_STORE_PROPERTIES = {"EXTERNAL", "transient_lastDdlTime", "numFiles", "numRows", "rawDataSize", "totalSize", "TRANSLATED_TO_EXTERNAL", "external.table.purge", "bucketing_version"}
+
+
+def _filesystem(spark: SparkSession, path: str):
+    """Hadoop file system of ``path``, and a function from text to its paths."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    return jpath(path).getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _rename(fs, src, dst) -> None:
+    if not fs.rename(src, dst):
+        raise OSError(f"could not rename {src} to {dst}")
+
+
 def _prepare(
     df: DataFrame,
     partition_by: Sequence[str] | None,
@@ -241,6 +270,7 @@ def swap_in(
     partition_by: Sequence[str] | None = None,
     location: str | None = None,
     rebalance: bool | None = None,
+    properties: Mapping[str, str] | None = None,
 ) -> str:
     """Write ``new`` as a side table, then rename it into the place of
     ``target``.
@@ -250,8 +280,11 @@ def swap_in(
     old table as it was.  The swap is two renames and a drop: the old table
     is renamed aside, the new one takes its name, and only then is the old
     one dropped, so a driver lost midway leaves every row under one of the
-    two names.  The new table keeps the old one's format, partitioning and
-    bucketing unless given otherwise.
+    two names.  The new table keeps the old one's format, partitioning,
+    bucketing and properties unless given otherwise, and an external table
+    stays one: without ``location`` its new version goes to a fresh folder
+    beside the old, and the superseded folder is deleted last.
+    ``properties`` are set before the swap, so they come with the rows.
     """
     spark = new.sparkSession
     layout = table_layout(spark, target) if spark.catalog.tableExists(target) else {}
@@ -262,21 +295,45 @@ def swap_in(
     db = f"{target.rsplit('.', 1)[0]}." if "." in target else ""
     short = target.split(".")[-1]
     side = db + scratch_table_name(f"{short}_final")
+    old_location = external_location(spark, target) if layout else None
+    if old_location and not location:
+        parent, name = old_location.rstrip("/").rsplit("/", 1)
+        location = f"{parent}/{name.split('__v-')[0]}__v-{uuid.uuid4().hex[:12]}"
     old = db + scratch_table_name(f"{short}_old")
     write_table(new, side, fmt, partition_by, "error", rebalance, location,
                 layout.get("buckets"), layout.get("bucket_by"), layout.get("sort_by"))
     # The new table must be readable before the old one is touched.
     spark.table(side).select(F.lit(1)).limit(1).collect()
     had_old = spark.catalog.tableExists(target)
+    props = {**(table_properties(spark, target) if had_old else {}), **(properties or {})}
+    if props:
+        listed = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in props.items())
+        spark.sql(f"ALTER TABLE {side} SET TBLPROPERTIES ({listed})")
     if had_old:
         spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {side} RENAME TO {target}")
     if had_old:
         spark.sql(f"DROP TABLE {old}")
     spark.catalog.refreshTable(target)
+    if old_location:
+        _delete_superseded(spark, old_location, external_location(spark, target))
     return target
 
 
+def _quoted(text: str) -> str:
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _delete_superseded(spark: SparkSession, old: str, new: str | None) -> None:
+    """Delete an external table's former folder, unless the new version is
+    that folder, below it or above it, or its place is unknown."""
+    fs, path = _filesystem(spark, old)
+    a = fs.makeQualified(path(old)).toString().rstrip("/") + "/"
+    b = fs.makeQualified(path(new)).toString().rstrip("/") + "/" if new else a
+    if not a.startswith(b) and not b.startswith(a):
+        fs.delete(path(old), True)
+
+
 def overwrite(
     df: DataFrame,
     target: str,
@@ -284,16 +341,28 @@ def overwrite(
     partition_by: Sequence[str] | None = None,
     location: str | None = None,
     rebalance: bool | None = None,
+    properties: Mapping[str, str] | None = None,
 ) -> None:
     """``INSERT OVERWRITE TABLE``: replace all rows.
 
     A catalog table goes through ``swap_in`` (Spark refuses to overwrite a
-    table the same plan reads).  A folder target must not be read by ``df``.
+    table the same plan reads).  A folder is written whole beside the target
+    first and renamed into its place, so a failed write leaves the old rows.
     """
-    if _is_path(target):
-        write_table(df, target, fmt or DEFAULT_FORMAT, partition_by, "overwrite", rebalance)
-    else:
-        swap_in(df, target, fmt, partition_by, location, rebalance)
+    if not _is_path(target):
+        swap_in(df, target, fmt, partition_by, location, rebalance, properties)
+        return
+    mark = uuid.uuid4().hex[:12]
+    home = target.rstrip("/")
+    write_table(df, f"{home}__new-{mark}", fmt or DEFAULT_FORMAT, partition_by, "error", rebalance)
+    fs, path = _filesystem(df.sparkSession, home)
+    had_old = fs.exists(path(home))
+    if had_old:
+        _rename(fs, path(home), path(f"{home}__old-{mark}"))
+    _rename(fs, path(f"{home}__new-{mark}"), path(home))
+    if had_old:
+        fs.delete(path(f"{home}__old-{mark}"), True)
+    df.sparkSession.catalog.refreshByPath(home)
 
 
 def _exists(spark: SparkSession, target: str, fmt: str) -> bool:
@@ -301,6 +370,8 @@ def _exists(spark: SparkSession, target: str, fmt: str) -> bool:
         try:
             spark.read.format(fmt).load(target).schema
             return True
-        except Exception:  # noqa: BLE001 - missing folder / no files yet
-            return False
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # missing folder / no files yet
+                return False
+            raise
     return spark.catalog.tableExists(target)

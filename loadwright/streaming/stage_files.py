@@ -8,10 +8,10 @@ were loaded, so each stage file is loaded once; with the ``availableNow``
 trigger one call loads everything that has arrived and stops, which is how a
 scheduled incremental load runs.
 
-A batch that fails is retried from its start.  Upsert, update, delete and the
-full-refresh patterns give the same table when a batch is applied twice; for
-the others (accumulating upsert, append, insert) a marker per applied batch is
-written next to the stream checkpoint and a replayed batch is skipped.
+A batch that fails is retried from its start.  Each batch is applied once
+whatever the pattern and wherever the run was cut (``plans.apply.Batch``):
+its number is committed with the table version, or a replay finishes from
+what the first attempt wrote down next to the stream checkpoint.
 
 ``max_files_per_batch`` bounds a micro-batch (``maxFilesPerTrigger``): a
 backlog of stage files after downtime is loaded in several bounded batches,
@@ -25,35 +25,19 @@ before must ``spark.catalog.refreshTable(target)`` to see the swapped table.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from loadwright.plans.apply import _DISCARDS_BASE, run_load
+from loadwright.plans.apply import _DISCARDS_BASE, Batch, run_load
 from loadwright.session import scratch_path
 from loadwright.sources.stage import DEFAULT_SEPARATOR, NULL_TOKEN, parse_stage_lines
 
-_IDEMPOTENT = {"upsert", "update", "delete", "history", "overwrite", "full_refresh", "distinct", "append_distinct"}
-
-
-def _replays_safely(spec: Mapping) -> bool:
-    return spec.get("pattern") in _IDEMPOTENT and not spec.get("sets")
-
-
-def _applied(spark: SparkSession, markers: str, batch_id: int) -> bool:
-    try:
-        return spark.read.parquet(os.path.join(markers, str(batch_id))).count() > 0
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":  # no marker yet
-            return False
-        raise
-
-
 def start_stage_load(
     spark: SparkSession,
     stage_dir: str,
@@ -85,20 +69,18 @@ def start_stage_load(
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_batch))
     lines = reader.load(stage_dir)
     rows = parse_stage_lines(lines, schema, sep, null_token)
-    guard = not _replays_safely(spec)
+    stream = hashlib.sha256(f"{ckpt.rstrip('/')}\n{target}".encode()).hexdigest()[:16]
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        if guard and _applied(batch.sparkSession, markers, batch_id):
+        mark = Batch(stream, batch_id, markers)
+        if mark.noted(batch.sparkSession, "applied") is not None:
             return
         batch_spec = spec
         if spec.get("location"):
             fresh = f"batch-{batch_id}-{uuid.uuid4().hex[:8]}"
             batch_spec = dict(spec, location=os.path.join(spec["location"], fresh))
-        run_load(target, batch, batch_spec)
-        if guard:
-            batch.sparkSession.createDataFrame([(batch_id,)], "batch_id long").write.mode(
-                "overwrite"
-            ).parquet(os.path.join(markers, str(batch_id)))
+        run_load(target, batch, batch_spec, batch=mark)
+        mark.applied(batch.sparkSession)
 
     writer = rows.writeStream.foreachBatch(load_batch).option("checkpointLocation", ckpt)
     if processing_time:
