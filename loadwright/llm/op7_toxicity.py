@@ -155,20 +155,29 @@ def choose_landmarks(bags: list[set[str]], toxic: np.ndarray, m: int) -> tuple[l
     (gain 0)."""
     clean_words = Counter(w for b, t in zip(bags, toxic, strict=True) if not t for w in b)
     n_pos, n_neg = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    grams: dict[bool, Counter] = {True: Counter(), False: Counter()}
-    for b, t in zip(bags, toxic, strict=True):
+
+    def parts_of(bag: set[str]) -> set[str]:
         own = set()
-        for w in b:
+        for w in bag:
             w = f" {w[:24]}"
             own.add(w)
             for k in (4, 5, 6):
                 own.update(w[i : i + k] for i in range(len(w) - k + 1))
-        grams[bool(t)].update(own)
+        return own
+
+    seen: Counter = Counter()
+    for b, t in zip(bags, toxic, strict=True):
+        if t:
+            seen.update(parts_of(b))
+    bad = {g: p for g, p in seen.items() if p >= 2}
+    del seen
+    usual_in: Counter = Counter()  # clean documents, counted for the parts in ``bad`` only
+    for b, t in zip(bags, toxic, strict=True):
+        if not t:
+            usual_in.update(g for g in parts_of(b) if g in bad)
     scored = []
-    for g, p in grams[True].items():
-        if p < 2:
-            continue
-        q = grams[False][g]
+    for g, p in bad.items():
+        q = usual_in[g]
         # A conservative lift: each share is moved by two standard deviations
         # against it, so chance words of a small sample do not pass.
         share, usual = (p - 2 * math.sqrt(p)) / n_pos, (q + 1 + 2 * math.sqrt(q + 1)) / (n_neg + 1)
@@ -277,7 +286,9 @@ def train(texts: list[str], toxic: np.ndarray, held: np.ndarray, prior: float) -
     """``held`` marks the documents kept for the calibration."""
     if not toxic.any() or toxic.all():
         return {"weights": None, "rate": prior}
-    bags = [{w for w in (t or "").lower().split() if len(w) > 1} for t in texts]
+    words: dict[str, str] = {}  # one string for each word, however many documents hold it
+    bags = [{words.setdefault(w, w) for w in (t or "").lower().split() if len(w) > 1} for t in texts]
+    del words
     fit = ~held if toxic[~held].any() and not toxic[~held].all() else np.ones(len(bags), dtype=bool)
     cal = held if toxic[held].sum() >= 5 and (~toxic[held]).sum() >= 5 else np.ones(len(bags), dtype=bool)
     marks, gains = choose_landmarks([b for b, f in zip(bags, fit, strict=True) if f], toxic[fit], LANDMARKS)
