@@ -45,9 +45,8 @@ HARD = 60  # more landmarks: the clean words that a first fit rates worst
 SAMPLE = 1500
 SAMPLE_CHARS = 20_000
 PIECE = 1 << 19  # characters scored at a time; pieces end at white space
-ROWS = 20_000  # feature rows added at a time in training, to bound the driver's memory
+ROWS = 10_000  # feature rows handled at a time in training, to bound the driver's memory
 THRESHOLD = 0.3
-COST = 100.0  # SVM cost of each class
 CLASSES = 40  # characters are mapped to so many classes
 START = 39  # the class of a word's start
 COST = 100.0  # SVM cost of each class
@@ -236,6 +235,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, c: np.ndarray) -> np.ndarray:
     return v
 
 
+def dots(z: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """``z @ v`` in double precision, a block of rows converted at a time."""
+    return np.concatenate([z[i : i + ROWS] @ v for i in range(0, len(z), ROWS)] or [np.empty(0)])
+
+
 def fit_landmarks(marks, gains, vocab, members, y):
     """Nystroem features of all words, then a multiple-instance SVM on them.
 
@@ -255,17 +259,19 @@ def fit_landmarks(marks, gains, vocab, members, y):
     project = grid.T @ whiten
     known = np.full(CLASSES**4, -1, dtype=np.int32)
     known[codes] = np.arange(len(codes))
-    cls, word, _ = units_of(" " + " ".join(vocab))
     z = np.zeros((len(vocab), project.shape[1]), dtype=np.float32)
-    for w, code, weight in occurrences(cls, word):
-        col = known[code]
-        hit = np.flatnonzero(col >= 0)
-        for i in range(0, len(hit), ROWS):
-            some = hit[i : i + ROWS]
-            np.add.at(z, w[some], (weight * project[col[some]]).astype(np.float32))
-    z /= length_norm(np.bincount(word, minlength=len(vocab))).astype(np.float32)[:, None]
+    for start in range(0, len(vocab), ROWS):
+        cls, word, n = units_of(" " + " ".join(vocab[start : start + ROWS]))
+        rows = z[start : start + n]
+        for w, code, weight in occurrences(cls, word):
+            col = known[code]
+            hit = np.flatnonzero(col >= 0)
+            for i in range(0, len(hit), ROWS):
+                some = hit[i : i + ROWS]
+                np.add.at(rows, w[some], (weight * project[col[some]]).astype(np.float32))
+        rows /= length_norm(np.bincount(word, minlength=n)).astype(np.float32)[:, None]
     # First witnesses: the words nearest to the landmarks of the largest gain.
-    value = z @ (whiten.T @ (gains / gains.max()))
+    value = dots(z, whiten.T @ (gains / gains.max()))
     v = np.zeros(project.shape[1])
     neg = np.empty(0, dtype=int)
     for _ in range(6):
@@ -278,7 +284,7 @@ def fit_landmarks(marks, gains, vocab, members, y):
         side = np.concatenate([np.ones(len(pos)), -np.ones(len(neg))])
         cost = np.concatenate([np.full(len(pos), COST / len(pos)), np.full(len(neg), COST / len(neg))])
         v, _ = fit_svm(z[rows], side, cost)
-        value = z @ v
+        value = dots(z, v)
     return codes, project @ v, value
 
 
