@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from loadwright.operators.filters import predicate
 from loadwright.operators.joins import affected_partitions, matching, touched_values
+from loadwright.operators.skew import resolve
 from loadwright.plans import loads as L
 from loadwright.session import checkpointed
 from loadwright.sources import tables as S
@@ -229,6 +230,9 @@ def _partition_scoped(target: str, base: DataFrame, stage: DataFrame | None, spe
     touched row are rebuilt and overwritten; a partition a delete empties is
     dropped (dynamic overwrite leaves partitions absent from its output)."""
     spark = base.sparkSession
+    if stage is not None and spec.get("on"):
+        # One sample of the base's keys serves the touched partitions and the rebuild.
+        spec = {**spec, "skew": resolve(spec.get("skew", "auto"), base, list(spec["on"]))}
     if batch and spec["pattern"] == "update":
 
         def build() -> DataFrame:
@@ -245,7 +249,7 @@ def _partition_scoped(target: str, base: DataFrame, stage: DataFrame | None, spe
         if S._is_path(target) and (some := emptied.head(5)):
             raise ValueError(f"run_load: the delete empties partitions {[r[0] for r in some]} of a folder target")
     S.overwrite_partitions(rebuilt, target, part, path_fmt)
-    if emptied is not None:
+    if emptied is not None and not S._is_path(target):
         left_over = emptied.toLocalIterator()
         while some := list(itertools.islice(left_over, DROPS_PER_STATEMENT)):
             parts = ", ".join(f"PARTITION ({part} = {'NULL' if v is None else repr(str(v))})" for (v,) in some)

@@ -30,6 +30,7 @@ from loadwright.operators.joins import (
 )
 from loadwright.operators.setops import stack
 from loadwright.operators.skew import key_join, resolve
+from loadwright.session import checkpointed
 
 HIT = "__hit"
 
@@ -219,7 +220,14 @@ def upsert_partial(
     every other base column keeps the existing row's value (P12), and is NULL
     for a new key."""
     listed = list(dict.fromkeys([*keys, *columns]))
-    d, d_null = _split_null_keys(_delta(base, stage, keys, order_by, exprs, columns=listed), keys)
+    d = _delta(base, stage, keys, order_by, exprs, columns=listed)
+    return _partial(base, d, _key_source(stage, d, exprs, None), keys, listed, skew)
+
+
+def _partial(base: DataFrame, delta: DataFrame, key_source: DataFrame, keys: Sequence[str],
+             listed: Sequence[str], skew) -> DataFrame:
+    """L7 over staged rows that are de-duplicated already."""
+    d, d_null = _split_null_keys(delta, keys)
     hot = resolve(skew, base, keys)
     joined = _left_pair(base, d, keys, hot)
     hit = F.col(f"m.{HIT}").isNotNull()
@@ -229,7 +237,7 @@ def upsert_partial(
             for c in base.columns
         ]
     )
-    fresh = stack(new_rows(d, base, keys, _key_source(stage, d, exprs, None), hot, None), d_null).select(
+    fresh = stack(new_rows(d, base, keys, key_source, hot, None), d_null).select(
         *[(F.col(c) if c in listed else F.lit(None).cast(base.schema[c].dataType)).alias(c) for c in base.columns]
     )
     return stack(updated, fresh)
@@ -270,7 +278,14 @@ def upsert_accumulate(
     unaffected rows; a matched flag, not a data column, tells them apart) and
     staged ANTI JOIN distinct base keys (new rows).
     """
-    d, d_null = _split_null_keys(_delta(base, stage, keys, order_by, exprs), keys)
+    d = _delta(base, stage, keys, order_by, exprs)
+    return _accumulate(base, d, _key_source(stage, d, exprs, None), keys, sets, skew)
+
+
+def _accumulate(base: DataFrame, delta: DataFrame, key_source: DataFrame, keys: Sequence[str],
+                sets: Mapping[str, str | Column], skew) -> DataFrame:
+    """L8 over staged rows that are de-duplicated already."""
+    d, d_null = _split_null_keys(delta, keys)
     hot = resolve(skew, base, keys)
     joined = _left_pair(base, d, keys, hot)
     hit = F.col(f"m.{HIT}").isNotNull()
@@ -282,7 +297,7 @@ def upsert_accumulate(
             new = F.col(f"m.{c}")
         cols.append(F.when(hit, new).otherwise(F.col(f"a.{c}")).cast(base.schema[c].dataType).alias(c))
     updated = joined.select(*cols)
-    return stack(updated, new_rows(d, base, keys, _key_source(stage, d, exprs, None), hot, None), d_null)
+    return stack(updated, new_rows(d, base, keys, key_source, hot, None), d_null)
 
 
 def upsert_partitioned(
@@ -308,23 +323,27 @@ def upsert_partitioned(
     (the old partition is not touched).  ``scope="table"`` also rebuilds the
     partitions that hold an old copy of a staged key, so every key stays
     unique.
+
+    The staged rows are de-duplicated once and checkpointed, as they give the
+    touched partitions and the new rows; with ``scope="table"`` one sample of
+    the base's keys serves both joins.
     """
     if columns is not None and partition_col not in [*keys, *columns]:
         raise ValueError("a partial upsert by partition needs the partition column among its columns")
     listed = None if columns is None else list(dict.fromkeys([*keys, *columns]))
-    d = _delta(base, stage, keys, order_by, exprs, columns=listed)
+    if scope not in ("partition", "table"):
+        raise ValueError("scope must be 'partition' or 'table'")
+    d = checkpointed(_delta(base, stage, keys, order_by, exprs, columns=listed))
     touched = d.select(partition_col)
     if scope == "table":
-        old_homes = matching(base, _key_source(stage, d, exprs, None), keys, "left_semi", skew).select(partition_col)
-        touched = touched.unionByName(old_homes)
-    elif scope != "partition":
-        raise ValueError("scope must be 'partition' or 'table'")
+        skew = resolve(skew, base, keys)
+        touched = touched.unionByName(matching(base, d, keys, "left_semi", skew).select(partition_col))
     in_touched = affected_partitions(base, touched, partition_col)
     if sets:
-        return upsert_accumulate(in_touched, stage, keys, sets, order_by, exprs, skew)
-    if columns:
-        return upsert_partial(in_touched, stage, keys, columns, order_by, exprs, skew)
-    return stack(unaffected(in_touched, _key_source(stage, d, exprs, None), keys, skew), d)
+        return _accumulate(in_touched, d, d, keys, sets, skew)
+    if listed:
+        return _partial(in_touched, d, d, keys, listed, skew)
+    return stack(unaffected(in_touched, d, keys, skew), d)
 
 
 def untouched_partitions(base: DataFrame, rebuilt: DataFrame, partition_col: str) -> DataFrame:

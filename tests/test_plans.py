@@ -165,3 +165,46 @@ def test_append_distinct_reads_base_without_shuffling_it(spark):
     base_scan = next(i for i, line in enumerate(text.splitlines()) if "LessThan(ts," in line)
     above = text.splitlines()[base_scan - 2]
     assert "Exchange" not in above, text
+
+
+def test_partitioned_upsert_runs_the_staged_window_once(spark):
+    path = scratch_path(spark, "once")
+    S.write_table(Q.orders_by_year(spark, SF), path, partition_by=["o_year"])
+    base, st = S.scan_base(spark, path), Q.partition_stage(spark, SF)
+    forms = [{}, {"sets": {"o_totalprice": "a.o_totalprice + m.o_totalprice"}}, {"columns": ["o_year", "o_totalprice"]}]
+    for form in forms:
+        # the window ran into a checkpoint; what is left joins its rows
+        text = plan(L.upsert_partitioned(base, st, ["o_orderkey"], "o_year", skew=None, **form))
+        assert "Window" not in text, text
+
+
+@pytest.mark.parametrize("pattern", ["update", "delete"])
+def test_partitioned_rewrite_samples_the_base_once(spark, monkeypatch, pattern):
+    from loadwright.operators import skew
+    from loadwright.plans.apply import run_load
+
+    calls = []
+    sample = skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", lambda *a: calls.append(a) or sample(*a))
+    path = scratch_path(spark, f"sample-{pattern}")
+    S.write_table(spark.createDataFrame([(1, 1, 1.0), (2, 2, 2.0), (3, 2, 3.0)], "k bigint, y int, v double"), path, partition_by=["y"])
+    spec = {"pattern": pattern, "on": ["k"], "partition": "y"}
+    if pattern == "update":
+        spec["sets"] = {"v": 9.0}
+    run_load(path, spark.createDataFrame([(2,)], "k bigint"), spec)
+    assert len(calls) == 1
+    left = [(1, 1, 1.0), (2, 2, 9.0), (3, 2, 3.0)] if pattern == "update" else [(1, 1, 1.0), (3, 2, 3.0)]
+    assert sorted(tuple(r) for r in S.scan_base(spark, path).select("k", "y", "v").collect()) == left
+
+
+def test_table_scope_samples_the_base_once(spark, monkeypatch):
+    from loadwright.operators import skew
+
+    calls = []
+    sample = skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", lambda *a: calls.append(a) or sample(*a))
+    base = spark.createDataFrame([(1, 1, 1.0), (2, 2, 2.0)], "k bigint, y int, v double")
+    st = spark.createDataFrame([(2, 1, 5.0)], "k bigint, y int, v double")
+    got = L.upsert_partitioned(base, st, ["k"], "y", order_by=["v"], scope="table")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 1, 1.0), (2, 1, 5.0)]
+    assert len(calls) == 1
