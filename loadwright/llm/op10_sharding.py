@@ -5,12 +5,14 @@ first, to the least loaded of the shards, kept in a heap (law ``bytes``).
 
 The heap needs each group's size only.  Sizes are kept to ``BITS`` leading
 bits, so there are at most 2^(BITS-1) * 52 distinct ones (about 107,000) at
-any corpus size; only their counts reach the driver.  Once the loads
-differ by no more than the size at hand, groups of that size go round all
-shards in a fixed order, so a size's result is a short list and a cycle.  Each
-group then finds its shard from its rank among the groups of its size.  Ranks
-and the rows' slots are running counts over range partitions
-(``ordered_sums``): no task holds a whole size, group or shard.
+any corpus size; only their counts reach the driver.  Groups of one size take
+turns among the shards the heap has reached, in a fixed order; a shard above
+the others (one with a hot group) joins when they have come up to it.  So a
+size's result is at most one cycle per shard, found by division whatever the
+number of groups (``turns``).  Each group then finds its shard from its rank
+among the groups of its size.  Ranks and the rows' slots are running counts
+over range partitions (``ordered_sums``): no task holds a whole size, group or
+shard.
 
 Cases: a null text has no bytes, size 16, crc32 0, and is equal to other null
 texts only; empty texts are one group; repeated rows are equal texts; a group
@@ -20,8 +22,6 @@ input gives an empty result; other columns are carried in a struct.
 
 from __future__ import annotations
 
-import heapq
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,28 +38,42 @@ def rounded(size: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", size, drop), drop)
 
 
-def lpt(sizes: list[tuple[int, int]], shards: int) -> list[tuple[int, list[int], list[int]]]:
-    """For (size, number of groups), each size's shards by rank: a list, then a cycle.
+def turns(sizes: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int, list[int]]]:
+    """For (size, number of groups), runs (size, start, stop, cycle) of ranks:
+    rank r goes to cycle[(r - start) % len(cycle)].
 
-    The heap holds (load, shard); ties go to the lower shard.
+    A heap of (load, shard) pops load + k * size of all shards in order.  With
+    load = level * size + rest that order is by level + k, then rest, then
+    shard: a round of each level, of the shards that start at it or below.
     """
-    heap = [(0, s) for s in range(shards)]
+    loads = [0] * shards
     out = []
     for size, n in sorted(sizes, reverse=True):
-        first: list[int] = []
-        while n > len(first) and (heap[0][0] + size, heap[0][1]) < max(heap):
-            load, s = heapq.heappop(heap)
-            first.append(s)
-            heapq.heappush(heap, (load + size, s))
-        # From here on a popped shard goes behind all others: they take turns.
-        order = sorted(heap)
-        full, extra = divmod(n - len(first), shards)
-        heap = [(load + size * (full + (i < extra)), s) for i, (load, s) in enumerate(order)]
-        heapq.heapify(heap)
-        out.append((size, first, [s for _, s in order]))
+        order = sorted(range(shards), key=lambda s: (loads[s] % size, s))
+        level = [load // size for load in loads]
+        joins = sorted(set(level))
+        start = 0
+        for now, after in zip(joins, [*joins[1:], None], strict=True):
+            if start == n:
+                break
+            cycle = [s for s in order if level[s] <= now]
+            count = n - start if after is None else min(n - start, (after - now) * len(cycle))
+            full, extra = divmod(count, len(cycle))
+            for i, s in enumerate(cycle):
+                loads[s] += size * (full + (i < extra))
+            out.append((size, start, start + count, cycle[:count]))
+            start += count
     return out
 
 
+def lpt(sizes: list[tuple[int, int]], shards: int) -> list[tuple[int, list[int], list[int]]]:
+    """``turns`` written out rank by rank, to be read beside a plain heap: (size, shards by rank, a cycle)."""
+    ranks: dict[int, list[int]] = {}
+    for size, start, stop, cycle in turns(sizes, shards):
+        ranks.setdefault(size, []).extend(cycle[(r - start) % len(cycle)] for r in range(start, stop))
+    return [(size, first, list(range(shards))) for size, first in ranks.items()]
+
+
 def assign_shards(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Rows (rid, doc_id, size, same, ...) plus shard and slot."""
     one = F.lit(1).cast("long")
@@ -67,14 +81,14 @@ def assign_shards(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
         rows.groupBy("same").agg(F.sum("size").alias("bytes")).withColumn("class", rounded(F.col("bytes"))), "groups"
     )
     counted = [(r["class"], r["n"]) for r in groups.groupBy("class").agg(F.count("*").alias("n")).collect()]
-    plan = rows.sparkSession.createDataFrame(lpt(counted, shards), "of long, first array<int>, cycle array<int>")
+    # At most a cycle per shard and size, whatever the corpus.
+    plan = rows.sparkSession.createDataFrame(turns(counted, shards), "of long, start long, stop long, cycle array<int>")
     ranked = ordered_sums(
         groups.withColumn("one", one), [F.col("class"), F.col("same")], {"rank": "one"}, ["class"], "ranks"
     )
-    after = F.col("rank") - F.size("first")
-    shard = F.when(after < 0, F.get("first", F.col("rank").cast("int"))).otherwise(F.get("cycle", (after % shards).cast("int")))
-    # At most 107,000 rows, whatever the corpus.
-    placed = ranked.join(F.broadcast(plan), F.col("class") == F.col("of")).select("same", shard.alias("shard"))
+    run = (F.col("class") == F.col("of")) & (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("stop"))
+    shard = F.get("cycle", ((F.col("rank") - F.col("start")) % F.size("cycle")).cast("int"))
+    placed = ranked.join(F.broadcast(plan), run).select("same", shard.alias("shard"))
     placed = materialise(placed, "shards")
     out = rows.join(placed, "same").withColumn("one", one)
     return ordered_sums(out, [F.col("shard"), F.col("same"), F.col("doc_id")], {"slot": "one"}, ["shard"], "slots").drop("one", "same")

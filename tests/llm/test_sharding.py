@@ -27,6 +27,36 @@ def test_bulk_is_the_plain_heap(counts, shards):
     assert got == expected
 
 
+def test_a_hot_group_leaves_the_plan_short():
+    sizes, n, shards = [(4_000_000, 1), (100, 50_000), (60, 20_000), (7, 3)], 70_004, 40
+    runs = s.turns(sizes, shards)
+    assert sum(len(cycle) for *_, cycle in runs) <= len(sizes) * shards * 3
+    heap, loads, k = [(0, x) for x in range(shards)], [0] * shards, 0
+    for size, start, stop, cycle in runs:
+        for r in range(start, stop):
+            load, x = heapq.heappop(heap)
+            assert cycle[(r - start) % len(cycle)] == x
+            heapq.heappush(heap, (load + size, x))
+            loads[x], k = load + size, k + 1
+    assert k == n and max(loads[1:]) - min(loads[1:]) <= 100
+    big = s.turns([(10**15, 1), (100, 10**11)], shards)
+    assert sum(len(cycle) for *_, cycle in big) <= 2 * shards and big[-1][2] == 10**11
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 100_000), st.integers(1, 60), min_size=1, max_size=12), st.integers(1, 9))
+def test_turns_are_the_plain_heap(counts, shards):
+    heap, at = [(0, x) for x in range(shards)], {size: 0 for size in counts}
+    for size, start, stop, cycle in s.turns(list(counts.items()), shards):
+        assert start == at[size] and len(cycle) <= stop - start
+        for r in range(start, stop):
+            load, x = heapq.heappop(heap)
+            assert cycle[(r - start) % len(cycle)] == x
+            heapq.heappush(heap, (load + size, x))
+        at[size] = stop
+    assert at == counts
+
+
 def test_rounding(spark):
     sizes = [1, 16, 4095, 4096, 4097, 123_456_789, 2**40 + 12345]
     df = spark.createDataFrame([(x,) for x in sizes], "n long")
