@@ -7,8 +7,9 @@ characters of ``[A-Za-z0-9+/=_-]`` with a letter and a digit: a window of
 and their Shannon entropy by increments.  Windows whose entropy reaches the
 threshold of the string's character class (hex, one letter case, mixed)
 make a span of kind ``entropy``.  Strings that match the allow list (UUIDs,
-version strings, dates, sample values) are left out, and so are entropy
-spans that overlap a base span.
+version strings, dates, words) are left out; sample values are left out by the
+piece between ``/`` ``=`` ``_``, the rest of the string is not.  Of an entropy
+span, the parts inside base spans are left to those, the parts outside kept.
 
 Spans are code points, end exclusive, and cover a pattern's whole match.
 
@@ -32,13 +33,16 @@ from .common import small_batches, table
 WINDOW = 20
 # Bits a character, by class; a window of 20 has at most log2(20) = 4.32.
 ENTROPY = {"hex": 3.0, "one_case": 3.6, "mixed": 3.9}
+LEAST = 8  # characters of a part of a span, as short as the shortest assigned secret
 KINDS = ("assign", "access", "hex", "entropy")
 ALLOW_LIST = (
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUID
     r"v?\d+(?:[._-]\d+)*(?:[-_+][A-Za-z]+[._-]?\d*)*",  # versions, dates, numbers
     r"[A-Za-z]+(?:[-_/=][A-Za-z]+)*[-_/=]?\d{0,4}",  # words, a number at the end
-    r".*(?:EXAMPLE|example|xxxx|XXXX|0000000000|1234567890).*",  # sample values
+    r"[^/=_]*(?:EXAMPLE|example|xxxx|XXXX|0000000000|1234567890)[^/=_]*",  # sample values
 )
+_SAMPLE = re.compile(r"EXAMPLE|example|xxxx|XXXX|0000000000|1234567890")
+_PIECE = re.compile(r"[^/=_]+")
 
 _ASSIGN = re.compile(
     r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII
@@ -97,19 +101,38 @@ def find_secrets(text: str | None, allow: tuple[str, ...] = ALLOW_LIST) -> list[
     if longest < 16 and ":" not in text and "=" not in text:
         return []
     spans = base_spans(text)
+    base = sorted((a, b) for a, b, _ in spans)
     if longest >= WINDOW:
         allowed = re.compile("|".join(f"(?:{a})" for a in allow)) if allow else None
         for m in _CANDIDATE.finditer(text):
             s = m.group()
             if not (re.search(r"[0-9]", s) and re.search(r"[A-Za-z]", s)) or (allowed and allowed.fullmatch(s)):
                 continue
+            # Pieces of the allow list are taken, so a secret beside them is still seen.
+            taken = base
+            if allowed:
+                sample = [(p.start() + m.start(), p.end() + m.start()) for p in _PIECE.finditer(s) if _SAMPLE.search(p.group()) and allowed.fullmatch(p.group())]
+                taken = sorted(base + sample) if sample else base
             for a, b in entropy_runs(s, ENTROPY[char_class(s)]):
-                a, b = a + m.start(), b + m.start()
-                if not any(x < b and a < y for x, y, k in spans if k != "entropy"):
-                    spans.append((a, b, "entropy"))
+                for x, y in outside(a + m.start(), b + m.start(), taken):
+                    if y - x >= LEAST and re.search(r"[0-9]", text[x:y]) and re.search(r"[A-Za-z]", text[x:y]):
+                        spans.append((x, y, "entropy"))
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
+def outside(a: int, b: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of a span outside the (sorted) taken ones."""
+    out = []
+    for x, y in taken:
+        if x >= b:
+            break
+        if y > a:
+            if x > a:
+                out.append((a, x))
+            a = max(a, y)
+    return [*out, (a, b)] if a < b else out
+
+
 def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
 

@@ -55,6 +55,17 @@ def test_entropy_spans_and_allow_list():
     assert [k for _, _, k in s.find_secrets(f"token={random}")] == ["assign"]
 
 
+def test_secrets_beside_base_spans_and_sample_values():
+    secret, digest = "Q9x2Lm4Kp7Rt1Vz8Bn3Ws6Yd", "0123456789abcdef" * 2
+    text = f"sk_live_{digest}_{secret} end"
+    got = s.find_secrets(text)
+    assert (8, 40, "hex") in got and secret not in s.redacted(text, got) and "Q9x2" not in s.redacted(text, got)
+    for text in (f"example_key={secret}", f"docs/example/{secret}"):
+        got = s.find_secrets(text)
+        assert [k for *_, k in got] == ["entropy"] and secret not in s.redacted(text, got)
+    assert s.find_secrets("AWSKEY7MDENG9bPxRfiCYEXAMPLEKEY") == []
+
+
 def test_null_empty_and_redaction():
     assert s.find_secrets(None) == [] and s.find_secrets("") == [] and s.redacted(None, []) is None
     text = 'x token = "abcDEF123456" y'
