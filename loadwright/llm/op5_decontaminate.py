@@ -8,8 +8,10 @@ Words: A-Z in lower case, then runs of ``[0-9a-z]`` and characters from U+0080.
 A window is ``n`` (10) consecutive words of an item; an item of fewer words,
 but not none, is one window.
 
-The benchmark is read in blocks of at most ``BLOCK_BYTES`` of text, so each
-broadcast has a fixed bound whatever the benchmark's size; a document's hits
+The benchmark is read in blocks of about ``BLOCK_BYTES`` of text.  A block's
+index holds 16 bytes a window (its hash and place, sorted by hash), 4 bytes a
+word and one dictionary entry a distinct word; a window is verified against the
+words themselves.  So each broadcast has a fixed bound; a document's hits
 are carried from block to block on its own row, without a shuffle.
 
 Cases: a null or empty text has no words and no hits; null items and items
@@ -24,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -56,23 +59,31 @@ def window_hash(ids: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
 
 
 def index_items(items: list[tuple[object, str | None]], n: int) -> dict:
-    """Vocabulary, and by window length its sorted hashes and exact windows."""
+    """Vocabulary, the items' words as one array, and by window length the
+    sorted hashes of all windows with their places in it."""
     vocab: dict[bytes, int] = {}
-    windows: dict[int, dict[tuple, set]] = {}
+    words = array("i")
+    ends, names = array("q"), []
     for item_id, text in items:
-        words = words_of(text)
-        if not words:
-            continue
-        ids = [vocab.setdefault(w, len(vocab) + 1) for w in words]
-        size = min(n, len(ids))
-        by = windows.setdefault(size, {})
-        for i in range(len(ids) - size + 1):
-            by.setdefault(tuple(ids[i : i + size]), set()).add(item_id)
-    hashes = {}
-    for size, by in windows.items():
-        grid = np.array(list(by), dtype=np.int64).ravel()
-        hashes[size] = np.unique(window_hash(grid, np.arange(0, len(grid), size), size))
-    return {"vocab": vocab, "windows": windows, "hashes": hashes}
+        own = words_of(text)
+        if own:
+            words.extend(vocab.setdefault(w, len(vocab) + 1) for w in own)
+            ends.append(len(words))
+            names.append(item_id)
+    ids, ends = np.array(words, dtype=np.int32), np.array(ends, dtype=np.int64)
+    lengths = np.diff(ends, prepend=0)
+    sizes = np.minimum(lengths, n)
+    # A place starts a window of its item's size if that ends in the item.
+    at = np.arange(len(ids))
+    size_at = np.repeat(sizes, lengths)
+    starts = at + size_at <= np.repeat(ends, lengths)
+    windows = {}
+    for size in np.unique(sizes).tolist():
+        places = at[starts & (size_at == size)]
+        h = window_hash(ids, places, size)
+        order = np.argsort(h, kind="stable")
+        windows[size] = (h[order], places[order])
+    return {"vocab": vocab, "words": ids, "ends": ends, "names": names, "windows": windows}
 
 
 def scan(text: str | None, index: dict) -> tuple[np.ndarray, set]:
@@ -83,20 +94,22 @@ def scan(text: str | None, index: dict) -> tuple[np.ndarray, set]:
     get = index["vocab"].get
     ids = np.fromiter((get(w, 0) for w in words), dtype=np.int64, count=len(words))
     known = np.concatenate(([0], np.cumsum(ids > 0)))
-    for size, hashes in index["hashes"].items():
+    for size, (hashes, places) in index["windows"].items():
         if size > len(ids):
             continue
         starts = np.flatnonzero(known[size:] - known[:-size] == size)
         if not len(starts):
             continue
         h = window_hash(ids, starts, size)
-        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-        exact = index["windows"][size]
-        for i in starts[hashes[at] == h].tolist():
-            owners = exact.get(tuple(ids[i : i + size].tolist()))
-            if owners:
+        first, last = np.searchsorted(hashes, h), np.searchsorted(hashes, h, side="right")
+        for k in np.flatnonzero(first < last).tolist():
+            i = int(starts[k])
+            same = places[first[k] : last[k]]
+            for j in range(size):
+                same = same[index["words"][same + j] == ids[i + j]]
+            if len(same):
                 hit[i : i + size] = True
-                found |= owners
+                found.update(index["names"][x] for x in np.unique(np.searchsorted(index["ends"], same, side="right")).tolist())
     return hit, found
 
 

@@ -1,6 +1,8 @@
 """Hits against a plain search; blocks, span removal and stages' columns."""
 
+import random
 import re
+import tracemalloc
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -38,6 +40,19 @@ def test_scan_like_brute_force(text, items):
     assert (len(hit), [i for i, h in enumerate(hit) if h], found) == brute(text, pairs, 3)
 
 
+def test_the_index_is_small():
+    rng = random.Random(2)
+    items = [(i, " ".join(f"w{rng.randrange(2000)}" for _ in range(500))) for i in range(100)]
+    tracemalloc.start()
+    index = d.index_items(items, 10)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert sum(len(h) for h, _ in index["windows"].values()) == 100 * 491
+    assert held < 40 * 100 * 491
+    hit, found = d.scan(f"new {items[7][1]} words", index)
+    assert hit.sum() == 500 and found == {7}
+
+
 def test_blocks_give_the_same(spark, edge_dir):
     docs, bench = (spark.read.parquet(f"{edge_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     cols = ["doc_id", "hits.n_words", "hits.n_hit", "hits.items"]
