@@ -73,6 +73,30 @@ def edge_pages():
     return pages
 
 
+def edge_embeddings():
+    rng = random.Random(11)
+    vec = lambda: [rng.gauss(0, 0.4) for _ in range(6)]
+    rows = [(i, vec()) for i in range(120)]
+    rows += [(200 + i, [0.5, -0.5, 0.0, 0.25, 0.1, 0.1]) for i in range(12)]  # ties
+    rows += [(250, rows[3][1])] * 4 + [(None, rows[0][1]), (None, None), (300, None), (350, [0.1, None, 0.2, 0.3, 0.4, 0.5])]
+    rows += [(400, [float("nan")] * 6), (401, [float("inf"), 0, 0, 0, 0, 0]), (450, [0.0] * 6), (500, []), (501, [0.9, 0.9]), (550, [3.0] * 9)]
+    return rows
+
+
+def edge_conversations():
+    rng = random.Random(5)
+    roles = ["system", "user", "assistant", "user", "assistant", "tool", "", "s", None]
+    texts = ["Hello there.", "What now?", "cut off", "", " \t\n", None, "Well!\n", "same.", "ünïcode…", "a.b.c no end"]
+    rows = []
+    for c in range(60):
+        for t in range(rng.randint(1, 9)):
+            rows.append((c, rng.choice([t, t, t, 2 * t, None]), rng.choice(roles), rng.choice(texts)))
+    rows += [(100, t, "user" if t % 2 else "assistant", f"turn {t % 50}.") for t in range(400)]
+    rows += [(101, 1, "user", "same.")] * 30 + [(None, t, "user", "x.") for t in range(4)] + [(102, None, None, None)]
+    rows += [(1000 + c, 0, "user", "one.") for c in range(30)]  # some lose their only row
+    return rows
+
+
 def write(folder, name, schema, rows, clash=True):
     cols = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
     data = {n: pa.array(list(c), type=t) for (n, t), c in zip(schema, cols, strict=True)}
@@ -86,6 +110,8 @@ SCHEMAS = {
     "benchmark": [("item_id", pa.int64()), ("text", pa.string())],
     "labels": [("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32())],
     "pages": [("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())],
+    "embeddings": [("vec_id", pa.int64()), ("embedding", pa.list_(pa.float64()))],
+    "conversations": [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())],
 }
 
 
@@ -93,7 +119,8 @@ SCHEMAS = {
 def edge_dir(tmp_path_factory):
     folder = tmp_path_factory.mktemp("edge")
     docs, items, labels = edge_documents()
-    for name, rows in (("documents", docs), ("benchmark", items), ("labels", labels), ("pages", edge_pages())):
+    for name, rows in (("documents", docs), ("benchmark", items), ("labels", labels), ("pages", edge_pages()),
+                       ("embeddings", edge_embeddings()), ("conversations", edge_conversations())):
         write(folder, name, SCHEMAS[name], rows)
     return str(folder)
 

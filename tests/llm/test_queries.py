@@ -18,7 +18,7 @@ def table_rows(cols, records):
 
 def by_sql(folder, sql):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "pages"):
+    for t in ("documents", "benchmark", "labels", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
     rel = con.sql(sql)
     return rel.columns, [dict(zip(rel.columns, r, strict=True)) for r in rel.fetchall()]
