@@ -279,13 +279,13 @@ def _hashes(id_type: pa.DataType):
 
         first = True
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in ("conv_id", *_STATS, "audit", "role", "text")]
-            for *head, role, text in zip(*columns):
+            columns = [batch.column(k).to_pylist() for k in ("conv_id", *_STATS, "audit", "role", "text", "dropped")]
+            for *head, role, text, dropped in zip(*columns):
                 if head[-1] is not None:  # the audit comes before its conversation's rows
                     if repair is not None:
                         end()
                     now, repair, digest, first = head, _Repair(head[-1]), hashlib.sha256(), True
-                else:
+                elif not dropped:
                     feed(repair.row(role, text))
             if done:
                 yield flush()
@@ -318,13 +318,16 @@ def repair_conversations(rows: DataFrame) -> DataFrame:
         .mapInArrow(_audits(_arrow(kind)), T.StructType([id_field, *stats, audit]))
     )
     nothing = [F.lit(None).cast("long").alias(c) for c in _STATS]
-    texts = rows.where("NOT dropped").select(
-        "conv_id", *nothing, F.lit(None).cast("string").alias("audit"), F.lit(1).alias("part"), "turn", "role", "text", "seen"
+    # Dropped rows come along: both streams then read one shuffle.
+    texts = rows.select(
+        "conv_id", *nothing, F.lit(None).cast("string").alias("audit"), F.lit(1).alias("part"), "turn", "role", "text", "seen",
+        "dropped",
     )
     heads = audits.select(
         "conv_id", *_STATS, "audit", F.lit(0).alias("part"),
         F.lit(None).cast(rows.schema["turn"].dataType).alias("turn"),
         F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text"), F.lit(0).alias("seen"),
+        F.lit(False).alias("dropped"),
     )
     merged = heads.union(texts).repartition("conv_id").sortWithinPartitions("conv_id", "part", "turn", "role", "text", "seen")
     out = T.StructType([id_field, *stats, audit, T.StructField("repaired_sha256", T.StringType())])
