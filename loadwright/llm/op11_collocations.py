@@ -11,16 +11,17 @@ of all words from the empty prefix) and the subsumption maxima (the largest
 count in a phrase's own stripe, and of its entries as the end of a longer
 phrase; a still longer phrase has no larger count than one of these).
 
-Before, one pass counts the hashes of all 1- to 4-word phrases in tables of a
-fixed number of buckets (16 MB each at most, sized by the corpus).  A phrase
-whose bucket, or whose part's, stays below ``min_count`` cannot be a candidate
-and is not listed; hash collisions only list more.  The tables are merged in
+Before, one pass counts the hashes of all words and phrases of 2 and 3 words in
+tables of a fixed number of buckets (16 MB each at most, sized by the corpus).
+A phrase whose bucket, or whose part's, stays below ``least`` cannot be a
+candidate and is not listed; hash collisions only list more.  A phrase of 4
+words is listed if both its parts of 3 are.  The tables are merged in
 chunks on the executors; bitmaps of one bit a bucket (2 MB a length at most)
 are broadcast.  A corpus of far more words than buckets fills the tables, and
 then more phrases are listed (all, in the end), with the same results.
 
-A prefix with very many next words is spread over ``SEGMENTS`` stripes by a
-hash of the next word.  The counts are exact (64-bit hashes place and combine
+A prefix with very many next words is spread over several stripes by a hash of
+the next word (``SEGMENTS``).  The counts are exact (64-bit hashes place and combine
 phrases in a batch: two phrases of one batch are mixed up with probability
 below 1e-6 for 5 million phrases); the score is taken in decimals.
 
@@ -52,11 +53,14 @@ MIN_COUNT = 30
 SUBSUMED = (80, 100)  # a phrase goes if 100 * f(longer) >= 80 * a
 SCALE = 2_000_000
 TOP = 2000
-SEGMENTS = 64
+# Stripes of a prefix of 0, 1, 2 and 3 words: shorter prefixes have more next words.
+SEGMENTS = (256, 16, 1, 1)
 MAX_BITS = 24  # buckets of a table: 2^24 at most
+COUNTED = 3  # phrases of up to so many words have bucket tables
 CHUNK = 1 << 16
 SLICE = 1 << 20  # bytes of text read at a time
-HELD = 200_000  # entries a task holds before it gives its stripes out
+PART = 1 << 16  # bytes hashed at a time
+HELD = 1_000_000  # entries a task holds before it gives its stripes out
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _KIND = np.zeros(256, dtype=np.uint8)  # 0 in a word, 1 blank, 2 between pieces
@@ -66,35 +70,67 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+# Powers of the word hash's odd multiplier and their inverses (modulo 2^64): a
+# word's hash is a difference of running sums, moved to its first byte.
+_POWERS = np.cumprod(np.concatenate((np.ones(1, dtype=np.uint64), np.full(PART, _BASE))))
+_INVERSE = np.cumprod(np.concatenate((np.ones(1, dtype=np.uint64), np.full(PART, pow(int(_BASE), -1, 1 << 64), dtype=np.uint64))))
+
+
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Hash, start, end and piece of each word, and the number of pieces that end.  At most
+    ``PART`` bytes, so that the arrays stay in the processor's cache."""
+    kind = _KIND[data]
+    inside = np.concatenate(([False], kind == 0, [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWERS[: len(data)], out=sums[1:])
+    word = (sums[ends] - sums[starts]) * _INVERSE[starts] + (ends - starts).astype(np.uint64)
+    cuts = np.flatnonzero(kind == 2)
+    return word, starts, ends, np.searchsorted(cuts, starts), len(cuts)
+
+
+def _long_word_hash(data: np.ndarray) -> np.uint64:
+    """The same hash for a word of any length."""
+    total, power = len(data), 1
+    for at in range(0, len(data), PART):
+        part = data[at : at + PART].astype(np.uint64) + np.uint64(1)
+        total += int((part * _POWERS[: len(part)]).sum(dtype=np.uint64)) * power
+        power = power * int(_POWERS[len(part)]) & 0xFFFFFFFFFFFFFFFF
+    return np.uint64(total & 0xFFFFFFFFFFFFFFFF)
+
+
 class Words:
     """Words of one slice: hashes, places, and whether the next one follows in the piece."""
 
     def __init__(self, data: bytes, seed: int):
         self.bytes = _LOWER[np.frombuffer(data, dtype=np.uint8)]
-        kind = _KIND[self.bytes]
-        inside = kind == 0
-        edge = np.diff(np.concatenate(([0], inside.astype(np.int8), [0])))
-        self.starts, self.ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        n = len(self.starts)
-        if not n:
-            self.hash, self.follows = np.empty(0, dtype=np.uint64), np.empty(0, dtype=bool)
-            return
-        lengths = self.ends - self.starts
-        at = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        offset = np.arange(int(lengths.sum())) - np.repeat(at, lengths)
-        powers = np.full(int(lengths.max()), _BASE, dtype=np.uint64)
-        powers[0] = 1
-        powers = np.cumprod(powers)
-        terms = (self.bytes[inside].astype(np.uint64) + np.uint64(1)) * powers[offset]
-        self.hash = mix(np.add.reduceat(terms, at) + lengths.astype(np.uint64) + np.uint64(seed))
-        cuts = np.cumsum(kind == 2, dtype=np.int32)[self.starts]
-        self.follows = np.concatenate((cuts[1:] == cuts[:-1], [False]))
-
-    def phrases(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        parts, at, pieces = [], 0, 0
+        while at < len(data):
+            end = min(at + PART, len(data))
+            while end < len(data) and end > at and _KIND[data[end - 1]] == 0 and _KIND[data[end]] == 0:
+                end -= 1  # a word is not cut
+            if end > at:
+                word, starts, ends, piece, n = _word_hashes(self.bytes[at:end])
+                parts.append((word, starts + at, ends + at, piece + pieces))
+                pieces += n
+            else:
+                end = at + PART
+                while end < len(data) and _KIND[data[end]] == 0:
+                    end += 1
+                parts.append((np.array([_long_word_hash(self.bytes[at:end])]), np.array([at]), np.array([end]), np.array([pieces])))
+            at = end
+        word, self.starts, self.ends, piece = (
+            [np.concatenate(p) for p in zip(*parts)] if parts else [np.empty(0, dtype=np.uint64), *[np.empty(0, dtype=np.int64)] * 3]
+        )
+        self.hash = mix(word + np.uint64(seed))
+        self.follows = np.concatenate((piece[1:] == piece[:-1], [False]))[: len(word)]
+
+    def phrases(self, longest: int = LONGEST) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(words, hash, is a phrase) for the phrases that start at each word."""
         h, ok = self.hash, np.ones(len(self.hash), dtype=bool)
         yield 1, h, ok
-        for k in range(2, LONGEST + 1):
+        for k in range(2, longest + 1):
             nxt = np.zeros(len(h), dtype=np.uint64)
             nxt[: len(h) - k + 1] = self.hash[k - 1 :]
             far = np.zeros(len(h), dtype=bool)
@@ -142,6 +178,11 @@ def _seed(lang: str) -> int:
     return zlib.crc32(lang.encode("utf-8", "surrogatepass")) * 0x9E3779B1 & 0xFFFFFFFF
 
 
+def _bits(k: int, bits: int) -> int:
+    """Words repeat more than phrases: a table of an eighth."""
+    return bits - 3 if k == 1 else bits
+
+
 def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -153,14 +194,14 @@ def _count_buckets(bits: int, least: int):
     kind = np.uint8 if least < 256 else np.uint32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [np.zeros(1 << bits, dtype=kind) for _ in range(LONGEST)]
+        counts = [np.zeros(1 << _bits(k, bits), dtype=kind) for k in range(1, COUNTED + 1)]
         any_rows = False
         for batch in batches:
             for lang, data in _texts(batch):
                 any_rows = True
                 for words, n in slices(data, _seed(lang)):
-                    for k, h, ok in words.phrases():
-                        found, many = np.unique(_bucket(h[:n][ok[:n]], bits), return_counts=True)
+                    for k, h, ok in words.phrases(COUNTED):
+                        found, many = np.unique(_bucket(h[:n][ok[:n]], _bits(k, bits)), return_counts=True)
                         counts[k - 1][found] = np.minimum(counts[k - 1][found].astype(np.int64) + many, least)
         if any_rows:
             for k, c in enumerate(counts):
@@ -203,13 +244,13 @@ def _merge_buckets(least: int):
 
 
 def frequent_buckets(docs: DataFrame, bits: int, least: int) -> list[bytes]:
-    """For 1 to 4 words: a bit a bucket, set where a phrase may reach ``least``."""
+    """For 1 to ``COUNTED`` words: a bit a bucket, set where a phrase may reach ``least``."""
     parts = docs.mapInArrow(_count_buckets(bits, least), "k int, chunk int, counts binary")
     merged = parts.repartition("k", "chunk").sortWithinPartitions("k", "chunk").mapInArrow(
         _merge_buckets(least), "k int, chunk int, bits binary"
     )
-    out = [bytearray((1 << bits) // 8) for _ in range(LONGEST)]
-    for k, chunk, data in merged.collect():  # at most 4 * 2^MAX_BITS / 8 bytes
+    out = [bytearray((1 << _bits(k, bits)) // 8) for k in range(1, COUNTED + 1)]
+    for k, chunk, data in merged.collect():  # at most COUNTED * 2^MAX_BITS / 8 bytes
         at = chunk * CHUNK // 8
         out[k][at : at + len(data)] = data
     return [bytes(b) for b in out]
@@ -218,8 +259,8 @@ def frequent_buckets(docs: DataFrame, bits: int, least: int) -> list[bytes]:
 # ------------------------------------------------------------------ stripes
 
 
-def _segment(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % SEGMENTS
+def _segment(k: int, word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % SEGMENTS[k]
 
 
 _STRIPE = "lang string, k int, prefix string, seg int, words array<string>, counts array<long>"
@@ -245,40 +286,58 @@ def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 
 
 class _Entries:
-    """Counts of (prefix, next word) met by a task, by the hash of the phrase."""
+    """Counts of (prefix, next word) met by a task."""
 
     def __init__(self):
-        self.held: dict[tuple, list] = {}
+        self.names: list[tuple] = []  # lang, k, prefix, word
+        self.counts = np.zeros(1024, dtype=np.int64)
+        self.known: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}  # sorted hashes and their places
+        self.unlisted: dict[str, int] = defaultdict(int)
 
     def add(self, words: Words, lang: str, k: int, ends: bool, h: np.ndarray, where: np.ndarray) -> None:
         """Phrases of ``k`` words at ``where``: as entries of their first k - 1
         words, or (``ends``) as the prefix of nothing listed."""
-        found, first, many = np.unique(h[where], return_index=True, return_counts=True)
-        for x, i, c in zip(found.tolist(), where[first].tolist(), many.tolist()):
-            entry = self.held.get((x, ends))
-            if entry is not None:
-                entry[3] += c
-                continue
+        if not len(where):
+            return
+        values = h[where]
+        found, many = np.unique(values, return_counts=True)
+        hashes, places = self.known.get((k, ends), (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)))
+        at = np.searchsorted(hashes, found)
+        old = np.zeros(len(found), dtype=bool)
+        inside = at < len(hashes)
+        old[inside] = hashes[at[inside]] == found[inside]
+        self.counts[places[at[old]]] += many[old]
+        new = found[~old]
+        if not len(new):
+            return
+        spot = np.minimum(np.searchsorted(new, values), len(new) - 1)
+        is_new = new[spot] == values
+        one = np.empty(len(new), dtype=np.int64)
+        one[spot[is_new]] = where[is_new]  # some occurrence of each
+        start = len(self.names)
+        for i in one.tolist():
             phrase = words.text(i, k)
             if ends:
-                self.held[x, ends] = [lang, k, phrase, c, ""]
+                self.names.append((lang, k, phrase, ""))
             else:
                 prefix, _, word = phrase.rpartition(" ")
-                self.held[x, ends] = [lang, k - 1, prefix, c, word]
-
-    def rest(self, lang: str, n: int) -> None:
-        """Words that are not listed: the empty prefix's rest."""
-        entry = self.held.setdefault((lang, None), [lang, 0, "", 0, ""])
-        entry[3] += n
+                self.names.append((lang, k - 1, prefix, word))
+        while len(self.names) > len(self.counts):
+            self.counts = np.concatenate((self.counts, np.zeros_like(self.counts)))
+        self.counts[start : len(self.names)] = many[~old]
+        hashes = np.concatenate((hashes, new))
+        places = np.concatenate((places, np.arange(start, len(self.names))))
+        order = np.argsort(hashes)
+        self.known[k, ends] = hashes[order], places[order]
 
     def stripes(self) -> Iterator[tuple]:
         rows: dict[tuple, tuple] = {}
-        for lang, k, prefix, count, word in self.held.values():
-            key = lang, k, prefix, _segment(word)
-            words, counts = rows.setdefault(key, ([], []))
+        names = [*self.names, *[(lang, 0, "", "") for lang in self.unlisted]]
+        for (lang, k, prefix, word), count in zip(names, [*self.counts.tolist()[: len(self.names)], *self.unlisted.values()]):
+            words, counts = rows.setdefault((lang, k, prefix, _segment(k, word)), ([], []))
             words.append(word)
             counts.append(count)
-        self.held.clear()
+        self.__init__()
         for key, (words, counts) in rows.items():
             yield (*key, words, counts)
 
@@ -294,16 +353,16 @@ def _build_stripes(buckets, bits: int):
                         continue
                     listed, before = None, None  # of the phrases one word shorter
                     for k, h, ok in words.phrases():
-                        keep = ok & maps[k - 1][_bucket(h, bits)]
+                        keep = ok & maps[k - 1][_bucket(h, _bits(k, bits))] if k <= COUNTED else ok
                         if k == 1:
-                            entries.rest(lang, int(n - keep[:n].sum()))
+                            entries.unlisted[lang] += int(n - keep[:n].sum())
                         else:
                             # listed only if both parts one word shorter are
-                            keep &= listed & np.concatenate((listed[1:], [False]))
+                            keep = keep & listed & np.concatenate((listed[1:], [False]))
                             entries.add(words, lang, k - 1, True, before, np.flatnonzero((listed & ~keep)[:n]))
                         entries.add(words, lang, k, False, h, np.flatnonzero(keep[:n]))
                         listed, before = keep, h
-                    if len(entries.held) >= HELD:
+                    if len(entries.names) >= HELD:
                         yield from _batches(entries.stripes())
         yield from _batches(entries.stripes())
 
@@ -391,9 +450,12 @@ def collocations(
         .select("lang", "phrase", "a", "s.l", "s.r", "s.score")
     )
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    # Ranked and cut as Spark's own row number, so each task gives at most ``top`` rows a language on.
+    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     n = totals.where("k = 0").select(F.col("lang").alias("n_lang"), F.col("f").alias("n"))
-    return best.join(n, F.col("lang") == F.col("n_lang")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return best.join(n, F.col("lang") == F.col("n_lang")).select(
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
+    )
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

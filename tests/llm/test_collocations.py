@@ -57,6 +57,7 @@ def test_slices_hold_each_phrase_once(monkeypatch):
         whole = next(iter(m.slices(data, 3)))[0]
         want = Counter((k, int(x)) for k, h, ok in whole.phrases() for x in h[ok])
         monkeypatch.setattr(m, "SLICE", 16)
+        monkeypatch.setattr(m, "PART", 8)
         got = Counter((k, int(x)) for w, n in m.slices(data, 3) for k, h, ok in w.phrases() for x in h[:n][ok[:n]])
         monkeypatch.undo()
         assert got == want, data[:20]
@@ -69,7 +70,7 @@ def test_entries_given_out_early_merge_to_the_same(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"lang": [r[0] or "und" for r in rows], "text": [r[1] or "" for r in rows]})
 
     class Full:
-        value = [b"\xff" * (1 << 9 >> 3)] * 4
+        value = [b"\xff" * (1 << 6 >> 3), *[b"\xff" * (1 << 9 >> 3)] * 2]
 
     def merged():
         built = list(m._build_stripes(Full, 9)(iter([batch.slice(i, 10) for i in range(0, len(rows), 10)])))
