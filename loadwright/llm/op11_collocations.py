@@ -1,22 +1,22 @@
 """Phrase collocation mining with stripes.
 
 A stripe is an associative counter keyed by a prefix: the prefix of 0 to 3
-words maps every next word to its count.  What ends a piece, or cannot recur
-often enough, is counted under the empty word, so a stripe's sum is its
-prefix's own count.  Stripes are built in each task, dealt by (language,
-prefix, segment of the next word), sorted, and merged elementwise as they
-stream by.  Three things come from the merged stripes: the extensions (the
-phrases and their counts), the prefix totals (counts of a phrase's parts, and
-of all words from the empty prefix) and the subsumption maxima (the largest
-count in a phrase's own stripe, and of its entries as the end of a longer
-phrase; a still longer phrase has no larger count than one of these).
+words maps every next word that may recur often enough to its count; words
+that cannot are counted under the empty word of the empty prefix.  Stripes are
+built in each task, dealt by (language, prefix, segment of the next word),
+sorted, and merged elementwise as they stream by.  Three things come from the
+merged stripes: the extensions (the phrases and their counts), the totals (of
+a prefix, from its own entry one word before; of all words, from the sum of the
+empty prefix) and the subsumption maxima (the largest count in a phrase's own
+stripe, and of its entries as the end of a longer phrase; a still longer phrase
+has no larger count than one of these).
 
 Before, one pass counts the hashes of all words and phrases of 2 and 3 words in
-tables of a fixed number of buckets (16 MB each at most, sized by the corpus).
+tables of a fixed number of buckets (32 MB each at most, sized by the corpus).
 A phrase whose bucket, or whose part's, stays below ``least`` cannot be a
 candidate and is not listed; hash collisions only list more.  A phrase of 4
 words is listed if both its parts of 3 are.  The tables are merged in
-chunks on the executors; bitmaps of one bit a bucket (2 MB a length at most)
+chunks on the executors; bitmaps of one bit a bucket (4 MB a length at most)
 are broadcast.  A corpus of far more words than buckets fills the tables, and
 then more phrases are listed (all, in the end), with the same results.
 
@@ -36,12 +36,14 @@ table gives an empty result; other columns are not read, whatever their names.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,12 +57,14 @@ SCALE = 2_000_000
 TOP = 2000
 # Stripes of a prefix of 0, 1, 2 and 3 words: shorter prefixes have more next words.
 SEGMENTS = (256, 16, 1, 1)
-MAX_BITS = 24  # buckets of a table: 2^24 at most
+MAX_BITS = 25  # buckets of a table: 2^25 at most
 COUNTED = 3  # phrases of up to so many words have bucket tables
 CHUNK = 1 << 16
 SLICE = 1 << 20  # bytes of text read at a time
 PART = 1 << 16  # bytes hashed at a time
 HELD = 1_000_000  # entries a task holds before it gives its stripes out
+STRIPES_OUT = 10_000  # stripes of a batch
+TASK_TEXT = 64 << 20  # characters a task reads at least, so that its stripes combine counts
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _KIND = np.zeros(256, dtype=np.uint8)  # 0 in a word, 1 blank, 2 between pieces
@@ -105,6 +109,7 @@ class Words:
 
     def __init__(self, data: bytes, seed: int):
         self.bytes = _LOWER[np.frombuffer(data, dtype=np.uint8)]
+        self.lower = self.bytes.tobytes()
         parts, at, pieces = [], 0, 0
         while at < len(data):
             end = min(at + PART, len(data))
@@ -138,8 +143,8 @@ class Words:
             h, ok = mix(h * _BASE + nxt + np.uint64(k)), ok & far
             yield k, h, ok
 
-    def text(self, i: int, k: int) -> str:
-        return b" ".join(self.bytes[self.starts[j] : self.ends[j]].tobytes() for j in range(i, i + k)).decode("utf-8", "surrogatepass")
+    def text(self, i: int, k: int) -> bytes:
+        return b" ".join([self.lower[self.starts[j] : self.ends[j]] for j in range(i, i + k)])
 
 
 def slices(data: bytes, seed: int) -> Iterator[tuple[Words, int]]:
@@ -259,49 +264,48 @@ def frequent_buckets(docs: DataFrame, bits: int, least: int) -> list[bytes]:
 # ------------------------------------------------------------------ stripes
 
 
-def _segment(k: int, word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % SEGMENTS[k]
-
-
 _STRIPE = "lang string, k int, prefix string, seg int, words array<string>, counts array<long>"
 
 
-def _stripe_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64())]
+def _grouped(lang: pa.Array, k: np.ndarray, prefix: pa.Array, seg: np.ndarray, word: pa.Array, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One stripe a (lang, k, prefix, seg) from its entries."""
+    if not len(k):
+        return
+    codes = [np.array(x.dictionary_encode().indices) for x in (lang, prefix)]
+    order = np.lexsort((seg, codes[1], k, codes[0]))
+    columns = [codes[0][order], k[order], codes[1][order], seg[order]]
+    first = np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))))
+    bounds = np.append(first, len(order))
+    heads = pa.array(order[first])
+    word, count = word.take(pa.array(order)), pa.array(count[order])
     names = ["lang", "k", "prefix", "seg", "words", "counts"]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-
-
-def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    out: list[tuple] = []
-    entries = 0
-    for row in rows:
-        out.append(row)
-        entries += len(row[4])
-        if entries >= 50_000:
-            yield _stripe_batch(out)
-            out, entries = [], 0
-    if out:
-        yield _stripe_batch(out)
+    flat = [lang.take(heads), pa.array(columns[1][first]), prefix.take(heads), pa.array(columns[3][first])]
+    for at in range(0, len(first), STRIPES_OUT):
+        cut = bounds[at : at + STRIPES_OUT + 1]
+        offsets = pa.array((cut - cut[0]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, x.slice(cut[0], cut[-1] - cut[0])) for x in (word, count)]
+        yield pa.RecordBatch.from_arrays([*[c.slice(at, STRIPES_OUT) for c in flat], *lists], names)
 
 
 class _Entries:
     """Counts of (prefix, next word) met by a task."""
 
     def __init__(self):
-        self.names: list[tuple] = []  # lang, k, prefix, word
+        self.langs: list[str] = []
+        self.prefixes: list[bytes] = []
+        self.words: list[bytes] = []
+        self.sizes: list[int] = []  # words of the prefix
         self.counts = np.zeros(1024, dtype=np.int64)
-        self.known: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}  # sorted hashes and their places
+        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by words: sorted hashes and their places
         self.unlisted: dict[str, int] = defaultdict(int)
 
-    def add(self, words: Words, lang: str, k: int, ends: bool, h: np.ndarray, where: np.ndarray) -> None:
-        """Phrases of ``k`` words at ``where``: as entries of their first k - 1
-        words, or (``ends``) as the prefix of nothing listed."""
+    def add(self, words: Words, lang: str, k: int, h: np.ndarray, where: np.ndarray) -> None:
+        """Phrases of ``k`` words at ``where``, as entries of their first k - 1 words."""
         if not len(where):
             return
         values = h[where]
         found, many = np.unique(values, return_counts=True)
-        hashes, places = self.known.get((k, ends), (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)))
+        hashes, places = self.known.get(k, (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)))
         at = np.searchsorted(hashes, found)
         old = np.zeros(len(found), dtype=bool)
         inside = at < len(hashes)
@@ -314,32 +318,31 @@ class _Entries:
         is_new = new[spot] == values
         one = np.empty(len(new), dtype=np.int64)
         one[spot[is_new]] = where[is_new]  # some occurrence of each
-        start = len(self.names)
+        start = len(self.words)
         for i in one.tolist():
-            phrase = words.text(i, k)
-            if ends:
-                self.names.append((lang, k, phrase, ""))
-            else:
-                prefix, _, word = phrase.rpartition(" ")
-                self.names.append((lang, k - 1, prefix, word))
-        while len(self.names) > len(self.counts):
+            self.prefixes.append(words.text(i, k - 1))
+            self.words.append(words.text(i + k - 1, 1))
+        self.langs += [lang] * len(new)
+        self.sizes += [k - 1] * len(new)
+        while len(self.words) > len(self.counts):
             self.counts = np.concatenate((self.counts, np.zeros_like(self.counts)))
-        self.counts[start : len(self.names)] = many[~old]
+        self.counts[start : len(self.words)] = many[~old]
         hashes = np.concatenate((hashes, new))
-        places = np.concatenate((places, np.arange(start, len(self.names))))
+        places = np.concatenate((places, np.arange(start, len(self.words))))
         order = np.argsort(hashes)
-        self.known[k, ends] = hashes[order], places[order]
-
-    def stripes(self) -> Iterator[tuple]:
-        rows: dict[tuple, tuple] = {}
-        names = [*self.names, *[(lang, 0, "", "") for lang in self.unlisted]]
-        for (lang, k, prefix, word), count in zip(names, [*self.counts.tolist()[: len(self.names)], *self.unlisted.values()]):
-            words, counts = rows.setdefault((lang, k, prefix, _segment(k, word)), ([], []))
-            words.append(word)
-            counts.append(count)
+        self.known[k] = hashes[order], places[order]
+
+    def stripes(self) -> Iterator[pa.RecordBatch]:
+        """What is held, as stripes; nothing is held then."""
+        more = list(self.unlisted)
+        lang = pa.array([*self.langs, *more], pa.string())
+        k = np.array([*self.sizes, *[0] * len(more)], dtype=np.int32)
+        prefix = pa.array([*self.prefixes, *[b""] * len(more)], pa.binary()).cast(pa.string())
+        word = [*self.words, *[b""] * len(more)]
+        count = np.concatenate((self.counts[: len(self.words)], np.array(list(self.unlisted.values()), dtype=np.int64)))
+        seg = np.array([zlib.crc32(w) % SEGMENTS[n] for w, n in zip(word, k.tolist())], dtype=np.int32)
         self.__init__()
-        for key, (words, counts) in rows.items():
-            yield (*key, words, counts)
+        yield from _grouped(lang, k, prefix, seg, pa.array(word, pa.binary()).cast(pa.string()), count)
 
 
 def _build_stripes(buckets, bits: int):
@@ -351,7 +354,7 @@ def _build_stripes(buckets, bits: int):
                 for words, n in slices(data, _seed(lang)):
                     if not n:
                         continue
-                    listed, before = None, None  # of the phrases one word shorter
+                    listed = None  # the phrases one word shorter
                     for k, h, ok in words.phrases():
                         keep = ok & maps[k - 1][_bucket(h, _bits(k, bits))] if k <= COUNTED else ok
                         if k == 1:
@@ -359,39 +362,53 @@ def _build_stripes(buckets, bits: int):
                         else:
                             # listed only if both parts one word shorter are
                             keep = keep & listed & np.concatenate((listed[1:], [False]))
-                            entries.add(words, lang, k - 1, True, before, np.flatnonzero((listed & ~keep)[:n]))
-                        entries.add(words, lang, k, False, h, np.flatnonzero(keep[:n]))
-                        listed, before = keep, h
-                    if len(entries.names) >= HELD:
-                        yield from _batches(entries.stripes())
-        yield from _batches(entries.stripes())
+                        entries.add(words, lang, k, h, np.flatnonzero(keep[:n]))
+                        listed = keep
+                    if len(entries.words) >= HELD:
+                        yield from entries.stripes()
+        yield from entries.stripes()
 
     return run
 
 
 def _merge_stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows():
-        now, stripe = None, {}
-        for batch in batches:
-            for *key, words, counts in zip(*[c.to_pylist() for c in batch.columns]):
-                if key != now:
-                    if now is not None:
-                        yield (*now, list(stripe), list(stripe.values()))
-                    now, stripe = key, {}
-                for word, count in zip(words, counts):
-                    stripe[word] = stripe.get(word, 0) + count
-        if now is not None:
-            yield (*now, list(stripe), list(stripe.values()))
+    """Adds up the stripes of each key elementwise; they come sorted by key."""
+    key = ["lang", "k", "prefix", "seg"]
+    held = None  # the entries of the last key, which may go on
+
+    def entries(batch: pa.RecordBatch) -> pa.Table:
+        row = pc.list_parent_indices(batch.column("words"))
+        flat = {c: batch.column(c).take(row) for c in key}
+        return pa.table({**flat, "word": batch.column("words").flatten(), "n": batch.column("counts").flatten()})
+
+    def merged(t: pa.Table) -> pa.Table:
+        return t.group_by([*key, "word"]).aggregate([("n", "sum")]).rename_columns([*key, "word", "n"])
+
+    def out(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        t = t.combine_chunks()
+        one = {c: (t.column(c).chunk(0) if t.column(c).num_chunks else pa.array([], t.schema.field(c).type)) for c in t.column_names}
+        yield from _grouped(one["lang"], np.array(one["k"]), one["prefix"], np.array(one["seg"]), one["word"], np.array(one["n"]))
 
-    yield from _batches(rows())
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = entries(batch)
+        t = merged(pa.concat_tables([held, t]) if held is not None else t)
+        last = batch.slice(batch.num_rows - 1)
+        same = functools.reduce(pc.and_, [pc.equal(t.column(c), last.column(c)[0]) for c in key])
+        held = t.filter(same)
+        yield from out(t.filter(pc.invert(same)))
+    if held is not None:
+        yield from out(held)
 
 
 def stripes(docs: DataFrame, least: int, bits: int | None = None) -> DataFrame:
     """Merged stripes of ``lang`` and ``text`` (neither null), written once."""
     spark = docs.sparkSession
+    size = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     if bits is None:
-        size = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-        bits = min(MAX_BITS, max(16, (size // 40).bit_length()))
+        bits = min(MAX_BITS, max(16, (size // 20).bit_length()))
+    docs = docs.coalesce(-(-size // TASK_TEXT) or 1)
     buckets = spark.sparkContext.broadcast(frequent_buckets(docs, bits, least))
     built = docs.mapInArrow(_build_stripes(buckets, bits), _STRIPE)
     key = ["lang", "k", "prefix", "seg"]
@@ -413,20 +430,21 @@ def collocations(
     small_batches(docs.sparkSession)
     docs = docs.select(F.coalesce(lang, F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
     merged = stripes(docs, least, bits)
-    # Prefix totals: a stripe's sum over all its segments.
-    totals = materialise(
-        merged.select("lang", "k", "prefix", F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y).alias("part"))
-        .groupBy("lang", "k", "prefix").agg(F.sum("part").alias("f")),
-        "totals",
-    )
-    part = totals.where("k > 0").select(F.col("lang").alias("p_lang"), F.col("prefix").alias("part"), "f")
-    # Extensions: the phrases of two words and more that recur often enough.
     entry = F.inline(F.arrays_zip("words", "counts"))
+    listed = merged.select("lang", "k", "prefix", entry)
+    # Extensions: the phrases of two words and more that recur often enough.
     phrases = materialise(
-        merged.where("k > 0").select("lang", "k", "prefix", entry).where((F.col("words") != "") & (F.col("counts") >= least))
-        .select("lang", (F.col("k") + 1).alias("k"), "prefix", F.concat_ws(" ", "prefix", "words").alias("phrase"), F.col("counts").alias("a")),
+        listed.where((F.col("words") != "") & (F.col("counts") >= least)).select(
+            "lang", (F.col("k") + 1).alias("k"), "prefix",
+            F.when(F.col("k") == 0, F.col("words")).otherwise(F.concat_ws(" ", "prefix", "words")).alias("phrase"),
+            F.col("counts").alias("a"),
+        ),
         "phrases",
     )
+    # Totals of a phrase's parts, which recur at least as often; and of all words.
+    part = phrases.where(F.col("k") < LONGEST).select(F.col("lang").alias("p_lang"), F.col("phrase").alias("part"), F.col("a").alias("f"))
+    n = listed.where("k = 0").groupBy(F.col("lang").alias("n_lang")).agg(F.sum("counts").alias("n"))
+    phrases = phrases.where("k > 1")
     # Subsumption maxima: over a phrase's own stripe, and over the entries that end in it.
     longer = phrases.where("k > 2").select(
         "lang", "a", F.explode(F.array("prefix", _words("phrase", F.lit(2), F.col("k") - 1))).alias("phrase")
@@ -452,7 +470,6 @@ def collocations(
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     # Ranked and cut as Spark's own row number, so each task gives at most ``top`` rows a language on.
     best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    n = totals.where("k = 0").select(F.col("lang").alias("n_lang"), F.col("f").alias("n"))
     return best.join(n, F.col("lang") == F.col("n_lang")).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
