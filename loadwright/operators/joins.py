@@ -17,9 +17,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadwright.operators.dedup import global_sequence
 from loadwright.operators.skew import key_join, resolve
 from loadwright.session import checkpointed
 
@@ -130,6 +131,8 @@ def matched_rows(
 # as a broadcast side; beyond that the planner picks the join.
 MAX_PRUNE_VALUES = 10_000
 MAX_BROADCAST_PARTITIONS = 100_000
+# A larger set prunes the scan by this many ranges that hold all its values.
+PRUNE_RANGES = 500
 
 
 def touched_values(delta: DataFrame, col: str) -> tuple[DataFrame, int]:
@@ -144,29 +147,59 @@ def touched_values(delta: DataFrame, col: str) -> tuple[DataFrame, int]:
     return vals, vals.count()
 
 
-def affected_partitions(base: DataFrame, delta: DataFrame, partition_col: str, delta_col: str | None = None) -> DataFrame:
+def affected_partitions(
+    base: DataFrame, delta: DataFrame, partition_col: str, delta_col: str | None = None, max_listed: int = MAX_PRUNE_VALUES
+) -> DataFrame:
     """Base rows in a partition the delta touches (``p IN (SELECT DISTINCT p ..)``).
 
     The touched values are counted first.  A small set (the partition values
     of one load; metadata, bounded by the table's partition count) becomes a
     literal ``IN`` list, so the scan reads only those partitions.  A larger
-    one is broadcast to a semi join, so the base is never shuffled on its
-    partition column, where a heavy partition would land in one task.
+    one prunes the scan by ranges (``value_ranges``) and is joined: as a
+    broadcast side up to ``MAX_BROADCAST_PARTITIONS``, so the base is not
+    shuffled on its partition column, where a heavy partition would land in
+    one task.
     """
     vals, n = touched_values(delta, delta_col or partition_col)
-    if n <= MAX_PRUNE_VALUES:
-        listed = [r[0] for r in vals.collect()]
+    if n <= max_listed:
+        listed = sorted((r[0] for r in vals.collect()), key=lambda v: (v is not None, v))
         pred = F.col(partition_col).isin([v for v in listed if v is not None])
         if any(v is None for v in listed):
             # A NULL partition value is a partition too (Hive's default
             # partition): it is rewritten, so its base rows must be kept.
             pred = pred | F.col(partition_col).isNull()
         return base.where(pred)
+    base = base.where(in_ranges(F.col(partition_col), value_ranges(vals, n)))
     if n <= MAX_BROADCAST_PARTITIONS:
         vals = F.broadcast(vals)
     return base.join(vals, base[partition_col].eqNullSafe(vals["__k0"]), "left_semi")
 
 
+def value_ranges(vals: DataFrame, n: int) -> list[tuple]:
+    """At most ``PRUNE_RANGES`` (low, high) ranges that hold all values of
+    ``__k0``, in order; ``(None, None)`` stands for NULL.
+
+    The sorted values are cut into runs of equal length, numbered over range
+    partitions, so only the ends of the runs come to the driver.
+    """
+    run = -(-n // PRUNE_RANGES)
+    known = global_sequence(vals.where(F.col("__k0").isNotNull()), ["__k0"], "__n")
+    ends = known.groupBy(F.floor((F.col("__n") - 1) / run).alias("__run")).agg(F.min("__k0"), F.max("__k0")).collect()
+    out = sorted((low, high) for _, low, high in ends)
+    if vals.where(F.col("__k0").isNull()).head(1):
+        out.append((None, None))
+    return out
+
+
+def in_ranges(col: Column, ranges: Sequence[tuple]) -> Column:
+    """Is ``col`` in one of the ranges?  A filter on a partition column, as a
+    balanced tree of ORs (a chain of hundreds would be a deep plan)."""
+    tests = [col.isNull() if low is None else col.between(F.lit(low), F.lit(high)) for low, high in ranges] or [F.lit(False)]
+    while len(tests) > 1:
+        tests = [reduce(lambda a, b: a | b, tests[i : i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0]
+
+
 def unaffected_in_partitions(
     base: DataFrame,
     delta: DataFrame,

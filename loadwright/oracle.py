@@ -360,3 +360,11 @@ ORACLE: dict[str, str] = {
     "stream_history": f"""
         WITH {_ORDERS_CTE} SELECT * FROM ob UNION ALL SELECT * FROM os_raw""",
 }
+ORACLE["swap_recovered"] = ORACLE["upsert_accumulate"]
+ORACLE["upsert_accumulate_one_pass"] = ORACLE["upsert_accumulate_hot_key"]
+ORACLE["upsert_partial_one_pass"] = ORACLE["upsert_partial"]
+ORACLE["run_load_upsert_detects_partition"] = ORACLE["upsert_partitioned_table"]
+ORACLE["swap_recovered_folder"] = "SELECT * FROM orders WHERE o_orderstatus = 'O'"
+ORACLE["affected_partitions_wide"] = """
+    SELECT *, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS o_month
+    FROM orders WHERE month(o_orderdate) % 2 = 1"""

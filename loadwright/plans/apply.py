@@ -20,6 +20,7 @@ from loadwright.operators.joins import affected_partitions, matching, touched_va
 from loadwright.operators.skew import resolve
 from loadwright.plans import loads as L
 from loadwright.session import checkpointed
+from loadwright.sources import swaps
 from loadwright.sources import tables as S
 
 
@@ -191,8 +192,7 @@ class Batch:
     def applied(self, spark: SparkSession) -> None:
         """Note that the load is over, and drop the rebuilt rows kept for a replay."""
         self.note(spark, "applied")
-        fs, path = S._filesystem(spark, self.folder)
-        fs.delete(path(self._path("rebuilt")), True)
+        swaps.delete_folder(spark, self._path("rebuilt"))
 
     def append(self, rows: DataFrame, target: str, fmt: str, partition_by: list[str] | None) -> None:
         spark = rows.sparkSession
@@ -242,13 +242,15 @@ def _partition_scoped(target: str, base: DataFrame, stage: DataFrame | None, spe
         return
     vals, n = touched_values(_hit_rows(base, stage, spec), part)
     rebuilt = apply_load(affected_partitions(base, vals.withColumnRenamed("__k0", part), part), stage, spec)
-    emptied = None
+    emptied, stored = None, False
     if spec["pattern"] == "delete":
+        # Read twice (which partitions are left, then the rows): computed once.
+        rebuilt, stored = checkpointed(rebuilt), True
         left = rebuilt.select(F.col(part).alias("__k0")).distinct()
         emptied = checkpointed(vals.join(left, vals["__k0"].eqNullSafe(left["__k0"]), "left_anti"))
         if S._is_path(target) and (some := emptied.head(5)):
             raise ValueError(f"run_load: the delete empties partitions {[r[0] for r in some]} of a folder target")
-    S.overwrite_partitions(rebuilt, target, part, path_fmt)
+    S.overwrite_partitions(rebuilt, target, part, path_fmt, stored=stored)
     if emptied is not None and not S._is_path(target):
         left_over = emptied.toLocalIterator()
         while some := list(itertools.islice(left_over, DROPS_PER_STATEMENT)):
@@ -265,8 +267,12 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
              batch: Batch | None = None) -> DataFrame:
     """Apply the load to ``target`` (table name or folder) and write it.
 
-    A partitioned upsert, and an update or delete on a table with one
-    partition column, rewrite only the partitions they touch; an
+    A swap of the target that was cut is undone or finished first
+    (``tables.recover``).  An upsert, update or delete on a table with one
+    partition column rewrites only the partitions it touches; an upsert whose
+    spec names no ``partition`` finds it in the catalog and keeps every key
+    unique (``scope`` "table", unless the spec gives one), as it would without
+    partitions.  An
     append-distinct into a distinct base (``base_distinct``) and an
     insert-select append only the new rows; every
     other pattern replaces the table (through ``swap_in`` for a catalog
@@ -284,12 +290,24 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
     return S.scan_base(spark, target, spec.get("format") or S.DEFAULT_FORMAT, spec.get("schema"))
 
 
+def _table_partition(spark: SparkSession, target: str, spec: Mapping) -> str | None:
+    """The partition column an upsert can follow: the only one of a catalog
+    table, known for every staged row."""
+    if S._is_path(target) or spec.get("stage_keys") or not spark.catalog.tableExists(target):
+        return None
+    found = S.table_layout(spark, target)["partition_by"]
+    if len(found) != 1 or (spec.get("columns") and found[0] not in [*spec["keys"], *spec["columns"]]):
+        return None
+    return found[0]
+
+
 def _run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFrame | None, batch: Batch | None) -> None:
     src = stage if stage is not None else base
     spark = src.sparkSession if src is not None else SparkSession.active()
     pattern = spec["pattern"]
     fmt = spec.get("format")  # None: a catalog table keeps its own
     path_fmt = fmt or S.DEFAULT_FORMAT
+    S.recover(spark, target)
     if base is None and pattern not in _DISCARDS_BASE:
         base = S.scan_base(spark, target, path_fmt, spec.get("schema"))
     if pattern not in PATTERNS:
@@ -298,6 +316,9 @@ def _run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFra
     if batch and batch.in_table(spark, target):
         return
     part = spec.get("partition")
+    if pattern in ("upsert", "summarize") and not part and (found := _table_partition(spark, target, spec)):
+        spec = {"scope": "table", **spec, "partition": found}
+        part = found
     if pattern in ("update", "delete"):
         layout_part = part or (S.table_layout(spark, target)["partition_by"] if not S._is_path(target) else [])
         if isinstance(layout_part, str):

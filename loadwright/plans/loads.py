@@ -28,6 +28,7 @@ from loadwright.operators.joins import (
     new_rows,
     unaffected,
 )
+from loadwright.operators.merge import fits_broadcast, hash_placed, merged
 from loadwright.operators.setops import stack
 from loadwright.operators.skew import key_join, resolve
 from loadwright.session import checkpointed
@@ -215,18 +216,37 @@ def upsert_partial(
     order_by: Sequence[str | Column] | None = None,
     exprs: Sequence[str | Column] | None = None,
     skew="auto",
+    one_pass: bool | None = None,
 ) -> DataFrame:
     """Like ``upsert`` but the stage carries only the keys and ``columns``;
     every other base column keeps the existing row's value (P12), and is NULL
-    for a new key."""
+    for a new key.  ``one_pass`` as in ``upsert_accumulate``."""
     listed = list(dict.fromkeys([*keys, *columns]))
     d = _delta(base, stage, keys, order_by, exprs, columns=listed)
-    return _partial(base, d, _key_source(stage, d, exprs, None), keys, listed, skew)
+    return _partial(base, d, _key_source(stage, d, exprs, None), keys, listed, skew, one_pass)
+
+
+def _in_one_pass(base: DataFrame, delta: DataFrame, skew, one_pass: bool | None) -> bool:
+    """One pass over both sides, or joins that read the base's keys again?
+
+    A stage that Catalyst would broadcast is joined (the base is not shuffled
+    then), and so is one against a base that is bucketed already, or with hot
+    keys that were not sampled from this base.
+    """
+    if one_pass is None:
+        one_pass = not fits_broadcast(delta) and not hash_placed(base)
+    return one_pass and not isinstance(skew, DataFrame)
 
 
 def _partial(base: DataFrame, delta: DataFrame, key_source: DataFrame, keys: Sequence[str],
-             listed: Sequence[str], skew) -> DataFrame:
+             listed: Sequence[str], skew, one_pass: bool | None = None) -> DataFrame:
     """L7 over staged rows that are de-duplicated already."""
+    if _in_one_pass(base, delta, skew, one_pass):
+        new, hit = F.col("a").isNull(), F.col("m").isNotNull()
+        return merged(base, delta, keys, resolve(skew, base, keys)).select(*[
+            (F.when(new | hit, F.col(f"m.{c}")).otherwise(F.col(f"a.{c}")) if c in listed else F.col(f"a.{c}")).alias(c)
+            for c in base.columns
+        ])
     d, d_null = _split_null_keys(delta, keys)
     hot = resolve(skew, base, keys)
     joined = _left_pair(base, d, keys, hot)
@@ -269,22 +289,33 @@ def upsert_accumulate(
     order_by: Sequence[str | Column] | None = None,
     exprs: Sequence[str | Column] | None = None,
     skew="auto",
+    one_pass: bool | None = None,
 ) -> DataFrame:
     """Unaffected base rows, new staged rows as they are, and for a key
     in both the staged row with the SET expressions applied over the old row
     (``a``) and the staged row (``m``), e.g. ``{"qty": "a.qty + m.qty"}``.
 
-    Two joins on one shuffle of each side: base LEFT JOIN staged (matched and
-    unaffected rows; a matched flag, not a data column, tells them apart) and
-    staged ANTI JOIN distinct base keys (new rows).
+    A stage too large to broadcast is merged with the base in one pass
+    (``operators.merge``): the base is read and shuffled once.  A smaller one
+    takes two joins: base LEFT JOIN staged (matched and unaffected rows; a
+    matched flag, not a data column, tells them apart) and staged ANTI JOIN
+    distinct base keys (new rows); the base is not shuffled, its keys are read
+    twice.  ``one_pass`` decides it instead of the size estimate.
     """
     d = _delta(base, stage, keys, order_by, exprs)
-    return _accumulate(base, d, _key_source(stage, d, exprs, None), keys, sets, skew)
+    return _accumulate(base, d, _key_source(stage, d, exprs, None), keys, sets, skew, one_pass)
 
 
 def _accumulate(base: DataFrame, delta: DataFrame, key_source: DataFrame, keys: Sequence[str],
-                sets: Mapping[str, str | Column], skew) -> DataFrame:
+                sets: Mapping[str, str | Column], skew, one_pass: bool | None = None) -> DataFrame:
     """L8 over staged rows that are de-duplicated already."""
+    if _in_one_pass(base, delta, skew, one_pass):
+        return merged(base, delta, keys, resolve(skew, base, keys)).select(*[
+            F.when(F.col("a").isNull(), F.col(f"m.{c}"))
+            .when(F.col("m").isNotNull(), as_expr(sets[c]) if c in sets else F.col(f"m.{c}"))
+            .otherwise(F.col(f"a.{c}")).cast(base.schema[c].dataType).alias(c)
+            for c in base.columns
+        ])
     d, d_null = _split_null_keys(delta, keys)
     hot = resolve(skew, base, keys)
     joined = _left_pair(base, d, keys, hot)

@@ -506,6 +506,63 @@ def q_run_load_upsert(spark, sf):
     return spark.table(name)
 
 
+def q_upsert_accumulate_one_pass(spark, sf):
+    """L8 by one pass over base and stage, as for a stage too large to broadcast."""
+    return L.upsert_accumulate(
+        hot_base(spark, sf), hot_stage(spark, sf), HOT_KEYS,
+        {"l_quantity": "a.l_quantity + m.l_quantity"}, HOT_ORDER, one_pass=True,
+    )
+
+
+def q_upsert_partial_one_pass(spark, sf):
+    st = orders_stage(spark, sf).select("o_orderkey", "o_totalprice", "o_orderdate")
+    return L.upsert_partial(orders_base(spark, sf), st, ORDER_KEYS, ["o_totalprice"], ["o_orderdate"], one_pass=True)
+
+
+def q_swap_recovered(spark, sf):
+    """S7 after a cut: a swap stops between its renames, then the load is run
+    again.  It first gives the old rows their name back, then applies once."""
+    from loadwright.plans.apply import run_load
+
+    name = scratch_table_name("orders_cut")
+    S.write_table(orders_base(spark, sf), name, location=scratch_path(spark, name))
+    spec = {"pattern": "upsert", "keys": ORDER_KEYS, "sets": {"o_totalprice": "a.o_totalprice + m.o_totalprice"},
+            "order_by": ["o_orderdate"]}
+    stage = orders_stage(spark, sf)
+    S.begin_swap(apply_load(spark.table(name), stage, spec), name).set_aside()
+    return run_load(name, stage, spec)
+
+
+def q_swap_recovered_folder(spark, sf):
+    """S5 after a cut between the two renames of a folder, then run again."""
+    path = scratch_path(spark, "orders_cut_folder")
+    S.write_table(table(spark, sf, "orders"), path)
+    kept = table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
+    S.begin_folder_swap(kept, path).set_aside()
+    S.recover(spark, path)
+    S.overwrite(S.scan_base(spark, path).where(F.col("o_orderstatus") == "O"), path)
+    return S.scan_base(spark, path)
+
+
+def q_run_load_upsert_detects_partition(spark, sf):
+    """A plain upsert of a partitioned table, its spec without ``partition``:
+    only the partitions it touches are rewritten, every key stays unique."""
+    from loadwright.plans.apply import run_load
+
+    name = _years_table(spark, sf)
+    return run_load(name, partition_stage(spark, sf, 1999), {"pattern": "upsert", "keys": ORDER_KEYS})
+
+
+def q_affected_partitions_wide(spark, sf):
+    """J5 with more touched values than a literal list may hold (here 20, so
+    that months are enough): the scan is pruned by ranges of them."""
+    path = scratch_path(spark, "orders_by_month")
+    orders = table(spark, sf, "orders").withColumn("o_month", F.year("o_orderdate") * 100 + F.month("o_orderdate"))
+    S.write_table(orders, path, partition_by=["o_month"])
+    touched = orders.where(F.month("o_orderdate") % 2 == 1)
+    return J.affected_partitions(S.scan_base(spark, path), touched, "o_month", max_listed=20)
+
+
 def _years_table(spark, sf) -> str:
     name = scratch_table_name("orders_years")
     S.write_table(orders_by_year(spark, sf), name, partition_by=["o_year"], location=scratch_path(spark, name))
@@ -776,6 +833,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "apply_load": q_apply_load,
     "apply_load_delete": q_apply_load_delete,
     "run_load_upsert": q_run_load_upsert,
+    "run_load_upsert_detects_partition": q_run_load_upsert_detects_partition,
+    "upsert_accumulate_one_pass": q_upsert_accumulate_one_pass,
+    "upsert_partial_one_pass": q_upsert_partial_one_pass,
+    "swap_recovered": q_swap_recovered,
+    "swap_recovered_folder": q_swap_recovered_folder,
+    "affected_partitions_wide": q_affected_partitions_wide,
     "run_load_partitioned": q_run_load_partitioned,
     "upsert_bucketed": q_upsert_bucketed,
     "update_partitioned": q_update_partitioned,

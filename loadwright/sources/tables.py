@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loadwright.session import checkpointed, scratch_table_name
+from loadwright.sources import swaps
 
 DEFAULT_FORMAT = "orc"
 
@@ -56,6 +57,10 @@ def external_location(spark: SparkSession, target: str) -> str | None:
     return info.get("Location") if info.get("Type") == "EXTERNAL" else None
 
 
+def _location(spark: SparkSession, target: str) -> str | None:
+    return {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}.get("Location")
+
+
 def table_properties(spark: SparkSession, target: str) -> dict[str, str]:
     """The properties a user (or a stream) set on a catalog table."""
     props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {target}").collect()}
@@ -66,15 +71,10 @@ def table_properties(spark: SparkSession, target: str) -> dict[str, str]:
 _STORE_PROPERTIES = {"EXTERNAL", "transient_lastDdlTime", "numFiles", "numRows", "rawDataSize", "totalSize", "TRANSLATED_TO_EXTERNAL", "external.table.purge", "bucketing_version"}
 
 
-def _filesystem(spark: SparkSession, path: str):
-    """Hadoop file system of ``path``, and a function from text to its paths."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path
-    return jpath(path).getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
-def _rename(fs, src, dst) -> None:
-    if not fs.rename(src, dst):
-        raise OSError(f"could not rename {src} to {dst}")
+def recover(spark: SparkSession, target: str) -> str | None:
+    """Finish or undo a swap of ``target`` that was cut (see ``swaps``); every
+    load does this first."""
+    return swaps.recover(spark, target, _location)
 
 
 def _prepare(
@@ -192,6 +192,7 @@ def overwrite_partitions(
     partition_col: str,
     fmt: str = DEFAULT_FORMAT,
     rebalance: bool | None = None,
+    stored: bool = False,
 ) -> None:
     """``INSERT OVERWRITE ... PARTITION(p)``: only partitions present in
     ``df`` are replaced; the others are left as they are.
@@ -200,11 +201,12 @@ def overwrite_partitions(
     folders are swapped at job commit, so ``df`` may read the target itself.
     Spark refuses that for a catalog table, so there the rebuilt rows are
     first checkpointed to the shared checkpoint folder (a reliable copy of
-    only the rebuilt partitions), which cuts the plan's link to the table.
+    only the rebuilt partitions), which cuts the plan's link to the table;
+    ``stored`` says that ``df`` is such a copy already.
     """
     cols = [c for c in df.columns if c != partition_col] + [partition_col]
     rows = df.select(*cols)
-    if not _is_path(target):
+    if not _is_path(target) and not stored:
         rows = checkpointed(rows)
     out = _prepare(rows, [partition_col], rebalance)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -279,59 +281,97 @@ def swap_in(
     before the old table is touched, so a failure while writing leaves the
     old table as it was.  The swap is two renames and a drop: the old table
     is renamed aside, the new one takes its name, and only then is the old
-    one dropped, so a driver lost midway leaves every row under one of the
-    two names.  The new table keeps the old one's format, partitioning,
+    one dropped.  A record of the names is written first, so the next load of
+    the target undoes or finishes a swap that was cut (``recover``).  The new
+    table keeps the old one's format, partitioning,
     bucketing and properties unless given otherwise, and an external table
     stays one: without ``location`` its new version goes to a fresh folder
     beside the old, and the superseded folder is deleted last.
     ``properties`` are set before the swap, so they come with the rows.
     """
+    swap = begin_swap(new, target, fmt, partition_by, location, rebalance, properties)
+    swap.set_aside()
+    swap.put_in_place()
+    swap.finish()
+    return target
+
+
+class TableSwap:
+    """The steps of ``swap_in`` after the new rows are written; the record of
+    ``swaps`` is open until ``finish``."""
+
+    def __init__(self, spark: SparkSession, target: str, names: dict, had_old: bool):
+        self.spark, self.target, self.names, self.had_old = spark, target, names, had_old
+        self.side, self.old, self.old_location = names["new"], names["old"], names["old_location"]
+
+    def set_aside(self) -> None:
+        swaps.Record(self.spark, self.target).write(**{**self.names, "swapping": True})
+        if self.had_old:
+            swaps.rename_table(self.spark, self.target, self.old)
+
+    def put_in_place(self) -> None:
+        swaps.rename_table(self.spark, self.side, self.target)
+
+    def finish(self) -> None:
+        swaps.drop_table(self.spark, self.old)
+        self.spark.catalog.refreshTable(self.target)
+        if self.old_location and not swaps.same_place(self.spark, self.old_location, external_location(self.spark, self.target)):
+            swaps.delete_folder(self.spark, self.old_location)
+        swaps.Record(self.spark, self.target).remove()
+
+
+def begin_swap(
+    new: DataFrame,
+    target: str,
+    fmt: str | None = None,
+    partition_by: Sequence[str] | None = None,
+    location: str | None = None,
+    rebalance: bool | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> TableSwap:
+    """First half of ``swap_in``: open the record and write the side table."""
     spark = new.sparkSession
-    layout = table_layout(spark, target) if spark.catalog.tableExists(target) else {}
+    recover(spark, target)
+    had_old = spark.catalog.tableExists(target)
+    layout = table_layout(spark, target) if had_old else {}
     fmt = fmt or layout.get("format") or DEFAULT_FORMAT
     partition_by = partition_by if partition_by is not None else layout.get("partition_by") or None
     if partition_by:
         new = new.select(*[c for c in new.columns if c not in partition_by], *partition_by)
     db = f"{target.rsplit('.', 1)[0]}." if "." in target else ""
     short = target.split(".")[-1]
-    side = db + scratch_table_name(f"{short}_final")
-    old_location = external_location(spark, target) if layout else None
+    side, old = db + scratch_table_name(f"{short}_final"), db + scratch_table_name(f"{short}_old")
+    old_location = external_location(spark, target) if had_old else None
     if old_location and not location:
         parent, name = old_location.rstrip("/").rsplit("/", 1)
         location = f"{parent}/{name.split('__v-')[0]}__v-{uuid.uuid4().hex[:12]}"
-    old = db + scratch_table_name(f"{short}_old")
+    if location:
+        fs, path = swaps.filesystem(spark, location)
+        if fs.exists(path(location)) and fs.listStatus(path(location)):
+            raise ValueError(f"swap_in: the folder {location} is not empty")
+    names = {
+        "kind": "table", "new": side, "old": old, "old_location": old_location, "swapping": False,
+        "side_location": location or f"{_database_folder(spark, target)}/{side.split('.')[-1]}",
+    }
+    swaps.Record(spark, target).write(**names)
     write_table(new, side, fmt, partition_by, "error", rebalance, location,
                 layout.get("buckets"), layout.get("bucket_by"), layout.get("sort_by"))
     # The new table must be readable before the old one is touched.
     spark.table(side).select(F.lit(1)).limit(1).collect()
-    had_old = spark.catalog.tableExists(target)
     props = {**(table_properties(spark, target) if had_old else {}), **(properties or {})}
     if props:
         listed = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in props.items())
         spark.sql(f"ALTER TABLE {side} SET TBLPROPERTIES ({listed})")
-    if had_old:
-        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {side} RENAME TO {target}")
-    if had_old:
-        spark.sql(f"DROP TABLE {old}")
-    spark.catalog.refreshTable(target)
-    if old_location:
-        _delete_superseded(spark, old_location, external_location(spark, target))
-    return target
+    return TableSwap(spark, target, names, had_old)
 
 
-def _quoted(text: str) -> str:
-    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _database_folder(spark: SparkSession, target: str) -> str:
+    db = target.rsplit(".", 1)[0] if "." in target else spark.catalog.currentDatabase()
+    return spark.catalog.getDatabase(db).locationUri.rstrip("/")
 
 
-def _delete_superseded(spark: SparkSession, old: str, new: str | None) -> None:
-    """Delete an external table's former folder, unless the new version is
-    that folder, below it or above it, or its place is unknown."""
-    fs, path = _filesystem(spark, old)
-    a = fs.makeQualified(path(old)).toString().rstrip("/") + "/"
-    b = fs.makeQualified(path(new)).toString().rstrip("/") + "/" if new else a
-    if not a.startswith(b) and not b.startswith(a):
-        fs.delete(path(old), True)
+def _quoted(text: str) -> str:
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def overwrite(
@@ -347,22 +387,48 @@ def overwrite(
 
     A catalog table goes through ``swap_in`` (Spark refuses to overwrite a
     table the same plan reads).  A folder is written whole beside the target
-    first and renamed into its place, so a failed write leaves the old rows.
+    first and renamed into its place, so a failed write leaves the old rows;
+    a cut between the renames is mended by the next load (``recover``).
     """
     if not _is_path(target):
         swap_in(df, target, fmt, partition_by, location, rebalance, properties)
         return
-    mark = uuid.uuid4().hex[:12]
-    home = target.rstrip("/")
-    write_table(df, f"{home}__new-{mark}", fmt or DEFAULT_FORMAT, partition_by, "error", rebalance)
-    fs, path = _filesystem(df.sparkSession, home)
-    had_old = fs.exists(path(home))
-    if had_old:
-        _rename(fs, path(home), path(f"{home}__old-{mark}"))
-    _rename(fs, path(f"{home}__new-{mark}"), path(home))
-    if had_old:
-        fs.delete(path(f"{home}__old-{mark}"), True)
-    df.sparkSession.catalog.refreshByPath(home)
+    swap = begin_folder_swap(df, target, fmt, partition_by, rebalance)
+    swap.set_aside()
+    swap.put_in_place()
+    swap.finish()
+
+
+class FolderSwap:
+    """The steps of a folder ``overwrite`` after the new rows are written."""
+
+    def __init__(self, spark: SparkSession, home: str, new: str, old: str):
+        self.spark, self.home, self.new, self.old = spark, home, new, old
+
+    def set_aside(self) -> None:
+        fs, path = swaps.filesystem(self.spark, self.home)
+        if fs.exists(path(self.home)):
+            swaps.rename_folder(self.spark, self.home, self.old)
+
+    def put_in_place(self) -> None:
+        swaps.rename_folder(self.spark, self.new, self.home)
+
+    def finish(self) -> None:
+        swaps.delete_folder(self.spark, self.old)
+        swaps.Record(self.spark, self.home).remove()
+        self.spark.catalog.refreshByPath(self.home)
+
+
+def begin_folder_swap(
+    df: DataFrame, target: str, fmt: str | None = None, partition_by: Sequence[str] | None = None, rebalance: bool | None = None
+) -> FolderSwap:
+    """First half of a folder ``overwrite``: open the record and write the rows beside the target."""
+    spark, home, mark = df.sparkSession, target.rstrip("/"), uuid.uuid4().hex[:12]
+    recover(spark, home)
+    new, old = f"{home}__new-{mark}", f"{home}__old-{mark}"
+    swaps.Record(spark, home).write(kind="folder", new=new, old=old)
+    write_table(df, new, fmt or DEFAULT_FORMAT, partition_by, "error", rebalance)
+    return FolderSwap(spark, home, new, old)
 
 
 def _exists(spark: SparkSession, target: str, fmt: str) -> bool:
