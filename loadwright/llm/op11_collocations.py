@@ -56,13 +56,13 @@ SUBSUMED = (80, 100)  # a phrase goes if 100 * f(longer) >= 80 * a
 SCALE = 2_000_000
 TOP = 2000
 # Stripes of a prefix of 0, 1, 2 and 3 words: shorter prefixes have more next words.
-SEGMENTS = (256, 16, 1, 1)
+SEGMENTS = (64, 4, 1, 1)
 MAX_BITS = 25  # buckets of a table: 2^25 at most
 COUNTED = 3  # phrases of up to so many words have bucket tables
 CHUNK = 1 << 16
 SLICE = 1 << 20  # bytes of text read at a time
 PART = 1 << 16  # bytes hashed at a time
-HELD = 1_000_000  # entries a task holds before it gives its stripes out
+HELD = 2_000_000  # entries a task holds before it gives its stripes out
 STRIPES_OUT = 10_000  # stripes of a batch
 TASK_TEXT = 64 << 20  # characters a task reads at least, so that its stripes combine counts
 

@@ -10,9 +10,9 @@ import pytest
 CLASH = ["rid", "doc", "key", "sig", "node", "hits", "score", "shard", "slot", "copies", "n_words", "page", "host", "size", "p", "part"]
 
 
-@pytest.fixture(autouse=True, scope="session")
+@pytest.fixture(autouse=True, scope="module")
 def small_plans(spark):
-    """Tiny tables, many plans: few partitions and no generated stages."""
+    """Tiny tables, many plans: few partitions and no generated stages; for the modules of this folder only."""
     own = {"spark.sql.shuffle.partitions": "3", "spark.sql.codegen.wholeStage": "false"}
     before = {k: spark.conf.get(k) for k in own}
     for k, v in own.items():
