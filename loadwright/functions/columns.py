@@ -39,13 +39,17 @@ def map_columns(
     base_columns: Sequence[str],
     exprs: Sequence[str | Column],
     allow_prefix: bool = False,
+    equal_counts: bool = False,
 ) -> DataFrame:
     """P5: ``INSERT INTO t (c1..cn) VALUES (e1..en)`` over the stage rows.
 
     Column i of the base gets expression i.  With fewer expressions than
     columns only the leading columns are filled (``allow_prefix=True``;
-    otherwise an error); extra expressions are ignored.
+    otherwise an error); extra expressions are ignored, as upsert and insert
+    do.  ``equal_counts`` (the rule of update and delete) refuses both.
     """
+    if equal_counts and len(exprs) != len(base_columns):
+        raise ValueError(f"map_columns: {len(base_columns)} columns but {len(exprs)} expressions")
     if len(exprs) < len(base_columns) and not allow_prefix:
         raise ValueError(
             f"map_columns: {len(base_columns)} columns but {len(exprs)} expressions"

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadwright.operators.dedup import global_sequence
+from loadwright.operators.merge import fits_broadcast, hash_placed, not_in_rows
 from loadwright.operators.skew import key_join, resolve
 from loadwright.session import checkpointed
 
@@ -278,6 +279,7 @@ def not_in_null_aware(
     on: Sequence[str] | Mapping[str, str],
     delta_col: str | None = None,
     skew="auto",
+    one_pass: bool | None = None,
 ) -> DataFrame:
     """``base.col NOT IN (SELECT s.col FROM delta s WHERE base.on = s.on)``.
 
@@ -285,7 +287,9 @@ def not_in_null_aware(
     otherwise it is dropped when its ``col`` is NULL, when the set holds its
     value, or when the set holds a NULL.
 
-    Planned as two left joins against aggregates of the delta (per ``on``
+    A delta too large to broadcast goes through ``merge.not_in_rows``: one
+    shuffle of the base, by ``on``.  Otherwise (``one_pass`` decides it instead
+    of the size estimate) planned as two left joins against aggregates of the delta (per ``on``
     group: does it exist, does it hold a NULL; and the distinct non-null
     ``(on, col)`` pairs) instead of the anti join with an ``OR isnull``
     condition that a correlated NOT IN becomes; the aggregates shrink before
@@ -294,6 +298,10 @@ def not_in_null_aware(
     km = _key_map(on)
     dcol = delta_col or col
     lon = list(km.keys())
+    if one_pass is None:
+        one_pass = not fits_broadcast(delta) and not hash_placed(base)
+    if one_pass:
+        return not_in_rows(base, delta, col, lon, dcol, list(km.values()), resolve(skew, base, lon))
     groups = delta.groupBy(*[F.col(r).alias(f"__g{i}") for i, r in enumerate(km.values())]).agg(
         F.max(F.col(dcol).isNull()).alias("__anynull")
     )

@@ -368,3 +368,14 @@ ORACLE["swap_recovered_folder"] = "SELECT * FROM orders WHERE o_orderstatus = 'O
 ORACLE["affected_partitions_wide"] = """
     SELECT *, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS o_month
     FROM orders WHERE month(o_orderdate) % 2 = 1"""
+ORACLE["not_in_one_pass"] = ORACLE["not_in_null_aware"]
+ORACLE["upsert_not_in"] = f"""
+    WITH {_ORDERS_CTE},
+    b AS (SELECT * REPLACE (nullif(o_orderstatus, 'P') AS o_orderstatus) FROM ob),
+    s AS (SELECT * REPLACE (nullif(o_orderstatus, 'F') AS o_orderstatus) FROM os)
+    SELECT * FROM b WHERE b.o_orderstatus NOT IN (SELECT s.o_orderstatus FROM s WHERE s.o_orderkey = b.o_orderkey)
+    UNION ALL SELECT * FROM s"""
+ORACLE["update_from_mapped"] = """
+    SELECT * REPLACE (CASE WHEN l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')
+                           THEN CAST(0 AS DOUBLE) ELSE l_discount END AS l_discount)
+    FROM lineitem"""

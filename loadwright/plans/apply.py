@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadwright.functions.columns import map_columns
 from loadwright.operators.filters import predicate
 from loadwright.operators.joins import affected_partitions, matching, touched_values
 from loadwright.operators.skew import resolve
@@ -55,16 +56,26 @@ def _upsert(base, stage, spec):
         return L.upsert_partial(
             base, stage, spec["keys"], spec["columns"], spec.get("order_by"), spec.get("exprs"), skew
         )
-    return L.upsert(base, stage, spec["keys"], spec.get("order_by"), spec.get("exprs"), spec.get("stage_keys"), skew)
+    return L.upsert(base, stage, spec["keys"], spec.get("order_by"), spec.get("exprs"), spec.get("stage_keys"), skew,
+                    spec.get("not_in"))
+
+
+def _mapped_stage(stage, spec):
+    """P5 for update and delete: as many expressions as columns, or none."""
+    if stage is None or not spec.get("exprs"):
+        return stage
+    return map_columns(stage, spec["columns"], spec["exprs"], equal_counts=True)
 
 
 def _update(base, stage, spec):
+    stage = _mapped_stage(stage, spec)
     if stage is not None and spec.get("on"):
         return L.update_from(base, stage, spec["on"], spec["sets"], spec.get("skew", "auto"))
     return L.update_where(base, spec["where"], spec["sets"])
 
 
 def _delete(base, stage, spec):
+    stage = _mapped_stage(stage, spec)
     if stage is not None and spec.get("on"):
         return L.delete_from(base, stage, spec["on"], spec.get("skew", "auto"))
     return L.delete_where(base, spec["where"])
@@ -84,7 +95,7 @@ PATTERNS: dict[str, Callable[[DataFrame | None, DataFrame | None, Mapping], Data
     "delete": _delete,
 }
 
-_UPSERT_KEYS = {"keys", "order_by", "exprs", "partition", "scope", "sets", "columns", "stage_keys"}
+_UPSERT_KEYS = {"keys", "order_by", "exprs", "partition", "scope", "sets", "columns", "stage_keys", "not_in"}
 # What each pattern reads from its spec; any other key is refused.
 SPEC_KEYS: dict[str, set[str]] = {
     "history": {"types", "partition"},
@@ -96,12 +107,13 @@ SPEC_KEYS: dict[str, set[str]] = {
     "insert_select": {"cols", "partition"},
     "upsert": _UPSERT_KEYS,
     "summarize": _UPSERT_KEYS,
-    "update": {"on", "where", "sets", "partition"},
-    "delete": {"on", "where", "partition"},
+    "update": {"on", "where", "sets", "partition", "columns", "exprs"},
+    "delete": {"on", "where", "partition", "columns", "exprs"},
 }
 _ANY_PATTERN = {"pattern", "format", "location", "schema", "skew"}
 # Keys of which a pattern can follow only one.
-_EXCLUSIVE = [("sets", "columns"), ("partition", "stage_keys"), ("sets", "stage_keys"), ("columns", "stage_keys")]
+_EXCLUSIVE = [("sets", "columns"), ("partition", "stage_keys"), ("sets", "stage_keys"), ("columns", "stage_keys"),
+              *[("not_in", k) for k in ("sets", "columns", "partition", "stage_keys")]]
 
 
 def _check_spec(spec: Mapping) -> None:
@@ -114,6 +126,8 @@ def _check_spec(spec: Mapping) -> None:
         for a, b in _EXCLUSIVE:
             if {a, b} <= given:
                 raise ValueError(f"load pattern {pattern!r} takes {a!r} or {b!r}, not both")
+    if pattern in ("update", "delete") and ("exprs" in given) != ("columns" in given):
+        raise ValueError(f"load pattern {pattern!r} takes 'columns' and 'exprs' together")
     if pattern in ("update", "delete") and {"on", "where"} <= given:
         raise ValueError(f"load pattern {pattern!r} takes 'on' or 'where', not both")
 
@@ -128,7 +142,9 @@ def apply_load(base: DataFrame | None, stage: DataFrame | None, spec: Mapping) -
     ``spec["pattern"]`` is one of ``PATTERNS``; the other keys are the
     pattern's arguments: ``keys``, ``order_by``, ``exprs``, ``columns``,
     ``sets`` (accumulating upsert, ``summarize``), ``partition`` and
-    ``scope``, ``where``, ``on``, ``types``, ``cols``, ``skew``, ``base_distinct``; ``run_load`` also
+    ``scope``, ``where``, ``on``, ``types``, ``cols``, ``skew``, ``base_distinct``,
+    ``not_in`` (an upsert's null-aware test); an update or delete from a stage
+    maps it by ``columns`` and ``exprs`` of equal counts; ``run_load`` also
     reads ``format``, ``location`` and ``schema`` (a folder target's schema).
     """
     pattern = spec.get("pattern")
@@ -220,6 +236,7 @@ def _hit_rows(base: DataFrame, stage: DataFrame | None, spec: Mapping) -> DataFr
     scan neither as a partition filter nor as a pushed filter.
     """
     if stage is not None and spec.get("on"):
+        stage = _mapped_stage(stage, spec)
         return matching(base, stage, spec["on"], "left_semi", spec.get("skew", "auto"))
     return base.where(predicate(spec["where"]))
 
@@ -293,7 +310,7 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
 def _table_partition(spark: SparkSession, target: str, spec: Mapping) -> str | None:
     """The partition column an upsert can follow: the only one of a catalog
     table, known for every staged row."""
-    if S._is_path(target) or spec.get("stage_keys") or not spark.catalog.tableExists(target):
+    if S._is_path(target) or spec.get("stage_keys") or spec.get("not_in") or not spark.catalog.tableExists(target):
         return None
     found = S.table_layout(spark, target)["partition_by"]
     if len(found) != 1 or (spec.get("columns") and found[0] not in [*spec["keys"], *spec["columns"]]):

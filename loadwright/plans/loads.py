@@ -26,6 +26,7 @@ from loadwright.operators.joins import (
     flag_matches,
     matching,
     new_rows,
+    not_in_null_aware,
     unaffected,
 )
 from loadwright.operators.merge import fits_broadcast, hash_placed, merged
@@ -166,14 +167,21 @@ def upsert(
     exprs: Sequence[str | Column] | None = None,
     stage_keys: Sequence[str] | None = None,
     skew="auto",
+    not_in: str | None = None,
 ) -> DataFrame:
     """Base rows of keys not staged, plus the latest staged row per key.
 
+    ``not_in`` names a column whose ``NOT IN`` the staged rows of the same
+    keys decides instead (J7): a base row stays if its key is not staged, or
+    if it and all staged rows of its key have values there and differ.
+
     Plan: window group limit on the stage (one shuffle on the keys), anti join
     of the base against the staged keys, union.  Rows with a NULL key are
     never matched, so a NULL-key base row and a NULL-key staged row both stay.
     """
     d = _delta(base, stage, keys, order_by, exprs, stage_keys)
+    if not_in is not None:
+        return stack(not_in_null_aware(base, d, not_in, keys, skew=skew), d)
     return stack(unaffected(base, _key_source(stage, d, exprs, stage_keys), keys, skew), d)
 
 

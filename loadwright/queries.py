@@ -519,6 +519,28 @@ def q_upsert_partial_one_pass(spark, sf):
     return L.upsert_partial(orders_base(spark, sf), st, ORDER_KEYS, ["o_totalprice"], ["o_orderdate"], one_pass=True)
 
 
+def q_not_in_one_pass(spark, sf):
+    """J7 in one pass, as for a stage too large to broadcast."""
+    cust, supp = _nin_inputs(spark, sf)
+    return J.not_in_null_aware(cust, supp, "c_nationkey", {"c_mktsegment": "s_segment"}, "s_nationkey", one_pass=True)
+
+
+def q_upsert_not_in(spark, sf):
+    """L6 with the null-aware test (J7): base rows of a staged order stay only
+    if their status is known and differs from the staged one."""
+    base = orders_base(spark, sf).withColumn("o_orderstatus", F.expr("nullif(o_orderstatus, 'P')"))
+    spec = {"pattern": "upsert", "keys": ORDER_KEYS, "order_by": ["o_orderdate"], "not_in": "o_orderstatus"}
+    return apply_load(base, orders_stage(spark, sf).withColumn("o_orderstatus", F.expr("nullif(o_orderstatus, 'F')")), spec)
+
+
+def q_update_from_mapped(spark, sf):
+    """L11 with P5: the stage's columns are mapped one to one first."""
+    stage = table(spark, sf, "orders").where(F.col("o_orderstatus") == "P")
+    spec = {"pattern": "update", "columns": ["k", "big"], "exprs": ["o_orderkey", "o_totalprice > 100000"],
+            "on": {"l_orderkey": "k"}, "sets": {"l_discount": 0.0}}
+    return apply_load(table(spark, sf, "lineitem"), stage, spec)
+
+
 def q_swap_recovered(spark, sf):
     """S7 after a cut: a swap stops between its renames, then the load is run
     again.  It first gives the old rows their name back, then applies once."""
@@ -836,6 +858,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_load_upsert_detects_partition": q_run_load_upsert_detects_partition,
     "upsert_accumulate_one_pass": q_upsert_accumulate_one_pass,
     "upsert_partial_one_pass": q_upsert_partial_one_pass,
+    "not_in_one_pass": q_not_in_one_pass,
+    "upsert_not_in": q_upsert_not_in,
+    "update_from_mapped": q_update_from_mapped,
     "swap_recovered": q_swap_recovered,
     "swap_recovered_folder": q_swap_recovered_folder,
     "affected_partitions_wide": q_affected_partitions_wide,

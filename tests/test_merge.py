@@ -134,3 +134,45 @@ def test_plain_upsert_of_a_partitioned_table_keeps_untouched_files(spark):
     # the documented scope can still be asked for: the old copy stays in its partition
     run_load(name, spark.createDataFrame([(23, -2.0, 5)], "k bigint, v double, p int"), {"pattern": "upsert", "keys": ["k"], "scope": "partition"})
     assert sorted((r["v"], r["p"]) for r in spark.table(name).where("k = 23").collect()) == [(-2.0, 5), (23.0, 3)]
+
+
+def test_not_in_one_pass_is_three_valued_and_moves_the_base_once(spark):
+    base = [(1, "x"), (1, None), (1, "y"), (2, "x"), (2, None), (None, "x"), (None, None), (4, "q")] + [(5, str(i)) for i in range(100)]
+    delta = [(1, "x"), (1, "x"), (2, None), (2, "z"), (None, "x"), (5, "7"), (5, "x")]
+    b = spark.createDataFrame(base, "g bigint, c string")
+    d = spark.createDataFrame(delta, "h bigint, e string")
+
+    def kept(g, c):
+        found = [e for h, e in delta if h is not None and h == g]
+        return not found or (c is not None and None not in found and c not in found)
+
+    want = sorted([r for r in base if kept(*r)], key=str)
+    for one_pass in (True, False):
+        assert sorted_rows(J.not_in_null_aware(b, d, "c", {"g": "h"}, "e", one_pass=one_pass)) == want
+    spark.conf.set(MIN_ROWS_CONF, "0")
+    spark.conf.set(ROWS_PER_TASK_CONF, "10")
+    try:
+        assert sorted_rows(J.not_in_null_aware(b, d, "c", {"g": "h"}, "e", one_pass=True)) == want
+    finally:
+        spark.conf.unset(MIN_ROWS_CONF)
+        spark.conf.unset(ROWS_PER_TASK_CONF)
+    path = scratch_path(spark, "not-in")
+    S.write_table(b, path)
+    text = plan(J.not_in_null_aware(S.scan_base(spark, path), d, "c", {"g": "h"}, "e", skew=None, one_pass=True))
+    assert text.count("FileScan orc") == 1 and "Join" not in text
+    # one exchange for the stacked rows, one for the delta's distinct pairs
+    assert text.count("Exchange hashpartitioning") == 2, text
+
+
+def test_update_and_delete_map_equal_counts_only(spark):
+    base = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k bigint, v double")
+    st = spark.createDataFrame([(2, 5)], "a bigint, b int")
+    from loadwright.plans.apply import apply_load
+
+    spec = {"pattern": "delete", "on": {"k": "x"}, "columns": ["x"], "exprs": ["a"]}
+    assert sorted_rows(apply_load(base, st, spec)) == [(1, 1.0)]
+    for columns, exprs in ((["x"], ["a", "b"]), (["x", "y"], ["a"])):
+        with pytest.raises(ValueError, match="expressions"):
+            apply_load(base, st, {**spec, "columns": columns, "exprs": exprs})
+    with pytest.raises(ValueError, match="together"):
+        apply_load(base, st, {"pattern": "update", "on": ["k"], "sets": {"v": 0.0}, "columns": ["k"]})
