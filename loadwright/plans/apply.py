@@ -20,7 +20,7 @@ from loadwright.operators.filters import predicate
 from loadwright.operators.joins import affected_partitions, matching, touched_values
 from loadwright.operators.skew import resolve
 from loadwright.plans import loads as L
-from loadwright.session import checkpointed
+from loadwright.session import checkpointed, scratch_path
 from loadwright.sources import swaps
 from loadwright.sources import tables as S
 
@@ -198,8 +198,12 @@ class Batch:
             raise
         return None if found is None else found[0]  # a write cut short leaves no row
 
+    @property
+    def rebuilt_folder(self) -> str:
+        return self._path("rebuilt")
+
     def rebuilt(self, spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
-        rows = self._path("rebuilt")
+        rows = self.rebuilt_folder
         if self.noted(spark, "rebuilt-done") is None:
             build().write.mode("overwrite").parquet(rows)
             self.note(spark, "rebuilt-done")
@@ -208,7 +212,7 @@ class Batch:
     def applied(self, spark: SparkSession) -> None:
         """Note that the load is over, and drop the rebuilt rows kept for a replay."""
         self.note(spark, "applied")
-        swaps.delete_folder(spark, self._path("rebuilt"))
+        swaps.delete_folder(spark, self.rebuilt_folder)
 
     def append(self, rows: DataFrame, target: str, fmt: str, partition_by: list[str] | None) -> None:
         spark = rows.sparkSession
@@ -255,19 +259,22 @@ def _partition_scoped(target: str, base: DataFrame, stage: DataFrame | None, spe
         def build() -> DataFrame:
             return apply_load(affected_partitions(base, _hit_rows(base, stage, spec), part), stage, spec)
 
-        S.overwrite_partitions(batch.rebuilt(spark, build), target, part, path_fmt)
+        S.overwrite_partitions(batch.rebuilt(spark, build), target, part, path_fmt, stored=batch.rebuilt_folder)
         return
     vals, n = touched_values(_hit_rows(base, stage, spec), part)
     rebuilt = apply_load(affected_partitions(base, vals.withColumnRenamed("__k0", part), part), stage, spec)
-    emptied, stored = None, False
+    emptied = stored = None
     if spec["pattern"] == "delete":
         # Read twice (which partitions are left, then the rows): computed once.
-        rebuilt, stored = checkpointed(rebuilt), True
+        stored = scratch_path(spark, "rebuilt")
+        rebuilt.write.parquet(stored)
+        rebuilt = spark.read.schema(rebuilt.schema).parquet(stored)
         left = rebuilt.select(F.col(part).alias("__k0")).distinct()
         emptied = checkpointed(vals.join(left, vals["__k0"].eqNullSafe(left["__k0"]), "left_anti"))
         if S._is_path(target) and (some := emptied.head(5)):
             raise ValueError(f"run_load: the delete empties partitions {[r[0] for r in some]} of a folder target")
     S.overwrite_partitions(rebuilt, target, part, path_fmt, stored=stored)
+    swaps.delete_folder(spark, stored)
     if emptied is not None and not S._is_path(target):
         left_over = emptied.toLocalIterator()
         while some := list(itertools.islice(left_over, DROPS_PER_STATEMENT)):
@@ -354,7 +361,10 @@ def _run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFra
         def build() -> DataFrame:
             return apply_load(base, stage, spec)
 
-        S.overwrite_partitions(batch.rebuilt(spark, build) if batch else build(), target, part, path_fmt)
+        if batch:
+            S.overwrite_partitions(batch.rebuilt(spark, build), target, part, path_fmt, stored=batch.rebuilt_folder)
+        else:
+            S.overwrite_partitions(build(), target, part, path_fmt)
     elif S._is_path(target) and pattern not in _DISCARDS_BASE:
         raise ValueError(
             "run_load: a folder target cannot be rewritten by a plan that reads it; "

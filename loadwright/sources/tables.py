@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from loadwright.session import checkpointed, scratch_table_name
+from loadwright.session import scratch_path, scratch_table_name
 from loadwright.sources import swaps
 
 DEFAULT_FORMAT = "orc"
@@ -192,7 +192,7 @@ def overwrite_partitions(
     partition_col: str,
     fmt: str = DEFAULT_FORMAT,
     rebalance: bool | None = None,
-    stored: bool = False,
+    stored: str | None = None,
 ) -> None:
     """``INSERT OVERWRITE ... PARTITION(p)``: only partitions present in
     ``df`` are replaced; the others are left as they are.
@@ -200,29 +200,38 @@ def overwrite_partitions(
     A folder target is written to a staging folder and the touched partition
     folders are swapped at job commit, so ``df`` may read the target itself.
     Spark refuses that for a catalog table, so there the rebuilt rows are
-    first checkpointed to the shared checkpoint folder (a reliable copy of
-    only the rebuilt partitions), which cuts the plan's link to the table;
-    ``stored`` says that ``df`` is such a copy already.
+    first written to the shared scratch folder (a copy of only the rebuilt
+    partitions; ``stored`` names the Parquet folder that holds them already)
+    and inserted from it by a session of their own: the insert takes its
+    overwrite mode from the session, and the caller's stays as it is for
+    other loads running in it.
     """
     cols = [c for c in df.columns if c != partition_col] + [partition_col]
-    rows = df.select(*cols)
-    if not _is_path(target) and not stored:
-        rows = checkpointed(rows)
-    out = _prepare(rows, [partition_col], rebalance)
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if _is_path(target):
+        out = _prepare(df.select(*cols), [partition_col], rebalance)
+        w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         w.format(fmt).partitionBy(partition_col).save(target)
-    else:
-        # insertInto reads the overwrite mode from the session, not the writer.
-        spark = out.sparkSession
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
-        try:
-            w.insertInto(target, overwrite=True)
-        finally:
-            spark.conf.set(key, before)
-        spark.catalog.refreshTable(target)
+        return
+    spark = df.sparkSession
+    folder = stored or scratch_path(spark, "rebuilt")
+    if not stored:
+        df.write.parquet(folder)
+    own = _session_like(spark)
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = own.read.schema(df.schema).parquet(folder).select(*cols)
+    _prepare(rows, [partition_col], rebalance).write.mode("overwrite").insertInto(swaps.full_name(spark, target), overwrite=True)
+    if not stored:
+        swaps.delete_folder(spark, folder)
+    spark.catalog.refreshTable(target)
+
+
+def _session_like(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the same settings."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
 
 
 def write_table(

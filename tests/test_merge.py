@@ -176,3 +176,24 @@ def test_update_and_delete_map_equal_counts_only(spark):
             apply_load(base, st, {**spec, "columns": columns, "exprs": exprs})
     with pytest.raises(ValueError, match="together"):
         apply_load(base, st, {"pattern": "update", "on": ["k"], "sets": {"v": 0.0}, "columns": ["k"]})
+
+
+def test_partition_overwrites_at_once_leave_the_session_alone(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    names = [scratch_table_name(f"at_once{i}") for i in range(3)]
+    for name in names:
+        S.write_table(spark.range(50).select("id", (F.col("id") % 5).alias("p")), name, partition_by=["p"])
+
+    def load(name):
+        S.overwrite_partitions(spark.table(name).where("p = 2").withColumn("id", F.col("id") + 1000), name, "p")
+        return spark.conf.get(key)
+
+    with ThreadPoolExecutor(3) as pool:
+        assert set(pool.map(load, names)) == {before}
+    for name in names:
+        got = spark.table(name)
+        assert got.count() == 50 and got.where("id >= 1000").count() == 10
+    assert spark.conf.get(key) == before
