@@ -1,6 +1,7 @@
 """The kernel against its definition, held-out accuracy, and odd inputs."""
 
 import itertools
+import random
 import zlib
 
 import numpy as np
@@ -15,7 +16,7 @@ def kernel(x, y):
     def subsequences(s):
         s, out = f"^{s}", {}
         for k in itertools.combinations(range(len(s)), 4):
-            if k[-1] - k[0] <= t.SPAN:
+            if all(b - a <= t.GAP for a, b in zip(k, k[1:], strict=False)):
                 key = "".join(s[i] for i in k)
                 out[key] = out.get(key, 0.0) + t.DECAY ** (k[-1] - k[0])
         return out
@@ -35,6 +36,49 @@ def test_table_lookup_is_the_kernel():
     assert t.margins("you i.d.i.o.t!", table)[0] == near and t.margins("i d i o t", table)[0] == near
 
 
+def test_windows_are_words_pairs_and_halves():
+    def read(word):
+        return t.read_back(t.units_of(f" {word}")[0])
+
+    def windows(text):
+        cls, window, n, total = t.windows_of(" " + text)
+        assert (np.diff(window) >= 0).all() and len(window) == len(cls)
+        return n, [t.read_back(cls[window == i]) for i in range(total)]
+
+    assert windows("you are an id iot. Not") == (6, ["you", "are", "an", "id", "iot", "not", "youare", "arean", "anid", "idiot"])
+    assert windows("a b\nc d") == (2, ["ab", "cd", "b", "d"])
+    assert windows("ixdxixoxt") == (1, ["ixdxixoxt", "idiot"])
+    assert windows("i\u200bd\u00b7i-o*t \u00e9t\u00e9") == (2, ["idiot", read("été"), read("idiotété")])
+    assert windows("") == (0, []) and windows(" \n ") == (0, []) and windows("... !!") == (2, ["", ""])
+
+
+def test_read_back_keeps_classes():
+    for c in range(1, t.START):
+        assert t.units_of(f" {t.read_back(np.array([c]))}")[0].tolist() == [t.START, c]
+
+
+def test_inserted_characters_and_spaces_are_tolerated():
+    rng = random.Random(3)
+    vocab = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 8))) for _ in range(1500)]
+    insults = ["idiot", "trash", "clown", "moron", "stupid", "pathetic"]
+
+    def text(toxic):
+        words = [rng.choice(vocab) for _ in range(rng.randint(20, 60))]
+        for _ in range(rng.randint(1, 3) if toxic else 0):
+            words.insert(rng.randint(0, len(words)), rng.choice(insults))
+        return " ".join(words)
+
+    toxic = np.array([i % 4 == 0 for i in range(800)])
+    model = t.train([text(x) for x in toxic], toxic, np.arange(800) % 3 == 0, 0.25)
+    for w in insults:
+        forms = [w, w.upper(), *[s.join(w) for s in ("x", "\u200b", "\u00b7", ".", " ", "-")], f"{w[:2]} {w[2:]}", f"{w[:3]} {w[3:]}"]
+        for form in forms:
+            assert t.score(f"{text(False)} {form} {text(False)}", model) >= t.THRESHOLD, form
+    clean = [t.score(text(False), model) >= t.THRESHOLD for _ in range(300)]
+    found = [t.score(text(True), model) >= t.THRESHOLD for _ in range(300)]
+    assert np.mean(clean) <= 0.05 and np.mean(found) >= 0.95
+
+
 def test_long_texts_are_scored_whole(monkeypatch):
     feats, _ = t.phi([" idiot"])
     table = np.zeros(t.CLASSES**4)
