@@ -165,8 +165,9 @@ class Batch:
       before the swap.
     - Rebuilt partitions are written to ``folder`` first; a replay overwrites
       the partitions with those rows again instead of rebuilding them.
-    - Appends note the target's row count in ``folder`` first; a replay finds
-      the rows there or not.  This needs one writer at a time on the target.
+    - Appended rows are written aside whole and their files moved into the
+      target under the batch's name; a replay moves those that are left
+      (``tables.append_files``), whatever else was written to the target.
     """
 
     stream: str
@@ -216,20 +217,10 @@ class Batch:
 
     def append(self, rows: DataFrame, target: str, fmt: str, partition_by: list[str] | None) -> None:
         spark = rows.sparkSession
-
-        def held() -> int:
-            return S.scan_base(spark, target, fmt).count() if S._exists(spark, target, fmt) else 0
-
-        before = self.noted(spark, "rows-before")
-        if before is None:
-            self.note(spark, "rows-before", held())
-        else:
-            added = held() - before
-            if added:
-                if added != rows.count():
-                    raise RuntimeError(f"batch {self.number}: {target} holds {added} rows more than before the batch, which has another count")
-                return
-        S.append(rows, target, fmt, partition_by)
+        if self.noted(spark, "appended") is None:
+            aside = S.append_files(rows, target, f"batch-{self.stream}-{self.number}", fmt, partition_by)
+            self.note(spark, "appended")
+            swaps.delete_folder(spark, aside)
 
 
 def _hit_rows(base: DataFrame, stage: DataFrame | None, spec: Mapping) -> DataFrame:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -148,17 +149,7 @@ def append(
     spark = df.sparkSession
     exists = _exists(spark, target, fmt)
     if exists:
-        cols = target_columns(spark, target, fmt)
-        if len(cols) != len(df.columns):
-            raise ValueError(
-                f"append: target has {len(cols)} columns, rows have {len(df.columns)}"
-            )
-        df = df.toDF(*cols)
-        if _is_path(target):
-            layout = folder_partitions(spark, target, fmt)
-            if partition_by is not None and list(partition_by) != layout:
-                raise ValueError(f"append: the folder is partitioned by {layout}, not by {list(partition_by)}")
-            partition_by = layout or None
+        df, partition_by = _by_position(df, target, fmt, partition_by)
     out = _prepare(df, partition_by, rebalance)
     if _is_path(target):
         w = out.write.mode("append").format(fmt)
@@ -174,6 +165,130 @@ def append(
         w.saveAsTable(target)
 
 
+def _by_position(
+    df: DataFrame, target: str, fmt: str, partition_by: Sequence[str] | None
+) -> tuple[DataFrame, Sequence[str] | None]:
+    """``df`` under the target's column names, and a folder's own partition columns."""
+    spark = df.sparkSession
+    cols = target_columns(spark, target, fmt)
+    if len(cols) != len(df.columns):
+        raise ValueError(
+            f"append: target has {len(cols)} columns, rows have {len(df.columns)}"
+        )
+    df = df.toDF(*cols)
+    if _is_path(target):
+        layout = folder_partitions(spark, target, fmt)
+        if partition_by is not None and list(partition_by) != layout:
+            raise ValueError(f"append: the folder is partitioned by {layout}, not by {list(partition_by)}")
+        partition_by = layout or None
+    return df, partition_by
+
+
+def append_files(
+    df: DataFrame,
+    target: str,
+    mark: str,
+    fmt: str = DEFAULT_FORMAT,
+    partition_by: Sequence[str] | None = None,
+    rebalance: bool | None = None,
+) -> str:
+    """S3/S4 for a load that may be repeated: add the rows of one load, named
+    ``mark``, once.  Returns the folder to delete when the load is noted as over.
+
+    The rows are written to a folder of the load's own inside the target,
+    which readers skip (its name begins with ``_``), and a file there tells
+    that they are complete.  Then each file is renamed into its place, under a
+    name that begins with the mark.  A repeated call writes nothing that is
+    complete, moves the files that are still aside and leaves the others, so
+    neither a cut at any step nor the rows of another writer change the
+    outcome.  Readers see the files as they come, as with a plain append.
+
+    A catalog table's new partitions are added to it last; its partitions
+    must lie in the table's own folder.
+    """
+    spark = df.sparkSession
+    named = not _is_path(target)
+    if _exists(spark, target, fmt):
+        df, partition_by = _by_position(df, target, fmt, partition_by)
+    elif named:
+        write_table(df.limit(0), target, fmt, partition_by)
+    layout: dict = {}
+    if named:
+        layout = table_layout(spark, target)
+        if layout["format"] == "hive":
+            raise ValueError(f"append_files: {target} is not a table of a Spark data source")
+        fmt, partition_by = layout["format"], layout["partition_by"] or None
+        df = df.select(*[F.col(f.name).cast(f.dataType) for f in spark.table(target).schema])
+    home = (_location(spark, target) if named else target).rstrip("/")
+    aside = f"{home}/_loadwright-append-{mark}"
+    fs, path = swaps.filesystem(spark, home)
+    complete = path(f"{aside}/_complete")
+    if not fs.exists(complete):
+        if layout.get("buckets"):
+            # Only a table can be written in buckets; its files stay when its name goes.
+            side = scratch_table_name("append")
+            swaps.delete_folder(spark, aside)
+            write_table(df, side, fmt, partition_by, "error", rebalance, aside, layout["buckets"], layout["bucket_by"], layout["sort_by"])
+            swaps.drop_table(spark, side)
+        else:
+            write_table(df, aside, fmt, partition_by, "overwrite", rebalance)
+        fs.create(complete, True).close()
+    _move_files(spark, aside, home, mark)
+    if named and partition_by:
+        _add_partitions(spark, target, aside, partition_by)
+    if named:
+        spark.catalog.refreshTable(target)
+    else:
+        spark.catalog.refreshByPath(target)
+    return aside
+
+
+def _move_files(spark: SparkSession, aside: str, home: str, mark: str) -> None:
+    """Rename the data files below ``aside`` to the same places below ``home``."""
+    fs, path = swaps.filesystem(spark, home)
+    root = fs.makeQualified(path(aside)).toString()
+    listed = fs.listFiles(path(aside), True)
+    files = []
+    while listed.hasNext():
+        file = listed.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            files.append(file)
+    for file in files:
+        below = file.getParent().toString().removeprefix(root).strip("/")
+        place = path(f"{home}/{below}" if below else home)
+        fs.mkdirs(place)
+        _moved(fs, file, path(place, f"{mark}-{file.getName()}"))
+
+
+def _moved(fs, file, place) -> None:
+    if not fs.rename(file, place):
+        raise OSError(f"could not move {file.toString()} to {place.toString()}")
+
+
+# Partitions named in one ALTER TABLE statement.
+PARTITIONS_PER_STATEMENT = 500
+
+
+def _add_partitions(spark: SparkSession, target: str, aside: str, partition_by: Sequence[str]) -> None:
+    """Add the partitions whose folders were made below ``aside``, if new."""
+    fs, path = swaps.filesystem(spark, aside)
+    level = [(path(aside), [])]
+    for name in partition_by:
+        level = [
+            (child.getPath(), [*found, unquote(child.getPath().getName().split("=", 1)[1])])
+            for folder, found in level
+            for child in fs.listStatus(folder)
+            if child.isDirectory() and child.getPath().getName().startswith(f"{name}=")
+        ]
+    specs = [
+        ", ".join(f"`{c}` = {'NULL' if v == '__HIVE_DEFAULT_PARTITION__' else _quoted(v)}" for c, v in zip(partition_by, found, strict=True))
+        for _, found in level
+    ]
+    for i in range(0, len(specs), PARTITIONS_PER_STATEMENT):
+        parts = " ".join(f"PARTITION ({x})" for x in specs[i : i + PARTITIONS_PER_STATEMENT])
+        spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {parts}")
+
+
 def append_partitioned(
     df: DataFrame,
     target: str,

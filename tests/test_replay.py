@@ -100,3 +100,80 @@ def test_emptied_catalog_partitions_are_dropped(spark):
     out = run_load(name, None, {"pattern": "delete", "where": "p < 2 OR v = 2"})
     assert out.count() == 19
     assert {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()} == {"p=2", "p=3"}
+
+
+class Cut(Exception):
+    pass
+
+
+def _cut_at(monkeypatch, owner, name, call):
+    """Let ``owner.name`` run ``call`` times, then lose the driver."""
+    real, left = getattr(owner, name), [call]
+
+    def cut(*args, **kw):
+        if not left[0]:
+            raise Cut(name)
+        left[0] -= 1
+        return real(*args, **kw)
+
+    monkeypatch.setattr(owner, name, cut)
+
+
+def _stored_target(spark, kind):
+    base = spark.createDataFrame(BASE, DDL)
+    if kind == "folder":
+        target = scratch_path(spark, "once")
+        S.write_table(base, target)
+    elif kind == "partitioned_folder":
+        target = scratch_path(spark, "once_p")
+        S.append_partitioned(base, target, "p")
+    else:
+        target = scratch_table_name(f"once_{kind}")
+        layout = {"partitioned_table": {"partition_by": ["p"]}, "bucketed_table": {"buckets": 2, "bucket_by": ["k"]}}.get(kind, {})
+        S.write_table(base, target, location=scratch_path(spark, target), **layout)
+    return target
+
+
+KINDS = ["folder", "partitioned_folder", "table", "partitioned_table", "bucketed_table"]
+CUTS = [(S, "_move_files", 0), (S, "_moved", 1), (S, "_add_partitions", 0), (Batch, "note", 0)]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_append_cut_at_each_step_beside_a_second_writer(spark, monkeypatch, kind):
+    target = _stored_target(spark, kind)
+    staged = [(3, 30, 1), (4, 40, 3), (5, 50, None), (6, 60, 4)]
+    stage = spark.createDataFrame(staged, DDL).repartition(2, "k")
+    spec = {"pattern": "insert", "cols": ["k", "v", "p"]}
+    expected = list(BASE)
+    for number, (owner, name, call) in enumerate(CUTS):
+        if name == "_add_partitions" and kind != "partitioned_table":
+            continue
+        batch = Batch("s", number, scratch_path(spark, "once_marks"))
+        with monkeypatch.context() as m:
+            _cut_at(m, owner, name, call)
+            with pytest.raises(Cut):
+                run_load(target, stage, spec, batch=batch)
+        # another writer's rows, as many as the batch's, before the replay
+        other = [(100 + number, i, 2) for i in range(len(staged))]
+        S.append(spark.createDataFrame(other, DDL), target)
+        for _ in range(2):
+            out = run_load(target, stage, spec, batch=batch)
+        expected += staged + other
+        assert _sorted(tuple(r) for r in out.select("k", "v", "p").collect()) == _sorted(expected), name
+    if kind == "partitioned_table":
+        shown = {r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()}
+        assert shown == {"p=1", "p=2", "p=3", "p=4", "p=__HIVE_DEFAULT_PARTITION__"}
+    if kind == "bucketed_table":
+        plan = spark.table(target).groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+        assert "SelectedBucketsCount: 2 out of 2" in plan
+    home = target if "/" in target else S.external_location(spark, target)
+    names = [f for _, _, fs in os.walk(home.removeprefix("file:")) for f in fs]
+    assert any(f.startswith("batch-s-0-part-") for f in names) and "_complete" not in names
+
+
+def test_appended_rows_take_the_tables_types(spark):
+    target = scratch_table_name("once_types")
+    S.write_table(spark.createDataFrame([(1, "a")], "k long, p string"), target, partition_by=["p"], location=scratch_path(spark, target))
+    stage = spark.createDataFrame([(2, "x/y 1%"), (3, "it's")], "k int, q string")
+    Batch("t", 0, scratch_path(spark, "once_marks")).append(stage, target, "orc", None)
+    assert rows(spark.table(target)) == [(1, "a"), (2, "x/y 1%"), (3, "it's")]
