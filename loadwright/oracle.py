@@ -364,6 +364,12 @@ ORACLE["swap_recovered"] = ORACLE["upsert_accumulate"]
 ORACLE["upsert_accumulate_one_pass"] = ORACLE["upsert_accumulate_hot_key"]
 ORACLE["upsert_partial_one_pass"] = ORACLE["upsert_partial"]
 ORACLE["run_load_upsert_detects_partition"] = ORACLE["upsert_partitioned_table"]
+ORACLE["upsert_touched_files"] = ORACLE["upsert_accumulate"]
+ORACLE["delete_touched_files"] = "SELECT * FROM orders WHERE NOT COALESCE(o_orderkey < 1000 AND o_orderstatus <> 'O', FALSE)"
+ORACLE["append_replayed"] = """
+    SELECT c_custkey AS id, c_name AS name FROM customer
+    UNION ALL SELECT s_suppkey, s_name FROM supplier
+    UNION ALL SELECT c_custkey, c_name FROM customer"""
 ORACLE["swap_recovered_folder"] = "SELECT * FROM orders WHERE o_orderstatus = 'O'"
 ORACLE["affected_partitions_wide"] = """
     SELECT *, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS o_month

@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -110,9 +113,12 @@ SPEC_KEYS: dict[str, set[str]] = {
     "update": {"on", "where", "sets", "partition", "columns", "exprs"},
     "delete": {"on", "where", "partition", "columns", "exprs"},
 }
+for _p in ("upsert", "summarize", "update", "delete"):
+    SPEC_KEYS[_p] = SPEC_KEYS[_p] | {"rewrite"}
 _ANY_PATTERN = {"pattern", "format", "location", "schema", "skew"}
 # Keys of which a pattern can follow only one.
 _EXCLUSIVE = [("sets", "columns"), ("partition", "stage_keys"), ("sets", "stage_keys"), ("columns", "stage_keys"),
+              ("rewrite", "partition"), ("rewrite", "location"),
               *[("not_in", k) for k in ("sets", "columns", "partition", "stage_keys")]]
 
 
@@ -122,9 +128,11 @@ def _check_spec(spec: Mapping) -> None:
     unused = given - SPEC_KEYS[pattern] - _ANY_PATTERN
     if unused:
         raise ValueError(f"load pattern {pattern!r} does not use {sorted(unused)}")
-    if pattern in ("upsert", "summarize"):
+    if spec.get("rewrite") not in (None, "files"):
+        raise ValueError(f"rewrite is 'files' or absent, not {spec['rewrite']!r}")
+    if pattern in ("upsert", "summarize") or "rewrite" in given:
         for a, b in _EXCLUSIVE:
-            if {a, b} <= given:
+            if {a, b} <= given and (pattern in ("upsert", "summarize") or "rewrite" in (a, b)):
                 raise ValueError(f"load pattern {pattern!r} takes {a!r} or {b!r}, not both")
     if pattern in ("update", "delete") and ("exprs" in given) != ("columns" in given):
         raise ValueError(f"load pattern {pattern!r} takes 'columns' and 'exprs' together")
@@ -215,10 +223,15 @@ class Batch:
         self.note(spark, "applied")
         swaps.delete_folder(spark, self.rebuilt_folder)
 
+    @property
+    def mark(self) -> str:
+        """Begins the names of the files the batch adds."""
+        return f"batch-{self.stream}-{self.number}"
+
     def append(self, rows: DataFrame, target: str, fmt: str, partition_by: list[str] | None) -> None:
         spark = rows.sparkSession
         if self.noted(spark, "appended") is None:
-            aside = S.append_files(rows, target, f"batch-{self.stream}-{self.number}", fmt, partition_by)
+            aside = S.append_files(rows, target, self.mark, fmt, partition_by)
             self.note(spark, "appended")
             swaps.delete_folder(spark, aside)
 
@@ -278,6 +291,62 @@ def _partition_scoped(target: str, base: DataFrame, stage: DataFrame | None, spe
 DROPS_PER_STATEMENT = 500
 
 
+# Beyond so many touched files the whole table is rewritten (one swap instead
+# of very many single renames).
+MAX_TOUCHED_FILES = 10_000
+
+
+def touched_files(scan: DataFrame, stage: DataFrame | None, spec: Mapping) -> DataFrame:
+    """Paths (``file``) of the files of ``scan`` holding a row the load changes
+    or drops: all rows an update or delete hits, or whose key an upsert stages."""
+    columns = scan.columns
+    placed = scan.select("*", F.col("_metadata.file_path").alias("__file"))
+    if spec["pattern"] in ("upsert", "summarize"):
+        stage_keys = spec.get("stage_keys") or spec["keys"]
+        if spec.get("exprs"):
+            listed = list(dict.fromkeys([*spec["keys"], *spec["columns"]])) if spec.get("columns") else columns
+            stage, stage_keys = map_columns(stage, listed, spec["exprs"]), spec["keys"]
+        hit = matching(placed, stage, dict(zip(spec["keys"], stage_keys, strict=True)), "left_semi", spec.get("skew", "auto"))
+    else:
+        hit = _hit_rows(placed, stage, spec)
+    return hit.select(F.col("__file").alias("file")).distinct()
+
+
+def _rewrite_files(target: str, stage: DataFrame | None, spec: Mapping, fmt: str, batch: Batch | None) -> None:
+    """Upsert, update or delete that rewrites only the files it touches.
+
+    Every base row that the load changes or drops lies in a touched file, and
+    so does every base row of a staged key; so the load applied to the rows of
+    those files alone, beside the other files as they are, is the load applied
+    to the table.
+    """
+    spark = stage.sparkSession if stage is not None else SparkSession.active()
+    named = not S._is_path(target)
+    layout = S.table_layout(spark, target) if named else {"format": fmt, "partition_by": S.folder_partitions(spark, target, fmt)}
+    if layout["partition_by"] or layout["format"] not in ("orc", "parquet"):
+        raise ValueError("rewrite='files' needs an unpartitioned ORC or Parquet target")
+    fmt = layout["format"]
+    mark = batch.mark if batch else f"load-{uuid.uuid4().hex[:12]}"
+    aside = S.aside_folder(spark, target, mark)
+    if batch and batch.noted(spark, "rewritten") is not None:
+        return
+    if not (batch and swaps.is_complete(spark, aside)):
+        scan = S.scan_base(spark, target, fmt, spec.get("schema"))
+        files = checkpointed(touched_files(scan, stage, spec))
+        if files.count() > MAX_TOUCHED_FILES and (named or not batch):
+            S.overwrite(apply_load(scan, stage, spec), target, None if named else fmt,
+                        properties={batch.property_key: str(batch.number)} if batch else None)
+            return
+        old = sorted(unquote(r[0]) for r in files.collect())  # the column holds URIs
+        # Paths are read as patterns; the names are meant literally.
+        literal = [re.sub(r"([\\\[\]{}*?])", r"\\\1", f) for f in old]
+        held = spark.read.format(fmt).schema(scan.schema).load(literal) if old else spark.createDataFrame([], scan.schema)
+        S.replace_files(apply_load(held, stage, spec), target, old, mark, fmt, keep=batch is not None)
+    if batch:
+        batch.note(spark, "rewritten")
+        swaps.delete_folder(spark, aside)
+
+
 def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFrame | None = None,
              batch: Batch | None = None) -> DataFrame:
     """Apply the load to ``target`` (table name or folder) and write it.
@@ -294,6 +363,11 @@ def run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFram
     table, since the new content reads the old), keeping the table's format,
     partitioning and bucketing.  Returns the table as it is then.
 
+    With ``rewrite="files"`` an upsert, update or delete of an unpartitioned
+    ORC or Parquet table or folder rewrites only the files that hold a row it
+    changes, found by one scan of the key (or tested) columns; staged rows of
+    new keys come in files of their own (``tables.replace_files``).
+
     ``batch`` names the load within a stream: a batch that is already part of
     the target is not applied again.
     """
@@ -323,6 +397,13 @@ def _run_load(target: str, stage: DataFrame | None, spec: Mapping, base: DataFra
     fmt = spec.get("format")  # None: a catalog table keeps its own
     path_fmt = fmt or S.DEFAULT_FORMAT
     S.recover(spark, target)
+    if spec.get("rewrite"):
+        if base is not None:
+            raise ValueError("rewrite='files' reads its target itself, not a given base")
+        _check_spec(spec)
+        if not (batch and batch.in_table(spark, target)):
+            _rewrite_files(target, stage, spec, path_fmt, batch)
+        return
     if base is None and pattern not in _DISCARDS_BASE:
         base = S.scan_base(spark, target, path_fmt, spec.get("schema"))
     if pattern not in PATTERNS:

@@ -575,6 +575,46 @@ def q_run_load_upsert_detects_partition(spark, sf):
     return run_load(name, partition_stage(spark, sf, 1999), {"pattern": "upsert", "keys": ORDER_KEYS})
 
 
+def _orders_files(spark, rows) -> str:
+    """A catalog table of orders, its files cut by order key."""
+    name = scratch_table_name("orders_files")
+    S.write_table(rows.repartitionByRange(16, "o_orderkey"), name, location=scratch_path(spark, name))
+    return name
+
+
+def q_upsert_touched_files(spark, sf):
+    """L8 that rewrites only the files holding a staged key."""
+    from loadwright.plans.apply import run_load
+
+    name = _orders_files(spark, orders_base(spark, sf))
+    spec = {"pattern": "upsert", "keys": ORDER_KEYS, "sets": {"o_totalprice": "a.o_totalprice + m.o_totalprice"},
+            "order_by": ["o_orderdate"], "rewrite": "files"}
+    return run_load(name, orders_stage(spark, sf), spec)
+
+
+def q_delete_touched_files(spark, sf):
+    """L12 that rewrites only the files holding a deleted row."""
+    from loadwright.plans.apply import run_load
+
+    name = _orders_files(spark, table(spark, sf, "orders"))
+    return run_load(name, None, {"pattern": "delete", "where": "o_orderkey < 1000 AND o_orderstatus <> 'O'", "rewrite": "files"})
+
+
+def q_append_replayed(spark, sf):
+    """S3 of a batch that is cut once its rows are written aside, then run
+    again after another writer's append: every row is there once."""
+    from loadwright.plans.apply import Batch, run_load
+
+    name = scratch_table_name("customer_replay")
+    cust, supp = (table(spark, sf, t) for t in ("customer", "supplier"))
+    base = cust.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    S.write_table(base, name, location=scratch_path(spark, name))
+    batch = Batch("replay", 0, scratch_path(spark, "replay_marks"))
+    S.write_aside(L.selected_rows(base, supp, ["s_suppkey", "s_name"]), name, batch.mark)
+    S.append(base, name)
+    return run_load(name, supp, {"pattern": "insert", "cols": ["s_suppkey", "s_name"]}, batch=batch)
+
+
 def q_affected_partitions_wide(spark, sf):
     """J5 with more touched values than a literal list may hold (here 20, so
     that months are enough): the scan is pruned by ranges of them."""
@@ -863,6 +903,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "update_from_mapped": q_update_from_mapped,
     "swap_recovered": q_swap_recovered,
     "swap_recovered_folder": q_swap_recovered_folder,
+    "upsert_touched_files": q_upsert_touched_files,
+    "delete_touched_files": q_delete_touched_files,
+    "append_replayed": q_append_replayed,
     "affected_partitions_wide": q_affected_partitions_wide,
     "run_load_partitioned": q_run_load_partitioned,
     "upsert_bucketed": q_upsert_bucketed,

@@ -10,7 +10,10 @@ record in the shared folder first, and every load begins with ``recover``:
   run again;
 - cut after that: the swap is done.  Only the old rows are deleted.
 
-So a load takes effect at one rename or not at all.  The record lies under the
+So such a load takes effect at one rename or not at all.  A load that replaces
+some files of a table (kind ``files``) takes effect once its new files are
+written whole: cut before, they are deleted; cut after, the rest of them is
+moved in and the rest of the old ones deleted.  The record lies under the
 folder that ``spark.checkpoint.dir`` names (not in an application's own part of
 it), so the driver that repeats the load finds it if it has the same setting.
 One writer at a time works on a target.
@@ -84,6 +87,59 @@ class Record:
             self.fs.delete(self.path(name), False)
 
 
+# Folders inside a table that hold a load's files before they are moved in;
+# readers skip names that begin with an underscore.
+ASIDE = "_loadwright-"
+
+
+def is_complete(spark: SparkSession, aside: str) -> bool:
+    fs, path = filesystem(spark, aside)
+    return fs.exists(path(f"{aside}/_complete"))
+
+
+def mark_complete(spark: SparkSession, aside: str) -> None:
+    fs, path = filesystem(spark, aside)
+    fs.create(path(f"{aside}/_complete"), True).close()
+
+
+def move_files(spark: SparkSession, aside: str, home: str, mark: str) -> None:
+    """Rename the data files below ``aside`` to the same places below ``home``,
+    under names that begin with ``mark``."""
+    fs, path = filesystem(spark, home)
+    root = fs.makeQualified(path(aside)).toString()
+    listed = fs.listFiles(path(aside), True)
+    files = []
+    while listed.hasNext():
+        file = listed.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            files.append(file)
+    for file in files:
+        below = file.getParent().toString().removeprefix(root).strip("/")
+        place = path(f"{home}/{below}" if below else home)
+        fs.mkdirs(place)
+        move_file(fs, file, path(place, f"{mark}-{file.getName()}"))
+
+
+def move_file(fs, file, place) -> None:
+    if not fs.rename(file, place):
+        raise OSError(f"could not move {file.toString()} to {place.toString()}")
+
+
+def finish_files(spark: SparkSession, names: dict) -> None:
+    """Move the new files in, then delete the ones they replace."""
+    aside = names["aside"]
+    move_files(spark, aside, aside.rsplit("/", 1)[0], names["mark"])
+    for file in names["old"]:
+        delete_file(spark, file)
+    if not names["keep"]:
+        delete_folder(spark, aside)
+
+
+def delete_file(spark: SparkSession, file: str) -> None:
+    fs, path = filesystem(spark, file)
+    fs.delete(path(file), False)
+
+
 def rename_folder(spark: SparkSession, src: str, dst: str) -> None:
     fs, path = filesystem(spark, src)
     if not fs.rename(path(src), path(dst)):
@@ -123,7 +179,9 @@ def recover(spark: SparkSession, target: str, location_of: Callable[[SparkSessio
     if names is None:
         record.remove()
         return None
-    if names["kind"] == "folder":
+    if names["kind"] == "files":
+        outcome = _recover_files(spark, target, names)
+    elif names["kind"] == "folder":
         outcome = _recover_folder(spark, target.rstrip("/"), names)
     else:
         outcome = _recover_table(spark, target, names, location_of)
@@ -131,6 +189,20 @@ def recover(spark: SparkSession, target: str, location_of: Callable[[SparkSessio
     return outcome
 
 
+def _recover_files(spark: SparkSession, target: str, names: dict) -> str:
+    if is_complete(spark, names["aside"]):
+        finish_files(spark, names)
+        outcome = "done"
+    else:
+        delete_folder(spark, names["aside"])
+        outcome = "undone"
+    if "/" in target or ":" in target:
+        spark.catalog.refreshByPath(target)
+    else:
+        spark.catalog.refreshTable(target)
+    return outcome
+
+
 def _recover_folder(spark: SparkSession, home: str, names: dict) -> str:
     fs, path = filesystem(spark, home)
 

@@ -212,57 +212,90 @@ def append_files(
         df, partition_by = _by_position(df, target, fmt, partition_by)
     elif named:
         write_table(df.limit(0), target, fmt, partition_by)
+    aside = write_aside(df, target, mark, fmt, partition_by, rebalance)
+    swaps.move_files(spark, aside, aside.rsplit("/", 1)[0], mark)
+    partition_by = table_layout(spark, target)["partition_by"] if named else None
+    if named and partition_by:
+        _add_partitions(spark, target, aside, partition_by)
+    refresh(spark, target)
+    return aside
+
+
+def table_home(spark: SparkSession, target: str) -> str:
+    """The folder that holds a table's files."""
+    return (target if _is_path(target) else _location(spark, target)).rstrip("/")
+
+
+def aside_folder(spark: SparkSession, target: str, mark: str) -> str:
+    return f"{table_home(spark, target)}/{swaps.ASIDE}{mark}"
+
+
+def write_aside(
+    df: DataFrame,
+    target: str,
+    mark: str,
+    fmt: str = DEFAULT_FORMAT,
+    partition_by: Sequence[str] | None = None,
+    rebalance: bool | None = None,
+) -> str:
+    """Write rows whole, in the target's own layout and types, to a folder in
+    the target that readers skip, unless the load ``mark`` did so before."""
+    spark = df.sparkSession
     layout: dict = {}
-    if named:
+    if not _is_path(target):
         layout = table_layout(spark, target)
         if layout["format"] == "hive":
-            raise ValueError(f"append_files: {target} is not a table of a Spark data source")
+            raise ValueError(f"{target} is not a table of a Spark data source")
         fmt, partition_by = layout["format"], layout["partition_by"] or None
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in spark.table(target).schema])
-    home = (_location(spark, target) if named else target).rstrip("/")
-    aside = f"{home}/_loadwright-append-{mark}"
-    fs, path = swaps.filesystem(spark, home)
-    complete = path(f"{aside}/_complete")
-    if not fs.exists(complete):
-        if layout.get("buckets"):
-            # Only a table can be written in buckets; its files stay when its name goes.
-            side = scratch_table_name("append")
-            swaps.delete_folder(spark, aside)
-            write_table(df, side, fmt, partition_by, "error", rebalance, aside, layout["buckets"], layout["bucket_by"], layout["sort_by"])
-            swaps.drop_table(spark, side)
-        else:
-            write_table(df, aside, fmt, partition_by, "overwrite", rebalance)
-        fs.create(complete, True).close()
-    _move_files(spark, aside, home, mark)
-    if named and partition_by:
-        _add_partitions(spark, target, aside, partition_by)
-    if named:
-        spark.catalog.refreshTable(target)
+    aside = aside_folder(spark, target, mark)
+    if swaps.is_complete(spark, aside):
+        return aside
+    if layout.get("buckets"):
+        # Only a table can be written in buckets; its files stay when its name goes.
+        side = scratch_table_name("aside")
+        swaps.delete_folder(spark, aside)
+        write_table(df, side, fmt, partition_by, "error", rebalance, aside, layout["buckets"], layout["bucket_by"], layout["sort_by"])
+        swaps.drop_table(spark, side)
     else:
-        spark.catalog.refreshByPath(target)
+        write_table(df, aside, fmt, partition_by, "overwrite", rebalance)
+    swaps.mark_complete(spark, aside)
+    return aside
+
+
+def replace_files(
+    df: DataFrame, target: str, old_files: Sequence[str], mark: str, fmt: str = DEFAULT_FORMAT, keep: bool = False
+) -> str:
+    """Put the rows of ``df`` in the place of some files of an unpartitioned
+    table or folder; its other files are not touched.
+
+    The rows are written aside whole first, so ``df`` may read the old files.
+    Then the new files are moved in and the old ones deleted.  A record of the
+    names (``swaps``) is open meanwhile: the next load removes what was
+    written if it was not complete, else it ends the moves and deletions.  A
+    reader that lists the folder between the first move and the last deletion
+    sees old and new rows; ``swap_in`` is the way without that.
+
+    ``keep`` leaves the (emptied) folder ``write_aside`` wrote, which tells a
+    repeated load that it was applied; its name is returned.
+    """
+    spark = df.sparkSession
+    aside = aside_folder(spark, target, mark)
+    record = swaps.Record(spark, target)
+    record.write(kind="files", aside=aside, mark=mark, old=list(old_files), keep=keep)
+    write_aside(df, target, mark, fmt)
+    swaps.finish_files(spark, record.read())
+    record.remove()
+    refresh(spark, target)
     return aside
 
 
-def _move_files(spark: SparkSession, aside: str, home: str, mark: str) -> None:
-    """Rename the data files below ``aside`` to the same places below ``home``."""
-    fs, path = swaps.filesystem(spark, home)
-    root = fs.makeQualified(path(aside)).toString()
-    listed = fs.listFiles(path(aside), True)
-    files = []
-    while listed.hasNext():
-        file = listed.next().getPath()
-        if not file.getName().startswith(("_", ".")):
-            files.append(file)
-    for file in files:
-        below = file.getParent().toString().removeprefix(root).strip("/")
-        place = path(f"{home}/{below}" if below else home)
-        fs.mkdirs(place)
-        _moved(fs, file, path(place, f"{mark}-{file.getName()}"))
-
-
-def _moved(fs, file, place) -> None:
-    if not fs.rename(file, place):
-        raise OSError(f"could not move {file.toString()} to {place.toString()}")
+def refresh(spark: SparkSession, target: str) -> None:
+    """Forget cached file lists of a target."""
+    if _is_path(target):
+        spark.catalog.refreshByPath(target)
+    else:
+        spark.catalog.refreshTable(target)
 
 
 # Partitions named in one ALTER TABLE statement.

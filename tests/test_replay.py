@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loadwright.functions.types import ddl_schema
 from loadwright.plans.apply import Batch, run_load
 from loadwright.session import scratch_path, scratch_table_name
+from loadwright.sources import swaps
 from loadwright.sources import tables as S
 from loadwright.sources.stage import write_stage
 from loadwright.streaming.stage_files import start_stage_load
@@ -135,7 +136,7 @@ def _stored_target(spark, kind):
 
 
 KINDS = ["folder", "partitioned_folder", "table", "partitioned_table", "bucketed_table"]
-CUTS = [(S, "_move_files", 0), (S, "_moved", 1), (S, "_add_partitions", 0), (Batch, "note", 0)]
+CUTS = [(swaps, "move_files", 0), (swaps, "move_file", 1), (S, "_add_partitions", 0), (Batch, "note", 0)]
 
 
 @pytest.mark.parametrize("kind", KINDS)
