@@ -15,7 +15,9 @@ are hashed where they are scanned; only hashes and offsets are shuffled.
 
 Cases: a null or empty payload is a record without content; null ids and urls
 are written empty; repeated rows are records each; records at the same
-offset of a replica are hashed in the order of their digests; an empty
+offset of a replica are hashed in the order of their digests, and each that
+differs is a row, paired with one of the same id there; a record with another
+id is a missing and an extra one; an empty
 replica makes every record of the other one missing or extra; two empty ones
 agree; other columns are not read.
 """
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, ordered_sums, table
@@ -108,10 +110,14 @@ def audit(left: DataFrame, right: DataFrame, top: int) -> DataFrame:
     both = inside.groupBy("file", "offset", "length", "digest", "record_id").agg(
         F.sum(F.when(F.col("replica") == "a", 1).otherwise(0)).alias("na"), F.sum(F.when(F.col("replica") == "b", 1).otherwise(0)).alias("nb")
     ).where("na <> nb")
-    bad = both.groupBy("file", "offset").agg(
-        F.min("record_id").alias("record_id"),
-        F.max(F.when(F.col("na") > F.col("nb"), F.col("digest"))).alias("digest_a"),
-        F.max(F.when(F.col("nb") > F.col("na"), F.col("digest"))).alias("digest_b"),
+    # One row a record that remains; those of one record_id at one offset pair up in order of their digests.
+    left_over = both.select(
+        "file", "offset", "record_id", "digest", (F.col("na") > F.col("nb")).alias("in_a"),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.abs(F.col("na") - F.col("nb")))).alias("copy"),
+    )
+    nth = Window.partitionBy("file", "offset", "record_id", "in_a").orderBy("digest", "copy")
+    bad = left_over.withColumn("nth", F.row_number().over(nth)).groupBy("file", "offset", "record_id", "nth").agg(
+        F.max(F.when(F.col("in_a"), F.col("digest"))).alias("digest_a"), F.max(F.when(~F.col("in_a"), F.col("digest"))).alias("digest_b")
     )
     roots = nodes[top].groupBy("file").agg(
         F.max(F.when(F.col("replica") == "a", F.col("hash"))).alias("root_a"), F.max(F.when(F.col("replica") == "b", F.col("hash"))).alias("root_b")

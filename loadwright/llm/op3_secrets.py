@@ -2,12 +2,14 @@
 
 Base kinds are patterns (assignments, access keys, long hex strings).  The
 method then looks at candidate strings, runs of at least ``WINDOW``
-characters of ``[A-Za-z0-9+/=_-]`` with a letter and a digit: a window of
+characters of ``[A-Za-z0-9+/=_-]`` with a letter and a digit, or with letters
+whose case changes as in random ones (``scrambled``): a window of
 ``WINDOW`` characters slides over each, keeping the counts of its characters
 and their Shannon entropy by increments.  Windows whose entropy reaches the
 threshold of the string's character class (hex, one letter case, mixed)
 make a span of kind ``entropy``.  Strings that match the allow list (UUIDs,
-version strings, dates, words) are left out; sample values are left out by the
+version strings, dates) or are made of words and numbers, as addresses and
+titles are (``plain``), are left out; sample values are left out by the
 piece between ``/`` ``=`` ``_``, the rest of the string is not.  Of an entropy
 span, the parts inside base spans are left to those, the parts outside kept.
 
@@ -15,7 +17,8 @@ Spans are code points, end exclusive, and cover a pattern's whole match.
 
 Cases: a null text is empty and has no spans; nothing is cut off, a text of
 any length is searched whole; repeated rows give equal results; an empty
-table gives an empty result; other columns pass through.
+table gives an empty result; other columns pass through, but for one of the
+result's own name, which it replaces.
 """
 
 from __future__ import annotations
@@ -38,9 +41,11 @@ KINDS = ("assign", "access", "hex", "entropy")
 ALLOW_LIST = (
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUID
     r"v?\d+(?:[._-]\d+)*(?:[-_+][A-Za-z]+[._-]?\d*)*",  # versions, dates, numbers
-    r"[A-Za-z]+(?:[-_/=][A-Za-z]+)*[-_/=]?\d{0,4}",  # words, a number at the end
     r"[^/=_]*(?:EXAMPLE|example|xxxx|XXXX|0000000000|1234567890)[^/=_]*",  # sample values
 )
+# Pieces of a plain string: a word (a vowel in it, no case but a first capital,
+# or all capitals), a number or a version.
+_PLAIN = re.compile(r"(?=[A-Za-z]*[aeiouyAEIOUY])(?:[A-Z]?[a-z]+|[A-Z]+)\d{0,4}|v?\d+", re.ASCII)
 _SAMPLE = re.compile(r"EXAMPLE|example|xxxx|XXXX|0000000000|1234567890")
 _PIECE = re.compile(r"[^/=_]+")
 
@@ -88,6 +93,33 @@ def entropy_runs(s: str, threshold: float) -> list[tuple[int, int]]:
     return runs
 
 
+def plain(s: str) -> bool:
+    """Is the string words and numbers between separators, mostly words?
+
+    Keys in groups ("abcd-1234-efgh-5678") have more digits than a quarter.
+    """
+    pieces = [p for p in re.split(r"[-_/=+]", s) if p]
+    return 4 * sum(map(str.isdigit, s)) <= len(s) and all(
+        _PLAIN.fullmatch(p) or (len(p) <= 4 and p.isalpha()) for p in pieces
+    )
+
+
+def scrambled(s: str) -> bool:
+    """Do capitals and small letters mix as in random letters?
+
+    Half of such letters are capitals and half of the neighbours differ in
+    case.  Names written in capitals within ("someLongName") have fewer
+    capitals; letters of one case cannot be told from words.
+    """
+    letters = [c.isupper() for c in s if c.isalpha()]
+    changes = sum(a != b for a, b in zip(letters, letters[1:], strict=False))
+    return len(letters) >= LEAST and 3 * len(letters) <= 10 * sum(letters) <= 7 * len(letters) and 3 * changes >= len(letters) - 1
+
+
+def secret_like(s: str) -> bool:
+    return bool(re.search(r"[0-9]", s) and re.search(r"[A-Za-z]", s)) or scrambled(s)
+
+
 def char_class(s: str) -> str:
     if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s):
         return "hex"
@@ -106,7 +138,7 @@ def find_secrets(text: str | None, allow: tuple[str, ...] = ALLOW_LIST) -> list[
         allowed = re.compile("|".join(f"(?:{a})" for a in allow)) if allow else None
         for m in _CANDIDATE.finditer(text):
             s = m.group()
-            if not (re.search(r"[0-9]", s) and re.search(r"[A-Za-z]", s)) or (allowed and allowed.fullmatch(s)):
+            if not secret_like(s) or plain(s) or (allowed and allowed.fullmatch(s)):
                 continue
             # Pieces of the allow list are taken, so a secret beside them is still seen.
             taken = base
@@ -115,7 +147,7 @@ def find_secrets(text: str | None, allow: tuple[str, ...] = ALLOW_LIST) -> list[
                 taken = sorted(base + sample) if sample else base
             for a, b in entropy_runs(s, ENTROPY[char_class(s)]):
                 for x, y in outside(a + m.start(), b + m.start(), taken):
-                    if y - x >= LEAST and re.search(r"[0-9]", text[x:y]) and re.search(r"[A-Za-z]", text[x:y]):
+                    if y - x >= LEAST and secret_like(text[x:y]) and not plain(text[x:y]):
                         spans.append((x, y, "entropy"))
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 

@@ -42,3 +42,12 @@ def test_root_hash_by_hand(spark):
     for _ in range(m.levels()):
         h = hashlib.sha256(f"0:{h}".encode()).hexdigest()
     assert m.merkle_nodes(leaves, m.levels())[-1].first()["hash"] == h
+
+
+def test_each_record_at_one_offset_is_a_row(spark):
+    ddl = "file long, offset long, length long, digest string, record_id long"
+    at = [(0, 0, 10, "a" * 64, 1), (0, 0, 10, "b" * 64, 2), (0, 0, 10, "c" * 64, None), (0, 0, 10, "d" * 64, 4), (0, 0, 10, "d" * 64, 4)]
+    other = [(0, 0, 10, "e" * 64, 1), (0, 0, 10, "f" * 64, 2), (0, 0, 10, "c" * 64, None), (0, 0, 10, "a" * 64, 5)]
+    got = m.audit(spark.createDataFrame(at, ddl), spark.createDataFrame(other, ddl), m.levels())
+    found = sorted((r["record_id"], r["status"], (r["digest_a"] or "-")[0], (r["digest_b"] or "-")[0]) for r in got.collect())
+    assert found == [(1, "changed", "a", "e"), (2, "changed", "b", "f"), (4, "missing", "d", "-"), (4, "missing", "d", "-"), (5, "extra", "-", "a")]

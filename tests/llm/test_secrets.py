@@ -1,6 +1,7 @@
 """Spans against a plain search, and entropy against a direct count."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -66,6 +67,31 @@ def test_secrets_beside_base_spans_and_sample_values():
     assert s.find_secrets("AWSKEY7MDENG9bPxRfiCYEXAMPLEKEY") == []
 
 
+def test_addresses_titles_and_names_are_no_secrets():
+    for text in (
+        "https://example.com/2024/Some-Long-Article-Title-About-Things-v2/index.html",
+        "see /var/log/2024-05-01/application_server_debug.log and src/main/java/OurOldServiceFactoryBean",
+        "someVeryLongVariableNameForTheUser THIS_IS_A_LONG_CONSTANT_2 a-title-of-many-words-and-one-2024",
+    ):
+        assert s.find_secrets(text) == [], text
+
+
+def test_random_letters_of_both_cases():
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    found = 0
+    for _ in range(300):
+        key = "".join(rng.choice(letters) for _ in range(40))
+        text = f"the key {key} is old"
+        found += any(k == "entropy" and b - a >= s.WINDOW and 8 <= a and b <= 48 for a, b, k in s.find_secrets(text))
+    assert found >= 285
+
+
+def test_keys_in_groups_are_found():
+    for key in ("k3jd-92hf-x7pq-10zm-4vbn-8rty", "QWER-1234-TYUI-5678-OPAS-9012"):
+        assert [k for *_, k in s.find_secrets(f"use {key} now")] == ["entropy"], key
+
+
 def test_null_empty_and_redaction():
     assert s.find_secrets(None) == [] and s.find_secrets("") == [] and s.redacted(None, []) is None
     text = 'x token = "abcDEF123456" y'
