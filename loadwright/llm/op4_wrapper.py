@@ -39,10 +39,9 @@ Cases: null and empty html give an empty text; broken or cut markup is read
 as far as it goes (an unclosed tag at the end is dropped, a quote that is never
 closed is none, an unclosed script, style or comment ends the page, an unclosed
 button, label, option or title ends with its parent or at the next block).  Reading a page takes
-time in proportion to its length.  Trees are aligned exactly up to ``CELLS``
-pairs of children of two nodes that neither trimming equal ends nor folding
-removes, and ``EXACT`` pairs of differing children a page; beyond them children
-are aligned in stretches, by label.  A page without a
+time in proportion to its length.  Trees of any size are aligned exactly: in
+time by the pairs of nodes that neither trimming equal ends nor folding
+removes, in memory by the nodes (``CELLS``).  A page without a
 host in its url has no host template; repeated pages are pages each; an empty
 table gives an empty result; other columns pass through in a struct.
 """
@@ -52,6 +51,8 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from functools import lru_cache
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -66,9 +67,7 @@ LINK_SHARE = 0.6
 LAYOUT_DEPTH = 3  # html, body and the parts of the page
 MAX_DEPTH = 60  # deeper elements count to their ancestor at this depth
 FAIR = 0.25  # a template that leaves a page less than this of its text was found on copies
-CELLS = 1_000_000  # pairs of children aligned at once
-STRETCH = 500  # children of a stretch beyond that
-EXACT = 500_000  # pairs of differing children weighed by their own alignment
+CELLS = 1_000_000  # numbers an alignment holds, or the square root of the pairs of children; the others are found again
 BROADCAST_ROWS = 100_000  # template lists (a few hundred bytes each) small enough to send
 
 BLOCKS = frozenset(
@@ -451,104 +450,148 @@ def tree_of(text: str) -> list[tuple[str, list[int]]]:
     return nodes
 
 
+class Reference:
+    """A tree with, of each label, its nodes and their children as one array in page order.
+
+    A node has a slot before its children, so that running maxima of all the
+    nodes' children are taken at once (``owner`` is the slot's node's place).
+    """
+
+    def __init__(self, text: str):
+        self.nodes = tree_of(text)
+        n = len(self.nodes)
+        self.end = list(range(1, n + 1))  # past the last node below
+        for i in range(n - 1, -1, -1):
+            if self.nodes[i][1]:
+                self.end[i] = self.end[self.nodes[i][1][-1]]
+        self.known: dict[tuple, int] = {}
+        self.ids = subtree_ids(self.nodes, self.known)
+        by_label: dict[str, list[int]] = {}
+        for i, (label, _) in enumerate(self.nodes):
+            by_label.setdefault(label, []).append(i)
+        self.slots = {label: self._slots(of) for label, of in by_label.items()}
+
+    def _slots(self, of: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        at, child, owner = [0], [], []
+        for place, i in enumerate(of):
+            child += [-1, *self.nodes[i][1]]
+            owner += [place] * (1 + len(self.nodes[i][1]))
+            at.append(len(child))
+        return tuple(np.array(x, dtype=np.int64) for x in (of, at, child, owner))
+
+
+@lru_cache(maxsize=4)
+def reference_of(text: str) -> Reference:
+    return Reference(text)
+
+
+def subtree_ids(tree: list[tuple[str, list[int]]], known: dict[tuple, int]) -> list[int]:
+    """Equal numbers for equal subtrees; ``known`` has those of other trees and is added to."""
+    ids = [0] * len(tree)
+    for i in range(len(tree) - 1, -1, -1):
+        ids[i] = known.setdefault((tree[i][0], *[ids[k] for k in tree[i][1]]), len(known))
+    return ids
+
+
 def align(page: str, reference: str) -> list[int]:
     """Simple tree matching: for each node of a page's tree its node in the reference, or -1.
 
     Children of matched nodes are matched in order so that most nodes match.
     Equal subtrees at both ends match each other (some best matching has them);
-    what lies between is weighed by pairs.
+    what lies between is weighed by all pairs, whatever their number: a node
+    against all nodes of the reference at a time, so that only one array per
+    level of the tree is held.
     """
-    a, b = tree_of(page), tree_of(reference)
+    a, ref = tree_of(page), reference_of(reference)
+    b = ref.nodes
     if page == reference:
         return list(range(len(a)))
     out = [-1] * len(a)
-    known: dict[tuple, int] = {}
-    sizes: list[int] = []  # nodes of each different subtree
-
-    def subtrees(tree):
-        ids = [0] * len(tree)
-        for i in range(len(tree) - 1, -1, -1):
-            key = (tree[i][0], *[ids[k] for k in tree[i][1]])
-            if key not in known:
-                known[key] = len(sizes)
-                sizes.append(1 + sum(sizes[k] for k in key[1:]))
-            ids[i] = known[key]
-        return ids
-
-    ida, idb = subtrees(a), subtrees(b)
-    memo: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
-    spent = 0
-
-    def weight(u: int, v: int) -> int:
-        if a[u][0] != b[v][0]:
-            return 0
-        if ida[u] == idb[v]:
-            return sizes[ida[u]]
-        if (ida[u], idb[v]) not in memo:
-            memo[ida[u], idb[v]] = paired(a[u][1], b[v][1])
-        return memo[ida[u], idb[v]][0] + 1
-
-    def paired(x: list[int], y: list[int]) -> tuple[int, list[tuple[int, int]]]:
-        """The most nodes that two lists of children can match, and their pairs (positions)."""
+    ida, idb = subtree_ids(a, dict(ref.known)), ref.ids
+
+    def weights(u: int, lo: int, hi: int, held: dict[int, np.ndarray], regions: dict) -> np.ndarray:
+        """The most nodes that ``u``'s subtree can match with that of each node from ``lo`` to ``hi``; a last 0."""
+        row = held.get(ida[u])
+        if row is not None:
+            return row
+        label, kids = a[u]
+        row = np.zeros(hi - lo + 1, dtype=np.int64)
+        if label in ref.slots:
+            if label not in regions:
+                of, at, child, owner = ref.slots[label]
+                i, j = np.searchsorted(of, (lo, hi))
+                s, e = at[i], at[j]
+                child = child[s:e]
+                regions[label] = (
+                    of[i:j] - lo, at[i + 1 : j + 1] - s - 1, np.where(child < 0, hi - lo, child - lo), (owner[s:e] - i) * (len(b) + 1),
+                )
+            of, last, child, start = regions[label]
+            if len(of):
+                # Each node's running best starts above the one before's, so one running maximum serves all.
+                best = start
+                for k in kids if len(child) > len(of) else ():
+                    if a[k][0] in ref.slots:
+                        step = best.copy()
+                        np.maximum(step[1:], best[:-1] + weights(k, lo, hi, held, regions)[child[1:]], out=step[1:])
+                        best = np.maximum.accumulate(step)
+                row[of] = 1 + best[last] - start[last]
+        if (len(held) + 1) * len(row) <= CELLS:
+            held[ida[u]] = row
+        return row
+
+    def paired(x: list[int], y: list[int]) -> list[tuple[int, int]]:
+        """Pairs of two lists of children that let the most nodes match."""
         head, p, q = 0, len(x), len(y)
         while head < min(p, q) and ida[x[head]] == idb[y[head]]:
             head += 1
         while p > head and q > head and ida[x[p - 1]] == idb[y[q - 1]]:
             p, q = p - 1, q - 1
-        same = [(i, i) for i in range(head)]
-        ends = [(p + i, q + i) for i in range(len(x) - p)]
-        total, pairs = sum(sizes[ida[x[i]]] for i, _ in same + ends), []
-        parts = 1 if (p - head) * (q - head) <= CELLS else -(-(max(p, q) - head) // STRETCH)
-        for k in range(parts):
-            cut = [head + (e - head) * (k + s) // parts for e in (p, q) for s in (0, 1)]
-            more, some = between(x, y, *cut)
-            total += more
-            pairs += some
-        return total, same + pairs + ends
-
-    def between(x, y, p0, p1, q0, q1) -> tuple[int, list[tuple[int, int]]]:
-        if p0 == p1 or q0 == q1:
-            return 0, []
-        nonlocal spent
-        firsts = {idb[v]: v for v in y[q0:q1]}
-        spent += len({ida[u] for u in x[p0:p1]}) * len(firsts)
-        rough = spent > EXACT
-        idy = np.array([idb[v] for v in y[q0:q1]])
-        labels = np.array([b[v][0] for v in y[q0:q1]]) if rough else None
-        rows: dict[int, np.ndarray] = {}
-        best = [np.zeros(q1 - q0 + 1, dtype=np.int32)]
-        for u in x[p0:p1]:
-            row = rows.get(ida[u])
-            if row is None and rough:
-                row = rows[ida[u]] = (labels == a[u][0]) + (idy == ida[u]) * (sizes[ida[u]] - 1)
-            elif row is None:
-                of = {i: weight(u, v) for i, v in firsts.items()}
-                row = rows[ida[u]] = np.array([of[i] for i in idy.tolist()])
-            here = best[-1].copy()
-            np.maximum(here[1:], best[-1][:-1] + row, out=here[1:])
-            best.append(np.maximum.accumulate(here))
-        pairs, p, q = [], p1 - p0, q1 - q0
-        while p and q:
-            if best[p][q] == best[p - 1][q]:
-                p -= 1
-            elif best[p][q] == best[p][q - 1]:
-                q -= 1
-            else:
-                p, q = p - 1, q - 1
-                pairs.append((p0 + p, q0 + q))
-        return int(best[-1][-1]), pairs[::-1]
+        return [*zip(x[:head], y[:head], strict=True), *between(x[head:p], y[head:q]), *zip(x[p:], y[q:], strict=True)]
+
+    def between(x: list[int], y: list[int]) -> list[tuple[int, int]]:
+        if not x or not y:
+            return []
+        if len(x) == 1 == len(y):
+            return [(x[0], y[0])] if a[x[0]][0] == b[y[0]][0] else []
+        lo, hi = y[0], ref.end[y[-1]]
+        at, held, regions = np.array(y) - lo, {}, {}
+
+        def block(best: np.ndarray, some: list[int]) -> list[np.ndarray]:
+            rows = [best]
+            for u in some:
+                here = rows[-1].copy()
+                np.maximum(here[1:], rows[-1][:-1] + weights(u, lo, hi, held, regions)[at], out=here[1:])
+                rows.append(np.maximum.accumulate(here))
+            return rows
+
+        # Every ``size``-th row is kept, and those between are found again on the way back.
+        size = max(CELLS // len(y), isqrt(len(x)), 1)
+        rows = [np.zeros(len(y) + 1, dtype=np.int64)]
+        kept = []
+        for k in range(0, len(x), size):
+            kept.append(rows[-1])
+            rows = block(rows[-1], x[k : k + size])
+        pairs, q = [], len(y)
+        for k in range(len(kept) - 1, -1, -1):
+            if k < len(kept) - 1:
+                rows = block(kept[k], x[k * size : (k + 1) * size])
+            p = len(rows) - 1
+            while p and q:
+                if rows[p][q] == rows[p - 1][q]:
+                    p -= 1
+                elif rows[p][q] == rows[p][q - 1]:
+                    q -= 1
+                else:
+                    p, q = p - 1, q - 1
+                    pairs.append((x[k * size + p], y[q]))
+        return pairs[::-1]
 
     todo = [(0, 0)] if a and b and a[0][0] == b[0][0] else []
     while todo:
         i, j = todo.pop()
         out[i] = j
         x, y = a[i][1], b[j][1]
-        if ida[i] == idb[j]:
-            todo += zip(x, y, strict=True)
-            continue
-        if (ida[i], idb[j]) not in memo:
-            memo[ida[i], idb[j]] = paired(x, y)
-        todo += [(x[p], y[q]) for p, q in memo[ida[i], idb[j]][1]]
+        todo += zip(x, y, strict=True) if ida[i] == idb[j] else paired(x, y)
     return out
 
 

@@ -91,6 +91,28 @@ def test_alignment_of_wide_trees_is_fast():
     assert time.process_time() - start < 8
 
 
+def test_alignment_does_not_depend_on_size(monkeypatch):
+    import random
+
+    # The longest common subsequence of ab.. and ba.. of 2,500 each has 4,999 nodes; the root is one more.
+    one, two = "(#" + "(a)(b)" * 2500 + ")", "(#(c)" + "(b)(a)" * 2500 + "(c))"
+    assert sum(j >= 0 for j in w.align(one, two)) == 5000
+    # 800 children that all differ, each with its best partner at another place.
+    three = "(#(z)" + "".join(f"(a(x{i})(y{i}))" for i in range(800)) + ")"
+    four = "(#" + "".join(f"(a(y{i})(x{i})(w))" for i in range(-5, 795)) + ")"
+    assert sum(j >= 0 for j in w.align(three, four)) == 1 + 2 * 795
+    rng = random.Random(2)
+
+    def tree(depth):
+        return f"({rng.choice('abc')}{''.join(tree(depth - 1) for _ in range(rng.randint(0, 4 if depth else 0)))})"
+
+    pairs = [(f"(#{tree(4)}{tree(4)})", f"(#{tree(4)}{tree(4)})") for _ in range(60)]
+    whole = [w.align(x, y) for x, y in pairs]
+    for cells in (0, 7, 50):
+        monkeypatch.setattr(w, "CELLS", cells)
+        assert [w.align(x, y) for x, y in pairs] == whole
+
+
 def test_broken_markup():
     assert texts("<p>cut off <b>here</b> and <a hre") == ["cut off here and"]
     assert texts("</div></p>text</span> a < b &lt; &am") == ["text a < b < &am"]
