@@ -65,27 +65,51 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
+def _plain(line: str) -> bool:
+    """Is the line its tokens, one blank between them?"""
+    return line.isprintable() and line[:1] not in ("", " ") and line[-1] != " " and "  " not in line
+
+
+def lines_of(text: str | None, leaves: bool = True) -> Iterator[tuple[int, int]]:
+    """Leaf (0 unless asked for) and masked-line hash of every line, as ``line_hashes``."""
+    if text is None:
+        return
+    digits = any(d in text for d in "0123456789")
+    for line in text.split("\n"):
+        if _plain(line) and not (digits and _DIGIT.search(line)):
+            # Most lines: nothing to mask, no white space to mend.
+            h = _hash(line)
+            if leaves:
+                n = line.count(" ") + 1
+                leaf = _hash(" ".join([str(n), *line.split(" ", LEAD)[:LEAD]]))
+                yield leaf | 1 if n >= LONG else leaf & ~1, h
+            else:
+                yield 0, h
+            continue
+        tokens = masked(line)
+        if not tokens:
+            yield 0, 0
+            continue
+        if 2 * tokens.count(VARIABLE) > len(tokens):
+            h = leaf = _hash(f"\n{' '.join(line.split())}")
+        else:
+            h = _hash(" ".join(tokens))
+            leaf = _hash(" ".join([str(len(tokens)), *tokens[:LEAD]])) if leaves else 0
+        yield leaf | 1 if len(tokens) >= LONG else leaf & ~1, h
+
+
 def line_hashes(text: str | None) -> tuple[list[int], list[int]]:
     """Leaf and masked-line hash of every line; blank lines have (0, 0).
 
     The leaf's lowest bit tells lines of ``LONG`` tokens.  A line less than
     half constant is hashed as written and is a leaf of its own.
     """
-    leaves, lines = [], []
-    for line in (text or "").split("\n") if text is not None else []:
-        tokens = masked(line)
-        if not tokens:
-            leaves.append(0)
-            lines.append(0)
-            continue
-        if 2 * tokens.count(VARIABLE) > len(tokens):
-            lines.append(_hash(f"\n{' '.join(line.split())}"))
-            leaf = lines[-1]
-        else:
-            lines.append(_hash(" ".join(tokens)))
-            leaf = _hash(" ".join([str(len(tokens)), *tokens[:LEAD]]))
-        leaves.append(leaf | 1 if len(tokens) >= LONG else leaf & ~1)
-    return leaves, lines
+    found = list(lines_of(text))
+    return [leaf for leaf, _ in found], [h for _, h in found]
+
+
+def hashes_of(text: str | None) -> np.ndarray:
+    return np.array([h for _, h in lines_of(text, leaves=False)], dtype=np.int64)
 
 
 def enough(min_docs: int) -> Column:
@@ -113,58 +137,86 @@ def similar(a: list[str], b: list[str]) -> bool:
     return same >= SIMILAR * fixed and 2 * same >= len(a)
 
 
-def merged(a: list[str], b: list[str]) -> list[str]:
-    return [x if x == y else VARIABLE for x, y in zip(a, b, strict=True)]
+def grid_of(texts: list[str], ids: dict[str, int] | None = None) -> np.ndarray:
+    """The tokens of texts of one length as numbers, ``VARIABLE`` as 0."""
+    ids = {VARIABLE: 0} if ids is None else ids
+    return np.array([[ids.setdefault(t, len(ids)) for t in text.split(" ")] for text in texts], dtype=np.int32)
+
+
+def similar_rows(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """``similar`` of each row of a grid and one."""
+    same = ((rows == one) & (one > 0)).sum(axis=1)
+    fixed = np.maximum(1, ((rows > 0) & (one > 0)).sum(axis=1))
+    return (same >= SIMILAR * fixed) & (2 * same >= len(one))
 
 
 def parse_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per chunk of a leaf: each line's template (named by its first line)."""
     for g in groups(batches, ["leaf", "chunk"]):
-        found: list[list] = []  # name, tokens
+        ids = {VARIABLE: 0}
+        grid = grid_of(g["text"], ids)
+        found = np.empty_like(grid)  # the templates
+        names: list[int] = []
         of, seen = [], {}
-        for name, line in zip(g["line"], g["text"], strict=True):
-            tokens = line.split(" ")
-            exact = seen.get(line)
-            at = exact if exact is not None else next((i for i, (_, t) in enumerate(found) if similar(t, tokens)), None)
+        for name, line, tokens in zip(g["line"], g["text"], grid, strict=True):
+            at = seen.get(line)
+            if at is None:
+                hits = np.flatnonzero(similar_rows(found[: len(names)], tokens))
+                at = int(hits[0]) if len(hits) else None
             if at is None:
-                at = len(found)
-                found.append([name, tokens])
+                at = len(names)
+                names.append(name)
+                found[at] = tokens
             else:
-                found[at][1] = merged(found[at][1], tokens)
+                found[at][found[at] != tokens] = 0
             seen[line] = at
             of.append(at)
+        words = np.array(list(ids), dtype=object)
+        texts = [" ".join(words[row]) for row in found[: len(names)]]
         yield pd.DataFrame({
             "leaf": g["leaf"].to_numpy(), "line": g["line"].to_numpy(),
-            "part": [found[i][0] for i in of], "text": [" ".join(found[i][1]) for i in of],
+            "part": [names[i] for i in of], "text": [texts[i] for i in of],
         })
 
 
+def similar_in(g: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Each template of a pair of blocks and the places of those like it, each pair once."""
+    own, bi, bj = g["own"].to_numpy(), int(g["bi"].iloc[0]), int(g["bj"].iloc[0])
+    grid = grid_of(g["text"])
+    apart = np.flatnonzero(own == bj)
+    for i in range(len(grid)):
+        others = apart if bi != bj else np.arange(i + 1, len(grid))
+        if len(others) and (bi == bj or own[i] == bi):
+            hit = others[similar_rows(grid[others], grid[i])]
+            if len(hit):
+                yield i, hit
+
+
 def alike_templates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Spanning forest of the similar templates of a pair of blocks of a leaf."""
     for g in groups(batches, ["leaf", "bi", "bj"]):
-        if len(g) < 2:
-            continue
-        names, own = g["part"].to_numpy(), g["own"].to_numpy()
-        bi, bj = int(g["bi"].iloc[0]), int(g["bj"].iloc[0])
-        tokens = [t.split(" ") for t in g["text"]]
-        ids: dict[str, int] = {VARIABLE: 0}
-        grid = np.array([[ids.setdefault(t, len(ids)) for t in row] for row in tokens], dtype=np.int32)
         left, right = [], []
-        for i in range(len(grid)):
-            others = np.flatnonzero(own == bj) if bi != bj else np.arange(i + 1, len(grid))
-            if bi != bj and own[i] != bi or not len(others):
-                continue
-            same = ((grid[others] == grid[i]) & (grid[i] > 0)).sum(axis=1)
-            fixed = np.maximum(1, ((grid[others] > 0) & (grid[i] > 0)).sum(axis=1))
-            hit = others[(same >= SIMILAR * fixed) & (2 * same >= grid.shape[1])]
+        for i, hit in similar_in(g):
             left += [i] * len(hit)
             right += hit.tolist()
-        root = forest(len(g), np.array(left, dtype=int), np.array(right, dtype=int))
+        names, root = g["part"].to_numpy(), forest(len(g), np.array(left, dtype=int), np.array(right, dtype=int))
         out = np.flatnonzero(root != np.arange(len(g)))
         if len(out):
             yield pd.DataFrame({"a": names[out], "b": names[root[out]]})
 
 
+def nearest_alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each template of a pair of blocks that is like another: the least such."""
+    for g in groups(batches, ["leaf", "bi", "bj"]):
+        names = g["part"].to_numpy()
+        least: dict[int, int] = {}
+        for i, hit in similar_in(g):
+            for x, y in ((i, names[hit].min()), *((j, names[i]) for j in hit.tolist())):
+                least[x] = min(least.get(x, y), y)
+        if least:
+            yield pd.DataFrame({"part": names[list(least)], "near": list(least.values())})
+
+
 def fetcher(shared):
     """Texts of the lines whose hash is in the block, once per batch."""
 
@@ -174,7 +226,7 @@ def fetcher(shared):
             for text in batch["text"]:
                 if text is None:
                     continue
-                lines = np.array(line_hashes(text)[1], dtype=np.int64)
+                lines = hashes_of(text)
                 hits = np.flatnonzero(is_in(lines, shared.value))
                 if len(hits):
                     raw = text.split("\n")
@@ -256,27 +308,54 @@ def regrouped(parts: DataFrame) -> DataFrame:
     """(part, group): the parts (template, part, text) of each component, joined
     while the shared template is at least half constant.
 
-    Each round joins what it can in chunks of about ``CHUNK``, dealt anew; the
-    last is the one in which each component is a single chunk, or one that
-    leaves more than 95 % of the templates apart.
+    Rounds that join what they can in chunks of about ``CHUNK``, dealt anew,
+    make the components small.  Then all templates of a component are compared
+    in pairs of blocks, and those like another one go to the least such
+    (``stars``); the rounds end when no two templates of a component are
+    similar.  Each takes at least one template away: the least of all that are
+    like another meets its nearest.
     """
     now = parts.select("template", F.col("part").alias("group"), "text")
     of = parts.select("part", F.col("part").alias("group"))
-    left, turn = now.count(), 0
-    while True:
+    left, turn, apart = now.count(), 0, True
+    while apart:
         sizes = materialise(now.groupBy("template").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks")), "sizes")
-        work = now.join(sizes, "template").select(
-            F.col("template").alias("leaf"), F.pmod(F.xxhash64("group", F.lit(turn)), F.col("chunks")).alias("chunk"), F.col("group").alias("line"), "text"
-        )
-        work = work.repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", "line")
-        done = materialise(work.mapInPandas(parse_chunks, "leaf long, line long, part long, text string"), "regrouping")
-        to = done.select(F.col("line").alias("group"), F.col("part").alias("to"))
-        of = materialise(of.join(to, "group").select("part", F.col("to").alias("group")), "groups")
-        now = done.select(F.col("leaf").alias("template"), F.col("part").alias("group"), "text").distinct()
+        chunk = F.pmod(F.xxhash64("group", F.lit(turn)), F.col("chunks"))
+        now, of = rejoined(now, of, now.join(sizes, "template").select("group", F.col("template").alias("leaf"), chunk.alias("chunk")))
         count, turn = now.count(), turn + 1
-        if sizes.where("chunks > 1").isEmpty() or count > 0.95 * left:
-            return of
+        apart = not sizes.where("chunks > 1").isEmpty() and count <= 0.95 * left
         left = count
+    while not (dealt := stars(now)).isEmpty():
+        now, of = rejoined(now, of, dealt)
+    return of
+
+
+def stars(now: DataFrame) -> DataFrame:
+    """(group, leaf, chunk): the templates like another of their component, by the least such
+    (or themselves), in chunks; the least of a chunk's star goes with its nearest."""
+    sizes = now.groupBy("template").agg(F.count("*").alias("n")).where("n > 1")
+    work = block_pairs(now.join(sizes, "template"), "template", F.ceil(F.col("n") / BLOCK).cast("long"), "group")
+    work = work.select(F.col("template").alias("leaf"), "bi", "bj", "own", F.col("group").alias("part"), "text")
+    work = work.repartition("leaf", "bi", "bj").sortWithinPartitions("leaf", "bi", "bj", "part")
+    near = work.mapInPandas(nearest_alike, "part long, near long").groupBy("part").agg(F.min("near").alias("near"))
+    near = materialise(near.withColumn("leaf", F.least("part", "near")), "near")
+    sizes = near.groupBy("leaf").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
+    chunk = F.pmod(F.xxhash64(F.greatest("part", F.when(F.col("part") < F.col("near"), F.col("near")))), F.col("chunks"))
+    return near.join(sizes, "leaf").select(F.col("part").alias("group"), "leaf", chunk.alias("chunk"))
+
+
+def rejoined(now: DataFrame, of: DataFrame, dealt: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Templates (template, group, text) and groups (part, group) after those
+    dealt (group, leaf, chunk) have joined each other as lines do."""
+    work = dealt.join(now, "group").select("leaf", "chunk", F.col("group").alias("line"), "text")
+    work = work.repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", "line")
+    done = materialise(work.mapInPandas(parse_chunks, "leaf long, line long, part long, text string"), "regrouping")
+    to = done.select(F.col("line").alias("group"), F.col("part").alias("to"))
+    of = of.join(to, "group", "left").select("part", F.coalesce("to", "group").alias("group"))
+    new = done.select(F.col("part").alias("group"), F.col("text").alias("new")).distinct()
+    now = now.join(to, "group", "left").where("to IS NULL OR to = group").drop("to")
+    now = now.join(new, "group", "left").select("template", "group", F.coalesce("new", "text").alias("text"))
+    return materialise(now, "regrouped"), materialise(of, "groups")
 
 
 def marker(shared):
@@ -286,7 +365,7 @@ def marker(shared):
     def marked(text: pd.Series, bits: pd.Series) -> pd.Series:
         rows = []
         for t, b in zip(text, bits, strict=True):
-            hit = is_in(np.array(line_hashes(t)[1], dtype=np.int64), shared.value)
+            hit = is_in(hashes_of(t), shared.value)
             if b is not None:
                 hit |= np.unpackbits(np.frombuffer(b, dtype=np.uint8), count=len(hit)).astype(bool)
             rows.append(np.packbits(hit).tobytes())
@@ -315,7 +394,7 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
             lines = t.split("\n")
             hit = np.unpackbits(np.frombuffer(b, dtype=np.uint8), count=len(lines)).astype(bool)
             kept = "\n".join(x for x, h in zip(lines, hit, strict=True) if not h) if hit.any() else t
-            rows.append((sum(1 for x in lines if x.split()), int(hit.sum()), kept))
+            rows.append((sum(1 for x in lines if x and not x.isspace()), int(hit.sum()), kept))
         return pd.DataFrame(rows, columns=["n_lines", "n_dropped", "kept"])
 
     return out.withColumn("c", cleaned(F.col("text"), F.col("bits"))).select("doc", "c.n_lines", "c.n_dropped", "c.kept")

@@ -58,6 +58,29 @@ def test_a_loose_component_keeps_its_recurring_parts(spark, monkeypatch):
         assert got[52] == "p q k l m n o r s t"
 
 
+def test_regrouping_leaves_no_two_alike(spark, monkeypatch):
+    rng = random.Random(4)
+    bases = [["p", "q", *rng.sample(VOCAB, 18)] for _ in range(25)]
+    parts = []
+    for name in rng.sample(range(1, 10_000), 150):
+        tokens = list(rng.choice(bases))
+        for at in rng.sample(range(2, 20), rng.randint(0, 6)):
+            tokens[at] = rng.choice(VOCAB)
+        parts.append((name % 2, name, " ".join(tokens)))
+    df = spark.createDataFrame(parts, "template long, part long, text string").cache()
+    for chunk, block in ((500, 500), (3, 40)):  # the second: hardly two alike meet in a chunk
+        monkeypatch.setattr(t, "CHUNK", chunk)
+        monkeypatch.setattr(t, "BLOCK", block)
+        of = {r["part"]: r["group"] for r in t.regrouped(df).collect()}
+        assert len(of) == 150
+        shared = {}
+        for component, name, text in parts:
+            now = shared.setdefault((component, of[name]), text.split())
+            shared[component, of[name]] = [x if x == y else t.VARIABLE for x, y in zip(now, text.split(), strict=True)]
+        assert all(2 * m.count(t.VARIABLE) <= len(m) for m in shared.values())
+        assert not [1 for (i, m) in shared.items() for (j, n) in shared.items() if i[0] == j[0] and i < j and t.similar(m, n)]
+
+
 def test_long_short_and_numeric_lines_by_their_documents(spark):
     rng = random.Random(9)
     passage = " ".join(rng.choice(VOCAB) for _ in range(60))
@@ -73,5 +96,9 @@ def test_long_short_and_numeric_lines_by_their_documents(spark):
 
 def test_masking():
     assert t.masked("  a b2  c\t3 ") == ["a", "<*>", "c", "<*>"]
+    for line in ("a  b c", " a b", "a b ", "a\tb", "a\u00a0b", "a b", "a\rb c", "x 1 y z"):
+        tokens = t.masked(line)
+        leaf = t._hash(" ".join([str(len(tokens)), *tokens[: t.LEAD]])) & ~1
+        assert t.line_hashes(line) == ([leaf], [t._hash(" ".join(tokens))]) and t.hashes_of(line).tolist() == t.line_hashes(line)[1], line
     assert t.line_hashes(None) == ([], []) and t.line_hashes("") == ([0], [0])
     assert t.similar("a b c d".split(), "a b c x".split()) and not t.similar("a b c d".split(), "a b x y".split())
