@@ -24,6 +24,21 @@ def _order_cols(order_by: Sequence[str | Column] | None) -> list[Column]:
     return [as_col(c) for c in order_by]
 
 
+def _placed(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+    """Rows in ``order_by`` order over range partitions, checkpointed, with the
+    partition (``__pid``) and the position in it (``__pos``, from 0)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [as_col(c) for c in order_by] + [F.col("__tie")]
+    pid = F.spark_partition_id()
+    return checkpointed(
+        df.withColumn("__tie", F.monotonically_increasing_id())
+        .repartitionByRange(n, *cols)
+        .sortWithinPartitions(*cols)
+        .withColumn("__pid", pid)
+        .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+    )
+
+
 def global_sequence(df: DataFrame, order_by: Sequence[str | Column], name: str = SEQ_COL) -> DataFrame:
     """Dense 1..n in ``order_by`` order, without moving all rows to one task.
 
@@ -41,18 +56,7 @@ def global_sequence(df: DataFrame, order_by: Sequence[str | Column], name: str =
     like any other rows.  The input position is stable when a lost task
     re-reads the same split.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [as_col(c) for c in order_by] + [F.col("__tie")]
-    pid = F.spark_partition_id()
-    s = (
-        df.withColumn("__tie", F.monotonically_increasing_id())
-        .repartitionByRange(n, *cols)
-        .sortWithinPartitions(*cols)
-        .withColumn("__pid", pid)
-        .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
-    )
-    s = checkpointed(s)
+    s = _placed(df, order_by)
     counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
@@ -70,10 +74,10 @@ def with_sequence(
     """Arrival number, 1 for the earliest row.
 
     With ``keys`` the number restarts per key: a window per key for ordinary
-    keys.  The rows of hot keys (``skew="auto"`` samples for them) are numbered
-    by ``global_sequence`` over (key, order) instead, less the first number of
-    their key; rows with a NULL key go with them, so a key holding a large share of the rows is spread over many
-    tasks.  Without keys and order, the scan position
+    keys.  The rows of hot keys (``skew="auto"`` samples for them) are range-partitioned
+    over (key, order) as in ``global_sequence`` instead and numbered from their
+    key's rows in the partitions before; rows with a NULL key go with them, so a
+    key holding a large share of the rows is spread over many tasks.  Without keys and order, the scan position
     (``monotonically_increasing_id``: unique and increasing, not dense) is
     used; without keys but with an order, ``global_sequence``.
     """
@@ -90,12 +94,20 @@ def with_sequence(
     unkeyed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     cold = df.where(~unkeyed).join(h, list(keys), "left_anti")
     warm = df.where(~unkeyed).join(h, list(keys), "left_semi").select(*df.columns).unionByName(df.where(unkeyed))
-    numbered = global_sequence(warm, [*keys, *order], "__g")
-    # One row per hot key, and per key with a NULL part (as many as there are,
-    # so the planner chooses the join).
-    first = numbered.groupBy(*[F.col(k).alias(f"__f{i}") for i, k in enumerate(keys)]).agg(F.min("__g").alias("__g0"))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__f{i}")) for i, k in enumerate(keys)])
-    warm_out = numbered.join(first, same).withColumn(name, F.col("__g") - F.col("__g0") + 1).select(*df.columns, name)
+    s = _placed(warm, [*keys, *order])
+    # A key's rows lie together: its first position in a partition, and its rows
+    # in the partitions before, number them.  One row per key and partition, and
+    # the join on both, so no task gets more of a key than one partition holds.
+    names = [f"__f{i}" for i in range(len(keys))]
+    starts = s.groupBy(F.col("__pid").alias("__p"), *[F.col(k).alias(f) for k, f in zip(keys, names)]).agg(
+        F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__rows")
+    )
+    before = Window.partitionBy(*names).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.withColumn("__before", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f)) for k, f in zip(keys, names)])
+    warm_out = s.join(starts, (F.col("__pid") == F.col("__p")) & same).withColumn(
+        name, F.col("__before") + F.col("__pos") - F.col("__first") + 1
+    ).select(*df.columns, name)
     cold_out = cold.withColumn(name, F.row_number().over(w).cast("long"))
     return cold_out.unionByName(warm_out)
 

@@ -157,3 +157,29 @@ def test_salt_and_sequence_are_stable_when_recomputed(spark, salted):
         return sorted(tuple(r) for r in seq.select("l_orderkey", "l_linenumber", "l_shipdate", "row_num").collect())
 
     assert numbers() == numbers()
+
+
+def test_no_task_gets_a_hot_key_of_a_sequence(spark):
+    # Without adaptive joins: the numbered rows of one key stay dealt over the tasks.
+    from pyspark.sql import functions as F
+
+    from loadwright.operators.dedup import with_sequence
+
+    own = {MIN_ROWS_CONF: "0", ROWS_PER_TASK_CONF: "100", "spark.sql.adaptive.enabled": "false",
+           "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(4000, numPartitions=4).select(
+            F.when(F.col("id") % 8 == 0, F.lit(None)).when(F.col("id") % 8 < 6, F.lit(1)).otherwise(F.lit(2)).alias("k"),
+            (F.lit(4000) - F.col("id")).alias("o"),
+        )
+        out = with_sequence(rows, ["k"], ["o"]).withColumn("p", F.spark_partition_id())
+        got = out.select("k", "o", "row_num", "p").collect()
+        assert max(sum(r["p"] == p for r in got) for p in {r["p"] for r in got}) < 1500
+        for key, n in ((None, 500), (1, 2500), (2, 1000)):
+            assert [r["row_num"] for r in sorted((r for r in got if r["k"] == key), key=lambda r: r["o"])] == list(range(1, n + 1))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
