@@ -15,7 +15,8 @@ apply.  The hot keys are therefore salted explicitly:
    (the others take the plain join, which is exact too).  So the set has a
    proven size bound at any table size; it is written once to the checkpoint
    folder.  Each hot key gets a bucket count: its estimated rows / rows per
-   task.
+   task, or / an average shuffle partition's rows if that is more, so that a
+   bucket is no larger than the other partitions and two in one task do no harm.
 2. ``key_join`` spreads the rows of a hot key over its buckets by a hash of
    the whole row and its input split, and repeats the other side's rows of that key once per
    bucket (that side holds about one row per key: staged rows after
@@ -70,6 +71,7 @@ def hot_keys(df: DataFrame, cols: Sequence[str], rows: int | None = None) -> Dat
         return None
     fraction = min(1.0, SAMPLE_ROWS / n)
     hot_rows = max(per_task, n / MAX_HOT_KEYS)
+    bucket_rows = max(1, min(per_task, n // int(spark.conf.get("spark.sql.shuffle.partitions"))))
     renamed = [F.col(c).alias(f"__h{i}") for i, c in enumerate(cols)]
     sampled = df.select(*renamed)
     if fraction < 1.0:
@@ -82,7 +84,7 @@ def hot_keys(df: DataFrame, cols: Sequence[str], rows: int | None = None) -> Dat
         .where(est >= F.lit(hot_rows))
         .select(
             *[f"__h{i}" for i in range(len(cols))],
-            F.least(F.ceil(est / F.lit(per_task)), F.lit(MAX_BUCKETS)).cast("int").alias("__n"),
+            F.least(F.ceil(est / F.lit(bucket_rows)), F.lit(MAX_BUCKETS)).cast("int").alias("__n"),
         )
     )
     hot = checkpointed(hot)

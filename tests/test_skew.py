@@ -183,3 +183,18 @@ def test_no_task_gets_a_hot_key_of_a_sequence(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_bucket_is_no_larger_than_a_shuffle_partition(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    own = {MIN_ROWS_CONF: "0", ROWS_PER_TASK_CONF: "1000", "spark.sql.shuffle.partitions": "12"}
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        assert [tuple(r) for r in hot_keys(df, ["k"]).collect()] == [(-1, 4)]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
