@@ -15,11 +15,18 @@ Before, one pass counts the hashes of all words and phrases of 2 and 3 words in
 tables of a fixed number of buckets (32 MB each at most, sized by the corpus).
 A phrase whose bucket, or whose part's, stays below ``least`` cannot be a
 candidate and is not listed; hash collisions only list more.  A phrase of 4
-words is listed if both its parts of 3 are.  The tables are merged in
+words is listed if both its parts of 3 are.  A second pass counts only what the
+first one lists, words to phrases of 4, by other hashes in smaller tables, and
+leaves out most of what was listed by collisions.  The tables are merged in
 chunks on the executors; bitmaps of one bit a bucket (4 MB a length at most)
 are broadcast.  A corpus of far more words than buckets fills the tables, and
 then more phrases are listed (all, in the end), with the same results.
 
+A task gives a stripe for each listed prefix that it meets, so stripes grow with
+the product of tasks and prefixes while a phrase is met by most tasks.  Text is
+therefore dealt to as many tasks as there are cores, not to more as it grows,
+until a task has ``MOST_TEXT``; what a task holds is bounded by ``HELD``.
+
 A prefix with very many next words is spread over several stripes by a hash of
 the next word (``SEGMENTS``).  The counts are exact (64-bit hashes place and combine
 phrases in a batch: two phrases of one batch are mixed up with probability
@@ -58,13 +65,15 @@ TOP = 2000
 # Stripes of a prefix of 0, 1, 2 and 3 words: shorter prefixes have more next words.
 SEGMENTS = (64, 4, 1, 1)
 MAX_BITS = 25  # buckets of a table: 2^25 at most
-COUNTED = 3  # phrases of up to so many words have bucket tables
+COUNTED = 3  # phrases of up to so many words have bucket tables in the first pass
+AGAIN = 2  # tables of the second pass are smaller by so many bits
 CHUNK = 1 << 16
 SLICE = 1 << 20  # bytes of text read at a time
 PART = 1 << 16  # bytes hashed at a time
 HELD = 2_000_000  # entries a task holds before it gives its stripes out
 STRIPES_OUT = 10_000  # stripes of a batch
 TASK_TEXT = 64 << 20  # characters a task reads at least, so that its stripes combine counts
+MOST_TEXT = 1 << 30  # and at most, if there are more tasks than cores
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _KIND = np.zeros(256, dtype=np.uint8)  # 0 in a word, 1 blank, 2 between pieces
@@ -183,30 +192,52 @@ def _seed(lang: str) -> int:
     return zlib.crc32(lang.encode("utf-8", "surrogatepass")) * 0x9E3779B1 & 0xFFFFFFFF
 
 
-def _bits(k: int, bits: int) -> int:
-    """Words repeat more than phrases: a table of an eighth."""
-    return bits - 3 if k == 1 else bits
+def _bits(k: int, bits: int, again: bool = False) -> int:
+    """Words repeat more than phrases: a table of an eighth.  The second pass counts few of each."""
+    return bits - AGAIN if again else bits - 3 if k == 1 else bits
+
+
+def _bucket(h: np.ndarray, k: int, bits: int, again: bool = False) -> np.ndarray:
+    """Buckets of the first or the second pass, of independent bits of the hash."""
+    return ((mix(h + _BASE) if again else h) >> np.uint64(64 - _bits(k, bits, again))).astype(np.int64)
+
 
+def _maps(buckets: list[bytes]) -> list[np.ndarray]:
+    return [np.unpackbits(np.frombuffer(b, dtype=np.uint8)).view(bool) for b in buckets]
 
-def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+
+def _listed(words: Words, bits: int, first: list[np.ndarray], second: list[np.ndarray] = ()) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, hash, is listed) for the phrases that start at each word."""
+    shorter = None
+    for k, h, keep in words.phrases():
+        for maps, again in ((first, False), (second, True)):
+            if k <= len(maps):
+                keep = keep & maps[k - 1][_bucket(h, k, bits, again)]
+        if k > 1:
+            # listed only if both parts one word shorter are
+            keep = keep & shorter & np.concatenate((shorter[1:], [False]))
+        yield k, h, keep
+        shorter = keep
 
 
 # ------------------------------------------------------------------ bucket counts
 
 
-def _count_buckets(bits: int, least: int):
+def _count_buckets(bits: int, least: int, first=None):
+    """Counts of all phrases of ``COUNTED`` words, or of the phrases listed by ``first`` (broadcast)."""
     kind = np.uint8 if least < 256 else np.uint32
+    again = first is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [np.zeros(1 << _bits(k, bits), dtype=kind) for k in range(1, COUNTED + 1)]
+        maps = _maps(first.value) if again else None
+        counts = [np.zeros(1 << _bits(k, bits, again), dtype=kind) for k in range(1, (LONGEST if again else COUNTED) + 1)]
         any_rows = False
         for batch in batches:
             for lang, data in _texts(batch):
                 any_rows = True
                 for words, n in slices(data, _seed(lang)):
-                    for k, h, ok in words.phrases(COUNTED):
-                        found, many = np.unique(_bucket(h[:n][ok[:n]], _bits(k, bits)), return_counts=True)
+                    for k, h, ok in _listed(words, bits, maps) if again else words.phrases(COUNTED):
+                        found, many = np.unique(_bucket(h[:n][ok[:n]], k, bits, again), return_counts=True)
                         counts[k - 1][found] = np.minimum(counts[k - 1][found].astype(np.int64) + many, least)
         if any_rows:
             for k, c in enumerate(counts):
@@ -248,13 +279,14 @@ def _merge_buckets(least: int):
     return run
 
 
-def frequent_buckets(docs: DataFrame, bits: int, least: int) -> list[bytes]:
-    """For 1 to ``COUNTED`` words: a bit a bucket, set where a phrase may reach ``least``."""
-    parts = docs.mapInArrow(_count_buckets(bits, least), "k int, chunk int, counts binary")
+def frequent_buckets(docs: DataFrame, bits: int, least: int, first=None) -> list[bytes]:
+    """For each length counted: a bit a bucket, set where a phrase may reach ``least``."""
+    again = first is not None
+    parts = docs.mapInArrow(_count_buckets(bits, least, first), "k int, chunk int, counts binary")
     merged = parts.repartition("k", "chunk").sortWithinPartitions("k", "chunk").mapInArrow(
         _merge_buckets(least), "k int, chunk int, bits binary"
     )
-    out = [bytearray((1 << _bits(k, bits)) // 8) for k in range(1, COUNTED + 1)]
+    out = [bytearray((1 << _bits(k, bits, again)) // 8) for k in range(1, (LONGEST if again else COUNTED) + 1)]
     for k, chunk, data in merged.collect():  # at most COUNTED * 2^MAX_BITS / 8 bytes
         at = chunk * CHUNK // 8
         out[k][at : at + len(data)] = data
@@ -345,25 +377,21 @@ class _Entries:
         yield from _grouped(lang, k, prefix, seg, pa.array(word, pa.binary()).cast(pa.string()), count)
 
 
-def _build_stripes(buckets, bits: int):
+def _build_stripes(buckets, bits: int, again=None):
+    """Stripes of the phrases listed by the tables (broadcast) of the first pass, and of the second."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = [np.unpackbits(np.frombuffer(b, dtype=np.uint8)).view(bool) for b in buckets.value]
+        first, second = _maps(buckets.value), _maps(again.value) if again else []
         entries = _Entries()
         for batch in batches:
             for lang, data in _texts(batch):
                 for words, n in slices(data, _seed(lang)):
                     if not n:
                         continue
-                    listed = None  # the phrases one word shorter
-                    for k, h, ok in words.phrases():
-                        keep = ok & maps[k - 1][_bucket(h, _bits(k, bits))] if k <= COUNTED else ok
+                    for k, h, keep in _listed(words, bits, first, second):
                         if k == 1:
                             entries.unlisted[lang] += int(n - keep[:n].sum())
-                        else:
-                            # listed only if both parts one word shorter are
-                            keep = keep & listed & np.concatenate((listed[1:], [False]))
                         entries.add(words, lang, k, h, np.flatnonzero(keep[:n]))
-                        listed = keep
                     if len(entries.words) >= HELD:
                         yield from entries.stripes()
         yield from entries.stripes()
@@ -402,17 +430,27 @@ def _merge_stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield from out(held)
 
 
-def stripes(docs: DataFrame, least: int, bits: int | None = None) -> DataFrame:
-    """Merged stripes of ``lang`` and ``text`` (neither null), written once."""
-    spark = docs.sparkSession
+def tasks(size: int, cores: int) -> int:
+    """Tasks that read ``size`` characters: up to one a core, of ``TASK_TEXT`` to ``MOST_TEXT``."""
+    return max(1, min(-(-size // TASK_TEXT), max(cores, -(-size // MOST_TEXT))))
+
+
+def built_stripes(docs: DataFrame, least: int, bits: int | None = None) -> DataFrame:
+    """Each task's stripes of ``lang`` and ``text`` (neither null)."""
+    context = docs.sparkSession.sparkContext
     size = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     if bits is None:
         bits = min(MAX_BITS, max(16, (size // 20).bit_length()))
-    docs = docs.coalesce(-(-size // TASK_TEXT) or 1)
-    buckets = spark.sparkContext.broadcast(frequent_buckets(docs, bits, least))
-    built = docs.mapInArrow(_build_stripes(buckets, bits), _STRIPE)
+    docs = docs.coalesce(tasks(size, context.defaultParallelism))
+    first = context.broadcast(frequent_buckets(docs, bits, least))
+    second = context.broadcast(frequent_buckets(docs, bits, least, first))
+    return docs.mapInArrow(_build_stripes(first, bits, second), _STRIPE)
+
+
+def stripes(docs: DataFrame, least: int, bits: int | None = None) -> DataFrame:
+    """Merged stripes of ``lang`` and ``text`` (neither null), written once."""
     key = ["lang", "k", "prefix", "seg"]
-    merged = built.repartition(*key).sortWithinPartitions(*key).mapInArrow(_merge_stripes, _STRIPE)
+    merged = built_stripes(docs, least, bits).repartition(*key).sortWithinPartitions(*key).mapInArrow(_merge_stripes, _STRIPE)
     return materialise(merged, "stripes")
 
 

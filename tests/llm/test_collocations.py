@@ -82,3 +82,30 @@ def test_entries_given_out_early_merge_to_the_same(monkeypatch):
     want = merged()
     monkeypatch.setattr(m, "HELD", 20)
     assert merged() == want and want["fr", 2, "one two", "three"] == 2700
+
+
+def test_stripes_of_more_text_are_not_dealt_to_more_tasks_than_cores(spark, monkeypatch):
+    monkeypatch.setattr(m, "TASK_TEXT", 1000)
+    text = " ".join(f"w{i % 50}" for i in range(200))
+    cores = spark.sparkContext.defaultParallelism
+
+    def built(n):
+        docs = spark.createDataFrame([("en", text)] * n, "lang string, text string").repartition(n)
+        rows = m.built_stripes(docs, 5, bits=16).collect()
+        return len(rows), len({(r.lang, r.k, r.prefix, r.seg) for r in rows}), sum(c for r in rows if r.k == 0 for c in r.counts)
+
+    (few, keys, words), (many, same_keys, all_words) = built(cores), built(5 * cores)
+    assert keys == same_keys and all_words == 5 * words == 1000 * cores
+    assert few <= many <= cores * keys  # a row of each key a task: five times as many before
+    # Tasks stay within the text they may read, however few the cores.
+    assert [m.tasks(s, 4) for s in (0, 1, 1001, 10**9)] == [1, 1, 2, 4] and m.tasks(100 << 30, 4) == 100
+
+
+def test_second_pass_leaves_out_what_collisions_list(spark):
+    rare = [("en", f"r{i} s{i}\n" * 20) for i in range(4000)]  # 20 times each, below least
+    often = [("en", f"p{i} q{i}\n" * 30) for i in range(50)]
+    docs = spark.createDataFrame(rare + often, "lang string, text string").repartition(2)
+    listed = {(r.prefix, w): c for r in m.stripes(docs, 30, bits=20).collect() for w, c in zip(r.words, r.counts)}
+    assert all(listed["", f"p{i}"] == listed[f"p{i}", f"q{i}"] == 30 for i in range(50))
+    assert sum(listed[k] for k in listed if k[0] == "") == 2 * 20 * 4000 + 2 * 30 * 50
+    assert len(listed) < 170  # 151 that recur and the unlisted words; hundreds more with the first pass alone
